@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The studied system reads every layer as a full batch; it has no stream
+source, watermark, window or stateful operator, so there is nothing to
+re-express with Structured Streaming.  Batch operators in this package take
+any DataFrame, so a ``foreachBatch`` sink can call them on micro-batches.
+"""
