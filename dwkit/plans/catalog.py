@@ -130,3 +130,85 @@ def d34(spark, d):
 @query("F1_top_states")
 def f1(spark, d):
     return kpi.top_states(kpi.delay_by_state_month(_analytic(spark, d)), 10)
+
+
+# ------------------------------------------------------------------ data quality
+
+from ..functions import rules as R  # noqa: E402
+from ..operators import dqa  # noqa: E402
+
+
+def _events_scored(spark, d):
+    ev = B.events_dirty(spark, d).withColumn("ts_hour", F.hour("ts").cast("int"))
+    return ev, R.events_rules(), {"customer": B.table(spark, d, "customer")}
+
+
+def _dim_query(dim):
+    def run(spark, d):
+        ev, rules, refs = _events_scored(spark, d)
+        return dqa.run_dqa(ev, "events_dirty", rules, refs, dims=[dim]).select("Dimension", "Score", "Issues")
+    return run
+
+
+for _k, _dim in [("D1_completeness", "Completeness"), ("D2_uniqueness", "Uniqueness"), ("D3_validity", "Validity"),
+                 ("D4_consistency", "Consistency"), ("D5_timeliness", "Timeliness"), ("D6_accuracy", "Accuracy")]:
+    query(_k)(_dim_query(_dim))
+
+
+@query("D7_scorecard")
+def d7(spark, d):
+    ev, rules, refs = _events_scored(spark, d)
+    return dqa.run_dqa(ev, "events_dirty", rules, refs)
+
+
+def _scorecards(spark, d):
+    ev, rules, refs = _events_scored(spark, d)
+    a = dqa.run_dqa(ev, "events_dirty", rules, refs)
+    b = dqa.run_dqa(B.obs_dirty(spark, d), "obs_dirty", R.obs_rules())
+    return a.unionByName(b)
+
+
+@query("D8_overall_score")
+def d8(spark, d):
+    return dqa.overall_score(_scorecards(spark, d))
+
+
+@query("D9_run_dqa")
+def d9(spark, d):
+    return _scorecards(spark, d)
+
+
+@query("G1_union_reports")
+def g1(spark, d):
+    return _scorecards(spark, d).select("Table", "Dimension", "Score", "Issues", "Status")
+
+
+@query("D39_scorecard_pivot")
+def d39(spark, d):
+    return dqa.scorecard_pivot(_scorecards(spark, d))
+
+
+@query("D10_validity_rules")
+def d10(spark, d):
+    ev = B.events_dirty(spark, d)
+    inv = R.validity_invalid(ev, R.events_rules().validity)
+    row = ev.agg(*[F.count_if(v).alias(c) for c, v in inv.items()])
+    return row.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_invalid"))
+                                          for c in inv])).alias("s")).select("s.*")
+
+
+@query("D11_consistency_rules")
+def d11(spark, d):
+    ev, rules, refs = _events_scored(spark, d)
+    work, cons = R.compile_consistency(ev, rules.consistency, refs)
+    row = work.agg(*[F.count_if(~v).alias(k) for k, v in cons.items()])
+    return row.select(F.explode(F.array(*[F.struct(F.lit(k).alias("rule"), F.col(k).alias("n_violations"))
+                                          for k in cons])).alias("s")).select("s.*")
+
+
+@query("C12_fk_membership")
+def c12(spark, d):
+    ev = B.events_dirty(spark, d)
+    hit = R.fk_hit(ev, "user_id", B.table(spark, d, "customer"), "c_custkey", "_hit")
+    return hit.agg(F.count_if(F.col("user_id").isNotNull() & ~F.col("_hit")).alias("n_broken"),
+                   F.count_if(F.col("user_id").isNull() | F.col("_hit")).alias("n_ok"))

@@ -241,3 +241,119 @@ FROM d34 ORDER BY ORIGIN_STATE, MONTH""")
 _q("F1_top_states", f"""WITH {_D34}
 SELECT ORIGIN_STATE, {r4('avg(avg_dep_delay)')} AS avg_dep_delay, CAST(sum(n_flights) AS BIGINT) AS n_flights
 FROM d34 GROUP BY ORIGIN_STATE ORDER BY avg(avg_dep_delay) DESC, ORIGIN_STATE LIMIT 10""")
+
+
+# ------------------------------------------------------------------ data quality
+
+def _score(issues: str, total: str) -> str:
+    return f"round(CASE WHEN ({total}) > 0 THEN 1.0 - CAST(({issues}) AS DOUBLE) / ({total}) ELSE 0.0 END, 4)"
+
+
+def _status(s: str) -> str:
+    return f"CASE WHEN {s} >= 0.95 THEN 'PASS' WHEN {s} >= 0.80 THEN 'WARN' ELSE 'FAIL' END"
+
+
+def _parses(x: str) -> str:
+    return (f"(try_strptime(CAST({x} AS VARCHAR), '%Y-%m-%d') IS NOT NULL "
+            f"OR try_strptime(CAST({x} AS VARCHAR), '%Y-%m-%d %H:%M:%S') IS NOT NULL)")
+
+
+EV_REQ = ["event_id", "ts", "user_id", "event_type", "event_date", "event_hour", "value", "status"]
+EV_VALID = [("event_type", "regexp_matches(event_type, '^[A-Za-z]+$')"), ("event_date", _parses("event_date")),
+            ("event_hour", "event_hour BETWEEN 0 AND 23"), ("value", "value BETWEEN 0 AND 100"),
+            ("status", "status IN (0, 1, 2, 3, 4)")]
+EV_CONS = [("cancelled_no_value", "NOT coalesce(coalesce(status, 0) > 0 AND value > 0, FALSE)"),
+           ("value_present_unless_cancelled", "value IS NOT NULL OR coalesce(coalesce(status, 0) > 0, FALSE)"),
+           ("fk_user_id", "user_id IS NULL OR user_id IN (SELECT c_custkey FROM customer WHERE c_custkey IS NOT NULL)")]
+EV_KEYS = ["user_id", "event_date", "event_hour", "event_type"]
+OB_REQ = ["obs_id", "station", "obs_date", "obs_hour", "spd", "gust", "low"]
+OB_VALID = [("obs_hour", "obs_hour BETWEEN 0 AND 23"), ("spd", "spd BETWEEN 0 AND 100"),
+            ("gust", "gust BETWEEN 0 AND 100"), ("low", "low BETWEEN 0 AND 100")]
+OB_CONS = [("low_le_gust", "coalesce(low <= gust, FALSE) OR low IS NULL OR gust IS NULL"),
+           ("gust_ge_spd", "coalesce(gust >= spd, FALSE) OR gust IS NULL OR spd IS NULL")]
+OB_KEYS = ["station", "obs_date", "obs_hour"]
+
+
+def _inv(col, pred):
+    return f"({col} IS NOT NULL AND NOT coalesce({pred}, FALSE))"
+
+
+def scorecard_sql(table, src, req, valid, cons, keys, time_col=None, accuracy=None, dims=None):
+    """Scorecard rows (Table, Dimension, Score, Issues, Status, Details) as a SELECT."""
+    aggs = ["count(*) AS n"]
+    aggs += [f"count(*) FILTER (WHERE {c} IS NULL) AS miss_{i}" for i, c in enumerate(req)]
+    aggs += [f"count(*) FILTER (WHERE {_inv(c, p)}) AS inv_{i}" for i, (c, p) in enumerate(valid)]
+    if valid:
+        aggs.append("count(*) FILTER (WHERE " + " OR ".join(_inv(c, p) for c, p in valid) + ") AS inv_any")
+    if cons:
+        aggs.append("count(*) FILTER (WHERE NOT (" + " AND ".join(f"coalesce({p}, FALSE)" for _, p in cons) + ")) AS incons")
+    if time_col:
+        t = f"coalesce(try_strptime(CAST({time_col} AS VARCHAR), '%Y-%m-%d %H:%M:%S'), try_strptime(CAST({time_col} AS VARCHAR), '%Y-%m-%d'))"
+        stale = f"coalesce(floor(epoch(TIMESTAMP '2024-02-01 00:00:00' - {t}) / 86400) > 1825, FALSE)"
+        fut = f"coalesce({t} > TIMESTAMP '2024-02-01 00:00:00', FALSE)"
+        aggs += [f"count(*) FILTER (WHERE {stale}) AS stale", f"count(*) FILTER (WHERE {fut}) AS fut",
+                 f"count(*) FILTER (WHERE {stale} OR {fut}) AS late"]
+    if accuracy:
+        c, r, tol = accuracy
+        aggs.append(f"count(*) FILTER (WHERE coalesce(abs({c} - {r}) > {tol}, FALSE)) AS acc")
+    keylist = ", ".join(keys)
+    rows = []
+    miss_sum = " + ".join(f"miss_{i}" for i in range(len(req)))
+    miss_det = ("'Missing per column: {' || concat_ws(', ', " +
+                ", ".join(f"CASE WHEN miss_{i} > 0 THEN '''{c}'': ' || CAST(miss_{i} AS VARCHAR) END" for i, c in enumerate(req))
+                + ") || '}'")
+    rows.append(("Completeness", miss_sum, f"n * {len(req)}", miss_det))
+    keys_py = "[" + ", ".join(f"''{k}''" for k in keys) + "]"
+    rows.append(("Uniqueness", "dups", "n", f"'Duplicate rows on {keys_py}: ' || CAST(dups AS VARCHAR)"))
+    if valid:
+        det = "concat_ws(' | ', " + ", ".join(f"'{c}: ' || CAST(inv_{i} AS VARCHAR) || ' invalid'" for i, (c, _) in enumerate(valid)) + ")"
+        rows.append(("Validity", "inv_any", "n", det))
+    if cons:
+        rows.append(("Consistency", "incons", "n", "CAST(incons AS VARCHAR) || ' rows violate rules'"))
+    if time_col:
+        rows.append(("Timeliness", "late", "n", "'Future dates: ' || CAST(fut AS VARCHAR) || ' | Stale (>1825d): ' || CAST(stale AS VARCHAR)"))
+    if accuracy:
+        c, r, tol = accuracy
+        rows.append(("Accuracy", "acc", "n", f"'{c} vs {r} (tol={tol}): ' || CAST(acc AS VARCHAR) || ' inaccurate'"))
+    if dims:
+        rows = [r for r in rows if r[0] in dims]
+    sel = " UNION ALL ".join(
+        f"SELECT '{table}' AS \"Table\", '{d}' AS Dimension, {_score(i, t)} AS Score, CAST({i} AS BIGINT) AS Issues, "
+        f"{_status(_score(i, t))} AS Status, {det} AS Details FROM c" for d, i, t, det in rows)
+    return (f"(WITH c AS (SELECT * FROM (SELECT {', '.join(aggs)} FROM {src}) a, "
+            f"(SELECT coalesce(sum(k) FILTER (WHERE k > 1), 0) AS dups FROM (SELECT count(*) AS k FROM {src} GROUP BY {keylist}) g) u) "
+            f"{sel})")
+
+
+EV_SRC = "(SELECT *, CAST(EXTRACT(HOUR FROM ts) AS INTEGER) AS ts_hour FROM events_dirty)"
+
+
+def ev_card(dims=None):
+    return scorecard_sql("events_dirty", EV_SRC, EV_REQ, EV_VALID, EV_CONS, EV_KEYS, "event_date",
+                         ("event_hour", "ts_hour", 0), dims)
+
+
+def ob_card():
+    return scorecard_sql("obs_dirty", "obs_dirty", OB_REQ, OB_VALID, OB_CONS, OB_KEYS, "obs_date")
+
+
+for _k, _d in [("D1_completeness", "Completeness"), ("D2_uniqueness", "Uniqueness"), ("D3_validity", "Validity"),
+               ("D4_consistency", "Consistency"), ("D5_timeliness", "Timeliness"), ("D6_accuracy", "Accuracy")]:
+    _q(_k, f"WITH {EVENTS_DIRTY} SELECT Dimension, Score, Issues FROM {ev_card([_d])} x")
+_q("D7_scorecard", f"WITH {EVENTS_DIRTY} SELECT * FROM {ev_card()} x")
+_CARDS = f"WITH {EVENTS_DIRTY}, {OBS_DIRTY}, cards AS (SELECT * FROM {ev_card()} a UNION ALL SELECT * FROM {ob_card()} b)"
+_q("D9_run_dqa", f"{_CARDS} SELECT * FROM cards")
+_q("G1_union_reports", f"{_CARDS} SELECT \"Table\", Dimension, Score, Issues, Status FROM cards")
+_q("D8_overall_score", f"{_CARDS} SELECT \"Table\", round(coalesce(avg(Score), 0.0), 4) AS overall_score FROM cards GROUP BY 1")
+_q("D39_scorecard_pivot", f"""{_CARDS}
+SELECT "Table", """ + ", ".join(
+    f"least(greatest(max(Score) FILTER (WHERE Dimension = '{d}'), 0.0), 1.0) AS {d}"
+    for d in ["Completeness", "Uniqueness", "Validity", "Consistency", "Timeliness"]) + " FROM cards GROUP BY 1")
+_q("D10_validity_rules", f"WITH {EVENTS_DIRTY} " + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {_inv(c, p)}) AS n_invalid FROM events_dirty" for c, p in EV_VALID))
+_q("D11_consistency_rules", f"WITH {EVENTS_DIRTY} " + " UNION ALL ".join(
+    f"SELECT '{k}' AS rule, count(*) FILTER (WHERE NOT coalesce({p}, FALSE)) AS n_violations FROM events_dirty" for k, p in EV_CONS))
+_q("C12_fk_membership", f"""WITH {EVENTS_DIRTY}
+SELECT count(*) FILTER (WHERE user_id IS NOT NULL AND user_id NOT IN (SELECT c_custkey FROM customer)) AS n_broken,
+       count(*) FILTER (WHERE user_id IS NULL OR user_id IN (SELECT c_custkey FROM customer)) AS n_ok
+FROM events_dirty""")
