@@ -212,3 +212,112 @@ def c12(spark, d):
     hit = R.fk_hit(ev, "user_id", B.table(spark, d, "customer"), "c_custkey", "_hit")
     return hit.agg(F.count_if(F.col("user_id").isNotNull() & ~F.col("_hit")).alias("n_broken"),
                    F.count_if(F.col("user_id").isNull() | F.col("_hit")).alias("n_ok"))
+
+
+# ------------------------------------------------------------------ cleaning (B, C1, C8, D15, D26, D27, E4)
+
+from ..functions import exprs as X  # noqa: E402
+from .cleaning import CleaningPlan, table_counts  # noqa: E402
+
+
+def events_plan(spark, d) -> CleaningPlan:
+    """The flights-role cleaning run on ``events_dirty``."""
+    p = CleaningPlan(B.events_dirty(spark, d), "events_dirty", pk="event_id")
+    p.standardize_strings(["event_type"])
+    p.parse_dates("event_date")
+    p.fix_validity_range("value", 0, 100)
+    p.fix_invalid_to_null("status", [0, 1, 2, 3])
+    p.fix_fk_to_null("user_id", B.table(spark, d, "customer"), "c_custkey")
+    p.fix_cancelled_air_time("status", "value")
+    p.winsorize_numeric(["value"], 0.0, 0.99)
+    p.impute_numeric_nulls_by_group_median("value", "event_type")
+    return p
+
+
+@query("D26_audit_log")
+def d26(spark, d):
+    return events_plan(spark, d).audit_log().withColumnRenamed("column", "column_name")
+
+
+@query("D27_audit_summary")
+def d27(spark, d):
+    return events_plan(spark, d).audit_summary().orderBy(F.col("changes").desc())
+
+
+@query("F2_report_sort")
+def f2(spark, d):
+    return events_plan(spark, d).audit_summary().orderBy(F.col("changes").desc(), F.col("step"))
+
+
+@query("C8_scorecard_compare")
+def c8(spark, d):
+    ev, rules, refs = _events_scored(spark, d)
+    before = dqa.run_dqa(ev, "events_dirty", rules, refs)
+    clean = events_plan(spark, d).clean_df.withColumn("ts_hour", F.hour("ts").cast("int"))
+    after = dqa.run_dqa(clean, "events_dirty", rules, refs)
+    return dqa.compare_scorecards(before, after)
+
+
+@query("D15_table_counts")
+def d15(spark, d):
+    return table_counts(B.events_dirty(spark, d), events_plan(spark, d).clean_df, "events_dirty")
+
+
+@query("B1_standardize_strings")
+def b1(spark, d):
+    n = B.nation_dirty(spark, d)
+    return n.select("n_nationkey", X.standardize_string("n_name", title=True).alias("n_name_title"),
+                    X.standardize_string("n_name", upper=True).alias("n_name_upper"))
+
+
+@query("B2_parse_dates")
+def b2(spark, d):
+    return B.events_dirty(spark, d).select("event_id", X.parse_and_format_date("event_date").alias("event_date"))
+
+
+@query("B3_winsorize")
+def b3(spark, d):
+    p = CleaningPlan(B.events_dirty(spark, d), "events_dirty", pk="event_id", audit=False)
+    return p.winsorize_numeric(["value"], 0.0, 0.99).clean_df.select("event_id", "value")
+
+
+@query("B4_invalid_pattern")
+def b4(spark, d):
+    return B.events_dirty(spark, d).select("event_id", X.null_unless_match("event_type", r"^[a-z]{4,8}$").alias("event_type"))
+
+
+@query("B5_invalid_to_null")
+def b5(spark, d):
+    return B.events_dirty(spark, d).select("event_id", X.null_unless_in("status", [0, 1, 2, 3]).alias("status"))
+
+
+@query("B6_pattern_to_null")
+def b6(spark, d):
+    return B.table(spark, d, "part").select("p_partkey", X.null_unless_match("p_brand", r"^Brand#[0-9]$").alias("p_brand"))
+
+
+@query("B7_validity_range")
+def b7(spark, d):
+    return B.events_dirty(spark, d).select("event_id", X.null_outside_range("value", 0, 100).alias("value"))
+
+
+@query("B8_cancelled_air_time")
+def b8(spark, d):
+    return B.events_dirty(spark, d).select("event_id", X.cancelled_air_time("status", "value").alias("value"))
+
+
+@query("B19_cancelled_filter")
+def b19(spark, d):
+    return B.events_dirty(spark, d).where(X.not_cancelled_filter(F.col("status"))).select("event_id", "status")
+
+
+@query("C1_fk_to_null")
+def c1(spark, d):
+    p = CleaningPlan(B.events_dirty(spark, d), "events_dirty", pk="event_id", audit=False)
+    return p.fix_fk_to_null("user_id", B.table(spark, d, "customer"), "c_custkey").clean_df.select("event_id", "user_id")
+
+
+@query("E4_group_median_impute")
+def e4(spark, d):
+    p = CleaningPlan(B.events_dirty(spark, d), "events_dirty", pk="event_id", audit=False)
+    return p.impute_numeric_nulls_by_group_median("value", "event_type").clean_df.select("event_id", "event_type", "value")

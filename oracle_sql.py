@@ -357,3 +357,90 @@ _q("C12_fk_membership", f"""WITH {EVENTS_DIRTY}
 SELECT count(*) FILTER (WHERE user_id IS NOT NULL AND user_id NOT IN (SELECT c_custkey FROM customer)) AS n_broken,
        count(*) FILTER (WHERE user_id IS NULL OR user_id IN (SELECT c_custkey FROM customer)) AS n_ok
 FROM events_dirty""")
+
+
+# ------------------------------------------------------------------ cleaning chain on events_dirty
+
+def _pdate(x):
+    return (f"strftime(coalesce(try_strptime(CAST({x} AS VARCHAR), '%Y-%m-%d'), "
+            f"try_strptime(CAST({x} AS VARCHAR), '%Y-%m-%d %H:%M:%S')), '%Y-%m-%d')")
+
+
+_CUST = "(SELECT DISTINCT c_custkey FROM customer WHERE c_custkey IS NOT NULL)"
+EV_CHAIN = EVENTS_DIRTY + f""",
+s1 AS (SELECT *, {strip('event_type')} AS n1 FROM events_dirty),
+a1 AS (SELECT 'standardize_strings' AS step, 'event_type' AS column_name, CAST(event_id AS VARCHAR) AS row_id,
+              event_type AS before, n1 AS after, 'Format string casing/spacing' AS reason
+       FROM s1 WHERE event_type IS NOT NULL AND n1 <> event_type),
+t1 AS (SELECT * EXCLUDE (n1) REPLACE (n1 AS event_type) FROM s1),
+s2 AS (SELECT *, {_pdate('event_date')} AS n2 FROM t1),
+a2 AS (SELECT 'parse_dates', 'event_date', CAST(event_id AS VARCHAR), event_date, n2, 'Parsed to yyyy-MM-dd'
+       FROM s2 WHERE event_date IS NOT NULL AND n2 IS DISTINCT FROM event_date),
+t2 AS (SELECT * EXCLUDE (n2) REPLACE (n2 AS event_date) FROM s2),
+s3 AS (SELECT *, CASE WHEN coalesce(value < 0 OR value > 100, FALSE) THEN NULL ELSE value END AS n3 FROM t2),
+a3 AS (SELECT 'fix_validity_range:value', 'value', CAST(event_id AS VARCHAR), CAST(value AS VARCHAR), CAST(n3 AS VARCHAR),
+              'Out-of-range -> nan' FROM s3 WHERE value IS DISTINCT FROM n3),
+t3 AS (SELECT * EXCLUDE (n3) REPLACE (n3 AS value) FROM s3),
+s4 AS (SELECT *, CASE WHEN status IS NULL OR status IN (0, 1, 2, 3) THEN status END AS n4 FROM t3),
+a4 AS (SELECT 'fix_invalid_to_null:status', 'status', CAST(event_id AS VARCHAR), CAST(status AS VARCHAR), CAST(n4 AS VARCHAR),
+              'Value not in valid set -> NULL' FROM s4 WHERE status IS NOT NULL AND n4 IS NULL),
+t4 AS (SELECT * EXCLUDE (n4) REPLACE (n4 AS status) FROM s4),
+s5 AS (SELECT *, CASE WHEN user_id IN {_CUST} THEN user_id END AS n5 FROM t4),
+a5 AS (SELECT 'fix_fk_to_null:user_id', 'user_id', CAST(event_id AS VARCHAR), CAST(user_id AS VARCHAR), CAST(n5 AS VARCHAR),
+              'FK broken -> NULL' FROM s5 WHERE user_id IS NOT NULL AND n5 IS NULL),
+t5 AS (SELECT * EXCLUDE (n5) REPLACE (n5 AS user_id) FROM s5),
+s6 AS (SELECT *, CASE WHEN coalesce(coalesce(status, 0) > 0 AND value > 0, FALSE) THEN NULL ELSE value END AS n6 FROM t5),
+a6 AS (SELECT 'fix_cancelled_air_time', 'value', CAST(event_id AS VARCHAR), CAST(value AS VARCHAR), CAST(n6 AS VARCHAR),
+              'Cancelled flight -> air_time NULL' FROM s6 WHERE value IS DISTINCT FROM n6),
+t6 AS (SELECT * EXCLUDE (n6) REPLACE (n6 AS value) FROM s6),
+b7 AS (SELECT quantile_cont(value, 0.0) AS lo, quantile_cont(value, 0.99) AS hi FROM t6),
+s7 AS (SELECT t6.*, CASE WHEN value IS NULL THEN NULL ELSE least(greatest(value, lo), hi) END AS n7 FROM t6, b7),
+a7 AS (SELECT 'winsorize_numeric', 'value', CAST(event_id AS VARCHAR), CAST(value AS VARCHAR), CAST(n7 AS VARCHAR),
+              'Capped [0.0, 0.99]' FROM s7 WHERE value IS NOT NULL AND n7 <> value),
+t7 AS (SELECT * EXCLUDE (n7) REPLACE (n7 AS value) FROM s7),
+gm AS (SELECT median(value) AS gmed FROM t7),
+grp AS (SELECT event_type AS g, median(value) AS gmv FROM t7 GROUP BY 1),
+s8 AS (SELECT t7.*, coalesce(grp.gmv, gm.gmed) AS fill FROM t7 CROSS JOIN gm LEFT JOIN grp ON t7.event_type IS NOT DISTINCT FROM grp.g),
+a8 AS (SELECT 'impute_numeric_nulls_by_group_median:value', 'value', CAST(event_id AS VARCHAR), CAST(value AS VARCHAR),
+              CAST(fill AS VARCHAR), 'group median by event_type' FROM s8 WHERE value IS NULL AND fill IS NOT NULL),
+ev_clean AS (SELECT * EXCLUDE (fill) REPLACE (CASE WHEN value IS NULL THEN fill ELSE value END AS value) FROM s8),
+audit AS (SELECT * FROM a1 UNION ALL SELECT * FROM a2 UNION ALL SELECT * FROM a3 UNION ALL SELECT * FROM a4
+          UNION ALL SELECT * FROM a5 UNION ALL SELECT * FROM a6 UNION ALL SELECT * FROM a7 UNION ALL SELECT * FROM a8)"""
+
+_q("D26_audit_log", f"WITH {EV_CHAIN} SELECT * FROM audit")
+_q("D27_audit_summary", f"""WITH {EV_CHAIN}
+SELECT step, count(*) AS changes, array_to_string(list_sort(list_distinct(list(column_name))), ', ') AS cols_affected
+FROM audit GROUP BY step ORDER BY changes DESC""")
+SQL["F2_report_sort"] = SQL["D27_audit_summary"]
+_CLEAN_CARD = scorecard_sql("events_dirty", "(SELECT *, CAST(EXTRACT(HOUR FROM ts) AS INTEGER) AS ts_hour FROM ev_clean)",
+                            EV_REQ, EV_VALID, EV_CONS, EV_KEYS, "event_date", ("event_hour", "ts_hour", 0))
+_q("C8_scorecard_compare", f"""WITH {EV_CHAIN}, bef AS (SELECT * FROM {ev_card()} x), aft AS (SELECT * FROM {_CLEAN_CARD} y)
+SELECT b.Dimension, b.Score AS Score_before, b.Issues AS Issues_before, a.Score AS Score_after, a.Issues AS Issues_after,
+       round(a.Score - b.Score, 4) AS Delta,
+       CASE WHEN round(a.Score - b.Score, 4) > 0 THEN 'YES' WHEN round(a.Score - b.Score, 4) = 0 THEN '=' ELSE 'NO' END AS Improved
+FROM bef b JOIN aft a ON b.Dimension = a.Dimension""")
+_EVC = ["event_id", "ts", "user_id", "event_type", "event_date", "event_hour", "value", "status"]
+_q("D15_table_counts", f"""WITH {EV_CHAIN},
+b AS (SELECT count(*) AS rows_before, CAST({' + '.join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in _EVC)} AS BIGINT) AS nulls_before FROM events_dirty),
+a AS (SELECT count(*) AS rows_after, CAST({' + '.join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in _EVC)} AS BIGINT) AS nulls_after FROM ev_clean)
+SELECT 'events_dirty' AS table_name, rows_before, rows_after, rows_before - rows_after AS rows_removed, nulls_before, nulls_after FROM b, a""")
+
+_q("B1_standardize_strings", f"""WITH {NATION_DIRTY}
+SELECT n_nationkey, {title(strip('n_name'))} AS n_name_title, upper({strip('n_name')}) AS n_name_upper FROM nation_dirty""")
+_q("B2_parse_dates", f"WITH {EVENTS_DIRTY} SELECT event_id, {_pdate('event_date')} AS event_date FROM events_dirty")
+_q("B3_winsorize", f"""WITH {EVENTS_DIRTY}, b AS (SELECT quantile_cont(value, 0.0) AS lo, quantile_cont(value, 0.99) AS hi FROM events_dirty)
+SELECT event_id, round(CASE WHEN value IS NULL THEN NULL ELSE least(greatest(value, lo), hi) END, 4) AS value FROM events_dirty, b""")
+_q("B4_invalid_pattern", f"""WITH {EVENTS_DIRTY}
+SELECT event_id, CASE WHEN event_type IS NULL OR regexp_matches(event_type, '^[a-z]{{4,8}}$') THEN event_type END AS event_type FROM events_dirty""")
+_q("B5_invalid_to_null", f"WITH {EVENTS_DIRTY} SELECT event_id, CASE WHEN status IS NULL OR status IN (0, 1, 2, 3) THEN status END AS status FROM events_dirty")
+_q("B6_pattern_to_null", "SELECT p_partkey, CASE WHEN p_brand IS NULL OR regexp_matches(p_brand, '^Brand#[0-9]$') THEN p_brand END AS p_brand FROM part")
+_q("B7_validity_range", f"""WITH {EVENTS_DIRTY}
+SELECT event_id, round(CASE WHEN coalesce(value < 0 OR value > 100, FALSE) THEN NULL ELSE value END, 4) AS value FROM events_dirty""")
+_q("B8_cancelled_air_time", f"""WITH {EVENTS_DIRTY}
+SELECT event_id, round(CASE WHEN coalesce(coalesce(status, 0) > 0 AND value > 0, FALSE) THEN NULL ELSE value END, 4) AS value FROM events_dirty""")
+_q("B19_cancelled_filter", f"WITH {EVENTS_DIRTY} SELECT event_id, status FROM events_dirty WHERE status IS DISTINCT FROM 0")
+_q("C1_fk_to_null", f"WITH {EVENTS_DIRTY} SELECT event_id, CASE WHEN user_id IN {_CUST} THEN user_id END AS user_id FROM events_dirty")
+_q("E4_group_median_impute", f"""WITH {EVENTS_DIRTY}, gm AS (SELECT median(value) AS gmed FROM events_dirty),
+grp AS (SELECT event_type AS g, median(value) AS gmv FROM events_dirty GROUP BY 1)
+SELECT event_id, event_type, round(CASE WHEN value IS NULL THEN coalesce(grp.gmv, gm.gmed) ELSE value END, 4) AS value
+FROM events_dirty CROSS JOIN gm LEFT JOIN grp ON event_type IS NOT DISTINCT FROM grp.g""")
