@@ -321,3 +321,140 @@ def c1(spark, d):
 def e4(spark, d):
     p = CleaningPlan(B.events_dirty(spark, d), "events_dirty", pk="event_id", audit=False)
     return p.impute_numeric_nulls_by_group_median("value", "event_type").clean_df.select("event_id", "event_type", "value")
+
+
+# ------------------------------------------------------------------ weather role
+
+from ..operators import clean as CL  # noqa: E402
+from ..operators import windows as W  # noqa: E402
+
+
+@query("B9_dew_point_swap")
+def b9(spark, d):
+    o = B.obs_dirty(spark, d)
+    t, dw = X.dew_point_swap("gust", "low")
+    return o.select("obs_id", t.alias("gust"), dw.alias("low"))
+
+
+@query("B10_wind_gust_floor")
+def b10(spark, d):
+    return B.obs_dirty(spark, d).select("obs_id", X.wind_gust_floor("spd", "gust").alias("gust"))
+
+
+def _cloud(o):
+    return o.withColumns({"cloud_cover": (F.col("obs_hour") % 5).cast("double"),
+                          "low_level_cloud": (F.col("n") % 2).cast("double"),
+                          "lowest_cloud_layer": F.col("gust") * 1000})
+
+
+@query("B11_cloud_cover_fix")
+def b11(spark, d):
+    o = _cloud(B.obs_dirty(spark, d))
+    return o.select("obs_id", X.cloud_cover_fix("cloud_cover", ["low_level_cloud"], "lowest_cloud_layer").alias("cloud_cover"))
+
+
+@query("B12_snap_to_domain")
+def b12(spark, d):
+    o = B.obs_dirty(spark, d)
+    return o.select("obs_id", X.snap_to_domain(F.col("spd") / 10, [0, 1, 2, 3, 4]).alias("spd_level"))
+
+
+def _linked_flights(spark, d):
+    """events_dirty with weather_observation_id rebuilt from obs."""
+    ev = B.events_dirty(spark, d).withColumn("weather_observation_id", F.lit(None).cast("long"))
+    return CL.fix_weather_observation_fk(ev, B.obs(spark, d), "event_type", "event_date", "event_hour",
+                                         "weather_observation_id", "station", "obs_date", "obs_hour", "obs_id")
+
+
+@query("C2_weather_fk_rebuild")
+def c2(spark, d):
+    return _linked_flights(spark, d).select("event_id", "weather_observation_id")
+
+
+@query("C2_weather_fk_report")
+def c2r(spark, d):
+    return CL.fk_rebuild_report(_linked_flights(spark, d), "weather_observation_id")
+
+
+@query("A9_weather_link")
+def a9(spark, d):
+    """UPDATE ... FROM: set the obs id where the natural key matches and the id is null."""
+    ev = B.table(spark, d, "events").select("event_id", "event_type", F.col("ts").cast("date").cast("string").alias("event_date"),
+                                            F.hour("ts").alias("event_hour"),
+                                            F.lit(None).cast("long").alias("weather_observation_id"))
+    lk = CL.weather_lookup(B.obs(spark, d), "station", "obs_date", "obs_hour", "obs_id")
+    j = ev.join(lk, (F.col("event_type") == F.col("_w_a")) & (F.to_date("event_date") == F.col("_w_d"))
+                & (F.col("event_hour") == F.col("_w_h")), "left")
+    return j.select("event_id", F.coalesce("weather_observation_id", "_new_obs_id").alias("weather_observation_id"))
+
+
+_WCOLS = ["spd", "gust", "low"]
+
+
+@query("C3_null_cooccurrence")
+def c3(spark, d):
+    return CL.null_cooccurrence(B.obs_dirty(spark, d), _linked_flights(spark, d), _WCOLS, "obs_id",
+                                "weather_observation_id", "status")
+
+
+@query("C4_drop_linked_children")
+def c4(spark, d):
+    o = B.obs_dirty(spark, d)
+    dropped = o.where(CL.all_null(_WCOLS)).select("obs_id")
+    return CL.drop_linked_children(_linked_flights(spark, d), dropped, "weather_observation_id", "obs_id") \
+        .select("event_id", "weather_observation_id")
+
+
+@query("B13_handle_weather_nulls")
+def b13(spark, d):
+    p = CleaningPlan(B.obs_dirty(spark, d), "obs_dirty", pk="obs_id", audit=False)
+    p.handle_weather_nulls(_WCOLS, _linked_flights(spark, d), "obs_id", "weather_observation_id", "status",
+                           group_col="station", date_col="obs_date", hour_col="obs_hour")
+    return p.clean_df.select("obs_id", *_WCOLS)
+
+
+@query("E3_interpolate_temporal")
+def e3(spark, d):
+    o = B.obs_dirty(spark, d)
+    return W.interpolate_temporal(o, _WCOLS, ["station"], "obs_date", "obs_hour", limit=2, max_gap_hours=3,
+                                  row_id="obs_id").select("obs_id", *_WCOLS)
+
+
+@query("E5_temporal_gaps")
+def e5(spark, d):
+    return W.detect_temporal_gaps(B.obs(spark, d), "obs_date", "obs_hour", "station")
+
+
+def _lineitem_dups(spark, d):
+    return B.table(spark, d, "lineitem")
+
+
+@query("E1_deduplicate")
+def e1(spark, d):
+    li = _lineitem_dups(spark, d)
+    rest = [c for c in B.LINEITEM_ORDER if c not in ("l_orderkey", "l_linenumber")]
+    return W.deduplicate(li, ["l_orderkey", "l_linenumber"], rest).select("l_orderkey", "l_linenumber", "l_partkey",
+                                                                            "l_suppkey", "l_quantity")
+
+
+@query("E2_duplicate_flag")
+def e2(spark, d):
+    li = _lineitem_dups(spark, d)
+    flagged = li.withColumn("is_dup", W.duplicate_flag(["l_orderkey", "l_linenumber"]))
+    return flagged.groupBy("is_dup").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("E6_dense_ids")
+def e6(spark, d):
+    li = _lineitem_dups(spark, d).select(*B.LINEITEM_ORDER)
+    return W.with_dense_id(li, B.LINEITEM_ORDER, "row_id").select("row_id", "l_orderkey", "l_linenumber", "l_partkey")
+
+
+@query("C7_chained_measures")
+def c7(spark, d):
+    fl = _linked_flights(spark, d).select("event_id", "weather_observation_id")
+    o = B.obs_dirty(spark, d).withColumn("active_weather_status", (F.col("n") % 3).cast("int"))
+    aw = spark.createDataFrame([(0, "None"), (1, "Rain"), (2, "Snow")], "status int, weather_description string")
+    out = star.chained_measures(fl, o, "weather_observation_id", "obs_id", ["spd", "gust", "low"],
+                                "active_weather_status", aw)
+    return out.select("event_id", "spd", "gust", "low", "_weather_desc")

@@ -444,3 +444,99 @@ _q("E4_group_median_impute", f"""WITH {EVENTS_DIRTY}, gm AS (SELECT median(value
 grp AS (SELECT event_type AS g, median(value) AS gmv FROM events_dirty GROUP BY 1)
 SELECT event_id, event_type, round(CASE WHEN value IS NULL THEN coalesce(grp.gmv, gm.gmed) ELSE value END, 4) AS value
 FROM events_dirty CROSS JOIN gm LEFT JOIN grp ON event_type IS NOT DISTINCT FROM grp.g""")
+
+
+# ------------------------------------------------------------------ weather role
+
+def _interp_sql(src: str, cols, limit=2, gap=3) -> str:
+    """E3 restated with window frames over (station, time)."""
+    sel = []
+    for c in cols:
+        pt = f"CASE WHEN {c} IS NOT NULL THEN struct_pack(rr := rn, ss := s, vv := CAST({c} AS DOUBLE)) END"
+        sel.append(f"last_value({pt} IGNORE NULLS) OVER (PARTITION BY station ORDER BY s, obs_id "
+                   f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS p_{c}")
+        sel.append(f"first_value({pt} IGNORE NULLS) OVER (PARTITION BY station ORDER BY s, obs_id "
+                   f"ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS x_{c}")
+        sel.append(f"count({c}) OVER (PARTITION BY station) AS k_{c}")
+    outs = []
+    for c in cols:
+        p, x = f"p_{c}", f"x_{c}"
+        interp = (f"CASE WHEN {p} IS NOT NULL AND {x} IS NOT NULL THEN "
+                  f"(CASE WHEN {x}.ss = {p}.ss THEN {p}.vv ELSE {p}.vv + ({x}.vv - {p}.vv) * (s - {p}.ss) / ({x}.ss - {p}.ss) END) "
+                  f"WHEN {p} IS NOT NULL THEN {p}.vv ELSE {x}.vv END")
+        allowed = (f"(coalesce(rn - {p}.rr <= {limit}, FALSE) OR coalesce({x}.rr - rn <= {limit}, FALSE)) AND "
+                   f"(k_{c} < 2 OR least(coalesce((s - {p}.ss) / 3600.0, 1e308), coalesce(({x}.ss - s) / 3600.0, 1e308)) <= {gap})")
+        outs.append(f"round(CASE WHEN {c} IS NOT NULL THEN CAST({c} AS DOUBLE) WHEN nt >= 2 AND {allowed} THEN {interp} END, 4) AS {c}")
+    return (f"(SELECT obs_id, {', '.join(outs)} FROM (SELECT *, {', '.join(sel)} FROM "
+            f"(SELECT *, row_number() OVER (PARTITION BY station ORDER BY s, obs_id) AS rn, "
+            f"count(*) OVER (PARTITION BY station) AS nt FROM "
+            f"(SELECT *, epoch(CAST(obs_date AS TIMESTAMP)) + obs_hour * 3600 AS s FROM {src}) b) r) w)")
+
+
+_W = ["spd", "gust", "low"]
+_ALLNULL = "spd IS NULL AND gust IS NULL AND low IS NULL"
+_LK = """lk AS (SELECT station AS w_a, obs_date AS w_d, obs_hour AS w_h, obs_id AS new_id FROM
+          (SELECT *, row_number() OVER (PARTITION BY station, obs_date, obs_hour ORDER BY obs_id) AS rk FROM obs
+           WHERE station IS NOT NULL AND obs_date IS NOT NULL AND obs_hour IS NOT NULL) q WHERE rk = 1)"""
+_LINKED = f"""{EVENTS_DIRTY}, {OBS_DIRTY}, {_LK},
+linked AS (SELECT e.*, lk.new_id AS weather_observation_id FROM events_dirty e LEFT JOIN lk
+           ON e.event_type = lk.w_a AND CAST(try_strptime(e.event_date, '%Y-%m-%d') AS DATE) = lk.w_d AND e.event_hour = lk.w_h)"""
+_C3 = f"""{_LINKED},
+nullw AS (SELECT obs_id FROM obs_dirty WHERE {_ALLNULL}),
+aff AS (SELECT * FROM linked WHERE weather_observation_id IN (SELECT obs_id FROM nullw WHERE obs_id IS NOT NULL)),
+cnt AS (SELECT (SELECT count(*) FROM nullw) AS n_null_weather_rows, (SELECT count(*) FROM aff) AS n_affected_flights,
+               (SELECT count(*) FILTER (WHERE status IN (1, 2)) FROM aff) AS n_dangerous_cancellations),
+dec AS (SELECT *, CASE WHEN n_affected_flights > 0 THEN round(n_dangerous_cancellations / n_affected_flights, 4) ELSE 0.0 END AS dangerous_pct,
+               (n_null_weather_rows = n_affected_flights AND n_null_weather_rows > 0) AS perfect_cooccurrence FROM cnt),
+dec2 AS (SELECT *, perfect_cooccurrence AND (n_dangerous_cancellations = 0 OR coalesce(dangerous_pct <= 0.1, FALSE)) AS safe_to_drop,
+                CASE WHEN NOT perfect_cooccurrence THEN 'imperfect co-occurrence'
+                     WHEN NOT coalesce(dangerous_pct <= 0.1, FALSE) AND n_dangerous_cancellations > 0 THEN
+                       'dangerous cancellations ' || printf('%.1f%%', dangerous_pct * 100) || ' > threshold 10.0% - consider raising max_dangerous_pct or inspecting the ' || CAST(n_dangerous_cancellations AS VARCHAR) || ' flights'
+                     ELSE 'ok' END AS reason FROM dec)"""
+
+_q("B9_dew_point_swap", f"""WITH {OBS_DIRTY}
+SELECT obs_id, round(CASE WHEN coalesce(low > gust, FALSE) THEN low ELSE gust END, 4) AS gust,
+       round(CASE WHEN coalesce(low > gust, FALSE) THEN gust ELSE low END, 4) AS low FROM obs_dirty""")
+_q("B10_wind_gust_floor", f"""WITH {OBS_DIRTY}
+SELECT obs_id, round(CASE WHEN spd IS NOT NULL AND gust IS NOT NULL AND gust < spd THEN spd ELSE gust END, 4) AS gust FROM obs_dirty""")
+_q("B11_cloud_cover_fix", f"""WITH {OBS_DIRTY}, c AS (SELECT *, CAST(obs_hour % 5 AS DOUBLE) AS cc, CAST(n % 2 AS DOUBLE) AS lf, gust * 1000 AS ly FROM obs_dirty)
+SELECT obs_id, round(CASE WHEN cc IS NOT NULL AND cc = 0 AND (coalesce(lf, 0.0) = 1.0 OR coalesce(ly <= 10000, FALSE)) THEN 1.0 ELSE cc END, 4) AS cloud_cover FROM c""")
+_q("B12_snap_to_domain", f"""WITH {OBS_DIRTY}
+SELECT obs_id, round(CASE WHEN spd IS NULL THEN NULL ELSE least(4.0, greatest(0.0, ceil(spd / 10 - 0.5))) END, 4) AS spd_level FROM obs_dirty""")
+_q("C2_weather_fk_rebuild", f"WITH {_LINKED} SELECT event_id, weather_observation_id FROM linked")
+_q("C2_weather_fk_report", f"""WITH {_LINKED}
+SELECT count(*) FILTER (WHERE weather_observation_id IS NOT NULL) AS recovered, CAST(0 AS BIGINT) AS nullified,
+       count(*) FILTER (WHERE weather_observation_id IS NOT NULL) AS linked FROM linked""")
+_q("A9_weather_link", f"""WITH {OBS}, {_LK}
+SELECT e.event_id, lk.new_id AS weather_observation_id FROM events e LEFT JOIN lk
+  ON e.event_type = lk.w_a AND CAST(e.ts AS DATE) = lk.w_d AND EXTRACT(HOUR FROM e.ts) = lk.w_h""")
+_q("C3_null_cooccurrence", f"""WITH {_C3}
+SELECT n_null_weather_rows, n_affected_flights, perfect_cooccurrence, n_dangerous_cancellations, round(dangerous_pct, 4) AS dangerous_pct,
+       CAST(0.1 AS DOUBLE) AS max_dangerous_pct_threshold, safe_to_drop, reason,
+       CASE WHEN safe_to_drop THEN 'SAFE TO DROP - delete rows with null weather fields and corresponding flights'
+            ELSE 'INTERPOLATE - ' || reason END AS recommendation FROM dec2""")
+_q("C4_drop_linked_children", f"""WITH {_LINKED}
+SELECT event_id, weather_observation_id FROM linked
+WHERE weather_observation_id IS NULL OR weather_observation_id NOT IN (SELECT obs_id FROM obs_dirty WHERE {_ALLNULL} AND obs_id IS NOT NULL)""")
+_q("E3_interpolate_temporal", f"WITH {OBS_DIRTY} SELECT * FROM {_interp_sql('obs_dirty', _W)} z")
+_q("B13_handle_weather_nulls", f"""WITH {_C3}
+SELECT * FROM {_interp_sql('obs_dirty', _W)} z WHERE NOT (SELECT safe_to_drop FROM dec2)
+UNION ALL SELECT obs_id, round(spd, 4), round(gust, 4), round(low, 4) FROM obs_dirty WHERE (SELECT safe_to_drop FROM dec2) AND NOT ({_ALLNULL})""")
+_q("E5_temporal_gaps", f"""WITH {OBS},
+t AS (SELECT DISTINCT station, CAST(obs_date AS TIMESTAMP) + obs_hour * INTERVAL 1 HOUR AS e FROM obs),
+l AS (SELECT station, e, lag(e) OVER (PARTITION BY station ORDER BY e) AS b FROM t)
+SELECT station, CAST(b AS VARCHAR) AS gap_start, CAST(e AS VARCHAR) AS gap_end,
+       round(epoch(e - b) / 3600.0, 4) AS gap_length_hours, CAST(floor(epoch(e - b) / 3600.0) AS BIGINT) AS gap_length_intervals
+FROM l WHERE b IS NOT NULL AND epoch(e - b) / 3600.0 > 1.5""")
+_q("E1_deduplicate", f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(l_quantity, 4) AS l_quantity FROM
+(SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice,
+        l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS rk FROM lineitem) q WHERE rk = 1""")
+_q("E2_duplicate_flag", """SELECT is_dup, count(*) AS n_rows FROM
+(SELECT count(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1 AS is_dup FROM lineitem) q GROUP BY 1""")
+_q("E6_dense_ids", f"""SELECT CAST(row_number() OVER (ORDER BY {LINEITEM_ORDER}) AS BIGINT) AS row_id, l_orderkey, l_linenumber, l_partkey
+FROM lineitem""")
+_q("C7_chained_measures", f"""WITH {_LINKED},
+aw AS (SELECT * FROM (VALUES (0, 'None'), (1, 'Rain'), (2, 'Snow')) t(status, weather_description))
+SELECT l.event_id, round(o.spd, 4) AS spd, round(o.gust, 4) AS gust, round(o.low, 4) AS low, aw.weather_description AS _weather_desc
+FROM linked l LEFT JOIN obs_dirty o ON l.weather_observation_id = o.obs_id
+LEFT JOIN aw ON CAST(o.n % 3 AS INTEGER) = aw.status""")
