@@ -458,3 +458,130 @@ def c7(spark, d):
     out = star.chained_measures(fl, o, "weather_observation_id", "obs_id", ["spd", "gust", "low"],
                                 "active_weather_status", aw)
     return out.select("event_id", "spd", "gust", "low", "_weather_desc")
+
+
+# ------------------------------------------------------------------ profiling, missingness, outliers
+
+from ..operators import missing as M  # noqa: E402
+from ..operators import outliers as O  # noqa: E402
+from ..operators import profile as P  # noqa: E402
+
+
+@query("D12_missingness_summary")
+def d12(spark, d):
+    return P.missingness_summary(B.events_dirty(spark, d))
+
+
+@query("D13_column_profile")
+def d13(spark, d):
+    return P.column_profile(B.events_dirty(spark, d))
+
+
+@query("D16_discover_fd")
+def d16(spark, d):
+    return P.discover_fd(B.table(spark, d, "part"), exclude=["p_retailprice"])
+
+
+@query("D17_fd_compound_key")
+def d17(spark, d):
+    return P.fd_violations(B.table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query("D18_mapping_cardinality")
+def d18(spark, d):
+    c = B.table(spark, d, "customer")
+    o = B.table(spark, d, "orders")
+    return (P.mapping_cardinality(c, "c_nationkey", "c_mktsegment", "nation->segment")
+            .unionByName(P.mapping_cardinality(o, "o_custkey", "o_orderpriority", "customer->priority"))
+            .unionByName(P.mapping_cardinality(c, "c_custkey", "c_nationkey", "customer->nation")))
+
+
+@query("D19_cancelled_consistency")
+def d19(spark, d):
+    ev = B.events_dirty(spark, d)
+    canc = ev.where(X.not_cancelled_filter(F.col("status")))
+    slot = (X.parse_date("event_date").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.col("event_hour")))
+    return canc.agg(F.count(F.lit(1)).alias("n_cancelled"),
+                    F.count_if(F.col("value").isNull()).alias("n_value_null"),
+                    F.count_if(F.col("value") == 0).alias("n_value_zero"),
+                    F.round(F.count_if(F.col("value").isNull()) / F.count(F.lit(1)) * 100, 2).alias("pct_value_null"),
+                    F.count_if(F.coalesce(F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz") != slot, F.lit(False)))
+                     .alias("n_time_mismatch"),
+                    F.count_if(F.coalesce(F.col("value") > 0, F.lit(False))).alias("n_value_positive"))
+
+
+@query("D20_comissing_matrix")
+def d20(spark, d):
+    ev = B.events_dirty(spark, d)
+    return M.comissing_matrix(ev, M.columns_with_missing(ev))
+
+
+@query("D21_missing_correlation")
+def d21(spark, d):
+    return M.missing_correlation(B.events_dirty(spark, d), "value", ["user_id", "event_hour", "status"])
+
+
+@query("D22_chi2_statistic")
+def d22(spark, d):
+    return M.chi2_statistic(B.events_dirty(spark, d), "value", "event_type")
+
+
+@query("D22_mcar_test")
+def d22t(spark, d):
+    r = M.mcar_chi2_test(B.events_dirty(spark, d), "value", "event_type")
+    return spark.createDataFrame([r], "chi2 double, p_value double, dof long, significance string, verdict string")
+
+
+@query("D23_mar_logistic")
+def d23(spark, d):
+    r = M.mar_logistic_test(B.events_dirty(spark, d), "value", ["user_id", "event_hour", "status"])
+    return spark.createDataFrame([(r.get("pseudo_r2"), r.get("verdict", r.get("error")))],
+                                 "pseudo_r2 double, verdict string")
+
+
+@query("D24_classify_all")
+def d24(spark, d):
+    ev = B.events_dirty(spark, d)
+    rows = []
+    for c in M.columns_with_missing(ev):
+        r = M.classify_mechanism(ev, c, ["event_type"], ["event_hour", "user_id"])
+        rows.append((c, r["mechanism"], float(r["confidence"]), float(r["missing_pct"])))
+    return spark.createDataFrame(rows, "column_name string, mechanism string, confidence double, missing_pct double")
+
+
+@query("D25_category_variants")
+def d25(spark, d):
+    return P.category_variants(B.events_dirty(spark, d), "event_type")
+
+
+def _events_outliers(spark, d):
+    return O.run_outliers(B.events_dirty(spark, d), "events_dirty", {"value": 1.5}, ["value"])
+
+
+@query("D28_iqr")
+def d28(spark, d):
+    det = O.OutlierDetector(B.events_dirty(spark, d), "events_dirty").detect_iqr("value", 1.5)
+    return det.df.select("event_id", "IQR_value")
+
+
+@query("D29_modified_zscore")
+def d29(spark, d):
+    det = O.OutlierDetector(B.events_dirty(spark, d), "events_dirty").detect_modified_zscore("value")
+    return det.df.select("event_id", "ModZ_value")
+
+
+@query("D31_consensus_votes")
+def d31(spark, d):
+    return _events_outliers(spark, d).votes().groupBy("votes").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("C10_flagged_rows")
+def c10(spark, d):
+    return _events_outliers(spark, d).flagged_rows(2).select("event_id", "value", "IQR_value", "ModZ_value", "votes")
+
+
+@query("D32_outlier_summary")
+def d32(spark, d):
+    a = _events_outliers(spark, d).summary()
+    b = O.run_outliers(B.obs_dirty(spark, d), "obs_dirty", {"gust": 2.5}, ["gust"]).summary()
+    return a.unionByName(b)

@@ -540,3 +540,116 @@ aw AS (SELECT * FROM (VALUES (0, 'None'), (1, 'Rain'), (2, 'Snow')) t(status, we
 SELECT l.event_id, round(o.spd, 4) AS spd, round(o.gust, 4) AS gust, round(o.low, 4) AS low, aw.weather_description AS _weather_desc
 FROM linked l LEFT JOIN obs_dirty o ON l.weather_observation_id = o.obs_id
 LEFT JOIN aw ON CAST(o.n % 3 AS INTEGER) = aw.status""")
+
+
+# ------------------------------------------------------------------ profiling, missingness, outliers
+
+_EVT = [("event_id", "bigint"), ("ts", "timestamp_ntz"), ("user_id", "bigint"), ("event_type", "string"),
+        ("event_date", "string"), ("event_hour", "int"), ("value", "double"), ("status", "int")]
+_bands = "CASE WHEN p <= 0 THEN 'complete' WHEN p <= 1 THEN 'negligible (<1%)' WHEN p <= 5 THEN 'low (1-5%)' WHEN p <= 15 THEN 'moderate (5-15%)' WHEN p <= 100 THEN 'high (>15%)' END"
+_q("D12_missingness_summary", f"WITH {EVENTS_DIRTY}, m AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS missing_count, count(*) AS n, '{t}' AS dtype FROM events_dirty"
+    for c, t in _EVT) + f"""), m2 AS (SELECT *, CASE WHEN n > 0 THEN round(missing_count / n * 100, 2) ELSE 0.0 END AS p FROM m)
+SELECT column_name, missing_count, p AS missing_pct, n - missing_count AS present_count, dtype, {_bands} AS status
+FROM m2 WHERE missing_count > 0""")
+
+
+def _tostr(c, t):
+    if t == "timestamp_ntz":
+        return f"CAST({c} AS VARCHAR)"
+    if t == "double":
+        return f"CAST({c} AS VARCHAR)"
+    return f"CAST({c} AS VARCHAR)"
+
+
+_q("D13_column_profile", f"WITH {EVENTS_DIRTY} " + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{t}' AS dtype, count(DISTINCT {c}) AS n_unique, count(*) FILTER (WHERE {c} IS NULL) AS n_null, "
+    f"substr(min({_tostr(c, t)}), 1, 30) AS sample, 'N/A' AS description FROM events_dirty" for c, t in _EVT))
+
+_PART = ["p_partkey", "p_name", "p_brand", "p_type", "p_size"]
+_fd = []
+for _a in _PART:
+    for _b in _PART:
+        if _a != _b:
+            _fd.append(f"""SELECT '{_a}' AS determinant, '{_b}' AS dependent FROM
+  (SELECT count(*) AS g, max(k) AS mx FROM (SELECT count(DISTINCT {_b}) AS k FROM part WHERE {_a} IS NOT NULL GROUP BY {_a}) x) y
+  WHERE g >= 2 AND mx = 1""")
+_q("D16_discover_fd", " UNION ALL ".join(_fd))
+_LI_REST = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+_q("D17_fd_compound_key", "SELECT count(*) AS n_groups, count(*) FILTER (WHERE " + " OR ".join(
+    f"(count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END)) > 1" for c in _LI_REST).replace("count(*) FILTER", "XX") +
+    ") AS n_violations FROM lineitem WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL GROUP BY l_orderkey, l_linenumber")
+# rewrite D17 as a two-level aggregate (the line above is only a template)
+_q("D17_fd_compound_key", "SELECT count(*) AS n_groups, count(*) FILTER (WHERE bad) AS n_violations FROM (SELECT " + " OR ".join(
+    f"(count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END)) > 1" for c in _LI_REST) +
+    " AS bad FROM lineitem WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL GROUP BY l_orderkey, l_linenumber) g")
+
+
+def _map(name, t, a, b):
+    return (f"SELECT '{name}' AS mapping, count(*) AS n_keys, count(*) FILTER (WHERE k > 1) AS n_multi FROM "
+            f"(SELECT count(DISTINCT {b}) + max(CASE WHEN {b} IS NULL THEN 1 ELSE 0 END) AS k FROM {t} WHERE {a} IS NOT NULL GROUP BY {a}) g")
+
+
+_q("D18_mapping_cardinality", " UNION ALL ".join([_map("nation->segment", "customer", "c_nationkey", "c_mktsegment"),
+                                                   _map("customer->priority", "orders", "o_custkey", "o_orderpriority"),
+                                                   _map("customer->nation", "customer", "c_custkey", "c_nationkey")]))
+_q("D19_cancelled_consistency", f"""WITH {EVENTS_DIRTY}, c AS (SELECT * FROM events_dirty WHERE status IS DISTINCT FROM 0)
+SELECT count(*) AS n_cancelled, count(*) FILTER (WHERE value IS NULL) AS n_value_null, count(*) FILTER (WHERE value = 0) AS n_value_zero,
+       round(count(*) FILTER (WHERE value IS NULL) / count(*) * 100, 2) AS pct_value_null,
+       count(*) FILTER (WHERE coalesce(date_trunc('hour', ts) <> CAST(try_strptime(event_date, '%Y-%m-%d') AS DATE) + event_hour * INTERVAL 1 HOUR, FALSE)) AS n_time_mismatch,
+       count(*) FILTER (WHERE coalesce(value > 0, FALSE)) AS n_value_positive FROM c""")
+
+
+def _pcorr(x, y, src):
+    x, y = f"CAST({x} AS DOUBLE)", f"CAST({y} AS DOUBLE)"
+    num = f"(count(*) * sum({x} * {y}) - sum({x}) * sum({y}))"
+    den = f"sqrt((count(*) * sum({x} * {x}) - sum({x}) * sum({x})) * (count(*) * sum({y} * {y}) - sum({y}) * sum({y})))"
+    return f"CASE WHEN {den} > 0 THEN {num} / {den} END"
+
+
+_q("D20_comissing_matrix", f"WITH {EVENTS_DIRTY} " + " UNION ALL ".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, round({_pcorr(f'({a} IS NULL)::INT', f'({b} IS NULL)::INT', 'events_dirty')}, 4) AS corr FROM events_dirty"
+    for a in ["value", "status"] for b in ["value", "status"]))
+_q("D21_missing_correlation", f"WITH {EVENTS_DIRTY}, med AS (SELECT " + ", ".join(
+    f"median(CAST({f} AS DOUBLE)) AS m_{f}" for f in ["user_id", "event_hour", "status"]) + " FROM events_dirty) " + " UNION ALL ".join(
+    f"SELECT '{f}' AS feature, round({_pcorr('(value IS NULL)::INT', f'coalesce(CAST({f} AS DOUBLE), m_{f})', '')}, 4) AS correlation_with_missingness FROM events_dirty, med"
+    for f in ["user_id", "event_hour", "status"]))
+_q("D22_chi2_statistic", f"""WITH {EVENTS_DIRTY},
+cells AS (SELECT coalesce(event_type, 'MISSING') AS g, count(*) FILTER (WHERE value IS NOT NULL) AS o0, count(*) FILTER (WHERE value IS NULL) AS o1 FROM events_dirty GROUP BY 1),
+tot AS (SELECT sum(o0) AS c0, sum(o1) AS c1, count(*) AS k FROM cells),
+t2 AS (SELECT *, c0 + c1 AS nn, (k - 1) * (CAST(c0 > 0 AS INT) + CAST(c1 > 0 AS INT) - 1) AS dof FROM tot),
+terms AS (SELECT cells.*, t2.*, (o0 + o1) * c0 / nn AS e0, (o0 + o1) * c1 / nn AS e1 FROM cells, t2),
+adj AS (SELECT *, CASE WHEN dof = 1 THEN greatest(abs(o0 - e0) - least(0.5, abs(o0 - e0)), 0) ELSE abs(o0 - e0) END AS a0,
+                  CASE WHEN dof = 1 THEN greatest(abs(o1 - e1) - least(0.5, abs(o1 - e1)), 0) ELSE abs(o1 - e1) END AS a1 FROM terms)
+SELECT round(coalesce(sum(CASE WHEN c0 > 0 AND e0 > 0 THEN a0 * a0 / e0 ELSE 0 END + CASE WHEN c1 > 0 AND e1 > 0 THEN a1 * a1 / e1 ELSE 0 END), 0.0), 4) AS chi2,
+       CAST(first(dof) AS BIGINT) AS dof FROM adj""")
+_q("D25_category_variants", f"""WITH {EVENTS_DIRTY}
+SELECT event_type AS variant, count(*) AS n_rows, lower(trim(event_type)) AS canonical FROM events_dirty WHERE event_type IS NOT NULL GROUP BY 1""")
+_IQR = f"""q AS (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM events_dirty),
+iq AS (SELECT e.*, coalesce(value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1), FALSE) AS IQR_value,
+              q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM events_dirty e, q),
+md AS (SELECT median(value) AS med FROM events_dirty),
+mad AS (SELECT median(abs(coalesce(value, med) - med)) AS mad FROM events_dirty, md),
+mz AS (SELECT iq.*, CASE WHEN mad <> 0 THEN coalesce(abs(0.6745 * (coalesce(value, med) - med) / mad) > 3.5, FALSE) END AS ModZ_value, mad
+       FROM iq, md, mad),
+votes AS (SELECT *, CAST(IQR_value AS INT) + CAST(coalesce(ModZ_value, FALSE) AS INT) AS votes FROM mz)"""
+_q("D28_iqr", f"WITH {EVENTS_DIRTY}, {_IQR} SELECT event_id, IQR_value FROM votes")
+_q("D29_modified_zscore", f"WITH {EVENTS_DIRTY}, {_IQR} SELECT event_id, ModZ_value FROM votes")
+_q("D31_consensus_votes", f"WITH {EVENTS_DIRTY}, {_IQR} SELECT votes, count(*) AS n_rows FROM votes GROUP BY 1")
+_q("C10_flagged_rows", f"WITH {EVENTS_DIRTY}, {_IQR} SELECT event_id, round(value, 4) AS value, IQR_value, ModZ_value, votes FROM votes WHERE votes >= 2")
+
+
+def _osum(table, src, col, k):
+    return f"""SELECT '{table}' AS table_name, 'IQR (k={k})' AS method, '{col}' AS column_name,
+       round(q1 - {k} * (q3 - q1), 4) AS lower_fence, round(q3 + {k} * (q3 - q1), 4) AS upper_fence,
+       (SELECT count(*) FILTER (WHERE coalesce({col} < q1 - {k} * (q3 - q1) OR {col} > q3 + {k} * (q3 - q1), FALSE)) FROM {src}) AS n_flagged,
+       round((SELECT count(*) FILTER (WHERE coalesce({col} < q1 - {k} * (q3 - q1) OR {col} > q3 + {k} * (q3 - q1), FALSE)) FROM {src}) / (SELECT count(*) FROM {src}) * 100, 2) AS pct_flagged
+FROM (SELECT quantile_cont({col}, 0.25) AS q1, quantile_cont({col}, 0.75) AS q3 FROM {src}) q
+UNION ALL
+SELECT '{table}', 'Modified Z-score (t=3.5)', '{col}', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), n_flagged, round(n_flagged / n * 100, 2) FROM
+(SELECT count(*) FILTER (WHERE coalesce(abs(0.6745 * (coalesce({col}, med) - med) / mad) > 3.5, FALSE)) AS n_flagged, count(*) AS n, max(mad) AS mad
+ FROM {src}, (SELECT median({col}) AS med FROM {src}) m,
+      (SELECT median(abs(coalesce({col}, med) - med)) AS mad FROM {src}, (SELECT median({col}) AS med FROM {src}) m2) d) z WHERE mad <> 0"""
+
+
+_q("D32_outlier_summary", f"WITH {EVENTS_DIRTY}, {OBS_DIRTY} {_osum('events_dirty', 'events_dirty', 'value', 1.5)} UNION ALL {_osum('obs_dirty', 'obs_dirty', 'gust', 2.5)}")
