@@ -585,3 +585,211 @@ def d32(spark, d):
     a = _events_outliers(spark, d).summary()
     b = O.run_outliers(B.obs_dirty(spark, d), "obs_dirty", {"gust": 2.5}, ["gust"]).summary()
     return a.unionByName(b)
+
+
+# ------------------------------------------------------------------ sources, contracts, KPIs, misc
+
+from ..sources import io as IO  # noqa: E402
+from ..sources.reconcile import reconcile_entity  # noqa: E402
+from . import contract as H  # noqa: E402
+
+
+def _driver_tables(spark, d):
+    return {t: B.table(spark, d, t) for t in IO.DRIVER_TABLES}
+
+
+@query("A1_load_tables")
+def a1(spark, d):
+    return IO.table_inventory(IO.load_tables(spark, d))
+
+
+@query("A2_normalize_columns")
+def a2(spark, d):
+    return IO.normalize_columns(B.table(spark, d, "customer"), "upper")
+
+
+@query("A7_warehouse_metadata")
+def a7(spark, d):
+    w = _star(spark, d)
+    tables = {"DIM_FL_DATES": w["fl_dates"], "DIM_DEP_HOURS": w["dep_hours"], "DIM_STATIONS": w["stations"],
+              "DIM_CARRIERS": w["carriers"].drop("CODE"), "DIM_AIRCRAFTS": w["aircraft"], "DIM_JUNK": w["junk"],
+              "FLIGHTS": w["fact"]}
+    return IO.table_inventory(tables, with_pk=True)
+
+
+@query("A8_reconcile_entity")
+def a8(spark, d):
+    li = B.table(spark, d, "lineitem")
+    p = B.table(spark, d, "part")
+    wide = li.join(p, li.l_partkey == p.p_partkey, "inner")
+    return reconcile_entity(wide, ["p_partkey"], ["p_brand", "p_size", "p_type"], "aircraft_id")
+
+
+@query("B14_clean_city")
+def b14(spark, d):
+    s = B.stations(spark, d)
+    city = X.standardize_string("display_airport_city_name_full", title=True)
+    return s.select("airport", X.clean_city(city, F.col("airport_state_name"), F.col("airport_state_code")).alias("city"))
+
+
+@query("B15_time_band")
+def b15(spark, d):
+    e = B.table(spark, d, "events").select(F.hour("ts").alias("hour"))
+    return e.groupBy("hour").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("time_band", X.time_band("hour"))
+
+
+@query("B16_buckets")
+def b16(spark, d):
+    o = B.obs_dirty(spark, d)
+    return o.select("obs_id", X.visibility_bucket(F.col("spd") / 5).alias("visibility_bucket"),
+                    X.gust_bucket("gust").alias("gust_bucket"),
+                    X.temperature_bucket(F.col("low") - 20).alias("temperature_bucket"),
+                    X.age_bucket(F.col("n")).alias("age_bucket"),
+                    X.gust_bucket("gust", strict_null=True).alias("gust_bucket_strict"))
+
+
+@query("B17_is_departed")
+def b17(spark, d):
+    f = B.star_flights(spark, d)
+    return (f.withColumn("is_departed", X.is_departed(F.col("cancellation_reason")))
+             .groupBy("is_departed").agg(F.count(F.lit(1)).alias("n_flights")))
+
+
+@query("B18_aircraft_age")
+def b18(spark, d):
+    a = star.build_aircraft(B.aircraft(spark, d), B.star_flights(spark, d), load_ts=LOAD_TS)
+    return a.select("TAIL_NUM", "AIRCRAFT_AGE", X.age_bucket("AIRCRAFT_AGE").alias("AGE_BUCKET"))
+
+
+@query("B20_sample_fixed_n")
+def b20(spark, d):
+    """Exact-n sample: rank by a seeded hash of the key (the sample is the feature)."""
+    e = B.table(spark, d, "events")
+    return (e.orderBy(F.md5(F.concat(F.col("event_id").cast("string"), F.lit("42"))), "event_id").limit(500)
+             .select("event_id", "event_type", "value"))
+
+
+@query("B21_projection")
+def b21(spark, d):
+    return B.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+
+
+@query("D33_fk_completeness")
+def d33(spark, d):
+    return star.fk_completeness(_star(spark, d)["fact"])
+
+
+def _fact_reason(spark, d):
+    w = _star(spark, d)
+    j = w["junk"].select("JUNK_ID", "CANCELLATION_REASON")
+    dt = w["fl_dates"].select("FL_DATE_ID", "YEAR", "QUARTER", "MONTH", "DAY_OF_WEEK")
+    return (w["fact"].join(F.broadcast(j), "JUNK_ID", "left").join(F.broadcast(dt), "FL_DATE_ID", "left"))
+
+
+@query("D35_kpi_glossary")
+def d35(spark, d):
+    return kpi.kpis(_fact_reason(spark, d), ["YEAR"])
+
+
+@query("D36_dashboard_rates")
+def d36(spark, d):
+    return kpi.dashboard_rates(_fact_reason(spark, d), ["MONTH"])
+
+
+@query("D37_high_volume_groups")
+def d37(spark, d):
+    return kpi.high_volume_groups(_fact_reason(spark, d), ["DAY_OF_WEEK", "DEP_HOUR_ID"], 350)
+
+
+@query("D38_rollup")
+def d38(spark, d):
+    return kpi.rollup(_fact_reason(spark, d), ["YEAR", "QUARTER", "MONTH"],
+                      {"sum_dep_delay": ("DEP_DELAY", "SUM"), "avg_distance": ("DISTANCE", "AVG"),
+                       "n_flights": ("FLIGHT_ID", "COUNT")}, kpi.MEASURE_ADDITIVITY)
+
+
+@query("F3_nulls_last_ids")
+def f3(spark, d):
+    j = star.build_junk(B.star_flights(spark, d), load_ts=LOAD_TS)
+    return j.select("JUNK_ID", "CANCELLATION_REASON", "WEATHER_DESCRIPTION").orderBy("JUNK_ID")
+
+
+@query("F4_head")
+def f4(spark, d):
+    return B.table(spark, d, "customer").orderBy("c_custkey").limit(5)
+
+
+@query("G2_distinct")
+def g2(spark, d):
+    return B.table(spark, d, "lineitem").select("l_returnflag", "l_linestatus").distinct()
+
+
+@query("H1_register_contract")
+def h1(spark, d):
+    c = H.SchemaContract()
+    rows = []
+    for t, df in _driver_tables(spark, d).items():
+        c.register(t, df, pk=df.columns[0])
+        s = c._schemas[t]
+        rows.append((t, len(s.columns), s.n_rows, s.pk, s.to_json()))
+    return spark.createDataFrame(rows, "table_name string, n_columns long, n_rows long, pk string, contract string")
+
+
+def _contract_case(spark, d):
+    c = H.SchemaContract()
+    cust = B.table(spark, d, "customer")
+    c.register("customer", cust, pk="c_custkey", count_rows=False)
+    changed = (cust.drop("c_mktsegment").withColumn("c_acctbal", F.col("c_acctbal").cast("string"))
+                   .withColumn("c_extra", F.lit(1)).select("c_name", "c_custkey", "c_nationkey", "c_acctbal", "c_extra"))
+    return c, cust, changed
+
+
+@query("H2_validate_contract")
+def h2(spark, d):
+    c, _, changed = _contract_case(spark, d)
+    return c.validate(spark, "customer", changed, strict=True).unionByName(
+        c.validate(spark, "orders", B.table(spark, d, "orders")))
+
+
+@query("H3_validate_all")
+def h3(spark, d):
+    c = H.SchemaContract()
+    tables = {t: B.table(spark, d, t) for t in ["region", "nation", "supplier"]}
+    for t, df in tables.items():
+        c.register(t, df, pk=df.columns[0], count_rows=False)
+    tables["supplier"] = tables["supplier"].unionByName(tables["supplier"])  # every key twice
+    details, failures = c.validate_all(spark, tables)
+    return details.withColumn("failures", F.lit(failures))
+
+
+@query("H4_declared_constraints")
+def h4(spark, d):
+    w = _star(spark, d)
+    f = w["fact"]
+    return H.declared_constraints(f, "FLIGHT_ID", ["FL_DATE_ID", "ORIGIN_STATION_ID", "JUNK_ID"],
+                                  {"ORIGIN_STATION_ID": (w["stations"], "STATION_ID"),
+                                   "AIRCRAFT_ID": (w["aircraft"], "AIRCRAFT_ID"),
+                                   "MKT_CARRIER_ID": (w["carriers"], "CARRIER_ID")})
+
+
+@query("K9_load_timestamp")
+def k9(spark, d):
+    w = _star(spark, d)
+    parts = [w[k].select("LOAD_TIMESTAMP") for k in ["fl_dates", "dep_hours", "stations", "carriers", "aircraft", "junk"]]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return u.distinct()
+
+
+@query("K10_run_log")
+def k10(spark, d):
+    from .runlog import RunLog
+    from ..session import scratch_path
+    log = RunLog()
+    w = _star(spark, d)
+    base = scratch_path(spark, f"runlog-{abs(hash(d))}")
+    for name in ["fl_dates", "dep_hours", "junk"]:
+        log.run_step(f"build_{name}", lambda n=name: w[n], f"dimension {name}",
+                     sink=lambda df, n=name: df.write.mode("overwrite").parquet(f"{base}/{n}"))
+    return log.summary(spark).select("step", "status", "output_rows")

@@ -653,3 +653,110 @@ SELECT '{table}', 'Modified Z-score (t=3.5)', '{col}', CAST(NULL AS DOUBLE), CAS
 
 
 _q("D32_outlier_summary", f"WITH {EVENTS_DIRTY}, {OBS_DIRTY} {_osum('events_dirty', 'events_dirty', 'value', 1.5)} UNION ALL {_osum('obs_dirty', 'obs_dirty', 'gust', 2.5)}")
+
+
+# ------------------------------------------------------------------ sources, contracts, KPIs, misc
+
+_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+           "embeddings", "pages", "benchmark", "labels", "conversations"]
+_q("A1_load_tables", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) AS n_rows, "
+    f"(SELECT count(*) FROM information_schema.columns WHERE table_name = '{t}') AS n_columns" for t in _TABLES))
+_q("A2_normalize_columns", "SELECT c_custkey AS C_CUSTKEY, c_name AS C_NAME, c_nationkey AS C_NATIONKEY, "
+   "round(c_acctbal, 4) AS C_ACCTBAL, c_mktsegment AS C_MKTSEGMENT FROM customer")
+_q("A7_warehouse_metadata", f"WITH {star_fact()} " + " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, (SELECT count(*) FROM {t}) AS n_rows, CAST({k} AS BIGINT) AS n_columns, '{pk}' AS pk"
+    for n, t, k, pk in [("DIM_FL_DATES", "dim_fl_dates", 8, "FL_DATE_ID"), ("DIM_DEP_HOURS", "dim_dep_hours", 4, "DEP_HOUR_ID"),
+                        ("DIM_STATIONS", "dim_stations", 8, "STATION_ID"), ("DIM_CARRIERS", "dim_carriers", 3, "CARRIER_ID"),
+                        ("DIM_AIRCRAFTS", "dim_aircraft", 5, "AIRCRAFT_ID"), ("DIM_JUNK", "dim_junk", 4, "JUNK_ID"),
+                        ("FLIGHTS", "fact", 14, "FLIGHT_ID")]))
+_q("A8_reconcile_entity", """SELECT CAST(row_number() OVER (ORDER BY p_partkey) AS BIGINT) AS aircraft_id, p_partkey, p_brand, p_size, p_type
+FROM (SELECT DISTINCT p.p_partkey, p.p_brand, p.p_size, p.p_type FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey) x""")
+_q("B14_clean_city", f"WITH {STATIONS} SELECT airport, {clean_city(title(strip('display_airport_city_name_full')), 'airport_state_name', 'airport_state_code')} AS city FROM stations")
+_q("B15_time_band", """SELECT hour, n_rows, CASE WHEN hour >= 0 AND hour < 4 THEN 'Night' WHEN hour >= 4 AND hour < 8 THEN 'Early Morning'
+  WHEN hour >= 8 AND hour < 12 THEN 'Morning' WHEN hour >= 12 AND hour < 16 THEN 'Afternoon' WHEN hour >= 16 AND hour < 20 THEN 'Evening'
+  ELSE 'Late Evening' END AS time_band FROM (SELECT CAST(EXTRACT(HOUR FROM ts) AS INTEGER) AS hour, count(*) AS n_rows FROM events GROUP BY 1) h""")
+
+
+def _bk(x, edges, labels, zero=None, strict=False, closed="<="):
+    parts = ([f"WHEN {x} = 0 THEN '{zero}'"] if zero else []) + [f"WHEN {x} {closed} {e} THEN '{l}'" for e, l in zip(edges, labels)]
+    expr = f"CASE {' '.join(parts)} ELSE '{labels[-1]}' END"
+    return f"CASE WHEN {x} IS NOT NULL THEN {expr} END" if strict else expr
+
+
+_VIS = ([2, 4, 6, 8, 10], ["0-2 mi", "2-4 mi", "4-6 mi", "6-8 mi", "8-10 mi", ">10 mi"])
+_GUST = ([10, 20, 30], ["≤10 kt", "10-20 kt", "20-30 kt", ">30 kt"])
+_TEMP = ([-10, 0, 10, 20, 30], ["≤ -10 °C", "-10 to 0 °C", "0 to 10 °C", "10 to 20 °C", "20 to 30 °C", "> 30 °C"])
+_AGE = ([6, 16, 31], ["0-5 yr", "6-15 yr", "16-30 yr", "31+ yr"])
+_q("B16_buckets", f"""WITH {OBS_DIRTY}
+SELECT obs_id, {_bk('(spd / 5)', *_VIS, zero='0 mi')} AS visibility_bucket, {_bk('gust', *_GUST)} AS gust_bucket,
+       {_bk('(low - 20)', *_TEMP)} AS temperature_bucket, {_bk('n', *_AGE, closed='<')} AS age_bucket,
+       {_bk('gust', *_GUST, strict=True)} AS gust_bucket_strict FROM obs_dirty""")
+_q("B17_is_departed", f"""WITH {STAR_FLIGHTS}
+SELECT coalesce(cancellation_reason = 'Not Cancelled', FALSE) AS is_departed, count(*) AS n_flights FROM star_flights GROUP BY 1""")
+_q("B18_aircraft_age", f"WITH {star_dims()} SELECT TAIL_NUM, AIRCRAFT_AGE, {_bk('AIRCRAFT_AGE', *_AGE, closed='<')} AS AGE_BUCKET FROM dim_aircraft")
+_q("B20_sample_fixed_n", "SELECT event_id, event_type, round(value, 4) AS value FROM events ORDER BY md5(CAST(event_id AS VARCHAR) || '42'), event_id LIMIT 500")
+_q("B21_projection", "SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS VARCHAR) AS l_shipdate FROM lineitem")
+_FKS = ["FL_DATE_ID", "DEP_HOUR_ID", "ORIGIN_STATION_ID", "DEST_STATION_ID", "MKT_CARRIER_ID", "OP_CARRIER_ID", "AIRCRAFT_ID", "JUNK_ID"]
+_q("D33_fk_completeness", f"WITH {star_fact()} " + " UNION ALL ".join(
+    f"SELECT '{c}' AS fk_column, count(*) FILTER (WHERE {c} IS NULL) AS null_count, count(*) AS n_rows, "
+    f"CASE WHEN count(*) FILTER (WHERE {c} IS NULL) = 0 THEN 'OK' ELSE 'FAIL' END AS status FROM fact" for c in _FKS))
+_FR = f"""{star_fact()}, fr AS (SELECT f.*, d.YEAR, d.QUARTER, d.MONTH, d.DAY_OF_WEEK FROM fact f LEFT JOIN dim_fl_dates d ON f.FL_DATE_ID = d.FL_DATE_ID)"""
+_DEP = "coalesce(CANCELLATION_REASON = 'Not Cancelled', FALSE)"
+_q("D35_kpi_glossary", f"""WITH {_FR}
+SELECT YEAR, count(*) AS number_of_flights, round(avg(DEP_DELAY), 4) AS avg_delay,
+       round(avg(CASE WHEN DEP_DELAY IS NOT NULL THEN CAST(DEP_DELAY > 15 AS DOUBLE) END), 4) AS delay_rate_gt15,
+       round(avg(CASE WHEN DEP_DELAY IS NOT NULL THEN CAST(DEP_DELAY >= 15 AS DOUBLE) END), 4) AS delay_rate_ge15,
+       round(avg(CAST(NOT {_DEP} AS DOUBLE)), 4) AS cancellation_rate, round(avg(TAXI_OUT), 4) AS avg_taxi_out,
+       round(avg(AIR_TIME), 4) AS avg_air_time, round(avg(DISTANCE), 4) AS avg_distance FROM fr GROUP BY YEAR""")
+_q("D36_dashboard_rates", f"""WITH {_FR}
+SELECT MONTH, count(FLIGHT_ID) AS n_flights, round(count(*) FILTER (WHERE DEP_DELAY >= 15) / count(FLIGHT_ID), 4) AS dep_delay_rate,
+       round(count(*) FILTER (WHERE NOT {_DEP}) / count(FLIGHT_ID), 4) AS cancellation_rate,
+       round(avg(CASE WHEN {_DEP} THEN DEP_DELAY END), 4) AS avg_dep_delay_departed,
+       round(avg(CASE WHEN {_DEP} THEN TAXI_OUT END), 4) AS avg_taxi_out_departed,
+       round(avg(CASE WHEN {_DEP} THEN AIR_TIME END), 4) AS avg_air_time_departed FROM fr GROUP BY MONTH""")
+_q("D37_high_volume_groups", f"""WITH {_FR}
+SELECT DAY_OF_WEEK, DEP_HOUR_ID, count(*) AS n_flights, round(avg(DEP_DELAY), 4) AS avg_dep_delay FROM fr
+GROUP BY DAY_OF_WEEK, DEP_HOUR_ID HAVING count(*) >= 350""")
+_q("D38_rollup", f"""WITH {_FR}
+SELECT YEAR, QUARTER, MONTH, CAST(GROUPING(YEAR, QUARTER, MONTH) AS INTEGER) AS grouping_level, round(sum(DEP_DELAY), 4) AS sum_dep_delay,
+       round(avg(DISTANCE), 4) AS avg_distance, count(FLIGHT_ID) AS n_flights FROM fr GROUP BY ROLLUP (YEAR, QUARTER, MONTH)""")
+_q("F3_nulls_last_ids", f"WITH {star_dims()} SELECT JUNK_ID, CANCELLATION_REASON, WEATHER_DESCRIPTION FROM dim_junk ORDER BY JUNK_ID")
+_q("F4_head", "SELECT c_custkey, c_name, c_nationkey, round(c_acctbal, 4) AS c_acctbal, c_mktsegment FROM customer ORDER BY c_custkey LIMIT 5")
+_q("G2_distinct", "SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem")
+_q("H2_validate_contract", """SELECT * FROM (VALUES
+ ('customer', 'column_count', 'PASS', '5 columns (expected 5)'),
+ ('customer', 'missing_columns', 'FAIL', 'Missing columns: [''c_mktsegment'']'),
+ ('customer', 'extra_columns', 'FAIL', 'Extra columns: [''c_extra'']'),
+ ('customer', 'column_order', 'WARN', 'Column order differs from registration'),
+ ('customer', 'dtype_changes', 'WARN', 'Dtype changes: [''c_acctbal: expected double, got string'']'),
+ ('orders', 'registration', 'SKIP', 'Table ''orders'' not registered')) t(table_name, "check", status, message)
+UNION ALL
+SELECT 'customer', 'pk_uniqueness', CASE WHEN d = 0 THEN 'PASS' ELSE 'FAIL' END,
+       CASE WHEN d = 0 THEN 'PK ''c_custkey'' is unique' ELSE 'PK ''c_custkey'' has ' || CAST(d AS VARCHAR) || ' duplicates' END
+FROM (SELECT count(*) - count(DISTINCT c_custkey) AS d FROM customer) x""")
+
+
+def _h3(t, pk, ncols, dup_src):
+    rows = [("column_count", "PASS", f"{ncols} columns (expected {ncols})"), ("missing_columns", "PASS", "All expected columns present"),
+            ("extra_columns", "PASS", "No unexpected columns"), ("column_order", "PASS", "Column order preserved"),
+            ("dtype_changes", "PASS", "All dtypes match")]
+    const = " UNION ALL ".join(f"SELECT '{t}' AS table_name, '{c}' AS \"check\", '{s}' AS status, '{m}' AS message" for c, s, m in rows)
+    pkq = (f"SELECT '{t}', 'pk_uniqueness', CASE WHEN d = 0 THEN 'PASS' ELSE 'FAIL' END, CASE WHEN d = 0 THEN 'PK ''{pk}'' is unique' "
+           f"ELSE 'PK ''{pk}'' has ' || CAST(d AS VARCHAR) || ' duplicates' END FROM (SELECT count(*) - count(DISTINCT {pk}) AS d FROM {dup_src}) x")
+    return const + " UNION ALL " + pkq
+
+
+_q("H3_validate_all", "SELECT *, CAST(1 AS INTEGER) AS failures FROM (" + " UNION ALL ".join([
+    _h3("region", "r_regionkey", 2, "region"), _h3("nation", "n_nationkey", 3, "nation"),
+    _h3("supplier", "s_suppkey", 4, "(SELECT * FROM supplier UNION ALL SELECT * FROM supplier)")]) + ") z")
+_q("H4_declared_constraints", f"""WITH {star_fact()}
+SELECT 'PRIMARY KEY' AS constraint_type, 'FLIGHT_ID' AS column_name, coalesce(sum(k) FILTER (WHERE k > 1), 0) AS violations
+FROM (SELECT count(*) AS k FROM fact GROUP BY FLIGHT_ID) g
+UNION ALL SELECT 'NOT NULL', 'FL_DATE_ID', count(*) FILTER (WHERE FL_DATE_ID IS NULL) FROM fact
+UNION ALL SELECT 'NOT NULL', 'ORIGIN_STATION_ID', count(*) FILTER (WHERE ORIGIN_STATION_ID IS NULL) FROM fact
+UNION ALL SELECT 'NOT NULL', 'JUNK_ID', count(*) FILTER (WHERE JUNK_ID IS NULL) FROM fact
+UNION ALL SELECT 'REFERENCES', 'ORIGIN_STATION_ID', count(*) FROM fact WHERE ORIGIN_STATION_ID IS NOT NULL AND ORIGIN_STATION_ID NOT IN (SELECT STATION_ID FROM dim_stations)
+UNION ALL SELECT 'REFERENCES', 'AIRCRAFT_ID', count(*) FROM fact WHERE AIRCRAFT_ID IS NOT NULL AND AIRCRAFT_ID NOT IN (SELECT AIRCRAFT_ID FROM dim_aircraft)
+UNION ALL SELECT 'REFERENCES', 'MKT_CARRIER_ID', count(*) FROM fact WHERE MKT_CARRIER_ID IS NOT NULL AND MKT_CARRIER_ID NOT IN (SELECT CARRIER_ID FROM dim_carriers)""")
+_q("K9_load_timestamp", f"SELECT {LOAD_TS} AS LOAD_TIMESTAMP")
