@@ -793,3 +793,29 @@ def k10(spark, d):
         log.run_step(f"build_{name}", lambda n=name: w[n], f"dimension {name}",
                      sink=lambda df, n=name: df.write.mode("overwrite").parquet(f"{base}/{n}"))
     return log.summary(spark).select("step", "status", "output_rows")
+
+
+# ------------------------------------------------------------------ fuzzy duplicates (C11), isolation forest
+
+from ..operators.fuzzy import near_duplicates  # noqa: E402
+from ..operators.iforest import isolation_forest  # noqa: E402
+
+
+def fuzzy_parts(spark, d):
+    """part with a one-letter typo (second letter removed) in every ninth name."""
+    p = B.table(spark, d, "part")
+    name = F.when(F.col("p_partkey") % 9 == 0, F.concat(F.substring("p_name", 1, 1), F.expr("substring(p_name, 3)"))) \
+        .otherwise(F.col("p_name"))
+    return p.select("p_partkey", "p_brand", name.alias("p_name"), "p_type")
+
+
+@query("C11_fuzzy_duplicates")
+def c11(spark, d):
+    return near_duplicates(fuzzy_parts(spark, d), "p_partkey", "p_brand", ["p_name", "p_type"])
+
+
+@query("D30_isolation_forest")
+def d30(spark, d):
+    o = B.obs_dirty(spark, d)
+    f = isolation_forest(o, "obs_id", ["spd", "gust", "low"], contamination=0.02)
+    return f.groupBy("IsoForest_Outlier").agg(F.count(F.lit(1)).alias("n_rows"))

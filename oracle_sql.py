@@ -760,3 +760,15 @@ UNION ALL SELECT 'REFERENCES', 'ORIGIN_STATION_ID', count(*) FROM fact WHERE ORI
 UNION ALL SELECT 'REFERENCES', 'AIRCRAFT_ID', count(*) FROM fact WHERE AIRCRAFT_ID IS NOT NULL AND AIRCRAFT_ID NOT IN (SELECT AIRCRAFT_ID FROM dim_aircraft)
 UNION ALL SELECT 'REFERENCES', 'MKT_CARRIER_ID', count(*) FROM fact WHERE MKT_CARRIER_ID IS NOT NULL AND MKT_CARRIER_ID NOT IN (SELECT CARRIER_ID FROM dim_carriers)""")
 _q("K9_load_timestamp", f"SELECT {LOAD_TS} AS LOAD_TIMESTAMP")
+
+
+# ------------------------------------------------------------------ fuzzy duplicates
+
+_q("C11_fuzzy_duplicates", """WITH fp AS (
+  SELECT p_partkey, p_brand, CASE WHEN p_partkey % 9 = 0 THEN substr(p_name, 1, 1) || substr(p_name, 3) ELSE p_name END AS p_name, p_type
+  FROM part)
+SELECT a.p_partkey AS p_partkey_1, b.p_partkey AS p_partkey_2, a.p_name AS p_name_1, b.p_name AS p_name_2,
+       a.p_type AS p_type_1, b.p_type AS p_type_2,
+       round(coalesce(jaro_winkler_similarity(a.p_name, b.p_name), 0) + coalesce(jaro_winkler_similarity(a.p_type, b.p_type), 0), 4) AS Score
+FROM fp a JOIN fp b ON a.p_brand = b.p_brand AND a.p_partkey < b.p_partkey
+WHERE coalesce(jaro_winkler_similarity(a.p_name, b.p_name), 0) + coalesce(jaro_winkler_similarity(a.p_type, b.p_type), 0) > 1.75""")
