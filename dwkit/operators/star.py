@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import clean_city, standardize_string, time_band
+from ..session import materialize
 from .holidays import is_holiday_flag
 from .windows import deduplicate, with_dense_id
 
@@ -183,27 +184,47 @@ def fact_fk_lookups(flights: DataFrame, dims: dict[str, DataFrame]) -> DataFrame
 
 
 def build_fact(flights: DataFrame, dims: dict[str, DataFrame], order_cols: Sequence[str], load_ts=None,
-               measures: Sequence[str] | None = None) -> DataFrame:
-    """K7: 8 foreign keys + measures + dense FLIGHT_ID + load timestamp."""
+               measures: Sequence[str] | None = None, with_ids: bool = True) -> DataFrame:
+    """K7: 8 foreign keys + measures + dense FLIGHT_ID + load timestamp.
+
+    ``with_ids=False`` returns the lazy fact without FLIGHT_ID: queries that
+    never read the id (KPIs count rows) then skip the global sort the id
+    needs, and Catalyst prunes the lookups they do not use.
+    """
     f = fact_fk_lookups(flights, dims)
     ms = [m for m in (measures or ENV_MEASURES + PERF_MEASURES) if m in flights.columns]
     f = f.select(*order_cols, *FK_COLS, *[F.col(m).alias(m.upper()) for m in ms])
+    if not with_ids:
+        return f.select(*FK_COLS, *[m.upper() for m in ms], _ts(load_ts).alias("LOAD_TIMESTAMP"))
     f = with_dense_id(f, list(order_cols), "FLIGHT_ID")
     return f.select("FLIGHT_ID", *FK_COLS, *[m.upper() for m in ms], _ts(load_ts).alias("LOAD_TIMESTAMP"))
 
 
+def flight_key_summary(flights: DataFrame, date_col: str = "fl_date", hour_col: str = "dep_hour",
+                       reason_col: str = "cancellation_reason", weather_col: str = "weather_description") -> DataFrame:
+    """One pass over the flights for every small dimension: the distinct
+    (date, hour, reason, weather) combinations.  Its size is bounded by the
+    calendar and the flag domains, not by the number of flights, and it is
+    checkpointed so the four dimensions built from it do not re-read the
+    flights."""
+    keys = flights.groupBy(F.col(date_col).cast("date").alias(date_col), F.col(hour_col).cast("int").alias(hour_col),
+                           F.col(reason_col).alias(reason_col), F.col(weather_col).alias(weather_col)).count()
+    return materialize(keys, "flight-keys")
+
+
 def build_warehouse(flights: DataFrame, stations: DataFrame, carriers: DataFrame, aircraft: DataFrame,
-                    order_cols: Sequence[str], load_ts=None) -> dict[str, DataFrame]:
-    """K1-K7 as one set of lazy plans; dimensions are reused by the fact."""
+                    order_cols: Sequence[str], load_ts=None, fact_ids: bool = True) -> dict[str, DataFrame]:
+    """K1-K7: the small dimensions come from one summary pass, the fact from one more."""
+    keys = flight_key_summary(flights)
     dims = {
-        "fl_dates": build_fl_dates(flights, load_ts=load_ts),
-        "dep_hours": build_dep_hours(flights, load_ts=load_ts),
+        "fl_dates": build_fl_dates(keys, load_ts=load_ts),
+        "dep_hours": build_dep_hours(keys, load_ts=load_ts),
         "stations": build_stations(stations, load_ts=load_ts),
         "carriers": build_carriers(carriers, load_ts=load_ts),
-        "aircraft": build_aircraft(aircraft, flights, load_ts=load_ts),
-        "junk": build_junk(flights, load_ts=load_ts),
+        "aircraft": build_aircraft(aircraft, keys, load_ts=load_ts),
+        "junk": build_junk(keys, load_ts=load_ts),
     }
-    fact = build_fact(flights, dims, order_cols, load_ts=load_ts)
+    fact = build_fact(flights, dims, order_cols, load_ts=load_ts, with_ids=fact_ids)
     return {**dims, "fact": fact}
 
 

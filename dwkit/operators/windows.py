@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 
 _LOW33 = (1 << 33) - 1
 
@@ -25,29 +25,48 @@ def _order_cols(order_cols: Sequence, nulls_last: bool = True) -> list[Column]:
 
 # ------------------------------------------------------------------ E6
 
-def with_dense_id(df: DataFrame, order_cols: Sequence, id_col: str = "id", bounded: bool = False,
-                  first_position: bool = True) -> DataFrame:
+SMALL_FRAME_BYTES = 32 << 20
+
+
+def _estimated_bytes(df: DataFrame) -> int:
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate: treat as large
+        return 1 << 62
+
+
+def with_dense_id(df: DataFrame, order_cols: Sequence, id_col: str = "id", bounded: bool | None = None,
+                  first_position: bool = True, stage_input: bool = False) -> DataFrame:
     """Ids 1..n following ``order_cols`` (ascending, nulls last).
 
-    ``bounded=True`` is for inputs whose size is fixed by a domain (hours of a
-    day, the dates of a calendar, a handful of flag pairs): one window without
-    partitioning is then cheaper than the general path.
+    Small inputs (``bounded=True``, or the optimizer's size estimate under
+    ``SMALL_FRAME_BYTES`` when ``bounded`` is None) take one window without
+    partitioning.
 
     The general path never moves the data through one task: the frame is range
     partitioned by the order (``orderBy``), each row gets its in-partition rank
     from ``monotonically_increasing_id`` (partition index in the upper bits,
-    row position in the lower 33), the sorted frame is checkpointed to the
-    shared checkpoint folder so both passes see the same rows, per-partition
-    counts are summed into offsets (one row per partition, so the broadcast is
-    bounded by the partition count, not the data) and added back.
+    row position in the lower 33), the sorted frame is written as a parquet
+    table under the shared checkpoint folder (cuts the lineage, so a lost
+    executor never re-runs the sort; columnar, so the count pass reads one
+    column), per-partition counts are summed into offsets (one row per
+    partition: the broadcast is bounded by the partition count, not the data)
+    and added back.
+
+    ``stage_input=True`` first writes the (unsorted) input: the range
+    partitioner samples its input before the sort, so an expensive input
+    plan (joins, lookups) would otherwise run twice; staged, the sample pass
+    reads only the key columns from parquet.
     """
     order = _order_cols(order_cols)
+    if bounded is None:
+        bounded = _estimated_bytes(df) <= SMALL_FRAME_BYTES
     if bounded:
         out = df.withColumn(id_col, F.row_number().over(Window.orderBy(*order)).cast("long"))
     else:
-        ensure_checkpoint_dir(df.sparkSession)
-        ranked = df.orderBy(*order).withColumn("_dw_mono", F.monotonically_increasing_id())
-        ranked = ranked.checkpoint(eager=True)
+        src = materialize(df, "dense-ids-input") if stage_input else df
+        order = _order_cols(order_cols)
+        ranked = materialize(src.orderBy(*order).withColumn("_dw_mono", F.monotonically_increasing_id()), "dense-ids")
         pid = F.shiftright(F.col("_dw_mono"), 33)
         counts = ranked.groupBy(pid.alias("_dw_pid")).agg(F.count(F.lit(1)).alias("_dw_n"))
         offsets = counts.select(
@@ -132,14 +151,21 @@ def interpolate_temporal(df: DataFrame, cols: Sequence[str], group_cols: Sequenc
     work = (work.withColumn("_dw_rn", F.row_number().over(w_order))
                 .withColumn("_dw_s", F.col("_dw_t"))
                 .withColumn("_dw_nt", F.count(F.lit(1)).over(wpart)))
+    # Neighbour frames are computed once per column as columns, then read by name,
+    # so the plan holds three window functions per column (two sorted frames
+    # plus a count), not one per reference.
+    frames = {}
+    for i, c in enumerate(cols):
+        point = F.when(F.col(c).isNotNull(), F.struct(F.col("_dw_rn").alias("rn"), F.col("_dw_s").alias("s"),
+                                                      F.col(c).cast("double").alias("v")))
+        frames[f"_dw_p{i}"] = F.last(point, ignorenulls=True).over(back)
+        frames[f"_dw_x{i}"] = F.first(point, ignorenulls=True).over(fwd)
+        frames[f"_dw_k{i}"] = F.count(F.col(c)).over(wpart)
+    work = work.withColumns(frames)
     out_cols = {}
-    for c in cols:
+    for i, c in enumerate(cols):
         known = F.col(c).isNotNull()
-        point = F.when(known, F.struct(F.col("_dw_rn").alias("rn"), F.col("_dw_s").alias("s"),
-                                       F.col(c).cast("double").alias("v")))
-        prev = F.last(point, ignorenulls=True).over(back)
-        nxt = F.first(point, ignorenulls=True).over(fwd)
-        n_known = F.count(F.col(c)).over(wpart)
+        prev, nxt, n_known = F.col(f"_dw_p{i}"), F.col(f"_dw_x{i}"), F.col(f"_dw_k{i}")
         interp = (F.when(prev.isNotNull() & nxt.isNotNull(),
                          F.when(nxt["s"] == prev["s"], prev["v"]).otherwise(
                              prev["v"] + (nxt["v"] - prev["v"]) * (F.col("_dw_s") - prev["s"]) / (nxt["s"] - prev["s"])))
@@ -157,7 +183,7 @@ def interpolate_temporal(df: DataFrame, cols: Sequence[str], group_cols: Sequenc
             allowed = allowed & ((n_known < 2) | (near <= F.lit(float(max_gap_hours))))
         fill_ok = F.col("_dw_valid") & (F.col("_dw_nt") >= 2) & ~known & allowed
         out_cols[c] = F.when(known, F.col(c).cast("double")).when(fill_ok, interp)
-    work = work.withColumns(out_cols)
+    work = work.withColumns(out_cols).drop(*frames)
     return work.drop("_dw_t", "_dw_valid", "_dw_rn", "_dw_s", "_dw_nt")
 
 

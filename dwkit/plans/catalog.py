@@ -49,10 +49,10 @@ def query(key: str):
 
 # ------------------------------------------------------------------ star (K, C5, C6, C9, D34, F1)
 
-def _star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def _star(spark: SparkSession, sf_dir: str, fact_ids: bool = True) -> dict[str, DataFrame]:
     flights = B.star_flights(spark, sf_dir)
     return star.build_warehouse(flights, B.stations(spark, sf_dir), B.carriers(spark, sf_dir),
-                                B.aircraft(spark, sf_dir), B.LINEITEM_ORDER, load_ts=LOAD_TS)
+                                B.aircraft(spark, sf_dir), B.LINEITEM_ORDER, load_ts=LOAD_TS, fact_ids=fact_ids)
 
 
 @query("K1_build_fl_dates")
@@ -112,8 +112,8 @@ def c6(spark, d):
     return _star(spark, d)["fact"].select("FLIGHT_ID", "JUNK_ID")
 
 
-def _analytic(spark, d):
-    w = _star(spark, d)
+def _analytic(spark, d, fact_ids: bool = True):
+    w = _star(spark, d, fact_ids)
     return kpi.star_analytic(w["fact"], w["stations"], w["fl_dates"])
 
 
@@ -124,12 +124,12 @@ def c9(spark, d):
 
 @query("D34_delay_by_state_month")
 def d34(spark, d):
-    return kpi.delay_by_state_month(_analytic(spark, d))
+    return kpi.delay_by_state_month(_analytic(spark, d, fact_ids=False))
 
 
 @query("F1_top_states")
 def f1(spark, d):
-    return kpi.top_states(kpi.delay_by_state_month(_analytic(spark, d)), 10)
+    return kpi.top_states(kpi.delay_by_state_month(_analytic(spark, d, fact_ids=False)), 10)
 
 
 # ------------------------------------------------------------------ data quality
@@ -680,7 +680,7 @@ def d33(spark, d):
 
 
 def _fact_reason(spark, d):
-    w = _star(spark, d)
+    w = _star(spark, d, fact_ids=False)
     j = w["junk"].select("JUNK_ID", "CANCELLATION_REASON")
     dt = w["fl_dates"].select("FL_DATE_ID", "YEAR", "QUARTER", "MONTH", "DAY_OF_WEEK")
     return (w["fact"].join(F.broadcast(j), "JUNK_ID", "left").join(F.broadcast(dt), "FL_DATE_ID", "left"))
@@ -705,7 +705,7 @@ def d37(spark, d):
 def d38(spark, d):
     return kpi.rollup(_fact_reason(spark, d), ["YEAR", "QUARTER", "MONTH"],
                       {"sum_dep_delay": ("DEP_DELAY", "SUM"), "avg_distance": ("DISTANCE", "AVG"),
-                       "n_flights": ("FLIGHT_ID", "COUNT")}, kpi.MEASURE_ADDITIVITY)
+                       "n_flights": ("DEP_HOUR_ID", "COUNT")}, kpi.MEASURE_ADDITIVITY)
 
 
 @query("F3_nulls_last_ids")

@@ -63,3 +63,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint location for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "tables", name)
+
+
+def materialize(df, tag: str = "table"):
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    This cuts the lineage (a lost executor never recomputes the input plan)
+    and, unlike an RDD checkpoint, stays columnar so later passes read only
+    the columns they use.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = os.path.join(ensure_checkpoint_dir(spark), tag, uuid.uuid4().hex)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
