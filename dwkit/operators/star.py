@@ -119,11 +119,16 @@ def build_junk(flights: DataFrame, reason_col: str = "cancellation_reason",
 
 def lookup_key(fact: DataFrame, dim: DataFrame, fact_col, dim_key: str, dim_id: str, out_col: str,
                bounded: bool = False) -> DataFrame:
-    """Natural key -> surrogate id (left join, unmatched -> null)."""
-    lk = dim.select(F.col(dim_key).alias(f"_dw_k_{out_col}"), F.col(dim_id).alias(out_col))
+    """Natural key -> surrogate id (left join, unmatched -> null).
+
+    The lookup side has the same shape for every role of a dimension
+    (origin / dest, marketing / operating carrier), so its broadcast exchange
+    is built once and reused by each role.
+    """
+    lk = dim.select(F.col(dim_key).alias("_dw_lk_key"), F.col(dim_id).alias("_dw_lk_id"))
     fc = F.col(fact_col) if isinstance(fact_col, str) else fact_col
-    return (fact.join(small_side(lk, bounded=bounded), fc == F.col(f"_dw_k_{out_col}"), "left")
-                .drop(f"_dw_k_{out_col}"))
+    return (fact.join(small_side(lk, bounded=bounded), fc == F.col("_dw_lk_key"), "left")
+                .withColumnRenamed("_dw_lk_id", out_col).drop("_dw_lk_key"))
 
 
 def lookup_junk(fact: DataFrame, junk: DataFrame, reason_col: str = "cancellation_reason",

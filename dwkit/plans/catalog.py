@@ -791,7 +791,7 @@ def k10(spark, d):
     base = scratch_path(spark, f"runlog-{abs(hash(d))}")
     for name in ["fl_dates", "dep_hours", "junk"]:
         log.run_step(f"build_{name}", lambda n=name: w[n], f"dimension {name}",
-                     sink=lambda df, n=name: df.write.mode("overwrite").parquet(f"{base}/{n}"))
+                     sink=lambda df, n=name: IO.write_table(df, f"{base}/{n}"))
     return log.summary(spark).select("step", "status", "output_rows")
 
 

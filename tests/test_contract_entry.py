@@ -64,3 +64,14 @@ def test_query_matches_oracle_sf0001(spark, key):
                          for i in order) for r in res.fetchall())
     assert sorted(df.columns) == sorted(cols)
     assert srows == drows
+
+
+def test_sinks_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([(1, 2022, 1), (2, 2022, 2)], "id int, YEAR int, MONTH int")
+    paths = IO.write_layer({"fact": df, "dim": df.select("id")}, str(tmp_path), partition_by={"fact": ["YEAR", "MONTH"]})
+    assert spark.read.parquet(paths["fact"]).count() == 2
+    IO.write_table(df, str(tmp_path / "r.csv"), fmt="csv")
+    back = IO.read_table(spark, str(tmp_path / "r.csv"), fmt="csv")
+    assert sorted(r.id for r in back.collect()) == [1, 2]
+    inv = {r.table_name: (r.n_rows, r.n_columns) for r in IO.table_inventory(paths and {"x": df}).collect()}
+    assert inv == {"x": (2, 3)}
