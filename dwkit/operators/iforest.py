@@ -28,6 +28,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .quantiles import quantile_row
+
 EULER = 0.5772156649015329
 
 
@@ -104,7 +106,7 @@ def isolation_forest(df: DataFrame, key: str, cols: Sequence[str], contamination
     cols = [c for c in cols if c in df.columns]
     if len(cols) < 2:
         return df.withColumn("IsoForest_Outlier", F.lit(False))
-    meds = df.agg(*[F.median(F.col(c).cast("double")).alias(f"_m_{c}") for c in cols])
+    meds = quantile_row(df, {f"_m_{c}": (c, 0.5) for c in cols})
     filled = df.crossJoin(F.broadcast(meds)).withColumns(
         {f"_x_{c}": F.coalesce(F.col(c).cast("double"), F.col(f"_m_{c}")) for c in cols}).drop(*[f"_m_{c}" for c in cols])
     xcols = [f"_x_{c}" for c in cols]
@@ -132,7 +134,7 @@ def isolation_forest(df: DataFrame, key: str, cols: Sequence[str], contamination
                          g["right"].to_numpy(), g["size"].to_numpy())
     out_schema = T.StructType(list(filled.schema.fields) + [T.StructField("anomaly_score", T.DoubleType())])
     scored = filled.mapInPandas(_scorer(model, xcols, psi, n_trees), out_schema)
-    cut = scored.agg(F.percentile("anomaly_score", 1.0 - contamination).alias("_cut"))
+    cut = quantile_row(scored, {"_cut": ("anomaly_score", 1.0 - contamination)})
     return (scored.crossJoin(F.broadcast(cut))
                   .withColumn("IsoForest_Outlier", F.col("anomaly_score") > F.col("_cut"))
                   .drop("_cut", *xcols))

@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .quantiles import quantile_row
+
 
 def pearson_from_sums(n: Column, sx: Column, sy: Column, sxx: Column, syy: Column, sxy: Column) -> Column:
     num = n * sxy - sx * sy
@@ -53,7 +55,7 @@ def columns_with_missing(df: DataFrame) -> list[str]:
 
 def missing_correlation(df: DataFrame, target: str, features: Sequence[str]) -> DataFrame:
     """Correlation of the target's null flag with each median-filled feature (4 dp)."""
-    meds = df.agg(*[F.median(F.col(f).cast("double")).alias(f"_med{i}") for i, f in enumerate(features)])
+    meds = quantile_row(df, {f"_med{i}": (f, 0.5) for i, f in enumerate(features)})
     work = df.crossJoin(F.broadcast(meds))
     flag = F.col(target).isNull().cast("double")
     aggs = [F.count(F.lit(1)).alias("_n")]
@@ -150,7 +152,7 @@ def mar_logistic_test(df: DataFrame, target: str, predictors: Sequence[str], min
     avail = [c for c in predictors if c in df.columns]
     if not avail or target not in df.columns:
         return {"error": "columns not found"}
-    meds = df.agg(*[F.median(F.col(c).cast("double")).alias(f"_m{i}") for i, c in enumerate(avail)])
+    meds = quantile_row(df, {f"_m{i}": (c, 0.5) for i, c in enumerate(avail)})
     work = df.crossJoin(F.broadcast(meds)).select(
         F.col(target).isNull().cast("double").alias("label"),
         *[F.coalesce(F.col(c).cast("double"), F.col(f"_m{i}")).alias(f"x{i}") for i, c in enumerate(avail)])

@@ -13,6 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .quantiles import quantile_row
+
 
 class OutlierDetector:
     def __init__(self, df: DataFrame, table: str):
@@ -26,8 +28,7 @@ class OutlierDetector:
 
         An all-null column gets a false flag and no summary record.
         """
-        q = self.df.agg(F.percentile(F.col(col).cast("double"), 0.25).alias(f"_q1_{col}"),
-                        F.percentile(F.col(col).cast("double"), 0.75).alias(f"_q3_{col}"))
+        q = quantile_row(self.df, {f"_q1_{col}": (col, 0.25), f"_q3_{col}": (col, 0.75)})
         lo = F.col(f"_q1_{col}") - k * (F.col(f"_q3_{col}") - F.col(f"_q1_{col}"))
         hi = F.col(f"_q3_{col}") + k * (F.col(f"_q3_{col}") - F.col(f"_q1_{col}"))
         flag = f"IQR_{col}"
@@ -43,10 +44,10 @@ class OutlierDetector:
 
     def detect_modified_zscore(self, col: str, threshold: float = 3.5):
         """0.6745 (x - med) / MAD on the median-filled column; MAD = 0 -> skipped."""
-        med = self.df.agg(F.median(F.col(col).cast("double")).alias(f"_med_{col}"))
+        med = quantile_row(self.df, {f"_med_{col}": (col, 0.5)})
         work = self.df.crossJoin(F.broadcast(med))
         filled = F.coalesce(F.col(col).cast("double"), F.col(f"_med_{col}"))
-        mad = work.agg(F.median(F.abs(filled - F.col(f"_med_{col}"))).alias(f"_mad_{col}"))
+        mad = quantile_row(work.select(F.abs(filled - F.col(f"_med_{col}")).alias("_dev")), {f"_mad_{col}": ("_dev", 0.5)})
         flag = f"ModZ_{col}"
         z = F.lit(0.6745) * (filled - F.col(f"_med_{col}")) / F.col(f"_mad_{col}")
         self.df = (work.crossJoin(F.broadcast(mad))

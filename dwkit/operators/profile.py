@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .star import small_side
+
 # Fixed band edges and labels of the missingness summary (right-closed).
 MISSING_BANDS = [(0, "complete"), (1, "negligible (<1%)"), (5, "low (1-5%)"), (15, "moderate (5-15%)"),
                  (100, "high (>15%)")]
@@ -130,4 +132,4 @@ def category_variants(df: DataFrame, col: str, mapping: DataFrame | None = None)
     if mapping is None:
         return v.withColumn("canonical", F.lower(F.trim(F.col("variant"))))
     m = mapping.select(F.col("variant").alias("_v"), F.col("canonical"))
-    return v.join(F.broadcast(m), F.col("variant") == F.col("_v"), "left").drop("_v")
+    return v.join(small_side(m), F.col("variant") == F.col("_v"), "left").drop("_v")

@@ -134,9 +134,10 @@ def interpolate_temporal(df: DataFrame, cols: Sequence[str], group_cols: Sequenc
     * ``max_gap_hours``: when the column has >= 2 known values in the group, a
       filled value farther than the limit from both known neighbours is undone.
 
-    All of it is two window frames (backward and forward) sharing one
-    partition/sort spec, so Spark sorts once per group key.  A hot group is a
-    long sorted run streamed by the window operator, not a collected list.
+    All of it is running window frames (forward order and reversed order)
+    over one partitioning, so the window operator streams each group in
+    sorted order: memory stays bounded (spill) and work is linear in the
+    length of a group's series.
     """
     work = df.withColumn("_dw_t", temporal_seconds(date_col, hour_col))
     gkeys = [F.col(g) for g in group_cols]
@@ -147,7 +148,11 @@ def interpolate_temporal(df: DataFrame, cols: Sequence[str], group_cols: Sequenc
     wpart = Window.partitionBy(*gkeys, F.col("_dw_valid"))
     w_order = wpart.orderBy(F.col("_dw_t"), *tie)
     back = w_order.rowsBetween(Window.unboundedPreceding, 0)
-    fwd = w_order.rowsBetween(0, Window.unboundedFollowing)
+    # "First known at or after" is a running frame over the reversed order: Spark
+    # streams running frames, while a frame ending at unboundedFollowing is
+    # re-evaluated for every row (quadratic in the length of a station's series).
+    fwd = (wpart.orderBy(F.col("_dw_t").desc(), *[t.desc() for t in tie])
+                .rowsBetween(Window.unboundedPreceding, 0))
     work = (work.withColumn("_dw_rn", F.row_number().over(w_order))
                 .withColumn("_dw_s", F.col("_dw_t"))
                 .withColumn("_dw_nt", F.count(F.lit(1)).over(wpart)))
@@ -159,7 +164,7 @@ def interpolate_temporal(df: DataFrame, cols: Sequence[str], group_cols: Sequenc
         point = F.when(F.col(c).isNotNull(), F.struct(F.col("_dw_rn").alias("rn"), F.col("_dw_s").alias("s"),
                                                       F.col(c).cast("double").alias("v")))
         frames[f"_dw_p{i}"] = F.last(point, ignorenulls=True).over(back)
-        frames[f"_dw_x{i}"] = F.first(point, ignorenulls=True).over(fwd)
+        frames[f"_dw_x{i}"] = F.last(point, ignorenulls=True).over(fwd)
         frames[f"_dw_k{i}"] = F.count(F.col(c)).over(wpart)
     work = work.withColumns(frames)
     out_cols = {}

@@ -108,3 +108,22 @@ def test_isolation_forest_share(spark):
     top = {r.id for r in out.orderBy(F.col("anomaly_score").desc()).limit(20).collect()}
     assert len(top & set(range(20))) >= 15
     assert math.isclose(iforest.c_factor(2), 1.0)
+
+
+def test_exact_quantiles_distributed_equals_aggregate(spark):
+    from dwkit.operators.quantiles import exact_quantiles, quantile_row
+
+    rows = [(g, None if (i % 7 == 0) else float((i * 37) % 101)) for i in range(400) for g in (["a"] * 3 + ["b", None])[i % 5:i % 5 + 1]]
+    rows += [("empty", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    qs = [0.0, 0.25, 0.5, 0.99, 1.0]
+    small = {r.g: tuple(r[1:]) for r in exact_quantiles(df, "v", qs, ["g"], bounded=True).collect()}
+    big = {r.g: tuple(r[1:]) for r in exact_quantiles(df, "v", qs, ["g"], bounded=False).collect()}
+    for g in ("a", "b", None):
+        assert all(abs(x - y) < 1e-9 for x, y in zip(small[g], big[g])), g
+        s = pd.Series([v for k, v in rows if k == g])
+        assert all(abs(x - s.quantile(q)) < 1e-9 for x, q in zip(big[g], qs))
+    assert small["empty"] == (None,) * 5 and "empty" not in big  # no values: null (aggregate) / absent (ranked)
+    one_small = quantile_row(df, {"m": ("v", 0.5), "p": ("v", 0.9)}, bounded=True).first()
+    one_big = quantile_row(df, {"m": ("v", 0.5), "p": ("v", 0.9)}, bounded=False).first()
+    assert abs(one_small.m - one_big.m) < 1e-9 and abs(one_small.p - one_big.p) < 1e-9
