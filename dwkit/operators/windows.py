@@ -84,22 +84,52 @@ def with_dense_id(df: DataFrame, order_cols: Sequence, id_col: str = "id", bound
 # ------------------------------------------------------------------ E1 / E2
 
 def deduplicate(df: DataFrame, keys: Sequence[str], order_cols: Sequence | None = None) -> DataFrame:
-    """Keep the first row per key; "first" follows ``order_cols``.
+    """Keep the first row per key; "first" follows ``order_cols`` (ascending, nulls last).
 
-    Without an order every non-key column orders the copies, so the survivor
-    is deterministic.  The window shuffles once on the keys; a hot key is one
-    sorted run of a partition, never collected into memory.
+    Written as an aggregate, ``min(struct(order..., row))`` per key, rather
+    than a ranking window: the partial aggregate keeps one candidate per key
+    per task before the shuffle, so a key holding a third of the rows costs
+    no more than any other.  Without an order every non-key column orders the
+    copies, so the survivor is deterministic.
     """
-    order = _order_cols(order_cols if order_cols is not None else [c for c in df.columns if c not in keys])
-    w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*order)
-    return df.withColumn("_dw_rn", F.row_number().over(w)).where(F.col("_dw_rn") == 1).drop("_dw_rn")
+    order = list(order_cols) if order_cols is not None else [c for c in df.columns if c not in keys]
+    if any(not isinstance(c, str) for c in order):
+        w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*_order_cols(order))
+        return df.withColumn("_dw_rn", F.row_number().over(w)).where(F.col("_dw_rn") == 1).drop("_dw_rn")
+    rest = [c for c in df.columns if c not in keys]
+    parts = []
+    for i, c in enumerate(order):
+        parts += [F.col(c).isNull().alias(f"_n{i}"), F.col(c).alias(f"_o{i}")]
+    packed = F.struct(*parts, F.struct(*[F.col(c) for c in rest]).alias("_row"))
+    first = df.groupBy(*[F.col(k) for k in keys]).agg(F.min(packed).alias("_dw_first"))
+    return first.select(*keys, "_dw_first._row.*").select(*df.columns)
 
 
 def duplicate_flag(keys: Sequence[str]) -> Column:
-    """True for every copy of a key that occurs more than once (nulls group together)."""
+    """E2 as a column: True for every copy of a key that occurs more than once
+    (nulls group together).  A window count; see ``with_duplicate_flag`` for
+    the aggregate + join form used on large tables."""
     return F.count(F.lit(1)).over(Window.partitionBy(*[F.col(k) for k in keys])) > 1
 
 
+def with_duplicate_flag(df: DataFrame, keys: Sequence[str], name: str = "is_dup") -> DataFrame:
+    """Flag every copy of a duplicated key (nulls equal).
+
+    Keys are counted with partial aggregation, only the duplicated ones are
+    kept and joined back null-safely; a hot key is one row on the small side,
+    and AQE's skew handling splits the big side of that join.
+    """
+    dup = (df.groupBy(*[F.col(k).alias(f"_dk{i}") for i, k in enumerate(keys)])
+             .agg(F.count(F.lit(1)).alias("_dn")).where(F.col("_dn") > 1)
+             .select(*[f"_dk{i}" for i in range(len(keys))], F.lit(True).alias(name)))
+    cond = None
+    for i, k in enumerate(keys):
+        c = F.col(k).eqNullSafe(F.col(f"_dk{i}"))
+        cond = c if cond is None else cond & c
+    out = df.join(dup, cond, "left").drop(*[f"_dk{i}" for i in range(len(keys))])
+    return out.withColumn(name, F.coalesce(F.col(name), F.lit(False)))
+
+
 # ------------------------------------------------------------------ E3
 
 def temporal_seconds(date_col, hour_col=None) -> Column:

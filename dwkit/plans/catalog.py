@@ -440,7 +440,7 @@ def e1(spark, d):
 @query("E2_duplicate_flag")
 def e2(spark, d):
     li = _lineitem_dups(spark, d)
-    flagged = li.withColumn("is_dup", W.duplicate_flag(["l_orderkey", "l_linenumber"]))
+    flagged = W.with_duplicate_flag(li, ["l_orderkey", "l_linenumber"], "is_dup")
     return flagged.groupBy("is_dup").agg(F.count(F.lit(1)).alias("n_rows"))
 
 

@@ -48,6 +48,10 @@ def test_dedup_and_duplicate_flag(spark):
     assert [(r.k, r.x, r.o) for r in first] == [(1, "a", 1), (None, "b", 1), (2, "c", 1)]
     flags = df.withColumn("dup", W.duplicate_flag(["k"])).where("dup").count()
     assert flags == 5  # three copies of 1 and two nulls (nulls group together)
+    joined = W.with_duplicate_flag(df, ["k"], "dup")
+    assert joined.where("dup").count() == 5 and joined.count() == 6
+    nulls_last = spark.createDataFrame([(1, None), (1, 2)], "k int, o int")
+    assert W.deduplicate(nulls_last, ["k"], ["o"]).first().o == 2
 
 
 def test_temporal_gaps(spark):
