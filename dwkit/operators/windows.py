@@ -152,9 +152,99 @@ def seconds_to_ntz(secs: Column) -> Column:
 
 def interpolate_temporal(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str], date_col: str,
                          hour_col: str | None = None, limit: int | None = None,
-                         max_gap_hours: float | None = None, row_id: str | None = None) -> DataFrame:
+                         max_gap_hours: float | None = None, row_id: str | None = None,
+                         bounded: bool | None = None, segment_rows: int = 1_000_000) -> DataFrame:
     """Time-weighted linear interpolation per group, edges filled flat.
 
+    Small inputs (size estimate) use per-group windows; large inputs use the
+    segmented scan (``_interpolate_segmented``), which splits a hot group over
+    many tasks.  Both give the same values.
+    """
+    if bounded is None:
+        bounded = _estimated_bytes(df) <= SMALL_FRAME_BYTES
+    if bounded:
+        return _interpolate_windows(df, cols, group_cols, date_col, hour_col, limit, max_gap_hours, row_id)
+    return _interpolate_segmented(df, cols, group_cols, date_col, hour_col, limit, max_gap_hours, row_id,
+                                  segment_rows)
+
+
+def _fill_value(c, prev, nxt, rn_gap_prev, rn_gap_next, s, n_known, n_valid, valid, limit, max_gap_hours):
+    known = F.col(c).isNotNull()
+    interp = (F.when(prev.isNotNull() & nxt.isNotNull(),
+                     F.when(nxt["s"] == prev["s"], prev["v"]).otherwise(
+                         prev["v"] + (nxt["v"] - prev["v"]) * (s - prev["s"]) / (nxt["s"] - prev["s"])))
+              .when(prev.isNotNull(), prev["v"])
+              .otherwise(nxt["v"]))
+    allowed = F.lit(True)
+    if limit is not None:
+        allowed = F.coalesce(rn_gap_prev <= limit, F.lit(False)) | F.coalesce(rn_gap_next <= limit, F.lit(False))
+    if max_gap_hours is not None:
+        d_prev = F.when(prev.isNotNull(), (s - prev["s"]) / 3600.0)
+        d_next = F.when(nxt.isNotNull(), (nxt["s"] - s) / 3600.0)
+        near = F.least(F.coalesce(d_prev, F.lit(float("inf"))), F.coalesce(d_next, F.lit(float("inf"))))
+        allowed = allowed & ((n_known < 2) | (near <= F.lit(float(max_gap_hours))))
+    fill_ok = valid & (n_valid >= 2) & ~known & allowed
+    return F.when(known, F.col(c).cast("double")).when(fill_ok, interp)
+
+
+def _interpolate_segmented(df, cols, group_cols, date_col, hour_col, limit, max_gap_hours, row_id, segment_rows):
+    """E3 for large inputs: a distributed segmented scan.
+
+    1. valid rows get a global rank over (group, time, id) from the
+       range-partitioned dense-id pass (a hot group spans many partitions);
+    2. ranks are cut into segments of ``segment_rows``; inside each
+       (segment, group) a running window finds the last / first known point;
+    3. a per-(segment, group) summary (a few rows per segment) carries the
+       last known point of earlier segments and the first of later ones;
+    4. per-group counts (one row per group) give the valid / known sizes.
+    Rows with a null time pass through unchanged.
+    """
+    gk = list(group_cols)
+    tie = [row_id] if row_id else []
+    work = df.withColumn("_dw_s", temporal_seconds(date_col, hour_col))
+    invalid = work.where(F.col("_dw_s").isNull())
+    ranked = with_dense_id(work.where(F.col("_dw_s").isNotNull()), [*gk, "_dw_s", *tie], "_dw_r", bounded=False,
+                           first_position=False)
+    ranked = ranked.withColumn("_dw_seg", F.floor((F.col("_dw_r") - 1) / segment_rows).cast("long"))
+    sizes = ranked.groupBy(*gk).agg(F.count(F.lit(1)).alias("_dw_nt"),
+                                    *[F.count(F.col(c)).alias(f"_dw_k{i}") for i, c in enumerate(cols)])
+    seg_part = Window.partitionBy("_dw_seg", *gk)
+    run_fwd = seg_part.orderBy("_dw_r").rowsBetween(Window.unboundedPreceding, 0)
+    run_bwd = seg_part.orderBy(F.col("_dw_r").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    frames, summ = {}, []
+    for i, c in enumerate(cols):
+        point = F.when(F.col(c).isNotNull(), F.struct(F.col("_dw_r").alias("r"), F.col("_dw_s").alias("s"),
+                                                      F.col(c).cast("double").alias("v")))
+        frames[f"_dw_lp{i}"] = F.last(point, ignorenulls=True).over(run_fwd)
+        frames[f"_dw_lx{i}"] = F.last(point, ignorenulls=True).over(run_bwd)
+        summ += [F.max(point).alias(f"_dw_sl{i}"), F.min(point).alias(f"_dw_sf{i}")]  # structs order by rank first
+    local = ranked.withColumns(frames)
+    per_seg = ranked.groupBy("_dw_seg", *gk).agg(*summ)
+    g_part = Window.partitionBy(*gk)
+    before = g_part.orderBy("_dw_seg").rowsBetween(Window.unboundedPreceding, -1)
+    after = g_part.orderBy(F.col("_dw_seg").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    carries = per_seg.select("_dw_seg", *gk, *[
+        x for i in range(len(cols)) for x in (F.last(f"_dw_sl{i}", ignorenulls=True).over(before).alias(f"_dw_cp{i}"),
+                                              F.last(f"_dw_sf{i}", ignorenulls=True).over(after).alias(f"_dw_cx{i}"))])
+    from .star import small_side
+    j = (local.join(small_side(carries), ["_dw_seg", *gk], "left")
+              .join(small_side(sizes), [*gk], "left"))
+    outs = {}
+    for i, c in enumerate(cols):
+        prev = F.coalesce(F.col(f"_dw_lp{i}"), F.col(f"_dw_cp{i}"))
+        nxt = F.coalesce(F.col(f"_dw_lx{i}"), F.col(f"_dw_cx{i}"))
+        outs[c] = _fill_value(c, prev, nxt, F.col("_dw_r") - prev["r"], nxt["r"] - F.col("_dw_r"), F.col("_dw_s"),
+                              F.col(f"_dw_k{i}"), F.col("_dw_nt"), F.lit(True), limit, max_gap_hours)
+    filled = j.withColumns(outs).select(*df.columns)
+    passthrough = invalid.withColumns({c: F.col(c).cast("double") for c in cols}).select(*df.columns)
+    return filled.unionByName(passthrough)
+
+
+def _interpolate_windows(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str], date_col: str,
+                         hour_col: str | None = None, limit: int | None = None,
+                         max_gap_hours: float | None = None, row_id: str | None = None) -> DataFrame:
+    """E3 with per-group windows (small inputs).
+
     Semantics (per group, rows with a null time are left alone; groups with
     fewer than two valid times are left alone):
     * a null between two known values gets ``v0 + (v1 - v0) * (t - t0) / (t1 - t0)``;
@@ -225,18 +315,33 @@ def interpolate_temporal(df: DataFrame, cols: Sequence[str], group_cols: Sequenc
 # ------------------------------------------------------------------ E5
 
 def detect_temporal_gaps(df: DataFrame, date_col: str, hour_col: str | None = None,
-                         group_col: str | None = None, step_hours: float = 1.0) -> DataFrame:
+                         group_col: str | None = None, step_hours: float = 1.0,
+                         bounded: bool | None = None) -> DataFrame:
     """E5: gaps longer than 1.5 steps between consecutive distinct times per group.
 
     Output: group, gap_start, gap_end, gap_length_hours, gap_length_intervals.
+    Small inputs use ``lag`` over the group; large ones rank the distinct times
+    globally (range-partitioned, so a hot group spans many tasks) and pair each
+    time with the one ranked just before it by an equi-join on the rank.
     """
     secs = temporal_seconds(date_col, hour_col)
     keys = [group_col] if group_col else []
     times = df.select(*[F.col(k) for k in keys], secs.alias("_dw_e")).where(F.col("_dw_e").isNotNull()).distinct()
-    w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy("_dw_e")
-    times = times.withColumn("_dw_b", F.lag("_dw_e").over(w))
+    if bounded is None:
+        bounded = _estimated_bytes(times) <= SMALL_FRAME_BYTES
+    if bounded:
+        w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy("_dw_e")
+        pairs = times.withColumn("_dw_b", F.lag("_dw_e").over(w))
+    else:
+        ranked = with_dense_id(times, [*keys, "_dw_e"], "_dw_r", bounded=False)
+        prev = ranked.select((F.col("_dw_r") + 1).alias("_dw_r"), F.col("_dw_e").alias("_dw_b"),
+                             *[F.col(k).alias(f"_dw_pk{i}") for i, k in enumerate(keys)])
+        same = F.lit(True)
+        for i, k in enumerate(keys):
+            same = same & F.col(k).eqNullSafe(F.col(f"_dw_pk{i}"))
+        pairs = ranked.join(prev, "_dw_r", "left").withColumn("_dw_b", F.when(same, F.col("_dw_b")))
     hours = (F.col("_dw_e") - F.col("_dw_b")) / 3600.0
-    return (times.where(F.col("_dw_b").isNotNull() & (hours > 1.5 * step_hours))
+    return (pairs.where(F.col("_dw_b").isNotNull() & (hours > 1.5 * step_hours))
             .select(*[F.col(k) for k in keys],
                     seconds_to_ntz(F.col("_dw_b")).alias("gap_start"),
                     seconds_to_ntz(F.col("_dw_e")).alias("gap_end"),

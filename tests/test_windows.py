@@ -58,9 +58,11 @@ def test_temporal_gaps(spark):
     base = dt.date(2022, 1, 1)
     rows = [("S", base, h) for h in [0, 1, 3, 3, 4, 9]]
     df = spark.createDataFrame(rows, "st string, d date, h int")
-    gaps = W.detect_temporal_gaps(df, "d", "h", "st").orderBy("gap_start").collect()
-    assert [(g.gap_length_hours, g.gap_length_intervals) for g in gaps] == [(2.0, 2), (5.0, 5)]
-    assert str(gaps[0].gap_start) == "2022-01-01 01:00:00"
+    for bounded in (True, False):
+        gaps = W.detect_temporal_gaps(df.union(df.withColumn("st", F.lit("T"))), "d", "h", "st", bounded=bounded) \
+            .where("st = 'S'").orderBy("gap_start").collect()
+        assert [(g.gap_length_hours, g.gap_length_intervals) for g in gaps] == [(2.0, 2), (5.0, 5)]
+        assert str(gaps[0].gap_start) == "2022-01-01 01:00:00"
 
 
 def test_dense_ids_both_paths_agree(spark):
@@ -77,3 +79,32 @@ def test_dense_ids_nulls_last(spark):
     df = spark.createDataFrame([("b",), (None,), ("a",)], "x string")
     out = W.with_dense_id(df, ["x"], "id", bounded=False).orderBy("id").collect()
     assert [r.x for r in out] == ["a", "b", None]
+
+
+def test_segmented_interpolation_equals_windows(spark):
+    import random
+
+    rnd = random.Random(7)
+    rows = []
+    base = dt.date(2022, 1, 1)
+    i = 0
+    for st, n in [("HOT", 300), ("A", 40), ("B", 3), ("C", 1)]:
+        hours = sorted(rnd.sample(range(0, 2000), n))
+        for h in hours:
+            v = None if rnd.random() < 0.45 else round(rnd.uniform(0, 50), 2)
+            w = None if rnd.random() < 0.3 else float(h % 7)
+            d = base + dt.timedelta(days=h // 24)
+            rows.append((i, st, d if rnd.random() > 0.02 else None, h % 24, v, w))
+            i += 1
+    df = spark.createDataFrame(rows, "id long, st string, d date, h int, v double, w double").repartition(6)
+    args = dict(cols=["v", "w"], group_cols=["st"], date_col="d", hour_col="h", limit=2, max_gap_hours=3, row_id="id")
+    a = {r.id: (r.v, r.w) for r in W.interpolate_temporal(df, bounded=True, **args).collect()}
+    b = {r.id: (r.v, r.w) for r in W.interpolate_temporal(df, bounded=False, segment_rows=17, **args).collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        for x, y in zip(a[k], b[k]):
+            assert (x is None and y is None) or abs(x - y) < 1e-9, (k, a[k], b[k])
+    unlimited = dict(args, limit=None, max_gap_hours=None)
+    a = {r.id: r.v for r in W.interpolate_temporal(df, bounded=True, **unlimited).collect()}
+    b = {r.id: r.v for r in W.interpolate_temporal(df, bounded=False, segment_rows=5, **unlimited).collect()}
+    assert all((a[k] is None and b[k] is None) or abs(a[k] - b[k]) < 1e-9 for k in a)
