@@ -189,19 +189,24 @@ def fact_fk_lookups(flights: DataFrame, dims: dict[str, DataFrame]) -> DataFrame
 
 
 def build_fact(flights: DataFrame, dims: dict[str, DataFrame], order_cols: Sequence[str], load_ts=None,
-               measures: Sequence[str] | None = None, with_ids: bool = True) -> DataFrame:
+               measures: Sequence[str] | None = None, with_ids: bool = True, seq_col: str | None = None) -> DataFrame:
     """K7: 8 foreign keys + measures + dense FLIGHT_ID + load timestamp.
 
     ``with_ids=False`` returns the lazy fact without FLIGHT_ID: queries that
     never read the id (KPIs count rows) then skip the global sort the id
-    needs, and Catalyst prunes the lookups they do not use.
+    needs, and Catalyst prunes the lookups they do not use.  ``seq_col`` names
+    a dense sequence the flights already carry (assigned at the source, where
+    the order is defined); it becomes FLIGHT_ID without another sort.
     """
     f = fact_fk_lookups(flights, dims)
     ms = [m for m in (measures or ENV_MEASURES + PERF_MEASURES) if m in flights.columns]
-    f = f.select(*order_cols, *FK_COLS, *[F.col(m).alias(m.upper()) for m in ms])
+    f = f.select(*([seq_col] if seq_col else []), *order_cols, *FK_COLS, *[F.col(m).alias(m.upper()) for m in ms])
     if not with_ids:
         return f.select(*FK_COLS, *[m.upper() for m in ms], _ts(load_ts).alias("LOAD_TIMESTAMP"))
-    f = with_dense_id(f, list(order_cols), "FLIGHT_ID")
+    if seq_col is not None:
+        f = f.withColumn("FLIGHT_ID", F.col(seq_col).cast("long")) if seq_col != "FLIGHT_ID" else f
+    else:
+        f = with_dense_id(f, list(order_cols), "FLIGHT_ID")
     return f.select("FLIGHT_ID", *FK_COLS, *[m.upper() for m in ms], _ts(load_ts).alias("LOAD_TIMESTAMP"))
 
 
@@ -218,7 +223,8 @@ def flight_key_summary(flights: DataFrame, date_col: str = "fl_date", hour_col:
 
 
 def build_warehouse(flights: DataFrame, stations: DataFrame, carriers: DataFrame, aircraft: DataFrame,
-                    order_cols: Sequence[str], load_ts=None, fact_ids: bool = True) -> dict[str, DataFrame]:
+                    order_cols: Sequence[str], load_ts=None, fact_ids: bool = True,
+                    seq_col: str | None = None) -> dict[str, DataFrame]:
     """K1-K7: the small dimensions come from one summary pass, the fact from one more."""
     keys = flight_key_summary(flights)
     dims = {
@@ -229,7 +235,7 @@ def build_warehouse(flights: DataFrame, stations: DataFrame, carriers: DataFrame
         "aircraft": build_aircraft(aircraft, keys, load_ts=load_ts),
         "junk": build_junk(keys, load_ts=load_ts),
     }
-    fact = build_fact(flights, dims, order_cols, load_ts=load_ts, with_ids=fact_ids)
+    fact = build_fact(flights, dims, order_cols, load_ts=load_ts, with_ids=fact_ids, seq_col=seq_col)
     return {**dims, "fact": fact}
 
 

@@ -50,9 +50,10 @@ def query(key: str):
 # ------------------------------------------------------------------ star (K, C5, C6, C9, D34, F1)
 
 def _star(spark: SparkSession, sf_dir: str, fact_ids: bool = True) -> dict[str, DataFrame]:
-    flights = B.star_flights(spark, sf_dir)
+    flights = B.star_flights(spark, sf_dir, with_seq=fact_ids)
     return star.build_warehouse(flights, B.stations(spark, sf_dir), B.carriers(spark, sf_dir),
-                                B.aircraft(spark, sf_dir), B.LINEITEM_ORDER, load_ts=LOAD_TS, fact_ids=fact_ids)
+                                B.aircraft(spark, sf_dir), B.LINEITEM_ORDER, load_ts=LOAD_TS, fact_ids=fact_ids,
+                                seq_col="flight_seq" if fact_ids else None)
 
 
 @query("K1_build_fl_dates")
