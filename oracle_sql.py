@@ -772,3 +772,46 @@ SELECT a.p_partkey AS p_partkey_1, b.p_partkey AS p_partkey_2, a.p_name AS p_nam
        round(coalesce(jaro_winkler_similarity(a.p_name, b.p_name), 0) + coalesce(jaro_winkler_similarity(a.p_type, b.p_type), 0), 4) AS Score
 FROM fp a JOIN fp b ON a.p_brand = b.p_brand AND a.p_partkey < b.p_partkey
 WHERE coalesce(jaro_winkler_similarity(a.p_name, b.p_name), 0) + coalesce(jaro_winkler_similarity(a.p_type, b.p_type), 0) > 1.75""")
+
+
+# ------------------------------------------------------------------ rounding parity
+
+def _decimal_rounding(sql: str) -> str:
+    """Rewrite every ``round(x, n)`` to round the shortest decimal text of ``x``.
+
+    Spark rounds a double half-up on its shortest decimal representation;
+    DuckDB's double ``round`` scales in binary and can land the other way on
+    a tie.  ``CAST(CAST(x AS VARCHAR) AS DECIMAL)`` then ``round`` gives
+    Spark's result for the same double.
+    """
+    out, i, low = [], 0, sql.lower()
+    while True:
+        j = low.find("round(", i)
+        if j < 0 or (j > 0 and (low[j - 1].isalnum() or low[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k, comma = 1, j + 6, None
+        while depth:
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+            elif ch == "," and depth == 1:
+                comma = k
+            k += 1
+        if comma is None:
+            out.append(sql[i:k])
+            i = k
+            continue
+        arg, digits = sql[j + 6:comma], sql[comma + 1:k - 1].strip()
+        out.append(sql[i:j])
+        out.append(f"CAST(round(CAST(CAST(({_decimal_rounding(arg)}) AS VARCHAR) AS DECIMAL(38, 18)), {digits}) AS DOUBLE)")
+        i = k
+
+
+SQL = {k: _decimal_rounding(v) for k, v in SQL.items()}
