@@ -98,11 +98,6 @@ def k8(spark, d):
     return dates.where("IS_HOLIDAY").select("FL_DATE", "DAY_OF_WEEK")
 
 
-def _fact_with_lookups(spark, d):
-    w = _star(spark, d)
-    return w
-
-
 @query("C5_surrogate_key_lookup")
 def c5(spark, d):
     return _star(spark, d)["fact"].select("FLIGHT_ID", *star.FK_COLS[:-1])
