@@ -165,11 +165,14 @@ def overall_score(scorecard: DataFrame) -> DataFrame:
 
 def compare_scorecards(before: DataFrame, after: DataFrame) -> DataFrame:
     """before/after per dimension; Delta rounded to 4; Improved YES / = / NO."""
-    b = before.select("Dimension", F.col("Score").alias("Score_before"), F.col("Issues").alias("Issues_before"))
-    a = after.select("Dimension", F.col("Score").alias("Score_after"), F.col("Issues").alias("Issues_after"))
+    b = before.select("Dimension", F.col("Score").alias("Score_before"), F.col("Issues").alias("Issues_before"),
+                      F.col("Status").alias("Status_before"))
+    a = after.select("Dimension", F.col("Score").alias("Score_after"), F.col("Issues").alias("Issues_after"),
+                     F.col("Status").alias("Status_after"))
     j = b.join(a, "Dimension", "inner")
     delta = F.round(F.col("Score_after") - F.col("Score_before"), 4)
-    return j.select("Dimension", "Score_before", "Issues_before", "Score_after", "Issues_after", delta.alias("Delta"),
+    return j.select("Dimension", "Score_before", "Issues_before", "Status_before", "Score_after", "Issues_after",
+                    "Status_after", delta.alias("Delta"),
                     F.when(delta > 0, "YES").when(delta == 0, "=").otherwise("NO").alias("Improved"))
 
 

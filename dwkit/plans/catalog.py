@@ -815,3 +815,30 @@ def d30(spark, d):
     o = B.obs_dirty(spark, d)
     f = isolation_forest(o, "obs_id", ["spd", "gust", "low"], contamination=0.02)
     return f.groupBy("IsoForest_Outlier").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+# ------------------------------------------------------------------ sinks (A5, A6): write, then read back
+
+def _sink_dir(spark, name):
+    import uuid
+
+    from ..session import scratch_path
+    return scratch_path(spark, f"sinks/{name}-{uuid.uuid4().hex}")
+
+
+@query("A5_warehouse_sink")
+def a5(spark, d):
+    """Write the date dimension as a layer table (partitioned by YEAR) and read it back."""
+    dates = star.build_fl_dates(B.star_flights(spark, d), load_ts=LOAD_TS)
+    paths = IO.write_layer({"DIM_FL_DATES": dates}, _sink_dir(spark, "dw"), partition_by={"DIM_FL_DATES": ["YEAR"]})
+    back = spark.read.parquet(paths["DIM_FL_DATES"])
+    return back.select(*dates.columns).withColumn("YEAR", F.col("YEAR").cast("short"))
+
+
+@query("A6_report_sink")
+def a6(spark, d):
+    """Write the audit summary report as CSV (header, overwrite) and read it back with its schema."""
+    rep = events_plan(spark, d).audit_summary()
+    path = _sink_dir(spark, "reports") + "/audit_summary.csv"
+    IO.write_table(rep, path, fmt="csv")
+    return IO.read_table(spark, path, fmt="csv", schema="step string, changes long, cols_affected string", na_values=())

@@ -415,7 +415,8 @@ SQL["F2_report_sort"] = SQL["D27_audit_summary"]
 _CLEAN_CARD = scorecard_sql("events_dirty", "(SELECT *, CAST(EXTRACT(HOUR FROM ts) AS INTEGER) AS ts_hour FROM ev_clean)",
                             EV_REQ, EV_VALID, EV_CONS, EV_KEYS, "event_date", ("event_hour", "ts_hour", 0))
 _q("C8_scorecard_compare", f"""WITH {EV_CHAIN}, bef AS (SELECT * FROM {ev_card()} x), aft AS (SELECT * FROM {_CLEAN_CARD} y)
-SELECT b.Dimension, b.Score AS Score_before, b.Issues AS Issues_before, a.Score AS Score_after, a.Issues AS Issues_after,
+SELECT b.Dimension, b.Score AS Score_before, b.Issues AS Issues_before, b.Status AS Status_before,
+       a.Score AS Score_after, a.Issues AS Issues_after, a.Status AS Status_after,
        round(a.Score - b.Score, 4) AS Delta,
        CASE WHEN round(a.Score - b.Score, 4) > 0 THEN 'YES' WHEN round(a.Score - b.Score, 4) = 0 THEN '=' ELSE 'NO' END AS Improved
 FROM bef b JOIN aft a ON b.Dimension = a.Dimension""")
@@ -814,4 +815,6 @@ def _decimal_rounding(sql: str) -> str:
         i = k
 
 
+SQL["A5_warehouse_sink"] = SQL["K1_build_fl_dates"]
+SQL["A6_report_sink"] = SQL["D27_audit_summary"]
 SQL = {k: _decimal_rounding(v) for k, v in SQL.items()}

@@ -61,10 +61,10 @@ def test_single_aggregate_plan(spark):
 
 
 def test_overall_and_compare(spark):
-    a = spark.createDataFrame([("t", "Completeness", 0.9, 1), ("t", "Validity", 0.8, 2)],
-                              "Table string, Dimension string, Score double, Issues long")
-    b = spark.createDataFrame([("t", "Completeness", 1.0, 0), ("t", "Validity", 0.8, 2)],
-                              "Table string, Dimension string, Score double, Issues long")
+    a = spark.createDataFrame([("t", "Completeness", 0.9, 1, "WARN"), ("t", "Validity", 0.8, 2, "WARN")],
+                              "Table string, Dimension string, Score double, Issues long, Status string")
+    b = spark.createDataFrame([("t", "Completeness", 1.0, 0, "PASS"), ("t", "Validity", 0.8, 2, "WARN")],
+                              "Table string, Dimension string, Score double, Issues long, Status string")
     assert dqa.overall_score(a).first().overall_score == 0.85
     cmp = {r.Dimension: r.Improved for r in dqa.compare_scorecards(a, b).collect()}
     assert cmp == {"Completeness": "YES", "Validity": "="}
