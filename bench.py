@@ -36,7 +36,7 @@ def main() -> None:
     from dwkit.session import get_spark
 
     scratch = tempfile.mkdtemp(prefix="dwkit-bench-")
-    spark = get_spark(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus),
+    spark = get_spark(f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", 2 * cpus)),
                       extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
                              "spark.checkpoint.dir": os.path.join(scratch, "ckpt"),
                              "spark.sql.files.maxPartitionBytes": str(64 << 20)})

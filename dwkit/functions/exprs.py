@@ -20,19 +20,29 @@ def _c(col) -> Column:
 # ---------------------------------------------------------------- strings (B1)
 
 def strip(col) -> Column:
-    """Remove leading/trailing whitespace (tabs and newlines included)."""
-    return F.regexp_replace(_c(col), r"^\s+|\s+$", "")
+    """Remove leading/trailing whitespace, Unicode spaces included (like ``str.strip``)."""
+    return F.regexp_replace(_c(col), r"(?U)^\s+|\s+$", "")
 
 
 def title_case(col) -> Column:
-    """Python ``str.title``: upper-case the first letter of every run of letters.
+    """Python ``str.title``: upper-case a cased character that follows an uncased one.
 
     ``initcap`` only splits on spaces, so ``o'hare`` and ``2nd`` differ; here the
-    text is cut into letter / non-letter runs and each run is capitalised.
+    text is cut into runs of cased characters (Unicode upper, lower, title
+    case) and the rest, and each run is capitalised (uncased runs are left
+    as they are by upper/lower).
     """
-    runs = F.regexp_extract_all(_c(col), F.lit(r"(\p{L}+|\P{L}+)"), 1)
-    return F.array_join(F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)),
-                                                             F.lower(F.substring(r, 2, 1 << 30)))), "")
+    cased = r"\p{IsUppercase}\p{IsLowercase}\p{IsTitlecase}"
+    runs = F.regexp_extract_all(_c(col), F.lit(f"([{cased}]+|[^{cased}]+)"), 1)
+
+    def cap(r):
+        # title case of the first character = first char of its upper-case form,
+        # rest of that form lower-cased (so "\u00df" -> "Ss", "\ufb01" -> "Fi")
+        up = F.upper(F.substring(r, 1, 1))
+        return F.concat(F.substring(up, 1, 1), F.lower(F.substring(up, 2, 1 << 30)),
+                        F.lower(F.substring(r, 2, 1 << 30)))
+
+    return F.array_join(F.transform(runs, cap), "")
 
 
 def standardize_string(col, strip_ws: bool = True, title: bool = False, upper: bool = False) -> Column:

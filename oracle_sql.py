@@ -15,7 +15,7 @@ def strip(x: str) -> str:
 
 
 def title(x: str) -> str:
-    return rf"array_to_string(list_transform(regexp_extract_all({x}, '(\pL+|\PL+)'), lambda r: upper(r[1]) || lower(r[2:])), '')"
+    return rf"array_to_string(list_transform(regexp_extract_all({x}, '([\p{{Lu}}\p{{Ll}}\p{{Lt}}]+|[^\p{{Lu}}\p{{Ll}}\p{{Lt}}]+)'), lambda r: upper(r[1]) || lower(r[2:])), '')"
 
 
 def r4(x: str) -> str:
