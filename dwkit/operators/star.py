@@ -224,9 +224,14 @@ def flight_key_summary(flights: DataFrame, date_col: str = "fl_date", hour_col:
 
 def build_warehouse(flights: DataFrame, stations: DataFrame, carriers: DataFrame, aircraft: DataFrame,
                     order_cols: Sequence[str], load_ts=None, fact_ids: bool = True,
-                    seq_col: str | None = None) -> dict[str, DataFrame]:
-    """K1-K7: the small dimensions come from one summary pass, the fact from one more."""
-    keys = flight_key_summary(flights)
+                    seq_col: str | None = None, key_source: DataFrame | None = None) -> dict[str, DataFrame]:
+    """K1-K7: the small dimensions come from one summary pass, the fact from one more.
+
+    ``key_source`` may be a narrower frame with the flights' rows and their
+    date, hour and junk columns (no lookups needed for those), so the summary
+    pass skips the joins that only the fact needs.
+    """
+    keys = flight_key_summary(key_source if key_source is not None else flights)
     dims = {
         "fl_dates": build_fl_dates(keys, load_ts=load_ts),
         "dep_hours": build_dep_hours(keys, load_ts=load_ts),

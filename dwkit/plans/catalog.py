@@ -53,7 +53,8 @@ def _star(spark: SparkSession, sf_dir: str, fact_ids: bool = True) -> dict[str,
     flights = B.star_flights(spark, sf_dir, with_seq=fact_ids)
     return star.build_warehouse(flights, B.stations(spark, sf_dir), B.carriers(spark, sf_dir),
                                 B.aircraft(spark, sf_dir), B.LINEITEM_ORDER, load_ts=LOAD_TS, fact_ids=fact_ids,
-                                seq_col="flight_seq" if fact_ids else None)
+                                seq_col="flight_seq" if fact_ids else None,
+                                key_source=B.star_flight_keys(spark, sf_dir))
 
 
 @query("K1_build_fl_dates")

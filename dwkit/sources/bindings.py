@@ -116,6 +116,27 @@ LINEITEM_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_qua
                   "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
+def _line_item_keys() -> list:
+    """Flight attributes that come from the line item alone (date, hour, junk pair)."""
+    flag = F.col("l_returnflag")
+    return [
+        F.col("l_shipdate").cast("date").alias("fl_date"),
+        (F.col("l_orderkey") % 24).cast("int").alias("dep_hour"),
+        F.when((F.col("l_orderkey") + F.col("l_linenumber")) % 10 == 0, F.lit(None).cast("string"))
+         .when(flag == "N", F.lit("Not Cancelled")).otherwise(flag).alias("cancellation_reason"),
+        F.col("l_linestatus").alias("weather_description"),
+    ]
+
+
+def star_flight_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flights' date, hour and junk pair without the widening joins: line items
+    that have an order (a semi-join), i.e. the flights' row set.  Enough for the
+    date, hour, junk and aircraft-age dimensions."""
+    li = table(spark, sf_dir, "lineitem")
+    o = table(spark, sf_dir, "orders").select("o_orderkey")
+    return li.join(o, li.l_orderkey == o.o_orderkey, "left_semi").select(*_line_item_keys())
+
+
 def star_flights(spark: SparkSession, sf_dir: str, with_seq: bool = False) -> DataFrame:
     """Flights at star grain: one line item = one flight.
 
@@ -139,20 +160,15 @@ def star_flights(spark: SparkSession, sf_dir: str, with_seq: bool = False) -> Da
     j = (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
            .join(c, F.col("o_custkey") == c.c_custkey, "left")
            .join(s, li.l_suppkey == s.s_suppkey, "left"))
-    flag = F.col("l_returnflag")
     return j.select(
         *(["flight_seq"] if with_seq else []),
         *LINEITEM_ORDER,
-        F.col("l_shipdate").cast("date").alias("fl_date"),
-        (F.col("l_orderkey") % 24).cast("int").alias("dep_hour"),
+        *_line_item_keys(),
         F.col("c_nationkey").alias("origin"),
         F.col("s_nationkey").alias("dest"),
         F.col("l_suppkey").alias("mkt_unique_carrier"),
         F.col("l_suppkey").alias("op_unique_carrier"),
         F.col("l_partkey").alias("tail_num"),
-        F.when((F.col("l_orderkey") + F.col("l_linenumber")) % 10 == 0, F.lit(None).cast("string"))
-         .when(flag == "N", F.lit("Not Cancelled")).otherwise(flag).alias("cancellation_reason"),
-        F.col("l_linestatus").alias("weather_description"),
         F.col("l_quantity").alias("dep_delay"),
         (F.col("l_discount") * 100).alias("taxi_out"),
         (F.col("l_tax") * 100).alias("air_time"),
