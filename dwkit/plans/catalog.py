@@ -611,6 +611,7 @@ def a7(spark, d):
     tables = {"DIM_FL_DATES": w["fl_dates"], "DIM_DEP_HOURS": w["dep_hours"], "DIM_STATIONS": w["stations"],
               "DIM_CARRIERS": w["carriers"].drop("CODE"), "DIM_AIRCRAFTS": w["aircraft"], "DIM_JUNK": w["junk"],
               "FLIGHTS": w["fact"]}
+    H.check_table_set(list(tables))
     return IO.table_inventory(tables, with_pk=True)
 
 

@@ -75,3 +75,11 @@ def test_sinks_round_trip(spark, tmp_path):
     assert sorted(r.id for r in back.collect()) == [1, 2]
     inv = {r.table_name: (r.n_rows, r.n_columns) for r in IO.table_inventory(paths and {"x": df}).collect()}
     assert inv == {"x": (2, 3)}
+
+
+def test_table_set_matches_model():
+    from dwkit.plans.contract import WAREHOUSE_TABLES, check_table_set
+
+    check_table_set(list(reversed(WAREHOUSE_TABLES)))
+    with pytest.raises(AssertionError):
+        check_table_set(WAREHOUSE_TABLES[:-1] + ["EXTRA"])
