@@ -172,24 +172,39 @@ ENV_MEASURES = ["wind_spd", "wind_gust", "visibility", "temperature", "cloud_cov
 PERF_MEASURES = ["dep_delay", "taxi_out", "air_time", "distance"]
 
 
-def fact_fk_lookups(flights: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """C5 + C6: every surrogate key of a flight, one plan."""
+def fact_fk_lookups(flights: DataFrame, dims: dict[str, DataFrame], fks: Sequence[str] = FK_COLS) -> DataFrame:
+    """C5 + C6: the surrogate keys of a flight (all of them by default), one plan.
+
+    A left join cannot be dropped by the optimizer even when its column is
+    unused (it does not know the dimension key is unique), so callers that
+    read only some keys pass ``fks``.
+    """
+    lookups = {
+        "FL_DATE_ID": lambda f: lookup_key(f, dims["fl_dates"], F.col("fl_date").cast("date"), "FL_DATE",
+                                           "FL_DATE_ID", "FL_DATE_ID", bounded=True),
+        "DEP_HOUR_ID": lambda f: lookup_key(f, dims["dep_hours"], F.col("dep_hour").cast("int"), "DEP_HOUR",
+                                            "DEP_HOUR_ID", "DEP_HOUR_ID", bounded=True),
+        "ORIGIN_STATION_ID": lambda f: lookup_key(f, dims["stations"], "origin", "AIRPORT_CODE", "STATION_ID",
+                                                  "ORIGIN_STATION_ID"),
+        "DEST_STATION_ID": lambda f: lookup_key(f, dims["stations"], "dest", "AIRPORT_CODE", "STATION_ID",
+                                                "DEST_STATION_ID"),
+        "MKT_CARRIER_ID": lambda f: lookup_key(f, dims["carriers"], "mkt_unique_carrier", "CODE", "CARRIER_ID",
+                                               "MKT_CARRIER_ID"),
+        "OP_CARRIER_ID": lambda f: lookup_key(f, dims["carriers"], "op_unique_carrier", "CODE", "CARRIER_ID",
+                                              "OP_CARRIER_ID"),
+        "AIRCRAFT_ID": lambda f: lookup_key(f, dims["aircraft"], "tail_num", "TAIL_NUM", "AIRCRAFT_ID", "AIRCRAFT_ID"),
+        "JUNK_ID": lambda f: lookup_junk(f, dims["junk"]),
+    }
     f = flights
-    f = lookup_key(f, dims["fl_dates"], F.col("fl_date").cast("date"), "FL_DATE", "FL_DATE_ID", "FL_DATE_ID",
-                   bounded=True)
-    f = lookup_key(f, dims["dep_hours"], F.col("dep_hour").cast("int"), "DEP_HOUR", "DEP_HOUR_ID", "DEP_HOUR_ID",
-                   bounded=True)
-    f = lookup_key(f, dims["stations"], "origin", "AIRPORT_CODE", "STATION_ID", "ORIGIN_STATION_ID")
-    f = lookup_key(f, dims["stations"], "dest", "AIRPORT_CODE", "STATION_ID", "DEST_STATION_ID")
-    f = lookup_key(f, dims["carriers"], "mkt_unique_carrier", "CODE", "CARRIER_ID", "MKT_CARRIER_ID")
-    f = lookup_key(f, dims["carriers"], "op_unique_carrier", "CODE", "CARRIER_ID", "OP_CARRIER_ID")
-    f = lookup_key(f, dims["aircraft"], "tail_num", "TAIL_NUM", "AIRCRAFT_ID", "AIRCRAFT_ID")
-    f = lookup_junk(f, dims["junk"])
+    for k in FK_COLS:
+        if k in fks:
+            f = lookups[k](f)
     return f
 
 
 def build_fact(flights: DataFrame, dims: dict[str, DataFrame], order_cols: Sequence[str], load_ts=None,
-               measures: Sequence[str] | None = None, with_ids: bool = True, seq_col: str | None = None) -> DataFrame:
+               measures: Sequence[str] | None = None, with_ids: bool = True, seq_col: str | None = None,
+               fks: Sequence[str] = FK_COLS) -> DataFrame:
     """K7: 8 foreign keys + measures + dense FLIGHT_ID + load timestamp.
 
     ``with_ids=False`` returns the lazy fact without FLIGHT_ID: queries that
@@ -197,12 +212,15 @@ def build_fact(flights: DataFrame, dims: dict[str, DataFrame], order_cols: Seque
     needs, and Catalyst prunes the lookups they do not use.  ``seq_col`` names
     a dense sequence the flights already carry (assigned at the source, where
     the order is defined); it becomes FLIGHT_ID without another sort.
+    ``fks`` limits the lookups to the keys a query reads (lazy facts only;
+    the written fact always has all eight).
     """
-    f = fact_fk_lookups(flights, dims)
+    keys = [k for k in FK_COLS if k in fks] if not with_ids else list(FK_COLS)
+    f = fact_fk_lookups(flights, dims, keys)
     ms = [m for m in (measures or ENV_MEASURES + PERF_MEASURES) if m in flights.columns]
-    f = f.select(*([seq_col] if seq_col else []), *order_cols, *FK_COLS, *[F.col(m).alias(m.upper()) for m in ms])
+    f = f.select(*([seq_col] if seq_col else []), *order_cols, *keys, *[F.col(m).alias(m.upper()) for m in ms])
     if not with_ids:
-        return f.select(*FK_COLS, *[m.upper() for m in ms], _ts(load_ts).alias("LOAD_TIMESTAMP"))
+        return f.select(*keys, *[m.upper() for m in ms], _ts(load_ts).alias("LOAD_TIMESTAMP"))
     if seq_col is not None:
         f = f.withColumn("FLIGHT_ID", F.col(seq_col).cast("long")) if seq_col != "FLIGHT_ID" else f
     else:
@@ -224,7 +242,8 @@ def flight_key_summary(flights: DataFrame, date_col: str = "fl_date", hour_col:
 
 def build_warehouse(flights: DataFrame, stations: DataFrame, carriers: DataFrame, aircraft: DataFrame,
                     order_cols: Sequence[str], load_ts=None, fact_ids: bool = True,
-                    seq_col: str | None = None, key_source: DataFrame | None = None) -> dict[str, DataFrame]:
+                    seq_col: str | None = None, key_source: DataFrame | None = None,
+                    fks: Sequence[str] = FK_COLS) -> dict[str, DataFrame]:
     """K1-K7: the small dimensions come from one summary pass, the fact from one more.
 
     ``key_source`` may be a narrower frame with the flights' rows and their
@@ -240,7 +259,7 @@ def build_warehouse(flights: DataFrame, stations: DataFrame, carriers: DataFrame
         "aircraft": build_aircraft(aircraft, keys, load_ts=load_ts),
         "junk": build_junk(keys, load_ts=load_ts),
     }
-    fact = build_fact(flights, dims, order_cols, load_ts=load_ts, with_ids=fact_ids, seq_col=seq_col)
+    fact = build_fact(flights, dims, order_cols, load_ts=load_ts, with_ids=fact_ids, seq_col=seq_col, fks=fks)
     return {**dims, "fact": fact}
 
 

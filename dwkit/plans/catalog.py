@@ -49,12 +49,12 @@ def query(key: str):
 
 # ------------------------------------------------------------------ star (K, C5, C6, C9, D34, F1)
 
-def _star(spark: SparkSession, sf_dir: str, fact_ids: bool = True) -> dict[str, DataFrame]:
+def _star(spark: SparkSession, sf_dir: str, fact_ids: bool = True, fks=star.FK_COLS) -> dict[str, DataFrame]:
     flights = B.star_flights(spark, sf_dir, with_seq=fact_ids)
     return star.build_warehouse(flights, B.stations(spark, sf_dir), B.carriers(spark, sf_dir),
                                 B.aircraft(spark, sf_dir), B.LINEITEM_ORDER, load_ts=LOAD_TS, fact_ids=fact_ids,
                                 seq_col="flight_seq" if fact_ids else None,
-                                key_source=B.star_flight_keys(spark, sf_dir))
+                                key_source=B.star_flight_keys(spark, sf_dir), fks=fks)
 
 
 @query("K1_build_fl_dates")
@@ -110,7 +110,8 @@ def c6(spark, d):
 
 
 def _analytic(spark, d, fact_ids: bool = True):
-    w = _star(spark, d, fact_ids)
+    # a lazy fact (no ids) needs only the two keys the analysis reads
+    w = _star(spark, d, fact_ids, fks=star.FK_COLS if fact_ids else ["FL_DATE_ID", "ORIGIN_STATION_ID"])
     return kpi.star_analytic(w["fact"], w["stations"], w["fl_dates"])
 
 
@@ -678,7 +679,7 @@ def d33(spark, d):
 
 
 def _fact_reason(spark, d):
-    w = _star(spark, d, fact_ids=False)
+    w = _star(spark, d, fact_ids=False, fks=["FL_DATE_ID", "DEP_HOUR_ID", "JUNK_ID"])
     j = w["junk"].select("JUNK_ID", "CANCELLATION_REASON")
     dt = w["fl_dates"].select("FL_DATE_ID", "YEAR", "QUARTER", "MONTH", "DAY_OF_WEEK")
     return (w["fact"].join(F.broadcast(j), "JUNK_ID", "left").join(F.broadcast(dt), "FL_DATE_ID", "left"))
