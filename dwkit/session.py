@@ -39,6 +39,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -78,3 +79,32 @@ def materialize(df, tag: str = "table"):
     path = os.path.join(ensure_checkpoint_dir(spark), tag, uuid.uuid4().hex)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``dwkit`` importable in Python workers (``addPyFile`` of a zip of the package).
+
+    Arrow UDF tasks (fuzzy matching, isolation forest) unpickle functions that
+    live in this package; on a cluster the executors do not have it unless it
+    is shipped, exactly as ``spark-submit --py-files`` would.  Done once per
+    SparkContext.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="dwkit-pyfiles-"), "dwkit.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.join("dwkit", os.path.relpath(full, pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
