@@ -42,21 +42,29 @@ def main() -> None:
                              "spark.sql.files.maxPartitionBytes": str(64 << 20)})
     times = {}
     rows = {}
+    errors = {}
     for short, key in HEADLINE.items():
         fn = QUERIES[key]
         runs = []
-        for i in range(repeats + 1):
-            t0 = time.perf_counter()
-            df = fn(spark, sf_dir)
-            df.write.format("noop").mode("overwrite").save()
-            dt = time.perf_counter() - t0
-            if i > 0:
-                runs.append(dt)
-        times[short] = round(statistics.median(runs), 3)
-        rows[short] = fn(spark, sf_dir).count()
+        try:
+            for i in range(repeats + 1):
+                t0 = time.perf_counter()
+                df = fn(spark, sf_dir)
+                df.write.format("noop").mode("overwrite").save()
+                dt = time.perf_counter() - t0
+                if i > 0:
+                    runs.append(dt)
+            times[short] = round(statistics.median(runs), 3)
+            rows[short] = fn(spark, sf_dir).count()
+        except Exception as e:  # noqa: BLE001 - report the failure, keep the other timings
+            times[short] = None
+            errors[short] = f"{type(e).__name__}: {str(e)[:200]}"
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "headline_total_sec", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "rows": rows, "sf": sf, "cpus": cpus, "repeats": repeats}))
+    out = {"metric": "headline_total_sec", "value": round(sum(t for t in times.values() if t is not None), 3),
+           "unit": "sec", "queries": times, "rows": rows, "sf": sf, "cpus": cpus, "repeats": repeats}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
     spark.stop()
 
 
