@@ -78,9 +78,31 @@ def materialize(df, tag: str = "table"):
     spark = df.sparkSession
     path = os.path.join(ensure_checkpoint_dir(spark), tag, uuid.uuid4().hex)
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.append(path)
     return spark.read.parquet(path)
 
 
+_WRITTEN: list[str] = []
+
+
+def drop_materialized(spark: SparkSession) -> int:
+    """Delete the intermediate tables written by ``materialize`` in this process.
+
+    Frames returned by the operators read these tables lazily, so call this
+    only after the actions that use them have run.  Returns the number removed.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _WRITTEN:
+        p = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            fs.delete(p, True)
+            n += 1
+    return n
+
+
 _SHIPPED: set = set()
 
 

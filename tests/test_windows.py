@@ -108,3 +108,15 @@ def test_segmented_interpolation_equals_windows(spark):
     a = {r.id: r.v for r in W.interpolate_temporal(df, bounded=True, **unlimited).collect()}
     b = {r.id: r.v for r in W.interpolate_temporal(df, bounded=False, segment_rows=5, **unlimited).collect()}
     assert all((a[k] is None and b[k] is None) or abs(a[k] - b[k]) < 1e-9 for k in a)
+
+
+def test_drop_materialized(spark):
+    import os
+
+    from dwkit.session import _WRITTEN, drop_materialized, materialize
+
+    m = materialize(spark.range(10), "t")
+    assert m.count() == 10
+    path = _WRITTEN[-1]
+    assert drop_materialized(spark) >= 1 and not _WRITTEN
+    assert not os.path.exists(path.replace("file:", ""))
