@@ -48,9 +48,9 @@ def exact_quantiles(df: DataFrame, value: Column | str, qs: Sequence[float], gro
     lo = ranked.select(F.col("_qr").alias("r_lo"), F.col("_qv").alias("v_lo"))
     hi = ranked.select(F.col("_qr").alias("r_hi"), F.col("_qv").alias("v_hi"))
     picked = (small_side(need).join(lo, "r_lo").join(hi, "r_hi"))
-    frac = F.col("pos") - F.floor(F.col("pos"))
-    val = F.when(F.col("r_lo") == F.col("r_hi"), F.col("v_lo")).otherwise(
-        (1 - frac) * F.col("v_lo") + frac * F.col("v_hi"))
+    # same arithmetic as Spark's percentile aggregate, so both paths give the same double
+    val = F.when((F.col("r_lo") == F.col("r_hi")) | (F.col("v_lo") == F.col("v_hi")), F.col("v_lo")).otherwise(
+        (F.ceil(F.col("pos")) - F.col("pos")) * F.col("v_lo") + (F.col("pos") - F.floor(F.col("pos"))) * F.col("v_hi"))
     out = picked.groupBy(*group_cols).agg(*[F.max(F.when(F.col("i") == i, val)).alias(f"{prefix}{i}")
                                             for i in range(len(qs))])
     if not group_cols:

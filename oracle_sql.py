@@ -393,7 +393,13 @@ s6 AS (SELECT *, CASE WHEN coalesce(coalesce(status, 0) > 0 AND value > 0, FALSE
 a6 AS (SELECT 'fix_cancelled_air_time', 'value', CAST(event_id AS VARCHAR), CAST(value AS VARCHAR), CAST(n6 AS VARCHAR),
               'Cancelled flight -> air_time NULL' FROM s6 WHERE value IS DISTINCT FROM n6),
 t6 AS (SELECT * EXCLUDE (n6) REPLACE (n6 AS value) FROM s6),
-b7 AS (SELECT quantile_cont(value, 0.0) AS lo, quantile_cont(value, 0.99) AS hi FROM t6),
+b7s AS (SELECT list_sort(list(value) FILTER (WHERE value IS NOT NULL)) AS arr,
+                count(value) AS n, CAST(0.99 AS DOUBLE) * (count(value) - 1) AS pos FROM t6),
+b7 AS (SELECT arr[1] AS lo,
+              CASE WHEN floor(pos) = ceil(pos) OR arr[CAST(floor(pos) AS BIGINT) + 1] = arr[CAST(ceil(pos) AS BIGINT) + 1]
+                   THEN arr[CAST(floor(pos) AS BIGINT) + 1]
+                   ELSE (ceil(pos) - pos) * arr[CAST(floor(pos) AS BIGINT) + 1]
+                        + (pos - floor(pos)) * arr[CAST(ceil(pos) AS BIGINT) + 1] END AS hi FROM b7s),
 s7 AS (SELECT t6.*, CASE WHEN value IS NULL THEN NULL ELSE least(greatest(value, lo), hi) END AS n7 FROM t6, b7),
 a7 AS (SELECT 'winsorize_numeric', 'value', CAST(event_id AS VARCHAR), CAST(value AS VARCHAR), CAST(n7 AS VARCHAR),
               'Capped [0.0, 0.99]' FROM s7 WHERE value IS NOT NULL AND n7 <> value),
