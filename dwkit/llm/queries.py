@@ -58,3 +58,10 @@ def op10(spark, d):
     said = "</s>[INST] ok [/INST]"
     fixed = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     return chat_digests(format_chats(conversations.unionByName(fixed)))
+
+
+@query("op7_packing")
+def op7(spark, d):
+    from .packing import pack
+
+    return pack(documents(spark, d))
