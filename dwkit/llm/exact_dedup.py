@@ -71,7 +71,8 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     entries = materialize(keyed.select("id", "h", "digest", "sha"), "dedup-entries")
     groups = materialize(entries.groupBy("h", "digest").agg(F.min("id").alias("keep_id"), F.count("*").alias("group_size")),
                          "dedup-groups")
-    several = materialize(groups.where("group_size > 1").select("h", "digest"), "dedup-several")
+    # the same plan at every size: a merge join (Spark may still put a runtime filter before it)
+    several = groups.where("group_size > 1").select("h", "digest").hint("merge")
     members = keyed.join(several, ["h", "digest"], "left_semi")
     # equal bytes within a chain element <=> its smallest text is its largest
     differing = materialize(members.groupBy("h", "digest").agg(F.min("norm").alias("lo"), F.max("norm").alias("hi"))
