@@ -65,3 +65,17 @@ def op7(spark, d):
     from .packing import pack
 
     return pack(documents(spark, d))
+
+
+@query("op9_token_counts")
+def op9(spark, d):
+    from .token_counts import token_counts
+
+    return token_counts(documents(spark, d))
+
+
+@query("op4_pii")
+def op4(spark, d):
+    from .pii import find_pii
+
+    return find_pii(documents(spark, d))
