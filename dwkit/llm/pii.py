@@ -194,7 +194,7 @@ def calibrate(cells: list[dict], trees: list[tuple], precision: float = 0.9) ->
 def fit(candidates_table: DataFrame, column: str = "_candidates", **options) -> tuple[list[tuple], dict[int, float]]:
     """Trees and thresholds from the counts of all candidates (at most ``CELLS`` rows reach the driver)."""
     features = list(FEATURES)
-    each = candidates_table.select(F.explode(column).alias("c")).select("c.*")
+    each = candidates_table.select(F.explode(apart(F.col(column))).alias("c")).select("c.*")
     counts = each.groupBy("fold", *features).agg(F.count_if("good").alias("pos"), F.count_if(~F.col("good")).alias("neg"))
     rows = [r.asDict() for r in counts.orderBy("fold", *features).collect()]
     trees = boost([r for r in rows if r["fold"] == 0], **options)
@@ -211,21 +211,25 @@ def score(c: Column, trees: list[tuple]) -> Column:
     return total
 
 
+def apart(column: Column) -> Column:
+    """Base candidates, and the extra ones that don't overlap a passing base span."""
+    base = F.filter(column, lambda c: (c["kind"] < len(BASE)) & c["good"])
+    return F.filter(column, lambda c: (c["kind"] < len(BASE)) | ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+
+
 def chosen(column: Column, model: tuple[list[tuple], dict[int, float]]) -> Column:
     """Base spans that pass, and the extra candidates apart from them that the trees select; by
     start, then kind."""
     trees, thresholds = model
 
-    base = F.filter(column, lambda c: (c["kind"] < len(BASE)) & c["good"])
 
     def keep(c):
         extra = F.lit(False)
         for k, t in thresholds.items():
             extra = extra | (c["kind"] == k) & (score(c, trees) >= t)
-        fresh = ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
-        return F.when(c["kind"] < len(BASE), c["good"]).otherwise(extra & fresh)
+        return F.when(c["kind"] < len(BASE), c["good"]).otherwise(extra)
 
-    narrow = F.transform(F.filter(column, keep), lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end")))
+    narrow = F.transform(F.filter(apart(column), keep), lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end")))
     return F.array_sort(narrow)
 
 
