@@ -79,3 +79,10 @@ def op4(spark, d):
     from .pii import find_pii
 
     return find_pii(documents(spark, d))
+
+
+@query("op3_imatch")
+def op3(spark, d):
+    from .imatch import edited_fingerprints
+
+    return edited_fingerprints(documents(spark, d))
