@@ -86,3 +86,10 @@ def op3(spark, d):
     from .imatch import edited_fingerprints
 
     return edited_fingerprints(documents(spark, d))
+
+
+@query("op1_toxicity_nnpu")
+def op1(spark, d):
+    from .toxicity import score_toxicity
+
+    return score_toxicity(documents(spark, d), spark.read.parquet(f"{d}/labels.parquet"))
