@@ -93,3 +93,10 @@ def op1(spark, d):
     from .toxicity import score_toxicity
 
     return score_toxicity(documents(spark, d), spark.read.parquet(f"{d}/labels.parquet"))
+
+
+@query("op6_minhash_hamming")
+def op6(spark, d):
+    from .minhash import near_duplicates
+
+    return near_duplicates(documents(spark, d), words=4)
