@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from . import shingles as S
+from .bitmaps import Bitmap
 
 DISTANCE = 23
 TILE = 256            # members of a bucket that are compared with each other in one tile
@@ -99,25 +100,14 @@ def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _id_filter(ids: DataFrame, column: str):
-    """Predicate that all ``ids`` pass and most others don't: a bitmap of FILTER_BITS bits."""
-    maps = ids.groupBy(F.expr(f"bitmap_bucket_number(pmod(xxhash64({column}), {FILTER_BITS}))").alias("part")).agg(
-        F.expr(f"bitmap_construct_agg(bitmap_bit_position(pmod(xxhash64({column}), {FILTER_BITS})))").alias("bits"))
-    bits = np.zeros(FILTER_BITS // 8 + 8192, dtype=np.uint8)
-    for r in maps.collect():  # at most FILTER_BITS / 32768 + 1 rows of 4 KB
-        part = np.frombuffer(bytes(r["bits"]), dtype=np.uint8)
-        at = (r["part"] - 1) * 4096
-        bits[at:at + len(part)] |= part
-    shared = ids.sparkSession.sparkContext.broadcast(bits)
+    """Predicate that all ``ids`` pass and most others don't."""
+    bitmap = Bitmap(ids.select(F.xxhash64(column).alias("h")), "h", FILTER_BITS)
 
     @F.pandas_udf("boolean")
-    def passes(where: pd.Series) -> pd.Series:
-        # bucket k holds the values (k - 1) * 32768 + 1 .. k * 32768, bucket 0 the value 0 alone
-        w = where.to_numpy(dtype=np.int64)
-        part, pos = (w - 1) // 32768 + 1, (w - 1) % 32768
-        byte = np.where(w > 0, (part - 1) * 4096 + pos // 8, len(shared.value) - 1)
-        return pd.Series((w == 0) | ((shared.value[byte] >> (pos % 8).astype(np.uint8)) & 1).astype(bool))
-
-    return lambda c: passes(F.pmod(F.xxhash64(c), F.lit(FILTER_BITS)))
+    def passes(hashes: pd.Series) -> pd.Series:
+        return pd.Series(bitmap.may_contain(hashes.to_numpy(dtype=np.int64)))
+
+    return lambda c: passes(F.xxhash64(c))
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:

@@ -100,3 +100,10 @@ def op6(spark, d):
     from .minhash import near_duplicates
 
     return near_duplicates(documents(spark, d), words=4)
+
+
+@query("op8_previous_factors")
+def op8(spark, d):
+    from .repeats import remove_repeats
+
+    return remove_repeats(documents(spark, d))
