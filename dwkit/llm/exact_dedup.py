@@ -20,6 +20,7 @@ import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..session import materialize
 
@@ -111,13 +112,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without later copies, same columns; rows that repeat id and text leave one."""
-    marks = exact_dedup(docs, id_col, text_col, **options).where("kept")
-    marks = marks.groupBy(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha")).agg(F.count("*").alias("_n"))
-    rows = docs.withColumn("_sha", F.sha2(normalised(F.col(f"`{text_col}`")), 256)).withColumnRenamed(id_col, "_id")
-    on = F.col("d._id").eqNullSafe(F.col("m._id")) & (F.col("d._sha") == F.col("m._sha"))
-    marked = rows.alias("d").join(marks.alias("m"), on).select("d.*", "m._n")
-    names = ["_id" if c == id_col else c for c in docs.columns]
-    one = marked.where("_n = 1").select(*[F.col(f"`{c}`") for c in names])
-    more = marked.where("_n > 1").dropDuplicates(["_id", "_sha"]).select(*[F.col(f"`{c}`") for c in names])
-    return one.unionByName(more).withColumnRenamed("_id", id_col)
+    """``docs`` without later copies, same columns; of rows that repeat id and text one stays."""
+    kept = exact_dedup(docs, id_col, text_col, **options).where("kept").select(F.col(id_col).alias("id"), F.col("text_sha256").alias("sha")).distinct()
+    names = docs.columns
+    rows = docs.toDF(*[f"_c{i}" for i in range(len(names))])
+    i, text = F.col(f"_c{names.index(id_col)}"), F.col(f"_c{names.index(text_col)}")
+    rows = rows.withColumn("_sha", F.sha2(normalised(text), 256))
+    rows = rows.join(kept.hint("merge"), i.eqNullSafe(F.col("id")) & (F.col("_sha") == F.col("sha")), "left_semi")
+    once = Window.partitionBy(i, "_sha").orderBy("_sha")
+    rows = rows.withColumn("_copy", F.row_number().over(once)).where("_copy = 1").drop("_copy", "_sha")
+    return rows.toDF(*names)

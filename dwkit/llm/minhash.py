@@ -26,6 +26,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..session import materialize
 from . import shingles as S
@@ -39,7 +40,7 @@ SLOTS = S.SYMBOLS     # keys of a signature: one for each symbol that is left ou
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """id, n (set size), s1, s2 (digest of the set), sig per row."""
+    """id, t (hash of the text), n (set size), s1, s2 (digest of the set), sig per row."""
     def run(batches):
         for pdf in batches:
             rows = []
@@ -51,11 +52,13 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataF
                 digest = np.frombuffer(xxhash.xxh3_128_digest(found.tobytes()), dtype=np.int64)
                 rows.append((len(found), int(digest[0]), int(digest[1]), S.signature(found).tobytes()))
             out = pd.DataFrame(rows, columns=["n", "s1", "s2", "sig"], index=pdf.index)
+            out.insert(0, "t", pdf["t"])
             out.insert(0, "id", pdf["id"])
             yield out
 
-    narrow = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    return narrow.mapInPandas(run, f"id {narrow.schema['id'].dataType.simpleString()}, n bigint, s1 bigint, s2 bigint, sig binary")
+    text = F.col(f"`{text_col}`")
+    narrow = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("t"), text.alias("text"))
+    return narrow.mapInPandas(run, f"id {narrow.schema['id'].dataType.simpleString()}, t bigint, n bigint, s1 bigint, s2 bigint, sig binary")
 
 
 def _symbols(sigs) -> np.ndarray:
@@ -231,15 +234,8 @@ def _across(members: DataFrame, comp: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.mapInPandas(run, f"a {kind}, b {kind}")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """id, n_shingles, component_id, kept per row.
-
-    Two texts are linked when 100 * common >= percent * all of their distinct word shingles.  component_id is
-    the smallest id reachable over links, kept says that it is the row's own.  Texts without words
-    (null, empty) have no shingles and link with nothing.  Rows that repeat id and text are all
-    marked alike; texts that come with null ids only are not linked and keep a null component.  Other
-    columns are not read; no rows give no rows.
-    """
+def _marked(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
+    """id, t, n, component, kept per row."""
     rows = materialize(signatures(docs, id_col, text_col, words), "near-signatures")
     real = rows.where("n > 0")
     sets = real.groupBy("s1", "s2").agg(F.min("id").alias("rep"), F.first("sig").alias("sig"))
@@ -265,12 +261,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of_set = sets.select("s1", "s2", "rep").join(comp, "rep", "left").select("s1", "s2", F.coalesce("c", "rep").alias("c"))
     marked = rows.join(of_set, ["s1", "s2"], "left")
     component = F.when(F.col("n") > 0, F.col("c")).otherwise(F.col("id"))
-    return marked.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
-                         F.col("id").eqNullSafe(component).alias("kept"))
+    return marked.select("id", "t", "n", component.alias("component"), F.col("id").eqNullSafe(component).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+    """id, n_shingles, component_id, kept per row.
+
+    Two texts are linked when 100 * common >= percent * all of their distinct word shingles.  component_id is
+    the smallest id reachable over links, kept says that it is the row's own.  Texts without words
+    (null, empty) have no shingles and link with nothing.  Rows that repeat id and text are all
+    marked alike; texts that come with null ids only are not linked and keep a null component.  Other
+    columns are not read; no rows give no rows.
+    """
+    return _marked(docs, id_col, text_col, words, percent).select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "kept")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one row of each component, same columns.  Rows without an id stay."""
-    kept = near_duplicates(docs, id_col, text_col, words, percent).where("kept").select(id_col).where(F.col(id_col).isNotNull()).distinct()
-    named = docs.join(kept, id_col, "left_semi").dropDuplicates([id_col]).select(*docs.columns)
-    return named.unionByName(docs.where(F.col(f"`{id_col}`").isNull()))
+    """``docs`` with one document of each component, same columns; of rows that repeat id and text
+    one stays."""
+    kept = _marked(docs, id_col, text_col, words, percent).where("kept").select("id", "t").distinct()
+    names = docs.columns
+    rows = docs.toDF(*[f"_c{i}" for i in range(len(names))])
+    i, t = F.col(f"_c{names.index(id_col)}"), F.xxhash64(F.col(f"_c{names.index(text_col)}"))
+    rows = rows.withColumn("_t", t).join(kept.hint("merge"), i.eqNullSafe(F.col("id")) & (F.col("_t") == F.col("t")), "left_semi")
+    once = Window.partitionBy(i, "_t").orderBy("_t")
+    rows = rows.withColumn("_copy", F.row_number().over(once)).where("_copy = 1").drop("_copy", "_t")
+    return rows.toDF(*names)
