@@ -11,8 +11,8 @@ toxic ones) train a linear classifier in numpy:
   it, which keeps a flexible model from fitting the unlabelled texts away.
 * The bias is set last, so that the mean score of U is the prior.
 
-The sample that the driver fits is bounded by ``max_positive`` and ``max_unlabelled`` documents
-(their feature hashes only); the prior comes from counts over all labels.  Scoring covers every whole
+The sample that the driver fits is bounded by ``max_positive`` and ``max_unlabelled`` documents (of
+each only which of at most ``MAX_FEATURES`` features it has); the prior comes from counts over all labels.  Scoring covers every whole
 text in one pass without a shuffle.
 """
 
@@ -27,6 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .byte_bpe import Memo
 
 MAX_POSITIVE = 3000
@@ -48,8 +49,9 @@ def is_held_out(id_col):
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def sample_features(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> pd.DataFrame:
-    """(positive, features) of the sampled documents; ``ids`` is bounded by the sample sizes."""
+def sample_features(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(key, positive, features) of the sampled documents, one row per distinct text (confirmed if any
+    of its copies is), written once."""
     def run(batches):
         memo = Memo(word_features, 200_000)
         for pdf in batches:
@@ -59,53 +61,45 @@ def sample_features(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str)
 
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).join(F.broadcast(ids), "id")
     rows = rows.select(F.xxhash64("text").alias("key"), "text", "positive")
-    got = rows.mapInPandas(run, "key bigint, positive boolean, features array<bigint>").toPandas()
-    # copies of one text are one example, confirmed if any copy is
-    return got.sort_values(["key", "positive"], ascending=[True, False]).drop_duplicates("key")
-
-
-def fit_nnpu(positive: list, unlabelled: list, prior: float, rounds: int = 600, rate: float = 0.1, ridge: float = 1e-4,
-             least_z: float = 4.0) -> tuple[dict[int, float], float]:
-    """Weights by feature hash and the bias, from lists of unique feature hashes per text."""
-    n_p, n_u = len(positive), len(unlabelled)
-    if not n_p or not n_u:
-        return {}, float("-inf") if not n_p else 0.0
-    flat_p, flat_u = np.concatenate(positive), np.concatenate(unlabelled)
-    found, where = np.unique(np.concatenate([flat_p, flat_u]), return_inverse=True)
-    p = np.bincount(where[:len(flat_p)], minlength=len(found)) / n_p
-    u = np.bincount(where[len(flat_p):], minlength=len(found)) / n_u
-    n = np.clip((u - prior * p) / (1 - prior), 0, 1)
-    noise = np.sqrt((p * (1 - p) + 1 / n_p) / n_p + (u * (1 - u) + 1 / n_u) / n_u / (1 - prior) ** 2)
-    z = np.abs(p - n) / noise
-    best = np.argsort(-z, kind="stable")[:MAX_FEATURES]
-    kept = np.sort(found[best[z[best] >= least_z]])
-    texts = positive + unlabelled
-    sizes = np.fromiter(map(len, texts), dtype=np.int64)
-    flat, row = np.concatenate([flat_p, flat_u]), np.repeat(np.arange(len(texts)), sizes)
-    at = np.searchsorted(kept, flat) if len(kept) else np.zeros(len(flat), dtype=np.int64)
-    hit = (kept[np.minimum(at, len(kept) - 1)] == flat) if len(kept) else np.zeros(len(flat), dtype=bool)
-    row, at = row[hit], at[hit]
-    is_p = np.arange(len(texts)) < n_p
-    w, b = np.zeros(len(kept)), float(np.log(prior / (1 - prior)))
-    m, v = np.zeros(len(kept) + 1), np.zeros(len(kept) + 1)
+    rows = rows.mapInPandas(run, "key bigint, positive boolean, features array<bigint>")
+    return materialize(rows.groupBy("key").agg(F.bool_or("positive").alias("positive"), F.first("features").alias("features")), "toxicity-sample")
+
+
+def select_features(sample: DataFrame, n_p: int, n_u: int, prior: float, least_z: float = 4.0) -> list[int]:
+    """The at most MAX_FEATURES features whose shares in P and in the negatives differ most surely."""
+    counts = sample.select("positive", F.explode("features").alias("f")).groupBy("f").agg(
+        F.count_if("positive").alias("k_p"), F.count_if(~F.col("positive")).alias("k_u"))
+    p, u = F.col("k_p") / n_p, F.col("k_u") / n_u
+    n = F.least(F.greatest((u - prior * p) / (1 - prior), F.lit(0.0)), F.lit(1.0))
+    noise = F.sqrt((p * (1 - p) + 1 / n_p) / n_p + (u * (1 - u) + 1 / n_u) / n_u / (1 - prior) ** 2)
+    ranked = counts.select("f", (F.abs(p - n) / noise).alias("z")).where(F.col("z") >= least_z)
+    return sorted(r["f"] for r in ranked.orderBy(F.col("z").desc(), "f").limit(MAX_FEATURES).collect())
+
+
+def fit_nnpu(rows: np.ndarray, columns: np.ndarray, is_p: np.ndarray, n_features: int, prior: float, rounds: int = 600,
+             rate: float = 0.1, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
+    """Weights and bias for a sparse 0/1 matrix (``rows``, ``columns`` of its ones); ``is_p`` marks P."""
+    n, n_p, n_u = len(is_p), int(is_p.sum()), int((~is_p).sum())
+    w, b = np.zeros(n_features), float(np.log(prior / (1 - prior)))
+    m, v = np.zeros(n_features + 1), np.zeros(n_features + 1)
     for t in range(1, rounds + 1):
-        x = np.bincount(row, weights=w[at], minlength=len(texts)) + b
+        x = np.bincount(rows, weights=w[columns], minlength=n) + b
         prob = 1 / (1 + np.exp(-np.clip(x, -30, 30)))
         minus = np.logaddexp(0, x)                    # loss of calling it negative
         corrected = minus[~is_p].mean() - prior * minus[is_p].mean()
         as_positive = np.where(is_p, prior * (prob - 1) / n_p, 0)
         as_negative = np.where(is_p, -prior * prob / n_p, prob / n_u)
         g = as_positive + as_negative if corrected >= 0 else -as_negative
-        grad = np.append(np.bincount(at, weights=g[row], minlength=len(kept)) + ridge * w, g.sum())
+        grad = np.append(np.bincount(columns, weights=g[rows], minlength=n_features) + ridge * w, g.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
         step = rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
         w, b = w - step[:-1], b - step[-1]
     # the bias at which the unlabelled texts hold the share of toxic ones that they are known to hold
-    x, low, high = np.bincount(row, weights=w[at], minlength=len(texts))[~is_p], -30.0, 30.0
+    x, low, high = np.bincount(rows, weights=w[columns], minlength=n)[~is_p], -30.0, 30.0
     for _ in range(60):
         b = (low + high) / 2
         low, high = (b, high) if (1 / (1 + np.exp(-np.clip(x + b, -30, 30)))).mean() < prior else (low, b)
-    return dict(zip(kept.tolist(), w.tolist())), float(b)
+    return w, float(b)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", toxic_col: str = "toxic",
@@ -125,11 +119,29 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def some(kind: int, most: int) -> DataFrame:
         return status.where(F.col("kind") == kind).distinct().orderBy(F.xxhash64("id"), "id").limit(most).select("id", F.lit(kind == 2).alias("positive"))
 
-    got = sample_features(docs, some(2, max_positive).unionByName(some(1, max_unlabelled)), id_col, text_col)
-    unlabelled = list(got.features[~got.positive])
-    if not unlabelled:
-        unlabelled = list(sample_features(docs, some(0, max_unlabelled), id_col, text_col).features) + list(got.features)
-    return fit_nnpu(list(got.features[got.positive]), unlabelled, min(prior, 0.9), **options)
+    sample = sample_features(docs, some(2, max_positive).unionByName(some(1, max_unlabelled)), id_col, text_col)
+    sizes = {r["positive"]: r["n"] for r in sample.groupBy("positive").agg(F.count("*").alias("n")).collect()}
+    if False not in sizes:
+        others = sample_features(docs, some(0, max_unlabelled), id_col, text_col)
+        sample = sample.unionByName(others.join(sample.select("key"), "key", "left_anti"))
+        sizes = {r["positive"]: r["n"] for r in sample.groupBy("positive").agg(F.count("*").alias("n")).collect()}
+    if not sizes.get(True) or not sizes.get(False):
+        return {}, float("-inf")
+    prior = min(prior, 0.9)
+    kept = select_features(sample, sizes[True], sizes[False], prior)
+
+    def narrow(batches):
+        wanted = np.array(kept, dtype=np.int64)
+        for pdf in batches:
+            at = [np.flatnonzero(np.isin(wanted, x)).astype(np.int64) for x in pdf["features"]]
+            yield pd.DataFrame({"key": pdf["key"], "positive": pdf["positive"], "at": pd.Series(at, index=pdf.index, dtype=object)})
+
+    got = sample.mapInPandas(narrow, "key bigint, positive boolean, at array<bigint>").toPandas().sort_values("key")
+    ones = [np.asarray(x, dtype=np.int64) for x in got["at"]]
+    rows = np.repeat(np.arange(len(got)), [len(x) for x in ones])
+    columns = np.concatenate(ones) if ones else np.empty(0, dtype=np.int64)
+    w, b = fit_nnpu(rows, columns, got["positive"].to_numpy(dtype=bool), len(kept), prior, **options)
+    return dict(zip(kept, w.tolist())), b
 
 
 def scores(docs: DataFrame, model: tuple[dict[int, float], float], text_col: str = "text"):
