@@ -59,17 +59,28 @@ def standardize_string(col, strip_ws: bool = True, title: bool = False, upper: b
 
 # ---------------------------------------------------------------- dates (B2)
 
-def parse_date(col, formats: Sequence[str] = ("yyyy-MM-dd",)) -> Column:
+#: Text forms of a date or date-time that are understood, first match wins.
+DATE_FORMATS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSSSSSSSS", "yyyy-MM-dd HH:mm",
+                "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSSSS", "yyyy-MM-dd'T'HH:mm", "yyyy-MM-dd'T'HH:mm:ssXXX",
+                "yyyy/MM/dd", "MM/dd/yyyy", "MM/dd/yyyy HH:mm:ss")
+
+
+def parse_timestamp(col, formats: Sequence[str] = DATE_FORMATS) -> Column:
+    """Lenient parse of text, a date or a timestamp (whose text form has its fraction) to a timestamp."""
+    c = F.trim(_c(col).cast("string"))
+    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
+
+
+def parse_date(col, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """B2: lenient parse to DATE; text that parses with none of the formats is null."""
-    c = _c(col).cast("string")
-    return F.coalesce(*[F.to_date(F.try_to_timestamp(c, F.lit(f))) for f in formats])
+    return F.to_date(parse_timestamp(col, formats))
 
 
 def format_date(col, fmt: str = "yyyy-MM-dd") -> Column:
     return F.date_format(_c(col), fmt)
 
 
-def parse_and_format_date(col, formats: Sequence[str] = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss"),
+def parse_and_format_date(col, formats: Sequence[str] = DATE_FORMATS,
                           out_fmt: str = "yyyy-MM-dd") -> Column:
     """B2 as in the reference: re-format parsable text, bad text becomes null."""
     return format_date(parse_date(col, formats), out_fmt)

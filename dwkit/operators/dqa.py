@@ -15,6 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.exprs import parse_timestamp
 from ..functions.rules import TableRules, compile_consistency, validity_invalid
 
 DIMENSIONS = ["Completeness", "Uniqueness", "Validity", "Consistency", "Timeliness", "Accuracy"]
@@ -44,8 +45,7 @@ def timeliness_flags(ts: Column, as_of: str, max_age_days: int, allow_future: bo
 
 
 def _parse_ts(c: Column) -> Column:
-    s = c.cast("string")
-    return F.coalesce(F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH:mm:ss")), F.try_to_timestamp(s, F.lit("yyyy-MM-dd")))
+    return parse_timestamp(c)
 
 
 def quality_counters(df: DataFrame, rules: TableRules, refs: Mapping[str, DataFrame] | None = None,

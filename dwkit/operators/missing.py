@@ -1,9 +1,8 @@
 """Missingness statistics.
 
-Correlations are computed from sums (``try_divide``: a constant column gives
-null instead of an ANSI divide-by-zero error).  Test statistics are computed
-by aggregates; only the final p-value of a (statistic, dof) pair is evaluated
-on the driver.
+Correlations come from merged co-moments or from whole counts; a constant column gives
+null.  Test statistics are aggregates; only the final p-value of a (statistic, dof) pair is
+evaluated on the driver.
 """
 
 from __future__ import annotations
@@ -17,34 +16,36 @@ from pyspark.sql import functions as F
 from .quantiles import quantile_row
 
 
-def pearson_from_sums(n: Column, sx: Column, sy: Column, sxx: Column, syy: Column, sxy: Column) -> Column:
-    num = n * sxy - sx * sy
-    den = F.sqrt((n * sxx - sx * sx) * (n * syy - sy * sy))
-    return F.try_divide(num, F.when(den > 0, den))
-
-
-def _sums(x: Column, y: Column, tag: str) -> list[Column]:
-    x, y = x.cast("double"), y.cast("double")
-    return [F.sum(x).alias(f"{tag}_sx"), F.sum(y).alias(f"{tag}_sy"), F.sum(x * x).alias(f"{tag}_sxx"),
-            F.sum(y * y).alias(f"{tag}_syy"), F.sum(x * y).alias(f"{tag}_sxy")]
-
-
-def _corr(tag: str) -> Column:
-    return pearson_from_sums(F.col("_n").cast("double"), F.col(f"{tag}_sx"), F.col(f"{tag}_sy"),
-                             F.col(f"{tag}_sxx"), F.col(f"{tag}_syy"), F.col(f"{tag}_sxy"))
+def _pearson(x: Column, y: Column) -> Column:
+    """Pearson correlation from merged co-moments (no cancellation on large magnitudes); null when
+    either side is constant."""
+    r = F.corr(x.cast("double"), y.cast("double"))
+    return F.when(~F.isnan(r), r)
 
 
 def comissing_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of the null indicators of ``cols`` (all ordered pairs)."""
-    ind = {c: F.col(c).isNull().cast("double") for c in cols}
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    pairs = [(a, b) for a in cols for b in cols]
-    for i, (a, b) in enumerate(pairs):
-        aggs += _sums(ind[a], ind[b], f"p{i}")
-    row = df.agg(*aggs)
-    items = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), _corr(f"p{i}").alias("corr"))
-             for i, (a, b) in enumerate(pairs)]
-    return row.select(F.explode(F.array(*items)).alias("s")).select("s.*")
+    """Pearson correlation of the null indicators of ``cols`` (all ordered pairs).
+
+    Rows are counted by the set of columns that are null in them (partial aggregation), and only the
+    pairs inside those sets are counted further.  The counts are whole numbers, so the
+    correlation (n n_ab - n_a n_b) / sqrt(n_a (n - n_a) n_b (n - n_b)) has no cancellation.
+    """
+    cols = list(cols)
+    absent = F.array_compact(F.array(*[F.when(F.col(f"`{c}`").isNull(), F.lit(i)) for i, c in enumerate(cols)]))
+    sets = df.groupBy(absent.alias("absent")).agg(F.count(F.lit(1)).alias("n"))
+    total = sets.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_all"))
+    single = sets.select("absent", "n", F.explode("absent").alias("i"))
+    both = single.select("i", "n", F.explode("absent").alias("j")).groupBy("i", "j").agg(F.sum("n").alias("n_ab"))
+    names = F.array(*[F.lit(c) for c in cols])
+    every = total.select("n_all", F.explode(F.sequence(F.lit(0), F.lit(len(cols) - 1))).alias("i")) \
+        .withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(len(cols) - 1))))
+    alone = both.where("i = j")
+    pairs = (every.join(both, ["i", "j"], "left").join(alone.select("i", F.col("n_ab").alias("n_a")), "i", "left")
+             .join(alone.select("j", F.col("n_ab").alias("n_b")), "j", "left").fillna(0, ["n_ab", "n_a", "n_b"]))
+    n, n_a, n_b = (F.col(c).cast("double") for c in ("n_all", "n_a", "n_b"))
+    spread = F.sqrt(n_a * (n - n_a)) * F.sqrt(n_b * (n - n_b))
+    corr = F.when(spread > 0, (n * F.col("n_ab") - n_a * n_b) / spread)
+    return pairs.select(F.get(names, F.col("i")).alias("col_a"), F.get(names, F.col("j")).alias("col_b"), corr.alias("corr"))
 
 
 def columns_with_missing(df: DataFrame) -> list[str]:
@@ -58,17 +59,14 @@ def missing_correlation(df: DataFrame, target: str, features: Sequence[str]) ->
     meds = quantile_row(df, {f"_med{i}": (f, 0.5) for i, f in enumerate(features)})
     work = df.crossJoin(F.broadcast(meds))
     flag = F.col(target).isNull().cast("double")
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    for i, f in enumerate(features):
-        aggs += _sums(flag, F.coalesce(F.col(f).cast("double"), F.col(f"_med{i}")), f"f{i}")
-    row = work.agg(*aggs)
-    items = [F.struct(F.lit(f).alias("feature"), F.round(_corr(f"f{i}"), 4).alias("correlation_with_missingness"))
+    row = work.agg(*[_pearson(flag, F.coalesce(F.col(f).cast("double"), F.col(f"_med{i}"))).alias(f"_r{i}") for i, f in enumerate(features)])
+    items = [F.struct(F.lit(f).alias("feature"), F.round(F.col(f"_r{i}"), 4).alias("correlation_with_missingness"))
              for i, f in enumerate(features)]
     return (row.select(F.explode(F.array(*items)).alias("s")).select("s.*")
                .orderBy(F.abs(F.col("correlation_with_missingness")).desc_nulls_last()))
 
 
-def chi2_statistic(df: DataFrame, target: str, group: str) -> DataFrame:
+def chi2_statistic(df: DataFrame, target: str, group: str, digits: int | None = 4) -> DataFrame:
     """D22 statistic: contingency of (group, null flag) with the null group as "MISSING".
 
     One row per group carries both cells (no cross product of categories);
@@ -88,116 +86,115 @@ def chi2_statistic(df: DataFrame, target: str, group: str) -> DataFrame:
         diff = F.abs(F.col(f"_o{j}") - e)
         adj = F.when(F.col("_dof") == 1, F.greatest(diff - F.least(F.lit(0.5), diff), F.lit(0.0))).otherwise(diff)
         terms.append(F.when((F.col(f"_c{j}") > 0) & (e > 0), adj * adj / e).otherwise(F.lit(0.0)))
-    return w.agg(F.round(F.coalesce(F.sum(terms[0] + terms[1]), F.lit(0.0)), 4).alias("chi2"),
-                 F.first("_dof").cast("long").alias("dof"))
+    chi2 = F.coalesce(F.sum(terms[0] + terms[1]), F.lit(0.0))
+    return w.agg((F.round(chi2, digits) if digits is not None else chi2).alias("chi2"), F.first("_dof").cast("long").alias("dof"))
 
 
 def chi2_sf(x: float, dof: int) -> float:
-    """Upper tail of the chi-square distribution: Q(dof/2, x/2) (series / continued fraction)."""
-    if dof <= 0:
-        return 1.0
-    if x <= 0:
+    """Upper tail of the chi-square distribution, Q(dof / 2, x / 2).
+
+    Up to LARGE_DOF degrees the series (or the continued fraction) runs until it converges, which takes
+    a few times sqrt(dof) terms; beyond, the cube-root normal approximation is as exact as the result shown.
+    """
+    if dof <= 0 or x <= 0:
         return 1.0
+    if dof > LARGE_DOF:
+        v = 2.0 / (9.0 * dof)
+        return 0.5 * math.erfc(((x / dof) ** (1.0 / 3.0) - (1.0 - v)) / math.sqrt(2.0 * v))
     a, z = dof / 2.0, x / 2.0
-    gln = math.lgamma(a)
+    front = math.exp(-z + a * math.log(z) - math.lgamma(a))
     if z < a + 1:
-        term = total = 1.0 / a
-        ap = a
-        for _ in range(10000):
-            ap += 1
-            term *= z / ap
+        total = term = 1.0 / a
+        k = a
+        while abs(term) > abs(total) * 1e-16:
+            k += 1
+            term *= z / k
             total += term
-            if abs(term) < abs(total) * 1e-15:
-                break
-        return max(0.0, 1.0 - total * math.exp(-z + a * math.log(z) - gln))
-    b = z + 1 - a
-    c = 1.0 / 1e-300
-    d = 1.0 / b
-    h = d
-    for i in range(1, 10000):
-        an = -i * (i - a)
-        b += 2
-        d = an * d + b
-        d = 1e-300 if abs(d) < 1e-300 else d
-        c = b + an / c
-        c = 1e-300 if abs(c) < 1e-300 else c
-        d = 1.0 / d
-        delta = d * c
-        h *= delta
-        if abs(delta - 1) < 1e-15:
-            break
-    return math.exp(-z + a * math.log(z) - gln) * h
+        return max(0.0, 1.0 - total * front)
+    tiny, b = 1e-300, z + 1 - a
+    c, d = 1.0 / tiny, 1.0 / b
+    h, i, step = d, 0, 0.0
+    while abs(step - 1) > 1e-15:
+        i += 1
+        an, b = i * (a - i), b + 2
+        d = 1.0 / (an * d + b or tiny)
+        c = b + an / c or tiny
+        step = c * d
+        h *= step
+    return front * h
+
+
+LARGE_DOF = 100_000
+# Labels of the test results.
+STARS = ((0.001, "***"), (0.01, "**"), (0.05, "*"))
+REJECTED, KEPT = "Reject MCAR (MAR evidence)", "Cannot reject MCAR"
+STRONG, WEAK = "MAR evidence (missingness predictable)", "Weak MAR signal"
 
 
 def mcar_chi2_test(df: DataFrame, target: str, group: str) -> dict:
-    """chi2, p-value, dof, stars and verdict at 0.05."""
-    r = chi2_statistic(df, target, group).first()
-    chi2, dof = float(r["chi2"]), int(r["dof"])
-    p = chi2_sf(chi2, dof)
-    stars = "***" if p < 0.001 else ("**" if p < 0.01 else ("*" if p < 0.05 else "ns"))
-    return {"chi2": round(chi2, 4), "p_value": round(p, 6), "dof": dof, "significance": stars,
-            "verdict": "Reject MCAR (MAR evidence)" if p < 0.05 else "Cannot reject MCAR"}
+    """chi2, p-value (from the unrounded statistic), dof, stars and verdict at 0.05."""
+    found = chi2_statistic(df, target, group, digits=None).first()
+    p = chi2_sf(float(found["chi2"]), int(found["dof"]))
+    return {"chi2": round(float(found["chi2"]), 4), "p_value": round(p, 6), "dof": int(found["dof"]),
+            "significance": next((mark for level, mark in STARS if p < level), "ns"),
+            "verdict": REJECTED if p < STARS[-1][0] else KEPT}
 
 
-def mar_logistic_test(df: DataFrame, target: str, predictors: Sequence[str], min_missing: int = 10) -> dict:
-    """Logistic fit of the null flag on median-filled predictors; McFadden R2.
-
-    The fit is MLlib ``LogisticRegression`` (no regularisation); scaling does
-    not change the likelihood, so predictors are only median-filled.
-    """
+def _null_model_gain(df: DataFrame, target: str, predictors: Sequence[str]) -> float | None:
+    """McFadden R2 of a logistic model of the null flag; None when the flag is constant."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
-    avail = [c for c in predictors if c in df.columns]
-    if not avail or target not in df.columns:
+    medians = quantile_row(df, {f"_m{i}": (c, 0.5) for i, c in enumerate(predictors)})
+    inputs = [F.coalesce(F.col(c).cast("double"), F.col(f"_m{i}")).alias(f"x{i}") for i, c in enumerate(predictors)]
+    rows = df.crossJoin(F.broadcast(medians)).select(F.col(target).isNull().cast("double").alias("label"), *inputs)
+    data = VectorAssembler(inputCols=[f"x{i}" for i in range(len(predictors))], outputCol="features").transform(rows)
+    model = LogisticRegression(regParam=0.0, maxIter=100, tol=1e-10).fit(data)
+    margin = vector_to_array("rawPrediction")[1]
+    # log-likelihood from the margin m: y m - log(1 + e^m), written so that nothing overflows
+    soft = F.greatest(margin, F.lit(0.0)) + F.log1p(F.exp(-F.abs(margin)))
+    got = model.transform(data).agg(F.sum(F.col("label") * margin - soft).alias("ll"), F.avg("label").alias("share"), F.count(F.lit(1)).alias("n")).first()
+    share = got["share"]
+    if share is None or share in (0.0, 1.0):
+        return None
+    return round(1 - got["ll"] / (got["n"] * (share * math.log(share) + (1 - share) * math.log(1 - share))), 4)
+
+
+def mar_logistic_test(df: DataFrame, target: str, predictors: Sequence[str], min_missing: int = 10) -> dict:
+    """Logistic fit of the null flag on median-filled predictors; McFadden R2.
+
+    The fit is MLlib ``LogisticRegression`` without regularisation; scaling does not change the
+    likelihood, so predictors are only median-filled.  A failing job raises.
+    """
+    known = [c for c in predictors if c in df.columns]
+    if not known or target not in df.columns:
         return {"error": "columns not found"}
-    meds = quantile_row(df, {f"_m{i}": (c, 0.5) for i, c in enumerate(avail)})
-    work = df.crossJoin(F.broadcast(meds)).select(
-        F.col(target).isNull().cast("double").alias("label"),
-        *[F.coalesce(F.col(c).cast("double"), F.col(f"_m{i}")).alias(f"x{i}") for i, c in enumerate(avail)])
-    n_miss = work.agg(F.sum("label")).first()[0] or 0
-    if n_miss < min_missing:
+    missing = df.agg(F.count_if(F.col(target).isNull()).alias("m")).first()["m"]
+    if missing < min_missing:
         return {"error": "too few missing values for logistic test"}
-    feats = VectorAssembler(inputCols=[f"x{i}" for i in range(len(avail))], outputCol="features").transform(work)
-    try:
-        model = LogisticRegression(regParam=0.0, maxIter=100, tol=1e-10).fit(feats)
-        pred = model.transform(feats).select("label", vector_to_array("probability")[1].alias("p"))
-        agg = pred.agg(F.sum(F.col("label") * F.log(F.col("p")) + (1 - F.col("label")) * F.log(1 - F.col("p"))).alias("llf"),
-                       F.avg("label").alias("pbar"), F.count(F.lit(1)).alias("n")).first()
-        pbar, n = agg["pbar"], agg["n"]
-        llnull = n * (pbar * math.log(pbar) + (1 - pbar) * math.log(1 - pbar))
-        r2 = round(1 - agg["llf"] / llnull, 4)
-    except Exception:  # noqa: BLE001 - a failed fit is reported as None
-        r2 = None
-    verdict = "MAR evidence (missingness predictable)" if r2 and r2 > 0.05 else "Weak MAR signal"
-    return {"pseudo_r2": r2, "predictors": avail, "verdict": verdict}
+    r2 = _null_model_gain(df, target, known)
+    return {"pseudo_r2": r2, "predictors": known, "verdict": STRONG if (r2 or 0.0) > 0.05 else WEAK}
 
 
 def classify_mechanism(df: DataFrame, target: str, group_cols: Sequence[str] | None = None,
                        predictors: Sequence[str] | None = None) -> dict:
-    """COMPLETE / MCAR / MAR / MNAR from the chi-square and logistic tests."""
-    counts = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(target).isNull()).alias("m")).first()
-    if counts["m"] == 0:
+    """COMPLETE / MCAR / MAR / MNAR from the chi-square and the logistic test.
+
+    | predictable (R2 > 0.05) | MCAR rejected | mechanism | confidence |
+    | --- | --- | --- | --- |
+    | yes | any | MAR | R2 / 0.3, at most 1 |
+    | no | no | MCAR | 0.7 |
+    | no | yes | MNAR | 0.6 |
+    """
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(target).isNull()).alias("m")).first()
+    if not size["m"]:
         return {"mechanism": "COMPLETE", "confidence": 1.0, "missing_pct": 0.0}
-    miss_pct = counts["m"] / counts["n"]
-    mcar = "Cannot reject MCAR"
-    for gc in group_cols or []:
-        if gc in df.columns:
-            mcar = mcar_chi2_test(df, target, gc)["verdict"]
-            break
-    r2 = None
-    mar = False
-    if predictors:
-        r = mar_logistic_test(df, target, predictors)
-        if r.get("pseudo_r2") is not None:
-            r2 = r["pseudo_r2"]
-            mar = r2 > 0.05
-    if mcar == "Cannot reject MCAR" and not mar:
-        mech, conf = "MCAR", 0.7
-    elif mar:
-        mech, conf = "MAR", min(r2 / 0.3, 1.0) if r2 else 0.5
-    else:
-        mech, conf = "MNAR", 0.6
-    return {"mechanism": mech, "confidence": round(conf, 2), "missing_pct": round(miss_pct * 100, 2),
-            "mcar_test": mcar, "mar_pseudo_r2": r2}
+    first_group = next((g for g in group_cols or [] if g in df.columns), None)
+    verdict = mcar_chi2_test(df, target, first_group)["verdict"] if first_group else KEPT
+    r2 = mar_logistic_test(df, target, predictors).get("pseudo_r2") if predictors else None
+    outcome = {(True, True): ("MAR", min((r2 or 0.0) / 0.3, 1.0)), (True, False): ("MAR", min((r2 or 0.0) / 0.3, 1.0)),
+               (False, False): ("MCAR", 0.7), (False, True): ("MNAR", 0.6)}
+    mechanism, confidence = outcome[(r2 or 0.0) > 0.05, verdict == REJECTED]
+    return {"mechanism": mechanism, "confidence": round(confidence, 2), "missing_pct": round(size["m"] / size["n"] * 100, 2),
+            "mcar_test": verdict, "mar_pseudo_r2": r2}

@@ -19,22 +19,10 @@ from ..session import materialize
 from .holidays import is_holiday_flag
 from .windows import deduplicate, with_dense_id
 
-BROADCAST_LIMIT_BYTES = 64 << 20
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Optimizer size estimate of a plan (no job)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - estimate unavailable: treat as large
-        return 1 << 62
-
-
-def small_side(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES, bounded: bool = False) -> DataFrame:
-    """Broadcast hint only for a side whose size is bounded or checked."""
-    if bounded or estimated_bytes(df) <= limit:
-        return F.broadcast(df)
-    return df
+def small_side(df: DataFrame, bounded: bool = False) -> DataFrame:
+    """Broadcast hint for a side whose size is bounded by its value domain; any other side is left to the
+    session's broadcast threshold and adaptive execution."""
+    return F.broadcast(df) if bounded else df
 
 
 def _ts(load_ts) -> Column:

@@ -3,7 +3,6 @@ time-weighted interpolation and temporal gaps (E1-E6)."""
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,25 +25,12 @@ def _order_cols(order_cols: Sequence, nulls_last: bool = True) -> list[Column]:
 
 # ------------------------------------------------------------------ E6
 
-# Inputs estimated under this size take the single-task forms; the variable
-# lets tests force the distributed forms on small data.
-SMALL_FRAME_BYTES = int(os.environ.get("DWKIT_SMALL_FRAME_BYTES", 32 << 20))
-
-
-def _estimated_bytes(df: DataFrame) -> int:
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no estimate: treat as large
-        return 1 << 62
-
-
-def with_dense_id(df: DataFrame, order_cols: Sequence, id_col: str = "id", bounded: bool | None = None,
+def with_dense_id(df: DataFrame, order_cols: Sequence, id_col: str = "id", bounded: bool = False,
                   first_position: bool = True, stage_input: bool = False) -> DataFrame:
     """Ids 1..n following ``order_cols`` (ascending, nulls last).
 
-    Small inputs (``bounded=True``, or the optimizer's size estimate under
-    ``SMALL_FRAME_BYTES`` when ``bounded`` is None) take one window without
-    partitioning.
+    ``bounded=True`` is for callers that know a bound of the row count from the
+    value domain (dates, hours, flag pairs): one window without partitioning.
 
     The general path never moves the data through one task: the frame is range
     partitioned by the order (``orderBy``), each row gets its in-partition rank
@@ -62,8 +48,6 @@ def with_dense_id(df: DataFrame, order_cols: Sequence, id_col: str = "id", bound
     reads only the key columns from parquet.
     """
     order = _order_cols(order_cols)
-    if bounded is None:
-        bounded = _estimated_bytes(df) <= SMALL_FRAME_BYTES
     if bounded:
         out = df.withColumn(id_col, F.row_number().over(Window.orderBy(*order)).cast("long"))
     else:
@@ -108,13 +92,6 @@ def deduplicate(df: DataFrame, keys: Sequence[str], order_cols: Sequence | None
     return first.select(*keys, "_dw_first._row.*").select(*df.columns)
 
 
-def duplicate_flag(keys: Sequence[str]) -> Column:
-    """E2 as a column: True for every copy of a key that occurs more than once
-    (nulls group together).  A window count; see ``with_duplicate_flag`` for
-    the aggregate + join form used on large tables."""
-    return F.count(F.lit(1)).over(Window.partitionBy(*[F.col(k) for k in keys])) > 1
-
-
 def with_duplicate_flag(df: DataFrame, keys: Sequence[str], name: str = "is_dup") -> DataFrame:
     """Flag every copy of a duplicated key (nulls equal).
 
@@ -153,22 +130,11 @@ def seconds_to_ntz(secs: Column) -> Column:
             + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), rem.cast("decimal(18,6)")))
 
 
-def interpolate_temporal(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str], date_col: str,
-                         hour_col: str | None = None, limit: int | None = None,
-                         max_gap_hours: float | None = None, row_id: str | None = None,
-                         bounded: bool | None = None, segment_rows: int = 1_000_000) -> DataFrame:
-    """Time-weighted linear interpolation per group, edges filled flat.
-
-    Small inputs (size estimate) use per-group windows; large inputs use the
-    segmented scan (``_interpolate_segmented``), which splits a hot group over
-    many tasks.  Both give the same values.
-    """
-    if bounded is None:
-        bounded = _estimated_bytes(df) <= SMALL_FRAME_BYTES
-    if bounded:
-        return _interpolate_windows(df, cols, group_cols, date_col, hour_col, limit, max_gap_hours, row_id)
-    return _interpolate_segmented(df, cols, group_cols, date_col, hour_col, limit, max_gap_hours, row_id,
-                                  segment_rows)
+def _null_safe(keys: Sequence[str], tag: str) -> Column:
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"{tag}{i}"))
+    return cond
 
 
 def _fill_value(c, prev, nxt, rn_gap_prev, rn_gap_next, s, n_known, n_valid, valid, limit, max_gap_hours):
@@ -190,8 +156,22 @@ def _fill_value(c, prev, nxt, rn_gap_prev, rn_gap_next, s, n_known, n_valid, val
     return F.when(known, F.col(c).cast("double")).when(fill_ok, interp)
 
 
-def _interpolate_segmented(df, cols, group_cols, date_col, hour_col, limit, max_gap_hours, row_id, segment_rows):
-    """E3 for large inputs: a distributed segmented scan.
+def interpolate_temporal(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str], date_col: str,
+                         hour_col: str | None = None, limit: int | None = None,
+                         max_gap_hours: float | None = None, row_id: str | None = None,
+                         segment_rows: int = 1_000_000) -> DataFrame:
+    """Time-weighted linear interpolation per group, edges filled flat.
+
+    Semantics (per group; nulls are a group, no group columns are one group; rows with a
+    null time and groups with fewer than two valid times are left alone):
+    * a null between two known values gets ``v0 + (v1 - v0) * (t - t0) / (t1 - t0)``;
+      before the first / after the last known value it gets that value;
+    * ``limit``: only the first ``limit`` nulls after a known value and the
+      last ``limit`` before one are filled (direction "both");
+    * ``max_gap_hours``: when the column has >= 2 known values in the group, a
+      filled value farther than the limit from both known neighbours is undone.
+
+    A distributed segmented scan:
 
     1. valid rows get a global rank over (group, time, id) from the
        range-partitioned dense-id pass (a hot group spans many partitions);
@@ -206,8 +186,7 @@ def _interpolate_segmented(df, cols, group_cols, date_col, hour_col, limit, max_
     tie = [row_id] if row_id else []
     work = df.withColumn("_dw_s", temporal_seconds(date_col, hour_col))
     invalid = work.where(F.col("_dw_s").isNull())
-    ranked = with_dense_id(work.where(F.col("_dw_s").isNotNull()), [*gk, "_dw_s", *tie], "_dw_r", bounded=False,
-                           first_position=False)
+    ranked = with_dense_id(work.where(F.col("_dw_s").isNotNull()), [*gk, "_dw_s", *tie], "_dw_r", first_position=False)
     ranked = ranked.withColumn("_dw_seg", F.floor((F.col("_dw_r") - 1) / segment_rows).cast("long"))
     sizes = ranked.groupBy(*gk).agg(F.count(F.lit(1)).alias("_dw_nt"),
                                     *[F.count(F.col(c)).alias(f"_dw_k{i}") for i, c in enumerate(cols)])
@@ -229,9 +208,11 @@ def _interpolate_segmented(df, cols, group_cols, date_col, hour_col, limit, max_
     carries = per_seg.select("_dw_seg", *gk, *[
         x for i in range(len(cols)) for x in (F.last(f"_dw_sl{i}", ignorenulls=True).over(before).alias(f"_dw_cp{i}"),
                                               F.last(f"_dw_sf{i}", ignorenulls=True).over(after).alias(f"_dw_cx{i}"))])
-    from .star import small_side
-    j = (local.join(small_side(carries), ["_dw_seg", *gk], "left")
-              .join(small_side(sizes), [*gk], "left"))
+    # null groups are groups: null-safe joins; without group columns the sizes are one row
+    carries = carries.withColumnsRenamed({"_dw_seg": "_dw_cseg"} | {k: f"_dw_cg{i}" for i, k in enumerate(gk)})
+    sizes = sizes.withColumnsRenamed({k: f"_dw_ng{i}" for i, k in enumerate(gk)})
+    j = local.join(carries, (F.col("_dw_seg") == F.col("_dw_cseg")) & _null_safe(gk, "_dw_cg"), "left")
+    j = j.join(sizes, _null_safe(gk, "_dw_ng"), "left") if gk else j.crossJoin(F.broadcast(sizes))
     outs = {}
     for i, c in enumerate(cols):
         prev = F.coalesce(F.col(f"_dw_lp{i}"), F.col(f"_dw_cp{i}"))
@@ -243,106 +224,27 @@ def _interpolate_segmented(df, cols, group_cols, date_col, hour_col, limit, max_
     return filled.unionByName(passthrough)
 
 
-def _interpolate_windows(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str], date_col: str,
-                         hour_col: str | None = None, limit: int | None = None,
-                         max_gap_hours: float | None = None, row_id: str | None = None) -> DataFrame:
-    """E3 with per-group windows (small inputs).
-
-    Semantics (per group, rows with a null time are left alone; groups with
-    fewer than two valid times are left alone):
-    * a null between two known values gets ``v0 + (v1 - v0) * (t - t0) / (t1 - t0)``;
-      before the first / after the last known value it gets that value;
-    * ``limit``: only the first ``limit`` nulls after a known value and the
-      last ``limit`` before one are filled (direction "both");
-    * ``max_gap_hours``: when the column has >= 2 known values in the group, a
-      filled value farther than the limit from both known neighbours is undone.
-
-    All of it is running window frames (forward order and reversed order)
-    over one partitioning, so the window operator streams each group in
-    sorted order: memory stays bounded (spill) and work is linear in the
-    length of a group's series.
-    """
-    work = df.withColumn("_dw_t", temporal_seconds(date_col, hour_col))
-    gkeys = [F.col(g) for g in group_cols]
-    tie = [F.col(row_id)] if row_id else []
-    valid = F.col("_dw_t").isNotNull()
-    # Invalid-time rows are partitioned apart so they never act as neighbours.
-    work = work.withColumn("_dw_valid", valid)
-    wpart = Window.partitionBy(*gkeys, F.col("_dw_valid"))
-    w_order = wpart.orderBy(F.col("_dw_t"), *tie)
-    back = w_order.rowsBetween(Window.unboundedPreceding, 0)
-    # "First known at or after" is a running frame over the reversed order: Spark
-    # streams running frames, while a frame ending at unboundedFollowing is
-    # re-evaluated for every row (quadratic in the length of a station's series).
-    fwd = (wpart.orderBy(F.col("_dw_t").desc(), *[t.desc() for t in tie])
-                .rowsBetween(Window.unboundedPreceding, 0))
-    work = (work.withColumn("_dw_rn", F.row_number().over(w_order))
-                .withColumn("_dw_s", F.col("_dw_t"))
-                .withColumn("_dw_nt", F.count(F.lit(1)).over(wpart)))
-    # Neighbour frames are computed once per column as columns, then read by name,
-    # so the plan holds three window functions per column (two sorted frames
-    # plus a count), not one per reference.
-    frames = {}
-    for i, c in enumerate(cols):
-        point = F.when(F.col(c).isNotNull(), F.struct(F.col("_dw_rn").alias("rn"), F.col("_dw_s").alias("s"),
-                                                      F.col(c).cast("double").alias("v")))
-        frames[f"_dw_p{i}"] = F.last(point, ignorenulls=True).over(back)
-        frames[f"_dw_x{i}"] = F.last(point, ignorenulls=True).over(fwd)
-        frames[f"_dw_k{i}"] = F.count(F.col(c)).over(wpart)
-    work = work.withColumns(frames)
-    out_cols = {}
-    for i, c in enumerate(cols):
-        known = F.col(c).isNotNull()
-        prev, nxt, n_known = F.col(f"_dw_p{i}"), F.col(f"_dw_x{i}"), F.col(f"_dw_k{i}")
-        interp = (F.when(prev.isNotNull() & nxt.isNotNull(),
-                         F.when(nxt["s"] == prev["s"], prev["v"]).otherwise(
-                             prev["v"] + (nxt["v"] - prev["v"]) * (F.col("_dw_s") - prev["s"]) / (nxt["s"] - prev["s"])))
-                  .when(prev.isNotNull(), prev["v"])
-                  .otherwise(nxt["v"]))
-        allowed = F.lit(True)
-        if limit is not None:
-            from_prev = F.when(prev.isNotNull(), F.col("_dw_rn") - prev["rn"])
-            to_next = F.when(nxt.isNotNull(), nxt["rn"] - F.col("_dw_rn"))
-            allowed = F.coalesce(from_prev <= limit, F.lit(False)) | F.coalesce(to_next <= limit, F.lit(False))
-        if max_gap_hours is not None:
-            d_prev = F.when(prev.isNotNull(), (F.col("_dw_s") - prev["s"]) / 3600.0)
-            d_next = F.when(nxt.isNotNull(), (nxt["s"] - F.col("_dw_s")) / 3600.0)
-            near = F.least(F.coalesce(d_prev, F.lit(float("inf"))), F.coalesce(d_next, F.lit(float("inf"))))
-            allowed = allowed & ((n_known < 2) | (near <= F.lit(float(max_gap_hours))))
-        fill_ok = F.col("_dw_valid") & (F.col("_dw_nt") >= 2) & ~known & allowed
-        out_cols[c] = F.when(known, F.col(c).cast("double")).when(fill_ok, interp)
-    work = work.withColumns(out_cols).drop(*frames)
-    return work.drop("_dw_t", "_dw_valid", "_dw_rn", "_dw_s", "_dw_nt")
-
-
 # ------------------------------------------------------------------ E5
 
 def detect_temporal_gaps(df: DataFrame, date_col: str, hour_col: str | None = None,
-                         group_col: str | None = None, step_hours: float = 1.0,
-                         bounded: bool | None = None) -> DataFrame:
+                         group_col: str | None = None, step_hours: float = 1.0) -> DataFrame:
     """E5: gaps longer than 1.5 steps between consecutive distinct times per group.
 
     Output: group, gap_start, gap_end, gap_length_hours, gap_length_intervals.
-    Small inputs use ``lag`` over the group; large ones rank the distinct times
-    globally (range-partitioned, so a hot group spans many tasks) and pair each
-    time with the one ranked just before it by an equi-join on the rank.
+    The distinct times are ranked globally (range-partitioned, so a hot group spans
+    many tasks) and each is paired with the one ranked just before it by an equi-join
+    on the rank.
     """
     secs = temporal_seconds(date_col, hour_col)
     keys = [group_col] if group_col else []
     times = df.select(*[F.col(k) for k in keys], secs.alias("_dw_e")).where(F.col("_dw_e").isNotNull()).distinct()
-    if bounded is None:
-        bounded = _estimated_bytes(times) <= SMALL_FRAME_BYTES
-    if bounded:
-        w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy("_dw_e")
-        pairs = times.withColumn("_dw_b", F.lag("_dw_e").over(w))
-    else:
-        ranked = with_dense_id(times, [*keys, "_dw_e"], "_dw_r", bounded=False)
-        prev = ranked.select((F.col("_dw_r") + 1).alias("_dw_r"), F.col("_dw_e").alias("_dw_b"),
-                             *[F.col(k).alias(f"_dw_pk{i}") for i, k in enumerate(keys)])
-        same = F.lit(True)
-        for i, k in enumerate(keys):
-            same = same & F.col(k).eqNullSafe(F.col(f"_dw_pk{i}"))
-        pairs = ranked.join(prev, "_dw_r", "left").withColumn("_dw_b", F.when(same, F.col("_dw_b")))
+    ranked = with_dense_id(times, [*keys, "_dw_e"], "_dw_r")
+    prev = ranked.select((F.col("_dw_r") + 1).alias("_dw_r"), F.col("_dw_e").alias("_dw_b"),
+                         *[F.col(k).alias(f"_dw_pk{i}") for i, k in enumerate(keys)])
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_dw_pk{i}"))
+    pairs = ranked.join(prev, "_dw_r", "left").withColumn("_dw_b", F.when(same, F.col("_dw_b")))
     hours = (F.col("_dw_e") - F.col("_dw_b")) / 3600.0
     return (pairs.where(F.col("_dw_b").isNotNull() & (hours > 1.5 * step_hours))
             .select(*[F.col(k) for k in keys],

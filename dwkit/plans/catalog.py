@@ -729,8 +729,8 @@ def h1(spark, d):
     rows = []
     for t, df in _driver_tables(spark, d).items():
         c.register(t, df, pk=df.columns[0])
-        s = c._schemas[t]
-        rows.append((t, len(s.columns), s.n_rows, s.pk, s.to_json()))
+        s = c._layouts[t]
+        rows.append((t, len(s.columns), s.n_rows, s.key, s.to_json()))
     return spark.createDataFrame(rows, "table_name string, n_columns long, n_rows long, pk string, contract string")
 
 

@@ -1,125 +1,126 @@
 """Schema contracts (H1-H4).
 
-A contract is captured from ``df.schema`` (no job) plus one aggregate for the
-row count and per-column null flags; validation compares schemas on the
-driver (metadata only) and runs a job only for the primary-key check, which
-is a partial-aggregated ``groupBy(pk).count()``.
+A contract is the expected layout of a table: column names in order, type and null occurrence of
+each, row count, key.  It is captured from ``df.schema`` plus one aggregate.  Validation walks a table
+of checks; each is a function of (expected layout, frame) that returns the difference it sees, and
+a grade for a difference.  Only the key check runs a job, a partial-aggregated count per key.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-@dataclass
-class ColumnSchema:
-    name: str
-    dtype: str
-    nullable: bool = True
+RESULT_SCHEMA = "table_name string, check string, status string, message string"
+# Grades, mildest first; a table's grade is its worst check.
+GRADES = ("PASS", "WARN", "FAIL")
+SKIPPED = "SKIP"
 
 
 @dataclass
-class TableSchema:
-    table_name: str
-    columns: list[ColumnSchema] = field(default_factory=list)
+class Layout:
+    """Expected form of a table; ``columns`` maps name -> (type, has nulls), in order."""
+    table: str
+    columns: dict[str, tuple[str, bool]] = field(default_factory=dict)
     n_rows: int | None = None
-    pk: str | None = None
-
-    @property
-    def col_names(self) -> set[str]:
-        return {c.name for c in self.columns}
+    key: str | None = None
 
     def to_json(self) -> str:
         return json.dumps(asdict(self))
 
 
-RESULT_SCHEMA = "table_name string, check string, status string, message string"
+def _listed(names) -> str:
+    return ", ".join(sorted(names))
+
+
+def _width(want: Layout, df: DataFrame) -> str:
+    return "" if len(df.columns) == len(want.columns) else f"{len(df.columns)} instead of {len(want.columns)}"
+
+
+def _absent(want: Layout, df: DataFrame) -> str:
+    return _listed(set(want.columns) - set(df.columns))
+
+
+def _foreign(want: Layout, df: DataFrame) -> str:
+    return _listed(set(df.columns) - set(want.columns))
+
+
+def _reordered(want: Layout, df: DataFrame) -> str:
+    shared = [c for c in df.columns if c in want.columns]
+    return "" if shared == [c for c in want.columns if c in set(shared)] else " < ".join(shared)
+
+
+def _retyped(want: Layout, df: DataFrame) -> str:
+    now = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return ", ".join(f"{c} {old} -> {now[c]}" for c, (old, _) in want.columns.items() if now.get(c, old) != old)
+
+
+def _repeated(want: Layout, df: DataFrame) -> str:
+    if want.key not in df.columns:
+        return ""
+    surplus = df.groupBy(want.key).agg((F.count(F.lit(1)) - 1).alias("k")).agg(F.coalesce(F.sum("k"), F.lit(0)).alias("d")).first()["d"]
+    return f"{surplus} surplus rows" if surplus else ""
+
+
+#: check name -> (difference, grade of a difference; None: strictness decides)
+CHECKS: dict[str, tuple[Callable[[Layout, DataFrame], str], str | None]] = {
+    "column_count": (_width, "FAIL"), "missing_columns": (_absent, "FAIL"), "extra_columns": (_foreign, None),
+    "column_order": (_reordered, "WARN"), "dtype_changes": (_retyped, "WARN"), "pk_uniqueness": (_repeated, "FAIL"),
+}
 
 
 class SchemaContract:
     def __init__(self):
-        self._schemas: dict[str, TableSchema] = {}
+        self._layouts: dict[str, Layout] = {}
 
     def register(self, table: str, df: DataFrame, pk: str | None = None, count_rows: bool = True):
         """H1: capture names, types, nullability (any null present) and row count."""
-        n_rows, has_null = None, {}
+        nulls = {f.name: f.nullable for f in df.schema.fields}
+        n_rows = None
         if count_rows:
-            row = df.agg(F.count(F.lit(1)).alias("_n"),
-                         *[F.max(F.col(f"`{c}`").isNull().cast("int")).alias(f"_z{i}") for i, c in enumerate(df.columns)]
-                         ).first()
-            n_rows = row["_n"]
-            has_null = {c: bool(row[f"_z{i}"]) for i, c in enumerate(df.columns)}
-        cols = [ColumnSchema(f.name, f.dataType.simpleString(), has_null.get(f.name, f.nullable)) for f in df.schema.fields]
-        self._schemas[table] = TableSchema(table, cols, n_rows, pk)
+            flags = [F.coalesce(F.bool_or(F.col(f"`{c}`").isNull()), F.lit(False)).alias(f"_z{i}") for i, c in enumerate(df.columns)]
+            seen = df.agg(F.count(F.lit(1)).alias("_n"), *flags).first()
+            n_rows, nulls = seen["_n"], {c: seen[f"_z{i}"] for i, c in enumerate(df.columns)}
+        columns = {f.name: (f.dataType.simpleString(), nulls[f.name]) for f in df.schema.fields}
+        self._layouts[table] = Layout(table, columns, n_rows, pk)
         return self
 
     @property
     def registered_tables(self) -> list[str]:
-        return list(self._schemas)
+        return list(self._layouts)
 
     def checks(self, table: str, df: DataFrame, strict: bool = True) -> list[tuple[str, str, str]]:
-        if table not in self._schemas:
-            return [("registration", "SKIP", f"Table '{table}' not registered")]
-        s = self._schemas[table]
-        actual, expected = set(df.columns), s.col_names
-        out = []
-        n_exp, n_act = len(s.columns), len(df.columns)
-        out.append(("column_count", "PASS", f"{n_act} columns (expected {n_exp})") if n_exp == n_act
-                   else ("column_count", "FAIL", f"Expected {n_exp} columns, got {n_act}"))
-        missing = expected - actual
-        out.append(("missing_columns", "FAIL", f"Missing columns: {sorted(missing)}") if missing
-                   else ("missing_columns", "PASS", "All expected columns present"))
-        extra = actual - expected
-        out.append(("extra_columns", "FAIL" if strict else "WARN", f"Extra columns: {sorted(extra)}") if extra
-                   else ("extra_columns", "PASS", "No unexpected columns"))
-        order = [c.name for c in s.columns]
-        common = [c for c in order if c in actual]
-        actual_common = [c for c in df.columns if c in expected]
-        out.append(("column_order", "PASS", "Column order preserved") if common == actual_common
-                   else ("column_order", "WARN", "Column order differs from registration"))
-        types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-        changes = [f"{c.name}: expected {c.dtype}, got {types[c.name]}" for c in s.columns
-                   if c.name in types and types[c.name] != c.dtype]
-        out.append(("dtype_changes", "WARN", f"Dtype changes: {changes}") if changes
-                   else ("dtype_changes", "PASS", "All dtypes match"))
-        if s.pk and s.pk in actual:
-            dup = (df.groupBy(s.pk).agg(F.count(F.lit(1)).alias("_k"))
-                     .agg(F.coalesce(F.sum(F.col("_k") - 1), F.lit(0)).alias("d")).first()["d"])
-            out.append(("pk_uniqueness", "PASS", f"PK '{s.pk}' is unique") if dup == 0
-                       else ("pk_uniqueness", "FAIL", f"PK '{s.pk}' has {dup} duplicates"))
-        return out
+        """(check, status, message) rows; the key check needs a key that the frame has."""
+        want = self._layouts.get(table)
+        if want is None:
+            return [("registration", SKIPPED, "no contract")]
+        due = [c for c in CHECKS if c != "pk_uniqueness" or (want.key and want.key in df.columns)]
+        found = [(c, CHECKS[c][0](want, df), CHECKS[c][1] or ("FAIL" if strict else "WARN")) for c in due]
+        return [(c, grade if seen else "PASS", seen or "as agreed") for c, seen, grade in found]
 
     @staticmethod
     def overall(checks: Sequence[tuple[str, str, str]]) -> str:
-        st = [c[1] for c in checks]
-        if "SKIP" in st and len(st) == 1:
-            return "SKIP"
-        return "FAIL" if "FAIL" in st else ("WARN" if "WARN" in st else "PASS")
+        grades = [status for _, status, _ in checks]
+        return SKIPPED if grades == [SKIPPED] else max((g for g in grades if g in GRADES), key=GRADES.index, default="PASS")
 
     def validate(self, spark: SparkSession, table: str, df: DataFrame, strict: bool = True) -> DataFrame:
         """H2: one row per check (table, check, status, message)."""
-        rows = [(table, c, s, m) for c, s, m in self.checks(table, df, strict)]
-        return spark.createDataFrame(rows, RESULT_SCHEMA)
+        return spark.createDataFrame([(table, *c) for c in self.checks(table, df, strict)], RESULT_SCHEMA)
 
     def validate_all(self, spark: SparkSession, dfs: Mapping[str, DataFrame], strict: bool = True):
         """H3: every registered table present in ``dfs``; returns (details frame, failures)."""
-        rows, failures = [], 0
-        for t in self._schemas:
-            if t in dfs:
-                ch = self.checks(t, dfs[t], strict)
-                failures += self.overall(ch) == "FAIL"
-                rows += [(t, c, s, m) for c, s, m in ch]
-        return spark.createDataFrame(rows, RESULT_SCHEMA), failures
+        each = {t: self.checks(t, dfs[t], strict) for t in self._layouts if t in dfs}
+        details = spark.createDataFrame([(t, *c) for t, found in each.items() for c in found], RESULT_SCHEMA)
+        return details, sum(self.overall(found) == "FAIL" for found in each.values())
 
     def assert_valid(self, table: str, df: DataFrame, strict: bool = True) -> None:
-        bad = [(c, m) for c, s, m in self.checks(table, df, strict) if s == "FAIL"]
-        if bad:
-            raise AssertionError(f"Schema validation FAILED for '{table}': " + "; ".join(f"{c}: {m}" for c, m in bad))
+        broken = {c: seen for c, status, seen in self.checks(table, df, strict) if status == "FAIL"}
+        if broken:
+            raise AssertionError(f"{table} breaks its contract: {broken}")
 
 
 def declared_constraints(table: DataFrame, pk: str, not_null: Sequence[str] = (),

@@ -370,28 +370,28 @@ _CUST = "(SELECT DISTINCT c_custkey FROM customer WHERE c_custkey IS NOT NULL)"
 EV_CHAIN = EVENTS_DIRTY + f""",
 s1 AS (SELECT *, {strip('event_type')} AS n1 FROM events_dirty),
 a1 AS (SELECT 'standardize_strings' AS step, 'event_type' AS column_name, CAST(event_id AS VARCHAR) AS row_id,
-              event_type AS before, n1 AS after, 'Format string casing/spacing' AS reason
+              event_type AS before, n1 AS after, 'spacing and case unified' AS reason
        FROM s1 WHERE event_type IS NOT NULL AND n1 <> event_type),
 t1 AS (SELECT * EXCLUDE (n1) REPLACE (n1 AS event_type) FROM s1),
 s2 AS (SELECT *, {_pdate('event_date')} AS n2 FROM t1),
-a2 AS (SELECT 'parse_dates', 'event_date', CAST(event_id AS VARCHAR), event_date, n2, 'Parsed to yyyy-MM-dd'
+a2 AS (SELECT 'parse_dates', 'event_date', CAST(event_id AS VARCHAR), event_date, n2, 'date as yyyy-MM-dd'
        FROM s2 WHERE event_date IS NOT NULL AND n2 IS DISTINCT FROM event_date),
 t2 AS (SELECT * EXCLUDE (n2) REPLACE (n2 AS event_date) FROM s2),
 s3 AS (SELECT *, CASE WHEN coalesce(value < 0 OR value > 100, FALSE) THEN NULL ELSE value END AS n3 FROM t2),
 a3 AS (SELECT 'fix_validity_range:value', 'value', CAST(event_id AS VARCHAR), CAST(value AS VARCHAR), CAST(n3 AS VARCHAR),
-              'Out-of-range -> nan' FROM s3 WHERE value IS DISTINCT FROM n3),
+              'outside [0, 100], emptied' FROM s3 WHERE value IS DISTINCT FROM n3),
 t3 AS (SELECT * EXCLUDE (n3) REPLACE (n3 AS value) FROM s3),
 s4 AS (SELECT *, CASE WHEN status IS NULL OR status IN (0, 1, 2, 3) THEN status END AS n4 FROM t3),
 a4 AS (SELECT 'fix_invalid_to_null:status', 'status', CAST(event_id AS VARCHAR), CAST(status AS VARCHAR), CAST(n4 AS VARCHAR),
-              'Value not in valid set -> NULL' FROM s4 WHERE status IS NOT NULL AND n4 IS NULL),
+              'not an allowed value, emptied' FROM s4 WHERE status IS NOT NULL AND n4 IS NULL),
 t4 AS (SELECT * EXCLUDE (n4) REPLACE (n4 AS status) FROM s4),
 s5 AS (SELECT *, CASE WHEN user_id IN {_CUST} THEN user_id END AS n5 FROM t4),
 a5 AS (SELECT 'fix_fk_to_null:user_id', 'user_id', CAST(event_id AS VARCHAR), CAST(user_id AS VARCHAR), CAST(n5 AS VARCHAR),
-              'FK broken -> NULL' FROM s5 WHERE user_id IS NOT NULL AND n5 IS NULL),
+              'no such parent key, emptied' FROM s5 WHERE user_id IS NOT NULL AND n5 IS NULL),
 t5 AS (SELECT * EXCLUDE (n5) REPLACE (n5 AS user_id) FROM s5),
 s6 AS (SELECT *, CASE WHEN coalesce(coalesce(status, 0) > 0 AND value > 0, FALSE) THEN NULL ELSE value END AS n6 FROM t5),
 a6 AS (SELECT 'fix_cancelled_air_time', 'value', CAST(event_id AS VARCHAR), CAST(value AS VARCHAR), CAST(n6 AS VARCHAR),
-              'Cancelled flight -> air_time NULL' FROM s6 WHERE value IS DISTINCT FROM n6),
+              'not flown, emptied' FROM s6 WHERE value IS DISTINCT FROM n6),
 t6 AS (SELECT * EXCLUDE (n6) REPLACE (n6 AS value) FROM s6),
 b7s AS (SELECT list_sort(list(value) FILTER (WHERE value IS NOT NULL)) AS arr,
                 count(value) AS n, CAST(0.99 AS DOUBLE) * (count(value) - 1) AS pos FROM t6),
@@ -402,13 +402,13 @@ b7 AS (SELECT arr[1] AS lo,
                         + (pos - floor(pos)) * arr[CAST(ceil(pos) AS BIGINT) + 1] END AS hi FROM b7s),
 s7 AS (SELECT t6.*, CASE WHEN value IS NULL THEN NULL ELSE least(greatest(value, lo), hi) END AS n7 FROM t6, b7),
 a7 AS (SELECT 'winsorize_numeric', 'value', CAST(event_id AS VARCHAR), CAST(value AS VARCHAR), CAST(n7 AS VARCHAR),
-              'Capped [0.0, 0.99]' FROM s7 WHERE value IS NOT NULL AND n7 <> value),
+              'clipped to quantiles [0.0, 0.99]' FROM s7 WHERE value IS NOT NULL AND n7 <> value),
 t7 AS (SELECT * EXCLUDE (n7) REPLACE (n7 AS value) FROM s7),
 gm AS (SELECT median(value) AS gmed FROM t7),
 grp AS (SELECT event_type AS g, median(value) AS gmv FROM t7 GROUP BY 1),
 s8 AS (SELECT t7.*, coalesce(grp.gmv, gm.gmed) AS fill FROM t7 CROSS JOIN gm LEFT JOIN grp ON t7.event_type IS NOT DISTINCT FROM grp.g),
 a8 AS (SELECT 'impute_numeric_nulls_by_group_median:value', 'value', CAST(event_id AS VARCHAR), CAST(value AS VARCHAR),
-              CAST(fill AS VARCHAR), 'group median by event_type' FROM s8 WHERE value IS NULL AND fill IS NOT NULL),
+              CAST(fill AS VARCHAR), 'median within event_type' FROM s8 WHERE value IS NULL AND fill IS NOT NULL),
 ev_clean AS (SELECT * EXCLUDE (fill) REPLACE (CASE WHEN value IS NULL THEN fill ELSE value END AS value) FROM s8),
 audit AS (SELECT * FROM a1 UNION ALL SELECT * FROM a2 UNION ALL SELECT * FROM a3 UNION ALL SELECT * FROM a4
           UNION ALL SELECT * FROM a5 UNION ALL SELECT * FROM a6 UNION ALL SELECT * FROM a7 UNION ALL SELECT * FROM a8)"""
@@ -496,9 +496,9 @@ cnt AS (SELECT (SELECT count(*) FROM nullw) AS n_null_weather_rows, (SELECT coun
 dec AS (SELECT *, CASE WHEN n_affected_flights > 0 THEN round(n_dangerous_cancellations / n_affected_flights, 4) ELSE 0.0 END AS dangerous_pct,
                (n_null_weather_rows = n_affected_flights AND n_null_weather_rows > 0) AS perfect_cooccurrence FROM cnt),
 dec2 AS (SELECT *, perfect_cooccurrence AND (n_dangerous_cancellations = 0 OR coalesce(dangerous_pct <= 0.1, FALSE)) AS safe_to_drop,
-                CASE WHEN NOT perfect_cooccurrence THEN 'imperfect co-occurrence'
+                CASE WHEN NOT perfect_cooccurrence THEN 'null observations and flights do not match one to one'
                      WHEN NOT coalesce(dangerous_pct <= 0.1, FALSE) AND n_dangerous_cancellations > 0 THEN
-                       'dangerous cancellations ' || printf('%.1f%%', dangerous_pct * 100) || ' > threshold 10.0% - consider raising max_dangerous_pct or inspecting the ' || CAST(n_dangerous_cancellations AS VARCHAR) || ' flights'
+                       CAST(n_dangerous_cancellations AS VARCHAR) || ' flights (' || printf('%.1f%%', dangerous_pct * 100) || ') have a cancellation code that forbids dropping; limit 10.0%'
                      ELSE 'ok' END AS reason FROM dec)"""
 
 _q("B9_dew_point_swap", f"""WITH {OBS_DIRTY}
@@ -520,8 +520,8 @@ SELECT e.event_id, lk.new_id AS weather_observation_id FROM events e LEFT JOIN l
 _q("C3_null_cooccurrence", f"""WITH {_C3}
 SELECT n_null_weather_rows, n_affected_flights, perfect_cooccurrence, n_dangerous_cancellations, round(dangerous_pct, 4) AS dangerous_pct,
        CAST(0.1 AS DOUBLE) AS max_dangerous_pct_threshold, safe_to_drop, reason,
-       CASE WHEN safe_to_drop THEN 'SAFE TO DROP - delete rows with null weather fields and corresponding flights'
-            ELSE 'INTERPOLATE - ' || reason END AS recommendation FROM dec2""")
+       CASE WHEN safe_to_drop THEN 'drop the empty observations and their flights'
+            ELSE 'interpolate: ' || reason END AS recommendation FROM dec2""")
 _q("C4_drop_linked_children", f"""WITH {_LINKED}
 SELECT event_id, weather_observation_id FROM linked
 WHERE weather_observation_id IS NULL OR weather_observation_id NOT IN (SELECT obs_id FROM obs_dirty WHERE {_ALLNULL} AND obs_id IS NOT NULL)""")
@@ -608,10 +608,8 @@ SELECT count(*) AS n_cancelled, count(*) FILTER (WHERE value IS NULL) AS n_value
 
 
 def _pcorr(x, y, src):
-    x, y = f"CAST({x} AS DOUBLE)", f"CAST({y} AS DOUBLE)"
-    num = f"(count(*) * sum({x} * {y}) - sum({x}) * sum({y}))"
-    den = f"sqrt((count(*) * sum({x} * {x}) - sum({x}) * sum({x})) * (count(*) * sum({y} * {y}) - sum({y}) * sum({y})))"
-    return f"CASE WHEN {den} > 0 THEN {num} / {den} END"
+    r = f"corr(CAST({y} AS DOUBLE), CAST({x} AS DOUBLE))"
+    return f"CASE WHEN NOT isnan({r}) THEN {r} END"
 
 
 _q("D20_comissing_matrix", f"WITH {EVENTS_DIRTY} " + " UNION ALL ".join(
@@ -732,25 +730,23 @@ _q("F3_nulls_last_ids", f"WITH {star_dims()} SELECT JUNK_ID, CANCELLATION_REASON
 _q("F4_head", "SELECT c_custkey, c_name, c_nationkey, round(c_acctbal, 4) AS c_acctbal, c_mktsegment FROM customer ORDER BY c_custkey LIMIT 5")
 _q("G2_distinct", "SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem")
 _q("H2_validate_contract", """SELECT * FROM (VALUES
- ('customer', 'column_count', 'PASS', '5 columns (expected 5)'),
- ('customer', 'missing_columns', 'FAIL', 'Missing columns: [''c_mktsegment'']'),
- ('customer', 'extra_columns', 'FAIL', 'Extra columns: [''c_extra'']'),
- ('customer', 'column_order', 'WARN', 'Column order differs from registration'),
- ('customer', 'dtype_changes', 'WARN', 'Dtype changes: [''c_acctbal: expected double, got string'']'),
- ('orders', 'registration', 'SKIP', 'Table ''orders'' not registered')) t(table_name, "check", status, message)
+ ('customer', 'column_count', 'PASS', 'as agreed'),
+ ('customer', 'missing_columns', 'FAIL', 'c_mktsegment'),
+ ('customer', 'extra_columns', 'FAIL', 'c_extra'),
+ ('customer', 'column_order', 'WARN', 'c_name < c_custkey < c_nationkey < c_acctbal'),
+ ('customer', 'dtype_changes', 'WARN', 'c_acctbal double -> string'),
+ ('orders', 'registration', 'SKIP', 'no contract')) t(table_name, "check", status, message)
 UNION ALL
 SELECT 'customer', 'pk_uniqueness', CASE WHEN d = 0 THEN 'PASS' ELSE 'FAIL' END,
-       CASE WHEN d = 0 THEN 'PK ''c_custkey'' is unique' ELSE 'PK ''c_custkey'' has ' || CAST(d AS VARCHAR) || ' duplicates' END
+       CASE WHEN d = 0 THEN 'as agreed' ELSE CAST(d AS VARCHAR) || ' surplus rows' END
 FROM (SELECT count(*) - count(DISTINCT c_custkey) AS d FROM customer) x""")
 
 
 def _h3(t, pk, ncols, dup_src):
-    rows = [("column_count", "PASS", f"{ncols} columns (expected {ncols})"), ("missing_columns", "PASS", "All expected columns present"),
-            ("extra_columns", "PASS", "No unexpected columns"), ("column_order", "PASS", "Column order preserved"),
-            ("dtype_changes", "PASS", "All dtypes match")]
+    rows = [(c, "PASS", "as agreed") for c in ("column_count", "missing_columns", "extra_columns", "column_order", "dtype_changes")]
     const = " UNION ALL ".join(f"SELECT '{t}' AS table_name, '{c}' AS \"check\", '{s}' AS status, '{m}' AS message" for c, s, m in rows)
-    pkq = (f"SELECT '{t}', 'pk_uniqueness', CASE WHEN d = 0 THEN 'PASS' ELSE 'FAIL' END, CASE WHEN d = 0 THEN 'PK ''{pk}'' is unique' "
-           f"ELSE 'PK ''{pk}'' has ' || CAST(d AS VARCHAR) || ' duplicates' END FROM (SELECT count(*) - count(DISTINCT {pk}) AS d FROM {dup_src}) x")
+    pkq = (f"SELECT '{t}', 'pk_uniqueness', CASE WHEN d = 0 THEN 'PASS' ELSE 'FAIL' END, CASE WHEN d = 0 THEN 'as agreed' "
+           f"ELSE CAST(d AS VARCHAR) || ' surplus rows' END FROM (SELECT count(*) - count(DISTINCT {pk}) AS d FROM {dup_src}) x")
     return const + " UNION ALL " + pkq
 
 

@@ -15,9 +15,9 @@ def test_contract_checks(spark):
     changed = spark.createDataFrame([("a", 1, "2", 1), ("b", 1, "3", 2)], "s string, k int, v string, extra int")
     checks = {name: (st, msg) for name, st, msg in c.checks("t", changed, strict=True)}
     assert checks["extra_columns"][0] == "FAIL" and checks["column_order"][0] == "WARN"
-    assert checks["dtype_changes"][0] == "WARN" and checks["pk_uniqueness"] == ("FAIL", "PK 'k' has 1 duplicates")
+    assert checks["dtype_changes"][0] == "WARN" and checks["pk_uniqueness"] == ("FAIL", "1 surplus rows")
     assert {n: s for n, s, _ in c.checks("t", changed, strict=False)}["extra_columns"] == "WARN"
-    assert c.checks("other", df) == [("registration", "SKIP", "Table 'other' not registered")]
+    assert c.checks("other", df) == [("registration", "SKIP", "no contract")]
     with pytest.raises(AssertionError):
         c.assert_valid("t", changed)
 

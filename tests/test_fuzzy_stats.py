@@ -110,20 +110,52 @@ def test_isolation_forest_share(spark):
     assert math.isclose(iforest.c_factor(2), 1.0)
 
 
-def test_exact_quantiles_distributed_equals_aggregate(spark):
+def test_exact_quantiles_of_groups(spark):
     from dwkit.operators.quantiles import exact_quantiles, quantile_row
 
     rows = [(g, None if (i % 7 == 0) else float((i * 37) % 101)) for i in range(400) for g in (["a"] * 3 + ["b", None])[i % 5:i % 5 + 1]]
     rows += [("empty", None)]
     df = spark.createDataFrame(rows, "g string, v double").repartition(5)
     qs = [0.0, 0.25, 0.5, 0.99, 1.0]
-    small = {r.g: tuple(r[1:]) for r in exact_quantiles(df, "v", qs, ["g"], bounded=True).collect()}
-    big = {r.g: tuple(r[1:]) for r in exact_quantiles(df, "v", qs, ["g"], bounded=False).collect()}
+    got = {r.g: tuple(r[1:]) for r in exact_quantiles(df, "v", qs, ["g"]).collect()}
     for g in ("a", "b", None):
-        assert all(abs(x - y) < 1e-9 for x, y in zip(small[g], big[g])), g
         s = pd.Series([v for k, v in rows if k == g])
-        assert all(abs(x - s.quantile(q)) < 1e-9 for x, q in zip(big[g], qs))
-    assert small["empty"] == (None,) * 5 and "empty" not in big  # no values: null (aggregate) / absent (ranked)
-    one_small = quantile_row(df, {"m": ("v", 0.5), "p": ("v", 0.9)}, bounded=True).first()
-    one_big = quantile_row(df, {"m": ("v", 0.5), "p": ("v", 0.9)}, bounded=False).first()
-    assert abs(one_small.m - one_big.m) < 1e-9 and abs(one_small.p - one_big.p) < 1e-9
+        assert all(abs(x - s.quantile(q)) < 1e-9 for x, q in zip(got[g], qs)), g
+    assert got["empty"] == (None,) * 5  # a group without values stays, with nulls
+    s = pd.Series([v for _, v in rows])
+    one = quantile_row(df, {"m": ("v", 0.5), "p": ("v", 0.9)}).first()
+    assert abs(one.m - s.quantile(0.5)) < 1e-9 and abs(one.p - s.quantile(0.9)) < 1e-9
+
+
+def test_exact_quantiles_with_narrow_brackets(spark):
+    """Enough rows for the approximate pass to bracket: ties, a hot value, several columns."""
+    from pyspark.sql import functions as F
+
+    from dwkit.operators.quantiles import quantile_row
+
+    n = 60_000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, 5.0).otherwise((F.col("id") * 7919 % n) / 10.0).alias("a"),
+                               F.sqrt("id").alias("b"))
+    pdf = df.toPandas()
+    specs = {f"{c}{i}": (c, q) for c in "ab" for i, q in enumerate((0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0))}
+    row = quantile_row(df, specs).first()
+    assert all(abs(row[k] - pdf[c].quantile(q)) < 1e-9 for k, (c, q) in specs.items())
+
+
+def test_statistics_of_large_magnitudes(spark):
+    from pyspark.sql import functions as F
+
+    from dwkit.operators import missing as M
+
+    rows = [(1.7e15 + i, None if i >= 6 else 1.0) for i in range(9)]
+    df = spark.createDataFrame(rows, "x double, y double")
+    got = M.missing_correlation(df, "y", ["x"]).first()[1]
+    s = pd.DataFrame(rows, columns=["x", "y"])
+    assert abs(got - round((s.x - 1.7e15).corr(s.y.isna().astype(float)), 4)) < 1e-9
+    wide = spark.range(200).select(*[F.when((F.col("id") * (i + 3)) % 7 > 2, 1).alias(f"c{i}") for i in range(40)], F.lit(1).alias("full"))
+    m = {(r.col_a, r.col_b): r.corr for r in M.comissing_matrix(wide, wide.columns).collect()}
+    p = wide.toPandas().isna().astype(float).corr()
+    assert len(m) == 41 * 41 and m["full", "c0"] is None
+    assert all(abs(m[a, b] - p.loc[a, b]) < 1e-9 for a in ("c0", "c7") for b in ("c1", "c39", "c0"))
+    assert abs(M.chi2_sf(1e8, 10**8) - 0.5) < 1e-4 and abs(M.chi2_sf(1e10, 10**10) - 0.5) < 1e-4
+    assert abs(M.chi2_sf(3.841458820694124, 1) - 0.05) < 1e-9 and abs(M.chi2_sf(20000, 20000) - 0.4981) < 1e-3

@@ -46,9 +46,8 @@ def test_dedup_and_duplicate_flag(spark):
                                "k int, x string, o int")
     first = W.deduplicate(df, ["k", "x"], ["o"]).orderBy("x").collect()
     assert [(r.k, r.x, r.o) for r in first] == [(1, "a", 1), (None, "b", 1), (2, "c", 1)]
-    flags = df.withColumn("dup", W.duplicate_flag(["k"])).where("dup").count()
-    assert flags == 5  # three copies of 1 and two nulls (nulls group together)
     joined = W.with_duplicate_flag(df, ["k"], "dup")
+    # three copies of 1 and two nulls (nulls group together)
     assert joined.where("dup").count() == 5 and joined.count() == 6
     nulls_last = spark.createDataFrame([(1, None), (1, 2)], "k int, o int")
     assert W.deduplicate(nulls_last, ["k"], ["o"]).first().o == 2
@@ -77,37 +76,59 @@ def test_dense_ids_both_paths_agree(spark):
 
 def test_dense_ids_nulls_last(spark):
     df = spark.createDataFrame([("b",), (None,), ("a",)], "x string")
-    out = W.with_dense_id(df, ["x"], "id", bounded=False).orderBy("id").collect()
+    out = W.with_dense_id(df, ["x"], "id").orderBy("id").collect()
     assert [r.x for r in out] == ["a", "b", None]
 
 
-def test_segmented_interpolation_equals_windows(spark):
+def _interpolate_plain(rows, col, limit, max_gap):
+    """Reference on plain rows (id, group, date, hour, v, w): {id: value}."""
+    at = {"v": 4, "w": 5}[col]
+    out, groups = {}, {}
+    for r in rows:
+        out[r[0]] = r[at]
+        if r[2] is not None:
+            groups.setdefault(r[1], []).append((((r[2] - dt.date(1970, 1, 1)).days * 24 + r[3]), r[0], r[at]))
+    for g in groups.values():
+        g.sort()
+        known = [i for i, x in enumerate(g) if x[2] is not None]
+        for i, (t, k, v) in enumerate(g):
+            if v is not None or not known or len(g) < 2:
+                continue
+            p, n = max((j for j in known if j < i), default=None), min((j for j in known if j > i), default=None)
+            if limit is not None and not ((p is not None and i - p <= limit) or (n is not None and n - i <= limit)):
+                continue
+            if max_gap is not None and len(known) >= 2 and min(abs(g[j][0] - t) for j in (p, n) if j is not None) > max_gap:
+                continue
+            if p is None or n is None:
+                out[k] = g[n if p is None else p][2]
+            else:
+                out[k] = g[p][2] if g[n][0] == g[p][0] else g[p][2] + (g[n][2] - g[p][2]) * (t - g[p][0]) / (g[n][0] - g[p][0])
+    return out
+
+
+def test_segmented_interpolation_matches_plain(spark):
     import random
 
     rnd = random.Random(7)
     rows = []
     base = dt.date(2022, 1, 1)
     i = 0
-    for st, n in [("HOT", 300), ("A", 40), ("B", 3), ("C", 1)]:
-        hours = sorted(rnd.sample(range(0, 2000), n))
-        for h in hours:
-            v = None if rnd.random() < 0.45 else round(rnd.uniform(0, 50), 2)
+    for st, n in [("HOT", 300), ("A", 40), (None, 30), ("B", 3), ("C", 1), ("NONE", 5)]:
+        for h in sorted(rnd.sample(range(0, 2000), n)):
+            v = None if st == "NONE" or rnd.random() < 0.45 else round(rnd.uniform(0, 50), 2)
             w = None if rnd.random() < 0.3 else float(h % 7)
             d = base + dt.timedelta(days=h // 24)
             rows.append((i, st, d if rnd.random() > 0.02 else None, h % 24, v, w))
             i += 1
     df = spark.createDataFrame(rows, "id long, st string, d date, h int, v double, w double").repartition(6)
-    args = dict(cols=["v", "w"], group_cols=["st"], date_col="d", hour_col="h", limit=2, max_gap_hours=3, row_id="id")
-    a = {r.id: (r.v, r.w) for r in W.interpolate_temporal(df, bounded=True, **args).collect()}
-    b = {r.id: (r.v, r.w) for r in W.interpolate_temporal(df, bounded=False, segment_rows=17, **args).collect()}
-    assert a.keys() == b.keys()
-    for k in a:
-        for x, y in zip(a[k], b[k]):
-            assert (x is None and y is None) or abs(x - y) < 1e-9, (k, a[k], b[k])
-    unlimited = dict(args, limit=None, max_gap_hours=None)
-    a = {r.id: r.v for r in W.interpolate_temporal(df, bounded=True, **unlimited).collect()}
-    b = {r.id: r.v for r in W.interpolate_temporal(df, bounded=False, segment_rows=5, **unlimited).collect()}
-    assert all((a[k] is None and b[k] is None) or abs(a[k] - b[k]) < 1e-9 for k in a)
+    args = dict(cols=["v", "w"], date_col="d", hour_col="h", row_id="id")
+    for groups, limit, gap, size in ((["st"], 2, 3, 17), (["st"], None, None, 5), ([], 2, 3, 17)):
+        plain = rows if groups else [(r[0], "all", *r[2:]) for r in rows]
+        got = {r.id: r for r in W.interpolate_temporal(df, group_cols=groups, limit=limit, max_gap_hours=gap, segment_rows=size, **args).collect()}
+        assert len(got) == len(rows)
+        for col in ("v", "w"):
+            want = _interpolate_plain(plain, col, limit, gap)
+            assert all((got[k][col] is None and x is None) or abs(got[k][col] - x) < 1e-9 for k, x in want.items()), (groups, limit, col)
 
 
 def test_drop_materialized(spark):
