@@ -477,7 +477,7 @@ def d13(spark, d):
 
 @query("D16_discover_fd")
 def d16(spark, d):
-    return P.discover_fd(B.table(spark, d, "part"), exclude=["p_retailprice"])
+    return P.discover_fd(B.table(spark, d, "part"))
 
 
 @query("D17_fd_compound_key")

@@ -39,22 +39,55 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-def read_table(spark: SparkSession, path: str, fmt: str | None = None, schema=None,
-               na_values=("NA", "NULL", "N/A", "nan", "NaN", "")) -> DataFrame:
+# Text that means a missing value.
+NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL",
+             "NaN", "None", "n/a", "nan", "null")
+
+
+def _typed(df: DataFrame) -> DataFrame:
+    """Text columns whose values all read as whole numbers, or all as numbers, become that (one aggregate)."""
+    def fits(c, kind):
+        value = F.col(f"`{c}`")
+        return F.coalesce(F.bool_and(F.when(value.isNotNull(), value.try_cast(kind).isNotNull())), F.lit(False))
+
+    checks = [x for i, c in enumerate(df.columns) for x in (
+        fits(c, "bigint").alias(f"w{i}"), fits(c, "double").alias(f"d{i}"),
+        F.coalesce(F.bool_or(F.col(f"`{c}`").contains(".")), F.lit(False)).alias(f"p{i}"))]
+    seen = df.agg(*checks).first() if checks else None
+    cols = []
+    for i, c in enumerate(df.columns):
+        kind = "bigint" if seen[f"w{i}"] and not seen[f"p{i}"] else "double" if seen[f"d{i}"] else "string"
+        cols.append(F.col(f"`{c}`").cast(kind).alias(c))
+    return df.select(*cols)
+
+
+def read_table(spark: SparkSession, path: str, fmt: str | None = None, schema=None, na_values=NA_TOKENS) -> DataFrame:
+    """One table, lazily.  CSV values are read as text, missing-value tokens become null (also in
+    numeric columns), then the columns get the types of ``schema`` or, without one, the narrowest
+    of bigint, double and string that holds all values.  NaN becomes null."""
     fmt = fmt or ("csv" if path.lower().endswith(".csv") else "parquet")
     if fmt == "csv":
-        reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-        reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-        df = reader.csv(path)
-        # pandas' read_csv treats these tokens as missing; map them once at load.
-        string_cols = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
-        if string_cols and na_values:
-            df = df.withColumns({c: F.when(~F.col(c).isin(list(na_values)), F.col(c)) for c in string_cols})
-        return df
+        df = spark.read.option("header", True).csv(path)
+        if na_values:
+            df = df.select(*[F.when(~F.trim(F.col(f"`{c}`")).isin(list(na_values)), F.col(f"`{c}`")).alias(c) for c in df.columns])
+        if schema is None:
+            return _typed(df)
+        return df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields])
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.format(fmt).load(path)
+    df = reader.format(fmt).load(path)
+    floats = [f.name for f in df.schema.fields if f.dataType.simpleString() in ("double", "float")]
+    return df.withColumns({c: F.when(~F.isnan(F.col(f"`{c}`")), F.col(f"`{c}`")) for c in floats}) if floats else df
+
+
+def _tables_in(spark: SparkSession, folder: str) -> dict[str, str]:
+    """name -> path of every ``.parquet`` or ``.csv`` file (or folder) in a folder, by name."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []
+    return {n.rsplit(".", 1)[0]: f"{folder.rstrip('/')}/{n}" for n in names if n.lower().endswith((".parquet", ".csv"))}
 
 
 def load_tables(spark: SparkSession, source, normalize_cols: str | None = None,
@@ -72,7 +105,7 @@ def load_tables(spark: SparkSession, source, normalize_cols: str | None = None,
         if layers and source in layers:
             paths = dict(layers[source])
         elif os.path.isdir(source) or "://" in source:
-            paths = {t: os.path.join(source, f"{t}.parquet") for t in DRIVER_TABLES}
+            paths = _tables_in(spark, source)
         else:
             raise ValueError(f"unknown source {source!r}")
     else:
