@@ -13,8 +13,10 @@ A pair that the join finds is confirmed on the full sets, and components follow
 2. *Pivot round.*  In each bucket every member is compared with the bucket's best-connected member;
    the nearest pivot of each representative is confirmed.  This joins large groups of near
    copies with as many comparisons as members.
-3. *Rest.*  Buckets that still hold several components are compared pair by pair across components,
-   in tiles of bounded size, and every pair within the distance is confirmed.  No bucket is cut.
+3. *Rest.*  Buckets that still hold several components are compared across components, in tiles of
+   bounded size; members within the distance fall into clusters, and in each cluster, again in
+   tiles, the full sets of different components are compared.  No bucket is cut, and no pairs
+   are written: a task passes on a spanning part of what it finds.
 
 Components come from contraction with pointer jumping, written between the rounds.
 """
@@ -175,63 +177,128 @@ def components(links: DataFrame) -> DataFrame:
     return comp if comp is not None else edges.select(F.col("a").cast(kind).alias("rep"), F.col("b").cast(kind).alias("c"))
 
 
-def _across(members: DataFrame, comp: DataFrame, sets: DataFrame) -> DataFrame:
-    """All pairs of different components within DISTANCE that share a key, each from one key only."""
-    rows = members.join(comp, "rep", "left").select("key", "rep", F.coalesce("c", "rep").alias("c"))
-    rows = materialize(rows, "near-members")
-    mixed = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n")).where("lo != hi")
-    rows = rows.join(mixed.select("key", F.ceil(F.col("n") / TILE).cast("int").alias("tiles")).hint("merge"), "key")
-    rows = rows.join(sets.select("rep", "sig").hint("merge"), "rep").withColumn("t", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int"))
-    rows = rows.withColumn("u", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    rows = rows.select("key", F.least("t", "u").alias("t1"), F.greatest("t", "u").alias("t2"), "t", "rep", "c", "sig")
-    rows = rows.repartition("key", "t1", "t2").sortWithinPartitions("key", "t1", "t2", "rep")
-    kind = sets.schema["rep"].dataType.simpleString()
+def _classes(n: int, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Smallest index of each node's class in the graph with edges p - q."""
+    label = np.arange(n)
+    while True:
+        new = label.copy()
+        np.minimum.at(new, p, label[q])
+        np.minimum.at(new, q, label[p])
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
 
-    def pairs_of(pdf):
-        sig = _symbols(pdf["sig"])
-        rep, c, t = pdf["rep"].to_numpy(), pdf["c"].to_numpy(), pdf["t"].to_numpy()
-        spread = (pdf["t1"] != pdf["t2"]).to_numpy()
-        key = pdf["key"].to_numpy()
-        slot = (key & 63).astype(np.int64)
-        group = pdf.groupby(["key", "t1", "t2"], sort=False).ngroup().to_numpy()
-        a_out, b_out = [], []
-        step = 1
-        while step < len(pdf):
-            near = np.flatnonzero(group[:-step] == group[step:])
-            if not len(near):
-                break
-            i, j = near, near + step
-            use = (c[i] != c[j]) & (~spread[i] | (t[i] != t[j]))
-            i, j = i[use], j[use]
-            for k in range(0, len(i), 1 << 15):
-                p, q = i[k:k + (1 << 15)], j[k:k + (1 << 15)]
-                differs = sig[p] != sig[q]
-                chunks = differs.reshape(len(p), -1, S.CHUNK).sum(axis=2)
-                first = (chunks <= 1).argmax(axis=1)
-                wrong = differs.reshape(len(p), -1, S.CHUNK)[np.arange(len(p)), first]
-                first_slot = first * S.CHUNK + np.where(wrong.any(axis=1), wrong.argmax(axis=1), 0)
-                ok = (differs.sum(axis=1) <= DISTANCE) & (first_slot == slot[p])
-                a_out.append(rep[p[ok]])
-                b_out.append(rep[q[ok]])
-            step += 1
-        none = np.empty(0, dtype=rep.dtype)
-        return pd.DataFrame({"a": np.concatenate(a_out or [none]), "b": np.concatenate(b_out or [none])})
 
+def _by_group(keys: list[str], fn):
+    """Batches sorted by ``keys`` -> ``fn`` on frames of whole groups."""
     def run(batches):
         held = None
         for pdf in batches:
             if not len(pdf):
                 continue
             pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
-            last = pdf.iloc[-1]
-            open_ = ((pdf["key"] == last["key"]) & (pdf["t1"] == last["t1"]) & (pdf["t2"] == last["t2"])).to_numpy()
+            open_ = np.ones(len(pdf), dtype=bool)
+            for k in keys:
+                open_ &= (pdf[k] == pdf[k].iloc[-1]).to_numpy()
             held = pdf[open_].reset_index(drop=True)
             if not open_.all():
-                yield pairs_of(pdf[~open_].reset_index(drop=True))
+                yield fn(pdf[~open_].reset_index(drop=True))
         if held is not None:
-            yield pairs_of(held)
+            yield fn(held)
+
+    return run
+
+
+def _tiled(rows: DataFrame, key: str, sizes: DataFrame) -> DataFrame:
+    """Rows of a group dealt to pairs (t1, t2) of tiles of about TILE rows; ``sizes`` has (key, n).
+
+    Any two rows of a group meet in one pair of tiles; a group of n rows gives n * ceil(n / TILE) rows.
+    """
+    tiles = sizes.select(key, F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
+    dealt = rows.join(tiles.hint("merge"), key).withColumn("t", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int"))
+    dealt = dealt.withColumn("u", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    return dealt.withColumns({"t1": F.least("t", "u"), "t2": F.greatest("t", "u")}).drop("u", "tiles")
+
+
+def _clusters(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): edges whose components contain every two representatives of different components that
+    share a key and are within DISTANCE.  At most one edge per member and key leaves a task."""
+    mixed = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n")).where("lo != hi")
+    dealt = _tiled(rows, "key", mixed.select("key", "n")).join(sets.select("rep", "sig").hint("merge"), "rep")
+    dealt = dealt.select("key", "t1", "t2", "t", "rep", "c", "sig").repartition("key", "t1", "t2").sortWithinPartitions("key", "t1", "t2", "rep")
+    kind = sets.schema["rep"].dataType.simpleString()
 
-    return rows.mapInPandas(run, f"a {kind}, b {kind}")
+    def edges(pdf):
+        sig, rep, c, t = _symbols(pdf["sig"]), pdf["rep"].to_numpy(), pdf["c"].to_numpy(), pdf["t"].to_numpy()
+        spread = (pdf["t1"] != pdf["t2"]).to_numpy()
+        group = pdf.groupby(["key", "t1", "t2"], sort=False).ngroup().to_numpy()
+        ps, qs, step = [], [], 1
+        while step < len(pdf):
+            i = np.flatnonzero(group[:-step] == group[step:])
+            if not len(i):
+                break
+            i = i[(c[i] != c[i + step]) & (~spread[i] | (t[i] != t[i + step]))]
+            for k in range(0, len(i), 1 << 15):
+                p = i[k:k + (1 << 15)]
+                p = p[(sig[p] != sig[p + step]).sum(axis=1) <= DISTANCE]
+                ps.append(p)
+                qs.append(p + step)
+            step += 1
+        none = np.empty(0, dtype=np.int64)
+        label = _classes(len(pdf), np.concatenate(ps or [none]), np.concatenate(qs or [none]))
+        moved = np.flatnonzero(label != np.arange(len(pdf)))
+        return pd.DataFrame({"a": rep[label[moved]], "b": rep[moved]})
+
+    return dealt.mapInPandas(_by_group(["key", "t1", "t2"], edges), f"a {kind}, b {kind}").distinct()
+
+
+def _confirm_clusters(clusters: DataFrame, comp: DataFrame, docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
+    """Links (a, b) between different components inside each cluster (rep, c), on full sets.
+
+    Texts meet tile by tile; a set is compared with all others of its tiles in one array operation.
+    Only a spanning part of a task's links leaves it.
+    """
+    rows = clusters.withColumnRenamed("c", "cluster").join(comp, "rep", "left").select("cluster", "rep", F.coalesce("c", "rep").alias("c"))
+    rows = materialize(rows, "near-clusters")
+    sizes = rows.groupBy("cluster").agg(F.count("*").alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi")
+    dealt = _tiled(rows, "cluster", sizes.select("cluster", "n"))
+    texts = docs.select(F.col(f"`{id_col}`").alias("rep"), F.col(f"`{text_col}`").alias("text"))
+    texts = texts.where(_id_filter(rows.select("rep"), "rep")(F.col("rep")))
+    dealt = dealt.join(texts.hint("merge"), "rep").select("cluster", "t1", "t2", "t", "rep", "c", "text")
+    dealt = dealt.repartition("cluster", "t1", "t2").sortWithinPartitions("cluster", "t1", "t2", "rep")
+    kind = rows.schema["rep"].dataType.simpleString()
+
+    def links(pdf):
+        out = []
+        for _, g in pdf.groupby(["cluster", "t1", "t2"], sort=False):
+            rep, c, t = g["rep"].to_numpy(), g["c"].to_numpy(), g["t"].to_numpy()
+            spread = g["t1"].iloc[0] != g["t2"].iloc[0]
+            sets = [S.shingle_set(x, words) for x in g["text"]]
+            size = np.fromiter(map(len, sets), dtype=np.int64)
+            names, codes = np.unique(np.concatenate(sets), return_inverse=True)
+            starts = np.cumsum(size) - size
+            ps, qs = [], []
+            for i in range(len(g) - 1):
+                if not size[i]:
+                    continue
+                other = np.flatnonzero((c[i + 1:] != c[i]) & (~np.bool_(spread) | (t[i + 1:] != t[i])) & (size[i + 1:] > 0)) + i + 1
+                if not len(other):
+                    continue
+                mark = np.zeros(len(names) + 1, dtype=np.int64)
+                mark[codes[starts[i]:starts[i] + size[i]]] = 1
+                common = np.concatenate([[0], np.cumsum(mark[codes])])
+                both = common[starts[other] + size[other]] - common[starts[other]]
+                j = other[100 * both >= percent * (size[i] + size[other] - both)]
+                ps.append(np.full(len(j), i))
+                qs.append(j)
+            none = np.empty(0, dtype=np.int64)
+            label = _classes(len(g), np.concatenate(ps or [none]), np.concatenate(qs or [none]))
+            moved = np.flatnonzero(label != np.arange(len(g)))
+            out.append(pd.DataFrame({"a": rep[label[moved]], "b": rep[moved]}))
+        return pd.concat(out, ignore_index=True)
+
+    return dealt.mapInPandas(_by_group(["cluster", "t1", "t2"], links), f"a {kind}, b {kind}").distinct()
 
 
 def _marked(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
@@ -254,8 +321,9 @@ def _marked(docs: DataFrame, id_col: str, text_col: str, words: int, percent: in
     by_pivot = materialize(confirm(nearest, docs, id_col, text_col, words, percent), "near-confirmed")
     comp = components(by_pivot)
     # 3. what is left between components
-    others = _across(members.select("key", "rep"), comp, known)
-    rest = materialize(confirm(others, docs, id_col, text_col, words, percent), "near-confirmed")
+    placed = materialize(members.select("key", "rep").join(comp, "rep", "left").select("key", "rep", F.coalesce("c", "rep").alias("c")), "near-members")
+    clusters = components(_clusters(placed, known))
+    rest = materialize(_confirm_clusters(clusters, comp, docs, id_col, text_col, words, percent), "near-confirmed")
     if not rest.isEmpty():
         comp = components(by_pivot.unionByName(rest))
     of_set = sets.select("s1", "s2", "rep").join(comp, "rep", "left").select("s1", "s2", F.coalesce("c", "rep").alias("c"))
