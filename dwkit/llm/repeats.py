@@ -34,7 +34,7 @@ from .bitmaps import Bitmap
 
 LENGTH, GRAM = 100, 32
 SIDE = (LENGTH - GRAM) // 2
-SEGMENT = 1 << 22          # bytes that are hashed at once (positions fit in 24 bits)
+SEGMENT = 1 << 16          # bytes that are hashed at once: its arrays stay in a core's cache
 BITS = 1 << 27             # bits of the bitmaps (16 MB)
 CROWD = 2000               # spans of a group above which windows are dealt one by one
 LAST = (1 << 63) - 1       # order of null ids
@@ -133,24 +133,26 @@ def _identity(g, h, o, first) -> np.ndarray:
 
 
 def _read(texts: DataFrame, fn, schema: str) -> DataFrame:
+    """Rows that ``fn`` (columns as arrays) finds in the spans of all texts."""
     def run(batches):
         for pdf in batches:
-            for x in _spans(pdf):
-                yield fn(*x)
+            found = [fn(*x) for x in _spans(pdf)]
+            if found:
+                yield pd.DataFrame({c: np.concatenate([f[c] for f in found]) for c in found[0]})
 
     return texts.mapInPandas(run, schema)
 
 
 def _repeated_spans(texts: DataFrame) -> DataFrame:
     """(g, h, o, t, first, last) of the spans whose anchor string occurs more than once."""
-    grams = _read(texts, lambda s, o, t, at: pd.DataFrame({"g": s.g.view(np.int64)}), "g bigint")
+    grams = _read(texts, lambda s, o, t, at: {"g": s.g.view(np.int64)}, "g bigint")
     several = grams.groupBy("g").agg(F.count("*").alias("n")).where("n > 1")
     bitmap = Bitmap(several, "g", BITS)
 
     def some(s, o, t, at):
         keep = bitmap.may_contain(s.g)
-        return pd.DataFrame({"g": s.g[keep].view(np.int64), "h": s.h[keep].view(np.int64), "o": o[keep], "t": t[keep],
-                             "first": (at + s.first)[keep], "last": (at + s.last)[keep]})
+        return {"g": s.g[keep].view(np.int64), "h": s.h[keep].view(np.int64), "o": o[keep], "t": t[keep],
+                "first": (at + s.first)[keep], "last": (at + s.last)[keep]}
 
     return materialize(_read(texts, some, "g bigint, h bigint, o bigint, t bigint, first bigint, last bigint"), "repeat-spans")
 
@@ -178,9 +180,18 @@ def _contested_windows(texts: DataFrame, contested: DataFrame) -> DataFrame:
                     mark = hashlib.blake2b(side.tobytes(), digest_size=8, key=g.to_bytes(8, "little"), person=b"L" if hi <= q - SIDE else b"R").digest()
                     out.append((int.from_bytes(mark, "little", signed=True), int(o[k]), int(t[k]), int(at[k]) + lo - int(s.base[k]),
                                 hi - lo + 1, data[lo:hi + LENGTH].tobytes()))
-        return pd.DataFrame(out, columns=["key", "o", "t", "first", "count", "bytes"])
+        parts = list(zip(*out)) or [()] * 6
+        kinds = {"key": np.int64, "o": np.int64, "t": np.int64, "first": np.int64, "count": np.int32, "bytes": object}
+        return {c: np.array(part, dtype=kind) for (c, kind), part in zip(kinds.items(), parts)}
 
-    return materialize(_read(texts, rows, "key bigint, o bigint, t bigint, first bigint, count int, bytes binary"), "repeat-windows")
+    # only texts that hold such a span are hashed again
+    holders = Bitmap(contested.select(F.xxhash64("o", "t").alias("i")), "i", BITS >> 3)
+
+    @F.pandas_udf("boolean")
+    def holds(i: pd.Series) -> pd.Series:
+        return pd.Series(holders.may_contain(i.to_numpy(dtype=np.int64)))
+
+    return materialize(_read(texts.where(holds(F.xxhash64("o", "t"))), rows, "key bigint, o bigint, t bigint, first bigint, count int, bytes binary"), "repeat-windows")
 
 
 def earlier_windows(windows: np.ndarray, position: np.ndarray) -> np.ndarray:
