@@ -36,6 +36,7 @@ LENGTH, GRAM = 100, 32
 SIDE = (LENGTH - GRAM) // 2
 SEGMENT = 1 << 16          # bytes that are hashed at once: its arrays stay in a core's cache
 BITS = 1 << 27             # bits of the bitmaps (16 MB)
+SOLVE_ROWS = 2000          # spans whose windows are sorted at once
 CROWD = 2000               # spans of a group above which windows are dealt one by one
 LAST = (1 << 63) - 1       # order of null ids
 _RNG = np.random.default_rng(29)
@@ -262,11 +263,14 @@ def _covered(windows: DataFrame) -> DataFrame:
                 continue
             pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
             last = pdf.iloc[-1]
-            open_ = ((pdf["key"] == last["key"]) & (pdf["sub"] == last["sub"])).to_numpy()
-            held = pdf[open_].reset_index(drop=True)
-            done = pdf[~open_].reset_index(drop=True)
-            if len(done):
-                yield solve(done)
+            starts = np.flatnonzero(np.append(True, ((pdf[["key", "sub"]].to_numpy()[1:] != pdf[["key", "sub"]].to_numpy()[:-1]).any(axis=1))))
+            # whole groups at a time, about SOLVE_ROWS rows (a group has CROWD rows at most, or equal hashes)
+            at = 0
+            for end in starts[1:].tolist():
+                if end - at >= SOLVE_ROWS or end == starts[-1]:
+                    yield solve(pdf.iloc[at:end].reset_index(drop=True))
+                    at = end
+            held = pdf.iloc[at:].reset_index(drop=True)
         if held is not None:
             yield solve(held)
 
@@ -289,18 +293,17 @@ def _apply(batches, as_text: bool):
     """Remove the ranges of each row; digests of what stays, or the text itself."""
     for pdf in batches:
         out = []
-        for text, ranges in zip(pdf["text"], pdf["ranges"]):
+        for text, firsts, lasts in zip(pdf["text"], pdf["firsts"], pdf["lasts"]):
             data = text.encode("utf-8", "surrogatepass")
             gone, spans, at, kept = 0, 0, 0, []
-            merged: list[list[int]] = []
-            for r in sorted((r["first"], r["last"] + LENGTH) for r in (ranges if ranges is not None else ())):
-                if merged and r[0] <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], r[1])
-                else:
-                    merged.append(list(r))
-            for a, b in merged:
-                kept.append(data[at:a])
-                gone, spans, at = gone + b - a, spans + 1, b
+            if firsts is not None and len(firsts):
+                a, b = np.asarray(firsts, dtype=np.int64), np.asarray(lasts, dtype=np.int64) + LENGTH
+                order = np.argsort(a, kind="stable")
+                a, b = a[order], np.maximum.accumulate(b[order])
+                new = np.append(True, a[1:] > b[:-1])
+                for lo, hi in zip(a[new].tolist(), b[np.append(new[1:], True)].tolist()):
+                    kept.append(data[at:lo])
+                    gone, spans, at = gone + hi - lo, spans + 1, hi
             kept.append(data[at:])
             rest = b"".join(kept)
             out.append((gone, spans, rest.decode("utf-8", "ignore") if as_text else hashlib.sha256(rest).hexdigest()))
@@ -319,8 +322,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     base = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     texts = base.select(F.coalesce("id", F.lit(LAST)).alias("o"), F.xxhash64("text").alias("t"), "text")
-    ranges = materialize(repeated_ranges(texts), "repeat-ranges").groupBy("o", "t").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
-    ranges = materialize(ranges, "repeat-ranges")
+    # a document's ranges, at most one for each of its bytes
+    ranges = repeated_ranges(texts).groupBy("o", "t").agg(F.collect_list(F.struct("first", "last")).alias("r"))
+    ranges = materialize(ranges.select("o", "t", F.col("r.first").alias("firsts"), F.col("r.last").alias("lasts")), "repeat-ranges")
     bitmap = Bitmap(ranges.select(F.xxhash64("o", "t").alias("i")), "i", BITS >> 3)
 
     @F.pandas_udf("boolean")
@@ -331,6 +335,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     full = full.withColumn("touched", touched(F.xxhash64("o", "t")))
     calm = full.where(~F.col("touched")).select("id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"),
                                                (F.col("text") if as_text else F.sha2("text", 256)).alias("kept"))
-    cut = full.where("touched").join(ranges.hint("merge"), ["o", "t"], "left").select("id", "n_bytes", "text", "ranges")
+    cut = full.where("touched").join(ranges.hint("merge"), ["o", "t"], "left").select("id", "n_bytes", "text", "firsts", "lasts")
     cut = cut.mapInPandas(lambda b: _apply(b, as_text), "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept string")
     return calm.unionByName(cut).withColumnsRenamed({"id": id_col, "kept": "kept_text" if as_text else "kept_sha256"})
