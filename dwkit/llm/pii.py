@@ -19,6 +19,7 @@ linear: possessive, and started only where a run of their characters starts.
 from __future__ import annotations
 
 import math
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -180,14 +181,18 @@ def cell_score(cell: dict, trees: list[tuple]) -> float:
 
 
 def calibrate(cells: list[dict], trees: list[tuple], precision: float = 0.9) -> dict[int, float]:
-    """Per extra kind the lowest score such that candidates at or above it reach the precision."""
+    """Per extra kind the lowest score at which more than half of the candidates are good, while all at or
+    above it reach the precision."""
     out = {}
     for k, kind in enumerate(KINDS):
+        scored = sorted(((round(cell_score(c, trees), 9), c) for c in cells if c["kind"] == k and kind in EXTRA), key=lambda x: -x[0])
         pos = neg = 0
-        for s, c in sorted(((cell_score(c, trees), c) for c in cells if c["kind"] == k), key=lambda x: -x[0]):
-            pos, neg = pos + c["pos"], neg + c["neg"]
-            if pos >= precision * (pos + neg) and kind in EXTRA:
-                out[k] = s
+        for s, same in groupby(scored, key=lambda x: x[0]):
+            counts = [(c["pos"], c["neg"]) for _, c in same]
+            p, n = sum(x for x, _ in counts), sum(x for _, x in counts)
+            pos, neg = pos + p, neg + n
+            if p > n and pos >= precision * (pos + neg):
+                out[k] = s - 1e-9
     return out
 
 

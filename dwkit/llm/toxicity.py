@@ -155,7 +155,7 @@ def scores(docs: DataFrame, model: tuple[dict[int, float], float], text_col: str
         for t in s:
             found = set(chain.from_iterable(map(memo.__getitem__, set(WORD.findall((t or "").lower())))))
             out.append(bias + sum(sorted(map(weights.__getitem__, found))))
-        return pd.Series(1 / (1 + np.exp(-np.clip(np.array(out, dtype=float), -700, 700))))
+        return pd.Series(np.exp(-np.logaddexp(0.0, -np.array(out, dtype=float))))
 
     return run(F.col(f"`{text_col}`"))
 
