@@ -123,15 +123,15 @@ def lookup_junk(fact: DataFrame, junk: DataFrame, reason_col: str = "cancellatio
                 weather_col: str = "weather_description", out_col: str = "JUNK_ID") -> DataFrame:
     """Null-safe pair lookup; an unseen pair gets the id of (null, null).
 
-    The junk dimension is a set of flag pairs (bounded), so it is broadcast;
-    the fallback id is a one-row frame joined the same way.
+    The size of the pair table is left to Spark's own broadcast decision; the
+    fallback id is a one-row frame.
     """
     lk = junk.select(F.col("CANCELLATION_REASON").alias("_dw_r"), F.col("WEATHER_DESCRIPTION").alias("_dw_w"),
                      F.col("JUNK_ID").alias("_dw_jid"))
     fallback = (junk.where(F.col("CANCELLATION_REASON").isNull() & F.col("WEATHER_DESCRIPTION").isNull())
                     .agg(F.min("JUNK_ID").alias("_dw_jfb")))
     cond = F.col(reason_col).eqNullSafe(F.col("_dw_r")) & F.col(weather_col).eqNullSafe(F.col("_dw_w"))
-    out = (fact.join(F.broadcast(lk), cond, "left")
+    out = (fact.join(lk, cond, "left")
                .crossJoin(F.broadcast(fallback))
                .withColumn(out_col, F.coalesce(F.col("_dw_jid"), F.col("_dw_jfb")))
                .drop("_dw_r", "_dw_w", "_dw_jid", "_dw_jfb"))
@@ -200,10 +200,10 @@ def build_fact(flights: DataFrame, dims: dict[str, DataFrame], order_cols: Seque
     needs, and Catalyst prunes the lookups they do not use.  ``seq_col`` names
     a dense sequence the flights already carry (assigned at the source, where
     the order is defined); it becomes FLIGHT_ID without another sort.
-    ``fks`` limits the lookups to the keys a query reads (lazy facts only;
-    the written fact always has all eight).
+    ``fks`` limits the lookups to the keys a query reads (the written fact
+    always has all eight).
     """
-    keys = [k for k in FK_COLS if k in fks] if not with_ids else list(FK_COLS)
+    keys = [k for k in FK_COLS if k in fks]
     f = fact_fk_lookups(flights, dims, keys)
     ms = [m for m in (measures or ENV_MEASURES + PERF_MEASURES) if m in flights.columns]
     f = f.select(*([seq_col] if seq_col else []), *order_cols, *keys, *[F.col(m).alias(m.upper()) for m in ms])
@@ -213,40 +213,49 @@ def build_fact(flights: DataFrame, dims: dict[str, DataFrame], order_cols: Seque
         f = f.withColumn("FLIGHT_ID", F.col(seq_col).cast("long")) if seq_col != "FLIGHT_ID" else f
     else:
         f = with_dense_id(f, list(order_cols), "FLIGHT_ID")
-    return f.select("FLIGHT_ID", *FK_COLS, *[m.upper() for m in ms], _ts(load_ts).alias("LOAD_TIMESTAMP"))
-
-
-def flight_key_summary(flights: DataFrame, date_col: str = "fl_date", hour_col: str = "dep_hour",
-                       reason_col: str = "cancellation_reason", weather_col: str = "weather_description") -> DataFrame:
-    """One pass over the flights for every small dimension: the distinct
-    (date, hour, reason, weather) combinations.  Its size is bounded by the
-    calendar and the flag domains, not by the number of flights, and it is
-    checkpointed so the four dimensions built from it do not re-read the
-    flights."""
-    keys = flights.groupBy(F.col(date_col).cast("date").alias(date_col), F.col(hour_col).cast("int").alias(hour_col),
-                           F.col(reason_col).alias(reason_col), F.col(weather_col).alias(weather_col)).count()
+    return f.select("FLIGHT_ID", *keys, *[m.upper() for m in ms], _ts(load_ts).alias("LOAD_TIMESTAMP"))
+
+
+def flight_key_summary(flights: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One pass over the flights for every small dimension: the distinct combinations of the
+    given columns.  Its size is bounded by the calendar and the flag domains, not by the
+    number of flights, and it is written so that the dimensions built from it do not
+    re-read the flights."""
+    kinds = {"fl_date": "date", "dep_hour": "int"}
+    keys = flights.groupBy(*[F.col(c).cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in columns]).count()
     return materialize(keys, "flight-keys")
 
 
+# The dimension of each foreign key, and the flight columns that a dimension is read from.
+DIM_OF_KEY = {"FL_DATE_ID": "fl_dates", "DEP_HOUR_ID": "dep_hours", "ORIGIN_STATION_ID": "stations", "DEST_STATION_ID": "stations",
+              "MKT_CARRIER_ID": "carriers", "OP_CARRIER_ID": "carriers", "AIRCRAFT_ID": "aircraft", "JUNK_ID": "junk"}
+FLIGHT_COLUMNS = {"fl_dates": ["fl_date"], "dep_hours": ["dep_hour"], "aircraft": ["fl_date"],
+                  "junk": ["cancellation_reason", "weather_description"]}
+
+
 def build_warehouse(flights: DataFrame, stations: DataFrame, carriers: DataFrame, aircraft: DataFrame,
                     order_cols: Sequence[str], load_ts=None, fact_ids: bool = True,
                     seq_col: str | None = None, key_source: DataFrame | None = None,
-                    fks: Sequence[str] = FK_COLS) -> dict[str, DataFrame]:
+                    fks: Sequence[str] = FK_COLS, also: Sequence[str] = ()) -> dict[str, DataFrame]:
     """K1-K7: the small dimensions come from one summary pass, the fact from one more.
 
-    ``key_source`` may be a narrower frame with the flights' rows and their
-    date, hour and junk columns (no lookups needed for those), so the summary
-    pass skips the joins that only the fact needs.
+    Only the dimensions that ``fks`` look up (and those named in ``also``) are built, and the summary
+    pass reads only their columns.  ``key_source`` may be a narrower frame with the flights'
+    rows and their date, hour and junk columns (no lookups needed for those), so the
+    summary pass skips the joins that only the fact needs.
     """
-    keys = flight_key_summary(key_source if key_source is not None else flights)
-    dims = {
-        "fl_dates": build_fl_dates(keys, load_ts=load_ts),
-        "dep_hours": build_dep_hours(keys, load_ts=load_ts),
-        "stations": build_stations(stations, load_ts=load_ts),
-        "carriers": build_carriers(carriers, load_ts=load_ts),
-        "aircraft": build_aircraft(aircraft, keys, load_ts=load_ts),
-        "junk": build_junk(keys, load_ts=load_ts),
+    wanted = {DIM_OF_KEY[k] for k in fks} | set(also)
+    columns = sorted({c for d in wanted for c in FLIGHT_COLUMNS.get(d, [])})
+    keys = flight_key_summary(key_source if key_source is not None else flights, columns) if columns else None
+    makers = {
+        "fl_dates": lambda: build_fl_dates(keys, load_ts=load_ts),
+        "dep_hours": lambda: build_dep_hours(keys, load_ts=load_ts),
+        "stations": lambda: build_stations(stations, load_ts=load_ts),
+        "carriers": lambda: build_carriers(carriers, load_ts=load_ts),
+        "aircraft": lambda: build_aircraft(aircraft, keys, load_ts=load_ts),
+        "junk": lambda: build_junk(keys, load_ts=load_ts),
     }
+    dims = {name: make() for name, make in makers.items() if name in wanted}
     fact = build_fact(flights, dims, order_cols, load_ts=load_ts, with_ids=fact_ids, seq_col=seq_col, fks=fks)
     return {**dims, "fact": fact}
 
@@ -263,8 +272,20 @@ def fk_completeness(fact: DataFrame, fk_cols: Sequence[str] = FK_COLS, on_fail:
     out = long.select("s.fk_column", "s.null_count", "n_rows",
                       F.when(F.col("s.null_count") == 0, "OK").otherwise("FAIL").alias("status"))
     if on_fail == "raise":
-        bad = [r for r in out.collect() if r["null_count"] > 0]
-        if bad:
-            raise ValueError("FK completeness validation failed: " +
-                             "; ".join(f"{r['fk_column']}: {r['null_count']:,} null FK values" for r in bad))
+        gaps = {r["fk_column"]: r["null_count"] for r in out.collect() if r["null_count"]}
+        if gaps:
+            raise ValueError(f"foreign keys without a dimension row: {gaps}")
     return out
+
+
+def quarantine(fact: DataFrame, fk_cols: Sequence[str] = FK_COLS) -> tuple[DataFrame, DataFrame]:
+    """D33 option: (rows whose keys all have a dimension row, the others)."""
+    whole = F.lit(True)
+    for c in fk_cols:
+        whole = whole & F.col(c).isNotNull()
+    return fact.where(whole), fact.where(~whole)
+
+
+def with_unknown_member(fact: DataFrame, fk_cols: Sequence[str] = FK_COLS, member: int = -1) -> DataFrame:
+    """D33 option: null keys point at the unknown member's id."""
+    return fact.withColumns({c: F.coalesce(F.col(c), F.lit(member).cast("long")) for c in fk_cols})

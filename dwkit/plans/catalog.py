@@ -101,17 +101,17 @@ def k8(spark, d):
 
 @query("C5_surrogate_key_lookup")
 def c5(spark, d):
-    return _star(spark, d)["fact"].select("FLIGHT_ID", *star.FK_COLS[:-1])
+    return _star(spark, d, fks=star.FK_COLS[:-1])["fact"].select("FLIGHT_ID", *star.FK_COLS[:-1])
 
 
 @query("C6_junk_lookup")
 def c6(spark, d):
-    return _star(spark, d)["fact"].select("FLIGHT_ID", "JUNK_ID")
+    return _star(spark, d, fks=["JUNK_ID"])["fact"].select("FLIGHT_ID", "JUNK_ID")
 
 
 def _analytic(spark, d, fact_ids: bool = True):
-    # a lazy fact (no ids) needs only the two keys the analysis reads
-    w = _star(spark, d, fact_ids, fks=star.FK_COLS if fact_ids else ["FL_DATE_ID", "ORIGIN_STATION_ID"])
+    # only the two keys that the analysis reads are looked up, and only their dimensions built
+    w = _star(spark, d, fact_ids, fks=["FL_DATE_ID", "ORIGIN_STATION_ID"])
     return kpi.star_analytic(w["fact"], w["stations"], w["fl_dates"])
 
 
@@ -765,16 +765,16 @@ def h3(spark, d):
 def h4(spark, d):
     w = _star(spark, d)
     f = w["fact"]
-    return H.declared_constraints(f, "FLIGHT_ID", ["FL_DATE_ID", "ORIGIN_STATION_ID", "JUNK_ID"],
-                                  {"ORIGIN_STATION_ID": (w["stations"], "STATION_ID"),
-                                   "AIRCRAFT_ID": (w["aircraft"], "AIRCRAFT_ID"),
-                                   "MKT_CARRIER_ID": (w["carriers"], "CARRIER_ID")})
+    ids = {"fl_dates": "FL_DATE_ID", "dep_hours": "DEP_HOUR_ID", "stations": "STATION_ID", "carriers": "CARRIER_ID",
+           "aircraft": "AIRCRAFT_ID", "junk": "JUNK_ID"}
+    parents = {k: (w[star.DIM_OF_KEY[k]], ids[star.DIM_OF_KEY[k]]) for k in star.FK_COLS}
+    return H.declared_constraints(f, "FLIGHT_ID", star.FK_COLS, parents)
 
 
 @query("K9_load_timestamp")
 def k9(spark, d):
     w = _star(spark, d)
-    parts = [w[k].select("LOAD_TIMESTAMP") for k in ["fl_dates", "dep_hours", "stations", "carriers", "aircraft", "junk"]]
+    parts = [w[k].select("LOAD_TIMESTAMP") for k in ["fl_dates", "dep_hours", "stations", "carriers", "aircraft", "junk", "fact"]]
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
@@ -783,15 +783,86 @@ def k9(spark, d):
 
 @query("K10_run_log")
 def k10(spark, d):
-    from .runlog import RunLog
+    """All seven build steps, each written; rows in are the rows of the step's own source."""
     from ..session import scratch_path
+    from .runlog import RunLog
     log = RunLog()
     w = _star(spark, d)
-    base = scratch_path(spark, f"runlog-{abs(hash(d))}")
-    for name in ["fl_dates", "dep_hours", "junk"]:
-        log.run_step(f"build_{name}", lambda n=name: w[n], f"dimension {name}",
+    flights = B.star_flight_keys(spark, d).count()
+    sources = {"fl_dates": flights, "dep_hours": flights, "stations": B.stations(spark, d).count(), "carriers": B.carriers(spark, d).count(),
+               "aircraft": B.aircraft(spark, d).count(), "junk": flights, "fact": flights}
+    base = _sink_dir(spark, "runlog")
+    for name, rows in sources.items():
+        log.run_step(f"build_{name}", lambda n=name: w[n], name, input_rows=rows,
                      sink=lambda df, n=name: IO.write_table(df, f"{base}/{n}"))
-    return log.summary(spark).select("step", "status", "output_rows")
+    return log.summary(spark).select("step", "status", "input_rows", "output_rows")
+
+
+# ------------------------------------------------------------------ environment measures (C7 into K6, K7, D35, D36, D38)
+
+def _environment(spark, d, fact_ids: bool = False, fks=star.FK_COLS) -> dict[str, DataFrame]:
+    flights = B.environment_flights(spark, d, with_seq=fact_ids)
+    return star.build_warehouse(flights, B.stations(spark, d), B.carriers(spark, d), B.aircraft(spark, d), B.LINEITEM_ORDER,
+                                load_ts=LOAD_TS, fact_ids=fact_ids, seq_col="flight_seq" if fact_ids else None, fks=fks)
+
+
+@query("K6_build_junk_environment")
+def k6_environment(spark, d):
+    return star.build_junk(B.environment_flights(spark, d), load_ts=LOAD_TS)
+
+
+@query("K7_build_fact_environment")
+def k7_environment(spark, d):
+    """Eight keys and nine measures."""
+    return _environment(spark, d, fact_ids=True)["fact"]
+
+
+def _environment_analytic(spark, d) -> DataFrame:
+    w = _environment(spark, d, fks=["FL_DATE_ID", "JUNK_ID"])
+    dates = w["fl_dates"].select("FL_DATE_ID", "YEAR", "QUARTER", "MONTH")
+    junk = w["junk"].select("JUNK_ID", "CANCELLATION_REASON", "WEATHER_DESCRIPTION")
+    return w["fact"].join(F.broadcast(dates), "FL_DATE_ID", "left").join(junk, "JUNK_ID", "left")
+
+
+@query("D35_kpi_glossary_environment")
+def d35_environment(spark, d):
+    """All twelve measures of the glossary by weather text."""
+    return kpi.kpis(_environment_analytic(spark, d), ["WEATHER_DESCRIPTION"])
+
+
+@query("D36_dashboard_rates_environment")
+def d36_environment(spark, d):
+    """With the low-visibility rate."""
+    return kpi.dashboard_rates(_environment_analytic(spark, d), ["YEAR"])
+
+
+def _places(spark, d) -> DataFrame:
+    w = _star(spark, d, fact_ids=False, fks=["DEP_HOUR_ID", "ORIGIN_STATION_ID"])
+    stations = w["stations"].select(F.col("STATION_ID").alias("ORIGIN_STATION_ID"), "AIRPORT_CODE", "CITY", "STATE")
+    return w["fact"].join(stations, "ORIGIN_STATION_ID", "left").join(F.broadcast(w["dep_hours"].select("DEP_HOUR_ID", "DEP_HOUR", "TIME_BAND")), "DEP_HOUR_ID", "left")
+
+
+@query("D38_rollup_places")
+def d38_places(spark, d):
+    """Hierarchy airport -> city -> state."""
+    return kpi.rollup(_places(spark, d), ["STATE", "CITY", "AIRPORT_CODE"], {"sum_dep_delay": ("DEP_DELAY", "SUM"), "avg_distance": ("DISTANCE", "AVG")}, kpi.MEASURE_ADDITIVITY)
+
+
+@query("D38_rollup_hours")
+def d38_hours(spark, d):
+    """Hierarchy hour -> time band."""
+    return kpi.rollup(_places(spark, d), ["TIME_BAND", "DEP_HOUR"], {"sum_dep_delay": ("DEP_DELAY", "SUM"), "avg_distance": ("DISTANCE", "AVG")}, kpi.MEASURE_ADDITIVITY)
+
+
+@query("D38_cube")
+def d38_cube(spark, d):
+    """All combinations of state and time band."""
+    return _places(spark, d).cube("STATE", "TIME_BAND").agg(F.grouping_id().alias("grouping_level"), F.sum("DEP_DELAY").alias("sum_dep_delay"), F.count(F.lit(1)).alias("n_flights"))
+
+
+@query("D37_groups_by_state_band")
+def d37_state_band(spark, d):
+    return kpi.high_volume_groups(_places(spark, d), ["STATE", "TIME_BAND"], 1)
 
 
 # ------------------------------------------------------------------ fuzzy duplicates (C11), isolation forest

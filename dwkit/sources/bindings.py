@@ -174,3 +174,23 @@ def star_flights(spark: SparkSession, sf_dir: str, with_seq: bool = False) -> Da
         (F.col("l_tax") * 100).alias("air_time"),
         F.col("l_extendedprice").alias("distance"),
     )
+
+
+# Observation of a flight in the environment binding: a fixed hash of its key over this many ids.
+OBSERVATION_SPAN = 5000
+
+
+def environment_flights(spark: SparkSession, sf_dir: str, with_seq: bool = False) -> DataFrame:
+    """``star_flights`` linked to an observation by key arithmetic; the five environment measures
+    and the weather text come through the chain flight -> observation -> status (C7)."""
+    from ..operators.star import chained_measures
+
+    o = obs(spark, sf_dir).select(
+        "obs_id", F.col("spd").alias("wind_spd"), F.col("gust").alias("wind_gust"), (F.col("low") / 10).alias("visibility"),
+        (F.col("spd") - 20).alias("temperature"), (F.col("n") % 5).cast("double").alias("cloud_cover"), (F.col("n") % 4).alias("status"))
+    status = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("status"), F.col("r_name").alias("weather_description"))
+    flights = star_flights(spark, sf_dir, with_seq).drop("weather_description")
+    flights = flights.withColumn("weather_observation_id", (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % OBSERVATION_SPAN + 1)
+    linked = chained_measures(flights, o, "weather_observation_id", "obs_id",
+                              ["wind_spd", "wind_gust", "visibility", "temperature", "cloud_cover"], "status", status)
+    return linked.withColumnRenamed("_weather_desc", "weather_description")

@@ -72,6 +72,8 @@ def read_table(spark: SparkSession, path: str, fmt: str | None = None, schema=No
             df = df.select(*[F.when(~F.trim(F.col(f"`{c}`")).isin(list(na_values)), F.col(f"`{c}`")).alias(c) for c in df.columns])
         if schema is None:
             return _typed(df)
+        if isinstance(schema, str):
+            schema = spark.createDataFrame([], schema).schema
         return df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields])
     reader = spark.read
     if schema is not None:

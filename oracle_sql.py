@@ -749,16 +749,63 @@ def _h3(t, pk, ncols, dup_src):
 _q("H3_validate_all", "SELECT *, CAST(1 AS INTEGER) AS failures FROM (" + " UNION ALL ".join([
     _h3("region", "r_regionkey", 2, "region"), _h3("nation", "n_nationkey", 3, "nation"),
     _h3("supplier", "s_suppkey", 4, "(SELECT * FROM supplier UNION ALL SELECT * FROM supplier)")]) + ") z")
+_KEYS = [("FL_DATE_ID", "dim_fl_dates", "FL_DATE_ID"), ("DEP_HOUR_ID", "dim_dep_hours", "DEP_HOUR_ID"), ("ORIGIN_STATION_ID", "dim_stations", "STATION_ID"),
+         ("DEST_STATION_ID", "dim_stations", "STATION_ID"), ("MKT_CARRIER_ID", "dim_carriers", "CARRIER_ID"), ("OP_CARRIER_ID", "dim_carriers", "CARRIER_ID"),
+         ("AIRCRAFT_ID", "dim_aircraft", "AIRCRAFT_ID"), ("JUNK_ID", "dim_junk", "JUNK_ID")]
 _q("H4_declared_constraints", f"""WITH {star_fact()}
 SELECT 'PRIMARY KEY' AS constraint_type, 'FLIGHT_ID' AS column_name, coalesce(sum(k) FILTER (WHERE k > 1), 0) AS violations
 FROM (SELECT count(*) AS k FROM fact GROUP BY FLIGHT_ID) g
-UNION ALL SELECT 'NOT NULL', 'FL_DATE_ID', count(*) FILTER (WHERE FL_DATE_ID IS NULL) FROM fact
-UNION ALL SELECT 'NOT NULL', 'ORIGIN_STATION_ID', count(*) FILTER (WHERE ORIGIN_STATION_ID IS NULL) FROM fact
-UNION ALL SELECT 'NOT NULL', 'JUNK_ID', count(*) FILTER (WHERE JUNK_ID IS NULL) FROM fact
-UNION ALL SELECT 'REFERENCES', 'ORIGIN_STATION_ID', count(*) FROM fact WHERE ORIGIN_STATION_ID IS NOT NULL AND ORIGIN_STATION_ID NOT IN (SELECT STATION_ID FROM dim_stations)
-UNION ALL SELECT 'REFERENCES', 'AIRCRAFT_ID', count(*) FROM fact WHERE AIRCRAFT_ID IS NOT NULL AND AIRCRAFT_ID NOT IN (SELECT AIRCRAFT_ID FROM dim_aircraft)
-UNION ALL SELECT 'REFERENCES', 'MKT_CARRIER_ID', count(*) FROM fact WHERE MKT_CARRIER_ID IS NOT NULL AND MKT_CARRIER_ID NOT IN (SELECT CARRIER_ID FROM dim_carriers)""")
-_q("K9_load_timestamp", f"SELECT {LOAD_TS} AS LOAD_TIMESTAMP")
+""" + "".join(f"""UNION ALL SELECT 'NOT NULL', '{k}', count(*) FILTER (WHERE {k} IS NULL) FROM fact
+UNION ALL SELECT 'REFERENCES', '{k}', count(*) FROM fact WHERE {k} IS NOT NULL AND {k} NOT IN (SELECT {i} FROM {t})
+""" for k, t, i in _KEYS))
+_q("K9_load_timestamp", f"WITH {star_fact()} " + " UNION ".join(f"SELECT LOAD_TIMESTAMP FROM {t}" for t in (
+    "dim_fl_dates", "dim_dep_hours", "dim_stations", "dim_carriers", "dim_aircraft", "dim_junk", "fact")))
+_STEPS = [("fl_dates", "dim_fl_dates", "star_flights"), ("dep_hours", "dim_dep_hours", "star_flights"), ("stations", "dim_stations", "stations"),
+          ("carriers", "dim_carriers", "supplier"), ("aircraft", "dim_aircraft", "part"), ("junk", "dim_junk", "star_flights"), ("fact", "fact", "star_flights")]
+_q("K10_run_log", f"WITH {star_fact()} " + " UNION ALL ".join(
+    f"SELECT 'build_{n}' AS step, 'success' AS status, (SELECT count(*) FROM {src}) AS input_rows, (SELECT count(*) FROM {t}) AS output_rows" for n, t, src in _STEPS))
+
+
+# ------------------------------------------------------------------ environment measures and hierarchies
+
+_ENV_FLIGHTS = STAR_FLIGHTS.replace("star_flights AS (", "plain_flights AS (", 1) + f""",
+{OBS},
+star_flights AS (SELECT f.* REPLACE (r.r_name AS weather_description), o.spd AS wind_spd, o.gust AS wind_gust, o.low / 10 AS visibility,
+    o.spd - 20 AS temperature, CAST(o.n % 5 AS DOUBLE) AS cloud_cover
+  FROM plain_flights f LEFT JOIN obs o ON (f.l_orderkey * 7 + f.l_linenumber) % 5000 + 1 = o.obs_id LEFT JOIN region r ON o.n % 4 = r.r_regionkey)"""
+_ENV_DIMS = star_dims().replace(STAR_FLIGHTS, _ENV_FLIGHTS, 1)
+_ENV_FACT = star_fact().replace(STAR_FLIGHTS, _ENV_FLIGHTS, 1).replace("f.dep_delay AS DEP_DELAY", """f.weather_description AS WEATHER_DESCRIPTION,
+         f.wind_spd AS WIND_SPD, f.wind_gust AS WIND_GUST, f.visibility AS VISIBILITY, f.temperature AS TEMPERATURE, f.cloud_cover AS CLOUD_COVER,
+         f.dep_delay AS DEP_DELAY""", 1)
+_q("K6_build_junk_environment", f"WITH {_ENV_DIMS} SELECT * FROM dim_junk")
+_q("K7_build_fact_environment", f"WITH {_ENV_FACT} SELECT FLIGHT_ID, " + ", ".join(k for k, _, _ in _KEYS) + ", " + ", ".join(
+    f"{r4(m)} AS {m}" for m in ("WIND_SPD", "WIND_GUST", "VISIBILITY", "TEMPERATURE", "CLOUD_COVER", "DEP_DELAY", "TAXI_OUT", "AIR_TIME", "DISTANCE")) +
+   ", LOAD_TIMESTAMP FROM fact")
+_q("D35_kpi_glossary_environment", f"""WITH {_ENV_FACT}
+SELECT WEATHER_DESCRIPTION, count(*) AS number_of_flights, round(avg(DEP_DELAY), 4) AS avg_delay,
+       round(avg(CASE WHEN DEP_DELAY IS NOT NULL THEN CAST(DEP_DELAY > 15 AS DOUBLE) END), 4) AS delay_rate_gt15,
+       round(avg(CASE WHEN DEP_DELAY IS NOT NULL THEN CAST(DEP_DELAY >= 15 AS DOUBLE) END), 4) AS delay_rate_ge15,
+       round(avg(CAST(NOT {_DEP} AS DOUBLE)), 4) AS cancellation_rate, round(avg(TAXI_OUT), 4) AS avg_taxi_out,
+       round(avg(AIR_TIME), 4) AS avg_air_time, round(avg(DISTANCE), 4) AS avg_distance, round(avg(WIND_SPD), 4) AS avg_wind_spd,
+       round(avg(VISIBILITY), 4) AS avg_visibility, round(avg(CASE WHEN VISIBILITY IS NOT NULL THEN CAST(VISIBILITY > 0 AND VISIBILITY <= 3 AS DOUBLE) END), 4) AS low_visibility_rate,
+       round(min(TEMPERATURE), 4) AS min_temperature, round(avg(CLOUD_COVER), 4) AS avg_cloud_cover FROM fact GROUP BY 1""")
+_q("D36_dashboard_rates_environment", f"""WITH {_ENV_FACT}, fr AS (SELECT f.*, d.YEAR FROM fact f LEFT JOIN dim_fl_dates d ON f.FL_DATE_ID = d.FL_DATE_ID)
+SELECT YEAR, count(FLIGHT_ID) AS n_flights, round(count(*) FILTER (WHERE DEP_DELAY >= 15) / count(FLIGHT_ID), 4) AS dep_delay_rate,
+       round(count(*) FILTER (WHERE NOT {_DEP}) / count(FLIGHT_ID), 4) AS cancellation_rate,
+       round(avg(CASE WHEN {_DEP} THEN DEP_DELAY END), 4) AS avg_dep_delay_departed,
+       round(avg(CASE WHEN {_DEP} THEN TAXI_OUT END), 4) AS avg_taxi_out_departed,
+       round(avg(CASE WHEN {_DEP} THEN AIR_TIME END), 4) AS avg_air_time_departed,
+       round(count(*) FILTER (WHERE VISIBILITY > 0 AND VISIBILITY <= 3) / count(FLIGHT_ID), 4) AS low_visibility_rate FROM fr GROUP BY YEAR""")
+_PLACES = f"""{star_fact()}, pl AS (SELECT f.*, s.AIRPORT_CODE, s.CITY, s.STATE, h.DEP_HOUR, h.TIME_BAND FROM fact f
+  LEFT JOIN dim_stations s ON f.ORIGIN_STATION_ID = s.STATION_ID LEFT JOIN dim_dep_hours h ON f.DEP_HOUR_ID = h.DEP_HOUR_ID)"""
+_q("D38_rollup_places", f"""WITH {_PLACES} SELECT STATE, CITY, AIRPORT_CODE, CAST(GROUPING(STATE, CITY, AIRPORT_CODE) AS INTEGER) AS grouping_level,
+       round(sum(DEP_DELAY), 4) AS sum_dep_delay, round(avg(DISTANCE), 4) AS avg_distance FROM pl GROUP BY ROLLUP (STATE, CITY, AIRPORT_CODE)""")
+_q("D38_rollup_hours", f"""WITH {_PLACES} SELECT TIME_BAND, DEP_HOUR, CAST(GROUPING(TIME_BAND, DEP_HOUR) AS INTEGER) AS grouping_level,
+       round(sum(DEP_DELAY), 4) AS sum_dep_delay, round(avg(DISTANCE), 4) AS avg_distance FROM pl GROUP BY ROLLUP (TIME_BAND, DEP_HOUR)""")
+_q("D38_cube", f"""WITH {_PLACES} SELECT STATE, TIME_BAND, CAST(GROUPING(STATE, TIME_BAND) AS INTEGER) AS grouping_level,
+       round(sum(DEP_DELAY), 4) AS sum_dep_delay, count(*) AS n_flights FROM pl GROUP BY CUBE (STATE, TIME_BAND)""")
+_q("D37_groups_by_state_band", f"""WITH {_PLACES} SELECT STATE, TIME_BAND, count(*) AS n_flights, round(avg(DEP_DELAY), 4) AS avg_dep_delay
+FROM pl GROUP BY STATE, TIME_BAND""")
 
 
 # ------------------------------------------------------------------ fuzzy duplicates
