@@ -7,17 +7,10 @@ from functools import lru_cache
 import numpy as np
 import xxhash
 
-from .byte_bpe import Memo
-
 SYMBOLS, CHUNK = 48, 4  # signature symbols of 16 bits, symbols in a chunk
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 
 
-@lru_cache(maxsize=1)
-def word_hashes() -> Memo:
-    return Memo(xxhash.xxh3_64_intdigest, 1_000_000)
-
-
 @lru_cache(maxsize=4)
 def _multipliers(n: int) -> np.ndarray:
     return np.random.default_rng(17).integers(1, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -32,7 +25,7 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
     found = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not found:
         return np.empty(0, dtype=np.uint64)
-    h = np.fromiter(map(word_hashes().__getitem__, found), dtype=np.uint64, count=len(found))
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, found), dtype=np.uint64, count=len(found))
     n = min(words, len(h))
     mult, out = _multipliers(words), np.zeros(len(h) - n + 1, dtype=np.uint64)
     for i in range(n):

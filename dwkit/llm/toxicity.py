@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -149,13 +150,14 @@ def scores(docs: DataFrame, model: tuple[dict[int, float], float], text_col: str
     weights, bias = model
 
     @F.pandas_udf("double")
-    def run(s: pd.Series) -> pd.Series:
-        memo = Memo(lambda w: tuple(f for f in word_features(w) if f in weights), 1 << 20)
-        out = []
-        for t in s:
-            found = set(chain.from_iterable(map(memo.__getitem__, set(WORD.findall((t or "").lower())))))
-            out.append(bias + sum(sorted(map(weights.__getitem__, found))))
-        return pd.Series(np.exp(-np.logaddexp(0.0, -np.array(out, dtype=float))))
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        memo = Memo(lambda w: tuple(f for f in word_features(w) if f in weights), 200_000)
+        for s in batches:
+            out = []
+            for t in s:
+                found = set(chain.from_iterable(map(memo.__getitem__, set(WORD.findall((t or "").lower())))))
+                out.append(bias + sum(sorted(map(weights.__getitem__, found))))
+            yield pd.Series(np.exp(-np.logaddexp(0.0, -np.array(out, dtype=float))))
 
     return run(F.col(f"`{text_col}`"))
 
