@@ -28,6 +28,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
 from .quantiles import quantile_row
 
 EULER = 0.5772156649015329
@@ -109,6 +110,7 @@ def isolation_forest(df: DataFrame, key: str, cols: Sequence[str], contamination
     meds = quantile_row(df, {f"_m_{c}": (c, 0.5) for c in cols})
     filled = df.crossJoin(F.broadcast(meds)).withColumns(
         {f"_x_{c}": F.coalesce(F.col(c).cast("double"), F.col(f"_m_{c}")) for c in cols}).drop(*[f"_m_{c}" for c in cols])
+    filled = materialize(filled, "forest-input")  # read for the count, the sample and the scores
     xcols = [f"_x_{c}" for c in cols]
     n = filled.count()
     psi = min(max_samples, n)
@@ -133,7 +135,7 @@ def isolation_forest(df: DataFrame, key: str, cols: Sequence[str], contamination
         model[int(t)] = (g["feature"].to_numpy(), g["split"].to_numpy(), g["left"].to_numpy(),
                          g["right"].to_numpy(), g["size"].to_numpy())
     out_schema = T.StructType(list(filled.schema.fields) + [T.StructField("anomaly_score", T.DoubleType())])
-    scored = filled.mapInPandas(_scorer(model, xcols, psi, n_trees), out_schema)
+    scored = materialize(filled.mapInPandas(_scorer(model, xcols, psi, n_trees), out_schema), "forest-scores")
     cut = quantile_row(scored, {"_cut": ("anomaly_score", 1.0 - contamination)})
     return (scored.crossJoin(F.broadcast(cut))
                   .withColumn("IsoForest_Outlier", F.col("anomaly_score") > F.col("_cut"))

@@ -19,8 +19,9 @@ from .quantiles import quantile_row
 def _pearson(x: Column, y: Column) -> Column:
     """Pearson correlation from merged co-moments (no cancellation on large magnitudes); null when
     either side is constant."""
-    r = F.corr(x.cast("double"), y.cast("double"))
-    return F.when(~F.isnan(r), r)
+    x, y = x.cast("double"), y.cast("double")
+    spread = F.stddev_pop(x) * F.stddev_pop(y)
+    return F.try_divide(F.covar_pop(x, y), F.when(spread > 0, spread))
 
 
 def comissing_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:

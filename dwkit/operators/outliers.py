@@ -59,6 +59,16 @@ class OutlierDetector:
                              "fences": False, "mad": f"_mad_{col}"})
         return self
 
+    def detect_forest(self, key: str, cols: Sequence[str], contamination: float = 0.02, **options) -> "OutlierDetector":
+        """D30 as one more vote (all columns together)."""
+        from .iforest import isolation_forest
+
+        self.df = isolation_forest(self.df, key, cols, contamination, **options)
+        self.flags.append("IsoForest_Outlier")
+        self.records.append({"method": f"Isolation forest (share={contamination})", "column": cols[0], "label": ", ".join(cols),
+                             "flag": "IsoForest_Outlier", "fences": False, "mad": None})
+        return self
+
     def votes(self) -> DataFrame:
         """Number of flags set per row (a skipped method counts as not set)."""
         n = sum((F.coalesce(F.col(f), F.lit(False)).cast("int") for f in self.flags), F.lit(0))
@@ -76,15 +86,15 @@ class OutlierDetector:
             aggs.append(F.count(F.col(r["column"])).alias(f"_p{i}"))
             if r["fences"]:
                 aggs += [F.first(F.col(f"_lo_{r['flag']}")).alias(f"_lo{i}"), F.first(F.col(f"_hi_{r['flag']}")).alias(f"_hi{i}")]
-            else:
+            elif r.get("mad"):
                 aggs.append(F.first(F.col(r["mad"])).alias(f"_mad{i}"))
         row = self.df.agg(*aggs)
         items = []
         for i, r in enumerate(self.records):
-            keep = (F.col(f"_p{i}") > 0) if r["fences"] else F.coalesce(F.col(f"_mad{i}") != 0, F.lit(False))
+            keep = F.coalesce(F.col(f"_mad{i}") != 0, F.lit(False)) if r.get("mad") else F.col(f"_p{i}") > 0
             items.append(F.when(keep, F.struct(
                 F.lit(self.table).alias("table_name"), F.lit(r["method"]).alias("method"),
-                F.lit(r["column"]).alias("column_name"),
+                F.lit(r.get("label", r["column"])).alias("column_name"),
                 (F.round(F.col(f"_lo{i}"), 4) if r["fences"] else F.lit(None).cast("double")).alias("lower_fence"),
                 (F.round(F.col(f"_hi{i}"), 4) if r["fences"] else F.lit(None).cast("double")).alias("upper_fence"),
                 F.col(f"_f{i}").alias("n_flagged"),
@@ -93,10 +103,14 @@ class OutlierDetector:
 
 
 def run_outliers(df: DataFrame, table: str, iqr: Mapping[str, float], modz: Sequence[str] = (),
-                 threshold: float = 3.5) -> OutlierDetector:
+                 threshold: float = 3.5, forest: Sequence[str] = (), key: str | None = None,
+                 contamination: float = 0.02) -> OutlierDetector:
+    """All detectors asked for; ``forest`` names the columns of the isolation forest (needs ``key``)."""
     det = OutlierDetector(df, table)
     for c, k in iqr.items():
         det.detect_iqr(c, k)
     for c in modz:
         det.detect_modified_zscore(c, threshold)
+    if forest:
+        det.detect_forest(key, forest, contamination)
     return det

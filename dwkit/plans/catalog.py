@@ -585,6 +585,21 @@ def d32(spark, d):
     return a.unionByName(b)
 
 
+def _three_methods(spark, d):
+    return O.run_outliers(B.obs_dirty(spark, d), "obs_dirty", {"gust": 2.5}, ["gust"], forest=["spd", "gust", "low"], key="obs_id")
+
+
+@query("D31_consensus_three_methods")
+def d31_three(spark, d):
+    """Votes over IQR, modified z-score and isolation forest."""
+    return _three_methods(spark, d).votes().groupBy("votes").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("D32_summary_three_methods")
+def d32_three(spark, d):
+    return _three_methods(spark, d).summary()
+
+
 # ------------------------------------------------------------------ sources, contracts, KPIs, misc
 
 from ..sources import io as IO  # noqa: E402

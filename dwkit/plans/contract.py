@@ -62,7 +62,7 @@ def _retyped(want: Layout, df: DataFrame) -> str:
 def _repeated(want: Layout, df: DataFrame) -> str:
     if want.key not in df.columns:
         return ""
-    surplus = df.groupBy(want.key).agg((F.count(F.lit(1)) - 1).alias("k")).agg(F.coalesce(F.sum("k"), F.lit(0)).alias("d")).first()["d"]
+    surplus = df.groupBy(want.key).agg((F.count(F.lit(1)) - 1).alias("_surplus")).agg(F.coalesce(F.sum("_surplus"), F.lit(0)).alias("d")).first()["d"]
     return f"{surplus} surplus rows" if surplus else ""
 
 

@@ -57,11 +57,9 @@ def test_temporal_gaps(spark):
     base = dt.date(2022, 1, 1)
     rows = [("S", base, h) for h in [0, 1, 3, 3, 4, 9]]
     df = spark.createDataFrame(rows, "st string, d date, h int")
-    for bounded in (True, False):
-        gaps = W.detect_temporal_gaps(df.union(df.withColumn("st", F.lit("T"))), "d", "h", "st", bounded=bounded) \
-            .where("st = 'S'").orderBy("gap_start").collect()
-        assert [(g.gap_length_hours, g.gap_length_intervals) for g in gaps] == [(2.0, 2), (5.0, 5)]
-        assert str(gaps[0].gap_start) == "2022-01-01 01:00:00"
+    gaps = W.detect_temporal_gaps(df.union(df.withColumn("st", F.lit("T"))), "d", "h", "st").where("st = 'S'").orderBy("gap_start").collect()
+    assert [(g.gap_length_hours, g.gap_length_intervals) for g in gaps] == [(2.0, 2), (5.0, 5)]
+    assert str(gaps[0].gap_start) == "2022-01-01 01:00:00"
 
 
 def test_dense_ids_both_paths_agree(spark):
