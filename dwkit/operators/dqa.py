@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 from ..functions.exprs import parse_timestamp
 from ..functions.rules import TableRules, compile_consistency, validity_invalid
 
+# Wording of the report's details column.
+MISSING, DUPLICATES, INVALID, VIOLATIONS = "Missing per column: {%s}", "Duplicate rows on %s: ", " invalid", " rows violate rules"
+FUTURE, STALE, COMPARED, INACCURATE = "Future dates: ", " | Stale (>%dd): ", "%s vs %s (tol=%s): ", " inaccurate"
 DIMENSIONS = ["Completeness", "Uniqueness", "Validity", "Consistency", "Timeliness", "Accuracy"]
 
 
@@ -123,25 +126,25 @@ def scorecard_from_counters(row: DataFrame, meta: dict, table: str) -> DataFrame
             total = n * F.lit(len(req))
             parts = [F.when(F.col(f"_miss_{i}") > 0, F.concat(F.lit(f"'{c}': "), F.col(f"_miss_{i}").cast("string")))
                      for i, c in enumerate(req)]
-            details = F.concat(F.lit("Missing per column: {"), F.concat_ws(", ", *parts), F.lit("}"))
+            details = F.concat(F.lit(MISSING.split("%s")[0]), F.concat_ws(", ", *parts), F.lit(MISSING.split("%s")[1]))
         elif d == "Uniqueness":
             issues, total = F.col("_dups"), n
-            details = F.concat(F.lit(f"Duplicate rows on {_py_list(meta['keys'])}: "), F.col("_dups").cast("string"))
+            details = F.concat(F.lit(DUPLICATES % _py_list(meta["keys"])), F.col("_dups").cast("string"))
         elif d == "Validity":
             issues, total = F.col("_inv_any"), n
-            details = F.concat_ws(" | ", *[F.concat(F.lit(f"{c}: "), F.col(f"_inv_{i}").cast("string"), F.lit(" invalid"))
+            details = F.concat_ws(" | ", *[F.concat(F.lit(f"{c}: "), F.col(f"_inv_{i}").cast("string"), F.lit(INVALID))
                                            for i, c in enumerate(meta["validity"])])
         elif d == "Consistency":
             issues, total = F.col("_incons"), n
-            details = F.concat(F.col("_incons").cast("string"), F.lit(" rows violate rules"))
+            details = F.concat(F.col("_incons").cast("string"), F.lit(VIOLATIONS))
         elif d == "Timeliness":
             issues, total = F.col("_late"), n
-            details = F.concat(F.lit("Future dates: "), F.col("_future").cast("string"),
-                               F.lit(f" | Stale (>{meta['max_age']}d): "), F.col("_stale").cast("string"))
+            details = F.concat(F.lit(FUTURE), F.col("_future").cast("string"),
+                               F.lit(STALE % meta["max_age"]), F.col("_stale").cast("string"))
         else:  # Accuracy
             issues, total = F.col("_acc_any"), n
-            details = F.concat_ws(" | ", *[F.concat(F.lit(f"{c} vs {r} (tol={t}): "), F.col(f"_acc_{i}").cast("string"),
-                                                    F.lit(" inaccurate"))
+            details = F.concat_ws(" | ", *[F.concat(F.lit(COMPARED % (c, r, t)), F.col(f"_acc_{i}").cast("string"),
+                                                    F.lit(INACCURATE))
                                            for i, (c, r, t) in enumerate(meta["accuracy"])])
         entries.append(F.struct(F.lit(d).alias("Dimension"), score(issues, total).alias("Score"),
                                 issues.cast("long").alias("Issues"), details.alias("Details")))

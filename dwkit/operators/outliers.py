@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 from .quantiles import quantile_row
 
 
+# Names of the methods in the summary.
+IQR_NAME, MODZ_NAME, FOREST_NAME = "IQR (k=%s)", "Modified Z-score (t=%s)", "Isolation forest (share=%s)"
+
+
 class OutlierDetector:
     def __init__(self, df: DataFrame, table: str):
         self.table = table
@@ -39,7 +43,7 @@ class OutlierDetector:
                                                 F.lit(False)))
                    .drop(f"_q1_{col}", f"_q3_{col}"))
         self.flags.append(flag)
-        self.records.append({"method": f"IQR (k={k})", "column": col, "flag": flag, "fences": True,
+        self.records.append({"method": IQR_NAME % k, "column": col, "flag": flag, "fences": True,
                              "present": f"_q_present_{col}"})
         return self
 
@@ -55,7 +59,7 @@ class OutlierDetector:
                    .withColumn(flag, F.when(F.col(f"_mad_{col}") != 0, F.coalesce(F.abs(z) > threshold, F.lit(False))))
                    .drop(f"_med_{col}"))
         self.flags.append(flag)
-        self.records.append({"method": f"Modified Z-score (t={threshold})", "column": col, "flag": flag,
+        self.records.append({"method": MODZ_NAME % threshold, "column": col, "flag": flag,
                              "fences": False, "mad": f"_mad_{col}"})
         return self
 
@@ -65,7 +69,7 @@ class OutlierDetector:
 
         self.df = isolation_forest(self.df, key, cols, contamination, **options)
         self.flags.append("IsoForest_Outlier")
-        self.records.append({"method": f"Isolation forest (share={contamination})", "column": cols[0], "label": ", ".join(cols),
+        self.records.append({"method": FOREST_NAME % contamination, "column": cols[0], "label": ", ".join(cols),
                              "flag": "IsoForest_Outlier", "fences": False, "mad": None})
         return self
 

@@ -154,6 +154,7 @@ def chained_measures(flights: DataFrame, weather: DataFrame, fk_col: str, obs_id
 
 # ------------------------------------------------------------------ fact
 
+# The fact's keys and measures.
 FK_COLS = ["FL_DATE_ID", "DEP_HOUR_ID", "ORIGIN_STATION_ID", "DEST_STATION_ID", "MKT_CARRIER_ID",
            "OP_CARRIER_ID", "AIRCRAFT_ID", "JUNK_ID"]
 ENV_MEASURES = ["wind_spd", "wind_gust", "visibility", "temperature", "cloud_cover"]
