@@ -37,6 +37,7 @@ from .bitmaps import Bitmap
 DISTANCE = 23
 TILE = 256            # members of a bucket that are compared with each other in one tile
 GROUP = 512           # texts that are compared with one copy of a pivot's text
+HELD_EDGES = 200_000  # edges that a task holds before it reduces them
 FILTER_BITS = 1 << 24  # bits of the id filter (2 MB), whatever the number of ids
 SLOTS = S.SYMBOLS     # keys of a signature: one for each symbol that is left out
 
@@ -190,9 +191,35 @@ def _classes(n: int, p: np.ndarray, q: np.ndarray) -> np.ndarray:
         label = new
 
 
+def _spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Fewest edges with the same components: each node with the smallest of its component."""
+    names, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    label = _classes(len(names), at[:len(a)], at[len(a):])
+    moved = np.flatnonzero(label != np.arange(len(names)))
+    return names[label[moved]], names[moved]
+
+
 def _by_group(keys: list[str], fn):
-    """Batches sorted by ``keys`` -> ``fn`` on frames of whole groups."""
+    """Batches sorted by ``keys`` -> edges (a, b) that ``fn`` finds in frames of whole groups.
+
+    A task passes on a spanning part of its edges only; HELD_EDGES bounds what it keeps until then.
+    """
     def run(batches):
+        a, b = [], []
+        for found in groups(batches):
+            if len(found):
+                a.append(found["a"].to_numpy())
+                b.append(found["b"].to_numpy())
+            if sum(map(len, a)) > HELD_EDGES:
+                x, y = _spanning(np.concatenate(a), np.concatenate(b))
+                a, b = ([x], [y]) if len(x) <= HELD_EDGES // 2 else ([], [])
+                if not a:
+                    yield pd.DataFrame({"a": x, "b": y})
+        if a:
+            x, y = _spanning(np.concatenate(a), np.concatenate(b))
+            yield pd.DataFrame({"a": x, "b": y})
+
+    def groups(batches):
         held = None
         for pdf in batches:
             if not len(pdf):
