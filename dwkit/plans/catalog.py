@@ -631,6 +631,31 @@ def a7(spark, d):
     return IO.table_inventory(tables, with_pk=True)
 
 
+@query("A8_reconcile_all")
+def a8_all(spark, d):
+    """The wide source split into its seven tables: (table, natural key, dense id) of every row."""
+    from ..sources.reconcile import reconcile
+
+    o = B.table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    c = B.table(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("origin"))
+    wide = (B.table(spark, d, "lineitem").join(B.table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
+            .join(B.table(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+            .join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(c, F.col("o_custkey") == F.col("c_custkey"))
+            .join(B.table(spark, d, "nation"), F.col("origin") == F.col("n_nationkey"))
+            .withColumn("obs_date", F.col("l_shipdate").cast("date")).withColumn("obs_hour", (F.col("l_orderkey") % 24).cast("int")))
+    entities = {"aircraft": (["p_partkey"], ["p_name", "p_brand", "p_type", "p_size", "p_retailprice"]), "carriers": (["s_suppkey"], ["s_name"]),
+                "stations": (["n_nationkey"], ["n_name"]), "cancellation": (["l_returnflag"], []), "active_weather": (["l_linestatus"], []),
+                "weather": (["n_nationkey", "obs_date", "obs_hour"], [])}
+    tables = reconcile(wide, entities, "flights")
+    keys = {k: key for k, (key, _) in entities.items()} | {"flights": ["l_orderkey", "l_linenumber"]}
+    out = None
+    for name, t in tables.items():
+        part = t.select(F.lit(name).alias("table_name"), F.concat_ws("|", *[F.col(k).cast("string") for k in keys[name]]).alias("natural_key"),
+                        *([F.col(f"{name}_id").alias("id")] if name != "flights" else [F.lit(None).cast("long").alias("id")]))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("A8_reconcile_entity")
 def a8(spark, d):
     li = B.table(spark, d, "lineitem")
@@ -931,3 +956,29 @@ def a6(spark, d):
     path = _sink_dir(spark, "reports") + "/audit_summary.csv"
     IO.write_table(rep, path, fmt="csv")
     return IO.read_table(spark, path, fmt="csv", schema="step string, changes long, cols_affected string", na_values=())
+
+
+@query("A5_warehouse_sink_all")
+def a5_all(spark, d):
+    """All seven warehouse tables written and read back: rows and columns of each."""
+    w = _star(spark, d)
+    names = {"DIM_FL_DATES": "fl_dates", "DIM_DEP_HOURS": "dep_hours", "DIM_STATIONS": "stations", "DIM_CARRIERS": "carriers",
+             "DIM_JUNK": "junk", "DIM_AIRCRAFTS": "aircraft", "FLIGHTS": "fact"}
+    tables = {n: (w[k].drop("CODE") if k == "carriers" else w[k]) for n, k in names.items()}
+    paths = IO.write_layer(tables, _sink_dir(spark, "warehouse"))
+    return IO.table_inventory({n: spark.read.parquet(p) for n, p in paths.items()})
+
+
+@query("A6_report_sink_all")
+def a6_all(spark, d):
+    """The scorecard, audit, outlier and missingness reports written as CSV and read back: rows of each."""
+    reports = {"scorecards": _scorecards(spark, d), "audit_summary": events_plan(spark, d).audit_summary(),
+               "outlier_summary": QUERIES["D32_outlier_summary"](spark, d), "missingness": QUERIES["D12_missingness_summary"](spark, d)}
+    base = _sink_dir(spark, "reports")
+    out = None
+    for name, df in reports.items():
+        path = f"{base}/{name}.csv"
+        IO.write_table(df, path, fmt="csv")
+        part = spark.read.option("header", True).csv(path).agg(F.lit(name).alias("report"), F.count(F.lit(1)).alias("n_rows"))
+        out = part if out is None else out.unionByName(part)
+    return out

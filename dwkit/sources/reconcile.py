@@ -17,3 +17,15 @@ from ..operators.windows import deduplicate, with_dense_id
 def reconcile_entity(wide: DataFrame, key: Sequence[str], attrs: Sequence[str], id_col: str | None = None) -> DataFrame:
     ent = deduplicate(wide.select(*key, *attrs), list(key), list(attrs))
     return with_dense_id(ent, list(key), id_col) if id_col else ent
+
+
+def reconcile(wide: DataFrame, entities: dict[str, tuple[Sequence[str], Sequence[str]]], fact: str) -> dict[str, DataFrame]:
+    """All entity tables of a wide source: name -> (id, key, attributes), and ``fact``: the rows that remain
+    when the attributes are gone, one per row of the source, with its own dense id.
+
+    Every column that is no entity attribute stays in the remainder, the natural keys included.
+    """
+    tables = {name: reconcile_entity(wide, key, attrs, f"{name}_id") for name, (key, attrs) in entities.items()}
+    moved = {a for _, attrs in entities.values() for a in attrs}
+    rest = [c for c in wide.columns if c not in moved]
+    return {**tables, fact: with_dense_id(wide.select(*rest), rest, f"{fact}_id")}

@@ -862,4 +862,19 @@ def _decimal_rounding(sql: str) -> str:
 
 SQL["A5_warehouse_sink"] = SQL["K1_build_fl_dates"]
 SQL["A6_report_sink"] = SQL["D27_audit_summary"]
+SQL["A6_report_sink_all"] = " UNION ALL ".join(f"SELECT '{n}' AS report, (SELECT count(*) FROM ({SQL[k]}) q) AS n_rows" for n, k in (
+    ("scorecards", "D9_run_dqa"), ("audit_summary", "D27_audit_summary"), ("outlier_summary", "D32_outlier_summary"), ("missingness", "D12_missingness_summary")))
+SQL["A5_warehouse_sink_all"] = f"WITH {star_fact()} " + " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, count(*) AS n_rows, CAST({c} AS BIGINT) AS n_columns FROM {t}" for n, t, c in (
+        ("DIM_FL_DATES", "dim_fl_dates", 8), ("DIM_DEP_HOURS", "dim_dep_hours", 4), ("DIM_STATIONS", "dim_stations", 8), ("DIM_CARRIERS", "dim_carriers", 3),
+        ("DIM_JUNK", "dim_junk", 4), ("DIM_AIRCRAFTS", "dim_aircraft", 5), ("FLIGHTS", "fact", 14)))
+_WIDE = """wide AS (SELECT l.*, p.p_partkey, s.s_suppkey, n.n_nationkey, CAST(l_shipdate AS DATE) AS obs_date, CAST(l_orderkey % 24 AS INTEGER) AS obs_hour
+  FROM lineitem l JOIN part p ON l_partkey = p_partkey JOIN supplier s ON l_suppkey = s_suppkey JOIN orders o ON l_orderkey = o_orderkey
+  JOIN customer c ON o_custkey = c_custkey JOIN nation n ON c_nationkey = n_nationkey)"""
+SQL["A8_reconcile_all"] = f"WITH {_WIDE} " + " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, concat_ws('|', {', '.join(f'CAST({k} AS VARCHAR)' for k in ks)}) AS natural_key, "
+    f"CAST(row_number() OVER (ORDER BY {', '.join(ks)}) AS BIGINT) AS id FROM (SELECT DISTINCT {', '.join(ks)} FROM wide) x" for t, ks in (
+        ("aircraft", ["p_partkey"]), ("carriers", ["s_suppkey"]), ("stations", ["n_nationkey"]), ("cancellation", ["l_returnflag"]),
+        ("active_weather", ["l_linestatus"]), ("weather", ["n_nationkey", "obs_date", "obs_hour"]))) + """
+UNION ALL SELECT 'flights', CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR), CAST(NULL AS BIGINT) FROM wide"""
 SQL = {k: _decimal_rounding(v) for k, v in SQL.items()}
