@@ -35,7 +35,8 @@ from . import shingles as S
 from .bitmaps import Bitmap
 
 DISTANCE = 23
-TILE = 256            # members of a bucket that are compared with each other in one tile
+TILE = 1024           # signatures of a bucket that are compared with each other in one tile
+TEXT_TILE = 256       # texts of a cluster that are compared with each other in one tile
 GROUP = 512           # texts that are compared with one copy of a pivot's text
 HELD_EDGES = 200_000  # edges that a task holds before it reduces them
 FILTER_BITS = 1 << 24  # bits of the id filter (2 MB), whatever the number of ids
@@ -237,12 +238,12 @@ def _by_group(keys: list[str], fn):
     return run
 
 
-def _tiled(rows: DataFrame, key: str, sizes: DataFrame) -> DataFrame:
-    """Rows of a group dealt to pairs (t1, t2) of tiles of about TILE rows; ``sizes`` has (key, n).
+def _tiled(rows: DataFrame, key: str, sizes: DataFrame, size: int) -> DataFrame:
+    """Rows of a group dealt to pairs (t1, t2) of tiles of about ``size`` rows; ``sizes`` has (key, n).
 
-    Any two rows of a group meet in one pair of tiles; a group of n rows gives n * ceil(n / TILE) rows.
+    Any two rows of a group meet in one pair of tiles; a group of n rows gives n * ceil(n / size) rows.
     """
-    tiles = sizes.select(key, F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
+    tiles = sizes.select(key, F.ceil(F.col("n") / size).cast("int").alias("tiles"))
     dealt = rows.join(tiles.hint("merge"), key).withColumn("t", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int"))
     dealt = dealt.withColumn("u", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     return dealt.withColumns({"t1": F.least("t", "u"), "t2": F.greatest("t", "u")}).drop("u", "tiles")
@@ -252,7 +253,7 @@ def _clusters(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b): edges whose components contain every two representatives of different components that
     share a key and are within DISTANCE.  At most one edge per member and key leaves a task."""
     mixed = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n")).where("lo != hi")
-    dealt = _tiled(rows, "key", mixed.select("key", "n")).join(sets.select("rep", "sig").hint("merge"), "rep")
+    dealt = _tiled(rows, "key", mixed.select("key", "n"), TILE).join(sets.select("rep", "sig").hint("merge"), "rep")
     dealt = dealt.select("key", "t1", "t2", "t", "rep", "c", "sig").repartition("key", "t1", "t2").sortWithinPartitions("key", "t1", "t2", "rep")
     kind = sets.schema["rep"].dataType.simpleString()
 
@@ -289,7 +290,7 @@ def _confirm_clusters(clusters: DataFrame, comp: DataFrame, docs: DataFrame, id_
     rows = clusters.withColumnRenamed("c", "cluster").join(comp, "rep", "left").select("cluster", "rep", F.coalesce("c", "rep").alias("c"))
     rows = materialize(rows, "near-clusters")
     sizes = rows.groupBy("cluster").agg(F.count("*").alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi")
-    dealt = _tiled(rows, "cluster", sizes.select("cluster", "n"))
+    dealt = _tiled(rows, "cluster", sizes.select("cluster", "n"), TEXT_TILE)
     texts = docs.select(F.col(f"`{id_col}`").alias("rep"), F.col(f"`{text_col}`").alias("text"))
     texts = texts.where(_id_filter(rows.select("rep"), "rep")(F.col("rep")))
     dealt = dealt.join(texts.hint("merge"), "rep").select("cluster", "t1", "t2", "t", "rep", "c", "text")

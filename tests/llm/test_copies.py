@@ -90,6 +90,7 @@ def test_near_duplicates_of_documents(spark):
 def test_near_duplicates_chains_and_cases(spark, awkward, nothing, monkeypatch):
     """A chain of gradual edits (no hub), a large group around a text, tiles of four rows."""
     monkeypatch.setattr(minhash, "TILE", 4)
+    monkeypatch.setattr(minhash, "TEXT_TILE", 4)
     rnd = random.Random(4)
     words = [f"w{i}" for i in range(120)]
     rows, text = [], list(words)
