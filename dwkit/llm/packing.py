@@ -33,6 +33,7 @@ from . import byte_bpe
 
 TIERS = (1024, 512, 256)
 QUEUE_TOKENS = 1 << 20
+MEMO_SIZE = 250_000  # pieces; a miss costs little here, and workers keep the memo
 STEP_TOKENS = 1 << 16
 PIECE_COLUMNS = ("start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
                  "`offset` bigint, tier int, step_group bigint")
@@ -58,7 +59,7 @@ class Codec:
         self.library.no_truncation()
         self.library.no_padding()
         self.unsure = re.compile("|".join([byte_bpe.UNSURE.pattern, *map(re.escape, special)]))
-        self.pieces = byte_bpe.Memo(self._piece)
+        self.pieces = byte_bpe.Memo(self._piece, MEMO_SIZE)
         self.end = struct.pack("<I", end_id)
 
     def _piece(self, s: str) -> bytes:
