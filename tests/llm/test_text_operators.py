@@ -105,6 +105,39 @@ def test_fingerprint_cases(spark, awkward, nothing):
     assert single.next_id == 1 and single.near_next == 1.0
 
 
+def test_likeness_of_a_large_group_of_near_copies(spark):
+    """A third of the rows are near copies: none of their terms lies in the band, likeness stays graded."""
+    rnd = random.Random(8)
+    common = [f"group{k}" for k in range(100)]
+    rows = []
+    for i in range(3006):
+        if i % 9 < 3:
+            t = list(common)
+            for k in rnd.sample(range(100), 3):
+                t[k] = f"other{rnd.randrange(1000)}"
+        else:
+            t = [f"word{int(4000 * rnd.random() ** 2)}" for _ in range(100)]
+        rows.append((i, " ".join(t)))
+    got = {r.doc_id: r for r in imatch.edited_fingerprints(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    hot = [got[i] for i in got if i % 9 < 3]
+    assert min(r.near_edited for r in hot) > 0.2 and np.mean([r.near_edited for r in hot]) > 0.5
+    assert min(got[i].near_next for i in got if i % 9 < 2) > 0.6      # the next is a near copy too
+    assert max(got[i].near_next for i in got if i % 9 == 2) < 0.2     # the next is another text
+    others = [got[i] for i in got if i % 9 > 2]
+    assert all(r.fingerprint[16] == "*" for r in hot) and all(r.fingerprint[16] == ":" for r in others)
+    assert np.mean([r.near_edited > r.near_next for r in others]) > 0.95
+
+
+def test_document_frequency_counts_distinct_texts(spark):
+    rnd = random.Random(9)
+    rows = [(i, " ".join(f"word{rnd.randrange(500)}" for _ in range(8))) for i in range(1500)]
+    rows += [(5000 + i, "alpha beta gamma") for i in range(700)] + [(6000, "alpha delta"), (6001, "beta alpha word1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    lex = {r.term for r in imatch.lexicon(docs).collect()}
+    alpha, gamma = (spark.range(1).select(F.xxhash64(F.lit(w))).first()[0] for w in ("alpha", "gamma"))
+    assert alpha in lex and gamma not in lex  # three distinct texts hold alpha, one holds gamma
+
+
 # ------------------------------------------------------------------ personal data
 
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
