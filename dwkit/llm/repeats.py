@@ -15,8 +15,9 @@ would not fit a task, so the suffixes are first split into independent groups:
    within a run of windows that agree in 100 bytes, a window has a previous factor of that length
    if and only if a smaller position precedes it (previous smaller) or follows it (next smaller).
 
-Groups in step 4 are refined by the 34 bytes beside the anchor, and where a group is still
-large each of its windows goes to a task by its own hash, so no task gets an unbounded group.
+Groups in step 4 are refined by the 34 bytes beside the anchor.  Where a group is still large, bounded
+slices of it are solved where they lie; the windows that are first in their slice are grouped by their
+bytes: an aggregate finds the first place of each, a join marks the others, and no task holds an unbounded group.
 The first occurrence always stays: positions are compared by (id, start).
 """
 
@@ -26,8 +27,11 @@ import hashlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from ..session import materialize
 from .bitmaps import Bitmap
@@ -35,9 +39,10 @@ from .bitmaps import Bitmap
 LENGTH, GRAM = 100, 32
 SIDE = (LENGTH - GRAM) // 2
 SEGMENT = 1 << 16          # bytes that are hashed at once: its arrays stay in a core's cache
+SLICE = 500                # rows of an Arrow batch that are Python objects at once
 BITS = 1 << 27             # bits of the bitmaps (16 MB)
 SOLVE_ROWS = 2000          # spans whose windows are sorted at once
-CROWD = 2000               # spans of a group above which windows are dealt one by one
+CROWD = 2000               # spans of a group above which it is solved in slices
 LAST = (1 << 63) - 1       # order of null ids
 _RNG = np.random.default_rng(29)
 _TABLE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -120,6 +125,12 @@ def _segments(ids, hashes, texts):
         yield group
 
 
+def _slices(batches):
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
 def _spans(pdf):
     for group in _segments(pdf["o"].tolist(), pdf["t"].tolist(), pdf["text"]):
         found = Spans([x[3] for x in group])
@@ -135,13 +146,15 @@ def _identity(g, h, o, first) -> np.ndarray:
 
 def _read(texts: DataFrame, fn, schema: str) -> DataFrame:
     """Rows that ``fn`` (columns as arrays) finds in the spans of all texts."""
+    kind = to_arrow_schema(StructType.fromDDL(schema))
+
     def run(batches):
-        for pdf in batches:
-            found = [fn(*x) for x in _spans(pdf)]
+        for part in _slices(batches):
+            found = [fn(*x) for x in _spans(part.to_pandas())]
             if found:
-                yield pd.DataFrame({c: np.concatenate([f[c] for f in found]) for c in found[0]})
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[c] for f in found]), t) for c, t in zip(kind.names, kind.types)], schema=kind)
 
-    return texts.mapInPandas(run, schema)
+    return texts.mapInArrow(run, schema)
 
 
 def _repeated_spans(texts: DataFrame) -> DataFrame:
@@ -214,47 +227,68 @@ def earlier_windows(windows: np.ndarray, position: np.ndarray) -> np.ndarray:
     return out
 
 
+def _solve(pdf: pd.DataFrame, firsts: bool = False) -> pd.DataFrame:
+    """(o, t, first, last) of the windows that have an earlier equal under their key in ``pdf``; with
+    ``firsts`` also the others one by one, with key and window (else null)."""
+    pdf = pdf.drop_duplicates(["key", "o", "t", "first"], ignore_index=True)  # rows that repeat id and text
+    count = pdf["count"].to_numpy()
+    data = [np.frombuffer(b, dtype=np.uint8) for b in pdf["bytes"]]
+    strings = np.concatenate([np.lib.stride_tricks.sliding_window_view(d, LENGTH) for d in data]) + np.uint8(1)  # no zero bytes
+    row = np.repeat(np.arange(len(pdf)), count)
+    inside = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+    start = pdf["first"].to_numpy()[row] + inside
+    group = np.unique(pdf["key"].to_numpy(), return_inverse=True)[1][row]
+    rank = np.lexsort((start, pdf["t"].to_numpy()[row], pdf["o"].to_numpy()[row]))
+    position = np.empty(len(row), dtype=np.int64)
+    position[rank] = np.arange(len(row))
+    mark = (group.astype(">u8") + np.uint64(0x0101010101010101)).astype(">u8").view(np.uint8).reshape(-1, 8)
+    whole = np.ascontiguousarray(np.concatenate([mark, strings], axis=1)).view(f"S{LENGTH + 8}").ravel()
+    hit = earlier_windows(whole, position)
+    cut = np.ones(len(row), dtype=bool)
+    cut[1:] = (row[1:] != row[:-1]) | (hit[1:] != hit[:-1])
+    begin = np.flatnonzero(cut)
+    end = np.append(begin[1:], len(row)) - 1
+    use = hit[begin]
+    i, j = begin[use], end[use]
+    o, t = pdf["o"].to_numpy()[row], pdf["t"].to_numpy()[row]
+    out = pd.DataFrame({"o": o[i], "t": t[i], "first": start[i], "last": start[j]})
+    if not firsts:
+        return out
+    new = np.flatnonzero(~hit)
+    found = {"o": o[new], "t": t[new], "first": start[new], "last": start[new], "key": pdf["key"].to_numpy()[row[new]], "window": [w.tobytes() for w in strings[new]]}
+    return pd.concat([out.assign(key=0, window=None), pd.DataFrame(found)], ignore_index=True)
+
+
+def _crowded(windows: DataFrame) -> DataFrame:
+    """(o, t, first, last) of the windows that have an earlier equal under their key, for groups of any size."""
+    def local(batches):
+        for pdf in batches:
+            for at in range(0, len(pdf), SOLVE_ROWS):
+                yield _solve(pdf.iloc[at:at + SOLVE_ROWS], firsts=True)
+
+    solved = materialize(windows.mapInPandas(local, "o bigint, t bigint, first bigint, last bigint, key bigint, window binary"), "repeat-crowded")
+    firsts = solved.where("window IS NOT NULL")
+    place = F.struct("o", "t", "first")
+    heads = firsts.groupBy("key", "window").agg(F.min(place).alias("one"), F.count("*").alias("n")).where("n > 1")
+    # written first, so that the join has an exchange on both sides and a hot window's rows can be split
+    heads = materialize(heads.select("key", "window", "one"), "repeat-heads")
+    later = firsts.join(heads.hint("merge"), ["key", "window"]).where(place != F.col("one"))
+    return solved.where("window IS NULL").select("o", "t", "first", "last").unionByName(later.select("o", "t", "first", "last"))
+
+
 def _covered(windows: DataFrame) -> DataFrame:
     """(o, t, first, last) of the contested windows that have an earlier equal."""
-    sizes = windows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    rows = windows.join(sizes.hint("merge"), "key")
+    sizes = materialize(windows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "repeat-sizes")
+    crowds = Bitmap(sizes.where(F.col("n") > CROWD), "key", BITS >> 3)
 
-    def single(batches):
-        for pdf in batches:
-            out = []
-            for key, o, t, first, count, data in zip(pdf["key"], pdf["o"], pdf["t"], pdf["first"], pdf["count"], pdf["bytes"]):
-                for k in range(count):
-                    part = data[k:k + LENGTH]
-                    sub = int.from_bytes(hashlib.blake2b(part, digest_size=8).digest(), "little", signed=True)
-                    out.append((key, sub, o, t, first + k, 1, part))
-            yield pd.DataFrame(out, columns=["key", "sub", "o", "t", "first", "count", "bytes"])
-
-    shape = "key bigint, sub bigint, o bigint, t bigint, first bigint, count int, bytes binary"
-    calm = rows.where(F.col("n") <= CROWD).select("key", F.lit(0).cast("bigint").alias("sub"), "o", "t", "first", "count", "bytes")
-    crowded = rows.where(F.col("n") > CROWD).select("key", "o", "t", "first", "count", "bytes").mapInPandas(single, shape)
-    dealt = calm.unionByName(crowded).repartition("key", "sub").sortWithinPartitions("key", "sub", "o", "t", "first")
-
-    def solve(pdf):
-        count = pdf["count"].to_numpy()
-        data = [np.frombuffer(b, dtype=np.uint8) for b in pdf["bytes"]]
-        strings = np.concatenate([np.lib.stride_tricks.sliding_window_view(d, LENGTH) for d in data]) + np.uint8(1)  # no zero bytes
-        row = np.repeat(np.arange(len(pdf)), count)
-        inside = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-        start = pdf["first"].to_numpy()[row] + inside
-        group = np.unique(pdf[["key", "sub"]].to_numpy(), axis=0, return_inverse=True)[1].ravel()[row]
-        rank = np.lexsort((start, pdf["t"].to_numpy()[row], pdf["o"].to_numpy()[row]))
-        position = np.empty(len(row), dtype=np.int64)
-        position[rank] = np.arange(len(row))
-        mark = (group.astype(">u8") + np.uint64(0x0101010101010101)).astype(">u8").view(np.uint8).reshape(-1, 8)
-        whole = np.ascontiguousarray(np.concatenate([mark, strings], axis=1)).view(f"S{LENGTH + 8}").ravel()
-        hit = earlier_windows(whole, position)
-        cut = np.ones(len(row), dtype=bool)
-        cut[1:] = (row[1:] != row[:-1]) | (hit[1:] != hit[:-1])
-        begin = np.flatnonzero(cut)
-        end = np.append(begin[1:], len(row)) - 1
-        use = hit[begin]
-        i, j = begin[use], end[use]
-        return pd.DataFrame({"o": pdf["o"].to_numpy()[row[i]], "t": pdf["t"].to_numpy()[row[i]], "first": start[i], "last": start[j]})
+    @F.pandas_udf("boolean")
+    def crowd(key: pd.Series) -> pd.Series:
+        return pd.Series(crowds.may_contain(key.to_numpy(dtype=np.int64)))
+
+    # a calm group that passes the bitmap is solved twice, to the same windows
+    crowded = _crowded(windows.where(crowd("key")))
+    calm = windows.join(sizes.where(F.col("n") <= CROWD).hint("merge"), "key").select("key", "o", "t", "first", "count", "bytes")
+    dealt = calm.repartition("key").sortWithinPartitions("key", "o", "t", "first")
 
     def run(batches):
         held = None
@@ -262,19 +296,18 @@ def _covered(windows: DataFrame) -> DataFrame:
             if not len(pdf):
                 continue
             pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
-            last = pdf.iloc[-1]
-            starts = np.flatnonzero(np.append(True, ((pdf[["key", "sub"]].to_numpy()[1:] != pdf[["key", "sub"]].to_numpy()[:-1]).any(axis=1))))
-            # whole groups at a time, about SOLVE_ROWS rows (a group has CROWD rows at most, or equal hashes)
+            starts = np.flatnonzero(np.append(True, pdf["key"].to_numpy()[1:] != pdf["key"].to_numpy()[:-1]))
+            # whole groups at a time, about SOLVE_ROWS rows (a group has CROWD rows at most)
             at = 0
             for end in starts[1:].tolist():
                 if end - at >= SOLVE_ROWS or end == starts[-1]:
-                    yield solve(pdf.iloc[at:end].reset_index(drop=True))
+                    yield _solve(pdf.iloc[at:end].reset_index(drop=True))
                     at = end
             held = pdf.iloc[at:].reset_index(drop=True)
         if held is not None:
-            yield solve(held)
+            yield _solve(held)
 
-    return dealt.mapInPandas(run, "o bigint, t bigint, first bigint, last bigint")
+    return dealt.mapInPandas(run, "o bigint, t bigint, first bigint, last bigint").unionByName(crowded)
 
 
 def repeated_ranges(texts: DataFrame) -> DataFrame:
@@ -289,15 +322,15 @@ def repeated_ranges(texts: DataFrame) -> DataFrame:
     return later.select("o", "t", "first", "last").unionByName(_covered(_contested_windows(texts, contested)))
 
 
-def _apply(batches, as_text: bool):
+def _apply(batches, as_text: bool, kind: pa.Schema):
     """Remove the ranges of each row; digests of what stays, or the text itself."""
-    for pdf in batches:
+    for part in _slices(batches):
         out = []
-        for text, firsts, lasts in zip(pdf["text"], pdf["firsts"], pdf["lasts"]):
-            data = text.encode("utf-8", "surrogatepass")
+        for text, firsts, lasts in zip(*(part.column(c) for c in ("text", "firsts", "lasts"))):
+            data = text.as_py().encode("utf-8", "surrogatepass")
             gone, spans, at, kept = 0, 0, 0, []
-            if firsts is not None and len(firsts):
-                a, b = np.asarray(firsts, dtype=np.int64), np.asarray(lasts, dtype=np.int64) + LENGTH
+            if firsts.is_valid and len(firsts):
+                a, b = firsts.values.to_numpy(), lasts.values.to_numpy() + LENGTH
                 order = np.argsort(a, kind="stable")
                 a, b = a[order], np.maximum.accumulate(b[order])
                 new = np.append(True, a[1:] > b[:-1])
@@ -307,8 +340,8 @@ def _apply(batches, as_text: bool):
             kept.append(data[at:])
             rest = b"".join(kept)
             out.append((gone, spans, rest.decode("utf-8", "ignore") if as_text else hashlib.sha256(rest).hexdigest()))
-        got = pd.DataFrame(out, columns=["n_removed", "n_spans", "kept"], index=pdf.index)
-        yield pd.concat([pdf[["id", "n_bytes"]], got], axis=1)
+        found = [pa.array(x, t) for x, t in zip(zip(*out), kind.types[2:])]
+        yield pa.RecordBatch.from_arrays([part.column("id"), part.column("n_bytes"), *found], schema=kind)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", as_text: bool = False) -> DataFrame:
@@ -336,5 +369,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     calm = full.where(~F.col("touched")).select("id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"),
                                                (F.col("text") if as_text else F.sha2("text", 256)).alias("kept"))
     cut = full.where("touched").join(ranges.hint("merge"), ["o", "t"], "left").select("id", "n_bytes", "text", "firsts", "lasts")
-    cut = cut.mapInPandas(lambda b: _apply(b, as_text), "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept string")
+    shape = "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept string"
+    kind = to_arrow_schema(StructType.fromDDL(shape))
+    cut = cut.mapInArrow(lambda b: _apply(b, as_text, kind), shape)
     return calm.unionByName(cut).withColumnsRenamed({"id": id_col, "kept": "kept_text" if as_text else "kept_sha256"})

@@ -165,6 +165,32 @@ def test_repeats(spark, awkward, nothing, monkeypatch):
     assert kept[6] == "one" and kept[2] == ""
 
 
+def test_equal_windows_of_a_crowd_do_not_meet_in_a_python_task(spark, monkeypatch):
+    """Many contested spans share their windows at one end: they are aggregated, and only calm groups reach the solver."""
+    rnd = random.Random(12)
+    monkeypatch.setattr(repeats, "SOLVE_ROWS", 16)
+    shared = "".join(rnd.choice("abcdefgh") for _ in range(160))
+    rows = [(i, "".join(rnd.choice("ijklmnop") for _ in range(60)) + shared + "".join(rnd.choice("qrstuvwx") for _ in range(60))) for i in range(300)]
+    rows += [(1000, rows[0][1][:170]), rows[0], rows[7]]
+    solved, whole = [], repeats._covered
+
+    def watch(windows):
+        out = whole(windows)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        keys = windows.groupBy("key").count().where("count > 1").collect()
+        solved.append((plan, max(r["count"] for r in keys)))
+        return out
+
+    monkeypatch.setattr(repeats, "CROWD", 20)
+    monkeypatch.setattr(repeats, "_covered", watch)
+    got = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, _repeats(rows)))
+    (plan, largest), = solved
+    assert largest > 100  # the crowd is there
+    solver = plan[plan.index("MapInPandas"):]
+    assert plan.count("MapInPandas") == 1 and "(n#" in solver and "<= 20" in solver
+
+
 def test_earlier_windows():
     w = np.array([b"b", b"a", b"b", b"a", b"c", b"b"], dtype="S1")
     pos = np.array([5, 1, 2, 4, 3, 0])
