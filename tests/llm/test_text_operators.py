@@ -128,6 +128,13 @@ def test_likeness_of_a_large_group_of_near_copies(spark):
     assert np.mean([r.near_edited > r.near_next for r in others]) > 0.95
 
 
+def test_lexicon_band_and_bitmap_at_every_size(spark):
+    rows = [(i, f"own{i} tenth{i % 10} pair{i // 2}") for i in range(600)]
+    lex = imatch.lexicon(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert lex.count() == 300  # the pairs; a term in a tenth of the texts is over the band below 1,000 texts too
+    assert all(16 * n <= imatch.lexicon_bits(n) for n in (1, 10**6, 10**7))
+
+
 def test_document_frequency_counts_distinct_texts(spark):
     rnd = random.Random(9)
     rows = [(i, " ".join(f"word{rnd.randrange(500)}" for _ in range(8))) for i in range(1500)]
