@@ -107,3 +107,24 @@ def op8(spark, d):
     from .repeats import remove_repeats
 
     return remove_repeats(documents(spark, d))
+
+
+@query("op11_importance_resampling")
+def op11(spark, d):
+    from .importance import resample
+
+    return resample(documents(spark, d), spark.read.parquet(f"{d}/benchmark.parquet"))
+
+
+@query("op12_tokenizer_alignment")
+def op12(spark, d):
+    from .alignment import align_tokenizers
+
+    return align_tokenizers(documents(spark, d))
+
+
+@query("op13_quality_neighbours")
+def op13(spark, d):
+    from .quality import score_quality
+
+    return score_quality(documents(spark, d), spark.read.parquet(f"{d}/labels.parquet"))
