@@ -14,6 +14,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.exprs import parse_timestamp
 from ..functions.rules import TableRules, compile_consistency, validity_invalid
@@ -183,3 +184,48 @@ def scorecard_pivot(scorecards: DataFrame, order: Sequence[str] = DIMENSIONS[:5]
     """Table x Dimension score matrix, scores clipped to [0, 1]."""
     p = scorecards.groupBy("Table").pivot("Dimension", list(order)).agg(F.first("Score"))
     return p.select("Table", *[F.least(F.greatest(F.col(c), F.lit(0.0)), F.lit(1.0)).alias(c) for c in order])
+
+
+def _comparable(c: Column, numeric: bool) -> Column:
+    return (c.cast("double") if numeric else c).cast("string")
+
+
+def rule_report(df: DataFrame, table: str, rules: TableRules, refs: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """D10 + D11 rule by rule: (table_name, kind, rule, n_violations, n_rows).
+
+    Predicates and value rules are counters of one aggregate.  Foreign keys and values that must not repeat go in
+    long form, (rule, value), and are counted by value first, so a hot value reaches the join with its parent's
+    distinct keys as one row a task.  Rules whose columns or parent are absent have no violations.
+    """
+    refs = refs or {}
+    kinds = {f.name: isinstance(f.dataType, T.NumericType) for f in df.schema.fields}
+    values = validity_invalid(df, rules.validity)
+    here = [r for r in rules.consistency if all(c in df.columns for c in r.needs)]
+    plain = {r.name: r.predicate() for r in here if r.predicate is not None}
+    keyed = [r for r in here if r.unique_col or (r.fk and r.fk[1] in refs and r.fk[2] in refs[r.fk[1]].columns)]
+    row = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(v).alias(f"_v{i}") for i, v in enumerate(values.values())],
+                 *[F.count_if(~F.coalesce(p, F.lit(False))).alias(f"_p{i}") for i, p in enumerate(plain.values())])
+    items = [("validity", c, F.col(f"_v{i}")) for i, c in enumerate(values)] + [("consistency", n, F.col(f"_p{i}")) for i, n in enumerate(plain)]
+    items += [("consistency", r.name, F.lit(0)) for r in rules.consistency if r.name not in plain]
+    out = row.select("_n", F.explode(F.array(*[F.struct(F.lit(kind).alias("kind"), F.lit(name).alias("rule"), n.cast("long").alias("n_violations"))
+                                              for kind, name, n in items])).alias("s"))
+    if keyed:
+        pairs, parents = [], None
+        for r in keyed:
+            col = r.unique_col or r.fk[0]
+            numeric = kinds[col]
+            if r.fk:
+                keys = refs[r.fk[1]].select(F.col(r.fk[2]).alias("k"))
+                numeric = numeric and isinstance(keys.schema["k"].dataType, T.NumericType)
+                keys = keys.where(F.col("k").isNotNull()).select(F.lit(r.name).alias("_rule"), _comparable(F.col("k"), numeric).alias("_value"), F.lit(True).alias("_hit")).distinct()
+                parents = keys if parents is None else parents.unionByName(keys)
+            pairs.append(F.struct(F.lit(r.name).alias("_rule"), _comparable(F.col(col), numeric).alias("_value"), F.lit(r.fk is not None).alias("_fk")))
+        by = df.select(F.explode(F.array(*pairs)).alias("s")).select("s.*").where(F.col("_value").isNotNull())
+        by = by.groupBy("_rule", "_fk", "_value").agg(F.count(F.lit(1)).alias("_k"))
+        by = by.join(parents, ["_rule", "_value"], "left") if parents is not None else by.withColumn("_hit", F.lit(None).cast("boolean"))
+        bad = F.when(F.col("_fk") & F.col("_hit").isNull() | ~F.col("_fk") & (F.col("_k") > 1), F.col("_k")).otherwise(0)
+        found = by.groupBy("_rule").agg(F.sum(bad).alias("_bad"))  # a row a rule
+        out = out.join(F.broadcast(found), F.col("s.rule") == F.col("_rule"), "left")
+    else:
+        out = out.withColumn("_bad", F.lit(None).cast("long"))
+    return out.select(F.lit(table).alias("table_name"), "s.kind", "s.rule", F.coalesce("_bad", "s.n_violations").alias("n_violations"), F.col("_n").alias("n_rows"))

@@ -982,3 +982,68 @@ def a6_all(spark, d):
         part = spark.read.option("header", True).csv(path).agg(F.lit(name).alias("report"), F.count(F.lit(1)).alias("n_rows"))
         out = part if out is None else out.unionByName(part)
     return out
+
+
+# ------------------------------------------------------------------ the cleaning run and the rule registry of the seven tables
+
+from ..sources import reconciled as REC  # noqa: E402
+from .cleaning_run import CleaningRun  # noqa: E402
+
+
+def cleaning_run(spark, d, one_to_one: bool = True) -> CleaningRun:
+    return CleaningRun(REC.tables(spark, d, one_to_one))
+
+
+def _clean_query(table: str, one_to_one: bool):
+    return lambda spark, d: cleaning_run(spark, d, one_to_one).clean(table)
+
+
+for _t in ["Carriers", "Stations", "Aircrafts", "Weather_Observations", "Flights"]:
+    query(f"RUN_clean_{_t.lower()}")(_clean_query(_t, True))
+for _t in ["Weather_Observations", "Flights"]:  # the observations may not go here: their measures are interpolated
+    query(f"RUN_clean_{_t.lower()}_interpolated")(_clean_query(_t, False))
+
+
+@query("RUN_counts")
+def run_counts(spark, d):
+    return cleaning_run(spark, d).counts()
+
+
+def _entries(run: CleaningRun) -> DataFrame:
+    log = run.audit_log(LOAD_TS)
+    return log.groupBy("table_name", "step", F.col("column").alias("column_name"), "timestamp").agg(F.count(F.lit(1)).alias("n_entries"))
+
+
+@query("RUN_audit")
+def run_audit(spark, d):
+    return _entries(cleaning_run(spark, d))
+
+
+@query("RUN_audit_interpolated")
+def run_audit_interpolated(spark, d):
+    return _entries(cleaning_run(spark, d, False))
+
+
+@query("RUN_dropped_rows")
+def run_dropped_rows(spark, d):
+    return cleaning_run(spark, d).dropped_rows()
+
+
+@query("RUN_comparison")
+def run_comparison(spark, d):
+    return cleaning_run(spark, d).comparison()
+
+
+@query("RUN_validation")
+def run_validation(spark, d):
+    return cleaning_run(spark, d).validation()
+
+
+@query("D10_D11_rule_registry")
+def rule_registry(spark, d):
+    """Every rule of the seven tables on the raw layer."""
+    tables, out = REC.tables(spark, d), None
+    for name, rules in R.domain_rules().items():
+        part = dqa.rule_report(tables[name], name, rules, tables)
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -455,7 +455,7 @@ FROM events_dirty CROSS JOIN gm LEFT JOIN grp ON event_type IS NOT DISTINCT FROM
 
 # ------------------------------------------------------------------ weather role
 
-def _interp_sql(src: str, cols, limit=2, gap=3) -> str:
+def interp_sql(src: str, cols, limit=2, gap=3, digits=4) -> str:
     """E3 restated with window frames over (station, time)."""
     sel = []
     for c in cols:
@@ -473,7 +473,8 @@ def _interp_sql(src: str, cols, limit=2, gap=3) -> str:
                   f"WHEN {p} IS NOT NULL THEN {p}.vv ELSE {x}.vv END")
         allowed = (f"(coalesce(rn - {p}.rr <= {limit}, FALSE) OR coalesce({x}.rr - rn <= {limit}, FALSE)) AND "
                    f"(k_{c} < 2 OR least(coalesce((s - {p}.ss) / 3600.0, 1e308), coalesce(({x}.ss - s) / 3600.0, 1e308)) <= {gap})")
-        outs.append(f"round(CASE WHEN {c} IS NOT NULL THEN CAST({c} AS DOUBLE) WHEN nt >= 2 AND {allowed} THEN {interp} END, 4) AS {c}")
+        value = f"CASE WHEN {c} IS NOT NULL THEN CAST({c} AS DOUBLE) WHEN nt >= 2 AND {allowed} THEN {interp} END"
+        outs.append(f"{value} AS {c}" if digits is None else f"round({value}, {digits}) AS {c}")
     return (f"(SELECT obs_id, {', '.join(outs)} FROM (SELECT *, {', '.join(sel)} FROM "
             f"(SELECT *, row_number() OVER (PARTITION BY station ORDER BY s, obs_id) AS rn, "
             f"count(*) OVER (PARTITION BY station) AS nt FROM "
@@ -525,9 +526,9 @@ SELECT n_null_weather_rows, n_affected_flights, perfect_cooccurrence, n_dangerou
 _q("C4_drop_linked_children", f"""WITH {_LINKED}
 SELECT event_id, weather_observation_id FROM linked
 WHERE weather_observation_id IS NULL OR weather_observation_id NOT IN (SELECT obs_id FROM obs_dirty WHERE {_ALLNULL} AND obs_id IS NOT NULL)""")
-_q("E3_interpolate_temporal", f"WITH {OBS_DIRTY} SELECT * FROM {_interp_sql('obs_dirty', _W)} z")
+_q("E3_interpolate_temporal", f"WITH {OBS_DIRTY} SELECT * FROM {interp_sql('obs_dirty', _W)} z")
 _q("B13_handle_weather_nulls", f"""WITH {_C3}
-SELECT * FROM {_interp_sql('obs_dirty', _W)} z WHERE NOT (SELECT safe_to_drop FROM dec2)
+SELECT * FROM {interp_sql('obs_dirty', _W)} z WHERE NOT (SELECT safe_to_drop FROM dec2)
 UNION ALL SELECT obs_id, round(spd, 4), round(gust, 4), round(low, 4) FROM obs_dirty WHERE (SELECT safe_to_drop FROM dec2) AND NOT ({_ALLNULL})""")
 _q("E5_temporal_gaps", f"""WITH {OBS},
 t AS (SELECT DISTINCT station, CAST(obs_date AS TIMESTAMP) + obs_hour * INTERVAL 1 HOUR AS e FROM obs),
