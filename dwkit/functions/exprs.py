@@ -65,10 +65,25 @@ DATE_FORMATS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSSSSS
                 "yyyy/MM/dd", "MM/dd/yyyy", "MM/dd/yyyy HH:mm:ss")
 
 
-def parse_timestamp(col, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """Lenient parse of text, a date or a timestamp (whose text form has its fraction) to a timestamp."""
+#: Further forms, told by their shape so that a value is tried with one of them at most: compact, unpadded and textual dates.
+DATE_SHAPES = ((r"^\d{8}$", "yyyyMMdd"), (r"^\d{14}$", "yyyyMMddHHmmss"), (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"), (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+               (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"), (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}$", "yyyy-M-d H:mm"),
+               (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}:\d{2}$", "yyyy-M-d H:mm:ss"), (r"^\d{1,2} \p{L}{3} \d{4}$", "d MMM yyyy"),
+               (r"^\d{1,2}-\p{L}{3}-\d{4}$", "d-MMM-yyyy"), (r"^\d{1,2} \p{L}{4,} \d{4}$", "d MMMM yyyy"), (r"^\p{L}{3} \d{1,2}, \d{4}$", "MMM d, yyyy"),
+               (r"^\p{L}{4,} \d{1,2}, \d{4}$", "MMMM d, yyyy"))
+
+
+def parse_timestamp(col, formats: Sequence[str] = DATE_FORMATS, shapes: Sequence[tuple[str, str]] = DATE_SHAPES) -> Column:
+    """Lenient parse of text, a date or a timestamp (whose text form has its fraction) to a timestamp.
+
+    The first of ``formats`` that reads the value wins; otherwise the value's shape names the format.
+    """
     c = F.trim(_c(col).cast("string"))
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
+    by_shape = None
+    for pattern, form in shapes:
+        hit, value = c.rlike(pattern), F.try_to_timestamp(F.initcap(c) if "MMM" in form else c, F.lit(form))
+        by_shape = F.when(hit, value) if by_shape is None else by_shape.when(hit, value)
+    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats], *([by_shape] if by_shape is not None else []))
 
 
 def parse_date(col, formats: Sequence[str] = DATE_FORMATS) -> Column:

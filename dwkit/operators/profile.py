@@ -1,7 +1,7 @@
 """Profiling and dependency checks.
 
-Every profile is one aggregate over the table (or one per determinant for
-FD discovery), unpivoted with ``explode(array(struct))``.
+Every profile is one aggregate over the table (dependency discovery: one over part of
+the groups and one over all), unpivoted with ``explode(array(struct))``.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .star import small_side
 
@@ -44,59 +45,88 @@ def missingness_summary(df: DataFrame) -> DataFrame:
     return _unpivot(row, items).where(F.col("missing_count") > 0)
 
 
-def column_profile(df: DataFrame, glossary: Mapping[str, str] | None = None, sample_chars: int = 30,
-                   approx: bool = False) -> DataFrame:
+def distinct_counts(df: DataFrame) -> DataFrame:
+    """(_i, n_unique): exact number of distinct non-null values of every column, by its position.
+
+    One aggregation over (column, value hash) with a second over its groups: tasks send one row a distinct value, and
+    no row is expanded once per column before it is counted.  Values are told apart by 128 bits of hashes.
+    """
+    pairs = [F.struct(F.lit(i).alias("_i"), *[h.alias(x) for x, h in zip("hg", _fingerprints(f.name, f.dataType))]) for i, f in enumerate(df.schema.fields)]
+    values = df.select(F.explode(F.filter(F.array(*pairs), lambda s: s["h"].isNotNull())).alias("s")).select("s.*").distinct()
+    return values.groupBy("_i").agg(F.count(F.lit(1)).alias("n_unique"))
+
+
+def column_profile(df: DataFrame, glossary: Mapping[str, str] | None = None, sample_chars: int = 30) -> DataFrame:
     """Dtype, distinct count, null count, a deterministic sample (min) and description.
 
-    ``approx=True`` uses HyperLogLog distinct counts: at large scale several
-    exact distinct counts in one aggregate expand every row once per column.
+    The description is the glossary's, else the column's own comment (field metadata), else N/A.
     """
-    glossary = glossary or {}
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    aggs = []
-    for i, c in enumerate(df.columns):
-        col = F.col(f"`{c}`")
-        aggs += [(F.approx_count_distinct(col) if approx else F.count_distinct(col)).alias(f"_u{i}"),
-                 F.count_if(col.isNull()).alias(f"_z{i}"),
-                 F.min(col.cast("string")).alias(f"_s{i}")]
-    row = df.agg(*aggs)
-    items = [(c, {"column_name": F.lit(c), "dtype": F.lit(types[c]), "n_unique": F.col(f"_u{i}"),
-                  "n_null": F.col(f"_z{i}"), "sample": F.substring(F.col(f"_s{i}"), 1, sample_chars),
-                  "description": F.lit(glossary.get(c, "N/A"))})
-             for i, c in enumerate(df.columns)]
-    return _unpivot(row, items)
+    glossary, items, aggs = glossary or {}, [], []
+    for i, f in enumerate(df.schema.fields):
+        c = F.col(f"`{f.name}`")
+        aggs += [F.count_if(c.isNull()).alias(f"_z{i}"), F.min(c.cast("string")).alias(f"_s{i}")]
+        items.append((f.name, {"_i": F.lit(i), "column_name": F.lit(f.name), "dtype": F.lit(f.dataType.simpleString()), "n_null": F.col(f"_z{i}"),
+                               "sample": F.substring(F.col(f"_s{i}"), 1, sample_chars),
+                               "description": F.lit(glossary.get(f.name, f.metadata.get("comment", "N/A")))}))
+    rows = _unpivot(df.agg(*aggs), items).join(F.broadcast(distinct_counts(df)), "_i", "left")  # a row a column
+    return rows.select("column_name", "dtype", F.coalesce("n_unique", F.lit(0)).alias("n_unique"), "n_null", "sample", "description")
+
+
+def data_dictionary(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """D13 of several tables: table_name and the profile of each of its columns."""
+    out = None
+    for name, df in tables.items():
+        part = column_profile(df).select(F.lit(name).alias("table_name"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+#: Of a determinant's groups one in so many is looked at first: a violation there settles a dependency.
+FIRST_GROUPS = 64
+
+
+def _fingerprints(c: str, kind: T.DataType) -> tuple:
+    """Two 64-bit hashes of a value, null for null; equal values (0.0 and -0.0 too) have equal hashes."""
+    v = F.col(f"`{c}`")
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        v = v + F.lit(0.0)
+    return tuple(F.when(v.isNotNull(), F.xxhash64(F.lit(seed), v)) for seed in (1, 2))
+
+
+def _dependency_groups(hashed: DataFrame, determinants: Sequence[int], dependents: Sequence[int], part: int) -> DataFrame:
+    """Per determinant: its groups (one in ``part`` of them), and for each dependent the groups that have a value and
+    those that have several.  One scan, one shuffle keyed by (determinant, hash of its value); a task sends a row a group."""
+    keys = F.filter(F.array(*[F.struct(F.lit(i).alias("a"), F.col(f"_h{i}").alias("h"), F.col(f"_g{i}").alias("g")) for i in determinants]),
+                    lambda s: s["h"].isNotNull() & (F.pmod(s["h"], F.lit(part)) == 0))
+    both = [f"_{x}{j}" for j in dependents for x in "hg"]
+    by = hashed.select(F.explode(keys).alias("k"), *both).groupBy("k.a", "k.h", "k.g").agg(
+        *[x for c in both for x in (F.min(c).alias(f"lo{c}"), F.max(c).alias(f"hi{c}"))])
+    return by.groupBy("a").agg(F.count(F.lit(1)).alias("groups"), *[x for j in dependents for x in (
+        F.count(f"lo_h{j}").alias(f"one{j}"),
+        F.count_if((F.col(f"lo_h{j}") != F.col(f"hi_h{j}")) | (F.col(f"lo_g{j}") != F.col(f"hi_g{j}"))).alias(f"many{j}"))])
 
 
 def discover_fd(df: DataFrame, min_support: int = 2, exclude: Sequence[str] = ()) -> DataFrame:
     """All A -> B where every A group has at most one distinct non-null B and at
     least one group has exactly one; null A dropped; A needs >= ``min_support`` values.
 
-    One aggregation per determinant (min/max/count of every dependent), not
-    one per pair: no distinct shuffle, and partial aggregation bounds each
-    shuffle by the number of A values per task.
+    All determinants share one pass: a row becomes one (determinant, value hash) row for each of them.  A first pass
+    over one in ``FIRST_GROUPS`` groups of every determinant refutes most pairs (a violation in some groups is one
+    in all), so the second, over all groups, carries only the surviving determinants and dependents.
+    Values are compared by 128 bits of hashes.
     """
-    cols = [c for c in df.columns if c not in exclude]
-    parts = []
-    for a in cols:
-        deps = [b for b in cols if b != a]
-        if not deps:
-            continue
-        g = (df.where(F.col(a).isNotNull()).groupBy(F.col(a))
-               .agg(*[F.struct(F.min(b).alias("lo"), F.max(b).alias("hi"), F.count(b).alias("n")).alias(f"_d{i}")
-                      for i, b in enumerate(deps)]))
-        per = g.agg(F.count(F.lit(1)).alias("_groups"),
-                    *[F.struct(F.count_if((F.col(f"_d{i}.n") > 0) & (F.col(f"_d{i}.lo") != F.col(f"_d{i}.hi"))).alias("multi"),
-                               F.count_if(F.col(f"_d{i}.n") > 0).alias("one")).alias(f"_r{i}")
-                      for i, _ in enumerate(deps)])
-        items = [F.struct(F.lit(a).alias("determinant"), F.lit(b).alias("dependent"),
-                          ((F.col("_groups") >= min_support) & (F.col(f"_r{i}.multi") == 0) & (F.col(f"_r{i}.one") > 0))
-                          .alias("holds"))
-                 for i, b in enumerate(deps)]
-        parts.append(per.select(F.explode(F.array(*items)).alias("s")).select("s.*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.where("holds").drop("holds")
+    spark, fields = df.sparkSession, [f for f in df.schema.fields if f.name not in exclude]
+    cols = [f.name for f in fields]
+    hashed = df.select(*[h.alias(f"_{x}{i}") for i, f in enumerate(fields) for x, h in zip("hg", _fingerprints(f.name, f.dataType))])
+    pairs = [(i, j) for i in range(len(cols)) for j in range(len(cols)) if i != j]
+    for part in (FIRST_GROUPS, 1):
+        if not pairs:
+            break
+        found = _dependency_groups(hashed, sorted({i for i, _ in pairs}), sorted({j for _, j in pairs}), part)
+        seen = {r["a"]: r for r in found.collect()}  # a row a column
+        pairs = [(i, j) for i, j in pairs if (i not in seen and part > 1) or (i in seen and seen[i][f"many{j}"] == 0 and (
+            part > 1 or (seen[i][f"one{j}"] > 0 and seen[i]["groups"] >= min_support)))]
+    return spark.createDataFrame([(cols[i], cols[j]) for i, j in pairs], "determinant string, dependent string")
 
 
 def fd_violations(df: DataFrame, keys: Sequence[str], cols: Sequence[str] | None = None) -> DataFrame:

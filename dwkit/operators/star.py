@@ -10,8 +10,9 @@ to AQE (which still converts it at run time when the real size is small).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.exprs import clean_city, standardize_string, time_band
@@ -290,3 +291,30 @@ def quarantine(fact: DataFrame, fk_cols: Sequence[str] = FK_COLS) -> tuple[DataF
 def with_unknown_member(fact: DataFrame, fk_cols: Sequence[str] = FK_COLS, member: int = -1) -> DataFrame:
     """D33 option: null keys point at the unknown member's id."""
     return fact.withColumns({c: F.coalesce(F.col(c), F.lit(member).cast("long")) for c in fk_cols})
+
+
+@dataclass(frozen=True)
+class Gate:
+    """Both outputs of ``load_gate`` and its counters (rows, loaded, and null rows of each key)."""
+    loaded: DataFrame
+    quarantined: DataFrame
+    counters: dict[str, int]
+
+
+def load_gate(fact: DataFrame, path: str, fk_cols: Sequence[str] = FK_COLS) -> Gate:
+    """One pass writes every row of the fact once, loadable rows and quarantined rows (with the names of
+    their failing keys) side by side; the counters are observed while the rows are written."""
+    failing = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in fk_cols]))
+    judged = fact.withColumn("FAILING_KEYS", failing).withColumn("loadable", (F.size("FAILING_KEYS") == 0).cast("int"))
+    seen = Observation()
+    judged = judged.observe(seen, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("loadable"), F.lit(0)).alias("loaded"),
+                            *[F.count_if(F.col(c).isNull()).alias(c) for c in fk_cols])
+    judged.write.mode("overwrite").partitionBy("loadable").parquet(path)
+    back = fact.sparkSession.read.schema(judged.schema).parquet(path)
+    return Gate(back.where("loadable = 1").drop("loadable", "FAILING_KEYS"), back.where("loadable = 0").drop("loadable"), dict(seen.get))
+
+
+def with_unknown_row(dim: DataFrame, id_col: str, member: int = -1) -> DataFrame:
+    """D33 option: the dimension with its unknown member, all attributes null, which ``with_unknown_member`` points at."""
+    blank = dim.sparkSession.range(1).select(*[(F.lit(member) if c == id_col else F.lit(None)).cast(dim.schema[c].dataType).alias(c) for c in dim.columns])
+    return dim.unionByName(blank)

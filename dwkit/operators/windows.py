@@ -137,6 +137,12 @@ def _null_safe(keys: Sequence[str], tag: str) -> Column:
     return cond
 
 
+def _next_known(column: str, keys: Sequence[str], order: str) -> Column:
+    """The first non-null value after a row, in the same sorted pass as running frames of that order."""
+    part = f"PARTITION BY {', '.join(f'`{k}`' for k in keys)} " if keys else ""
+    return F.expr(f"lead(`{column}`) IGNORE NULLS OVER ({part}ORDER BY `{order}`)")
+
+
 def _fill_value(c, prev, nxt, rn_gap_prev, rn_gap_next, s, n_known, n_valid, valid, limit, max_gap_hours):
     known = F.col(c).isNotNull()
     interp = (F.when(prev.isNotNull() & nxt.isNotNull(),
@@ -173,55 +179,48 @@ def interpolate_temporal(df: DataFrame, cols: Sequence[str], group_cols: Sequenc
 
     A distributed segmented scan:
 
-    1. valid rows get a global rank over (group, time, id) from the
-       range-partitioned dense-id pass (a hot group spans many partitions);
-    2. ranks are cut into segments of ``segment_rows``; inside each
-       (segment, group) a running window finds the last / first known point;
-    3. a per-(segment, group) summary (a few rows per segment) carries the
-       last known point of earlier segments and the first of later ones;
-    4. per-group counts (one row per group) give the valid / known sizes.
-    Rows with a null time pass through unchanged.
+    1. rows get a global rank over (time known, group, time, id) from the range-partitioned
+       dense-id pass (a hot group spans many partitions); the input is planned once;
+    2. ranks are cut into segments of ``segment_rows``; inside each (segment, group) one sorted
+       pass finds the last known point before and the first known point after a row;
+    3. one aggregate per (segment, group) has the first and last known point and the
+       counts; a pass over these few rows carries the last known point of earlier segments, the
+       first of later ones and the group's totals to every segment.
+    Rows with a null time come last, are no points and pass through unchanged.
     """
     gk = list(group_cols)
     tie = [row_id] if row_id else []
-    work = df.withColumn("_dw_s", temporal_seconds(date_col, hour_col))
-    invalid = work.where(F.col("_dw_s").isNull())
-    ranked = with_dense_id(work.where(F.col("_dw_s").isNotNull()), [*gk, "_dw_s", *tie], "_dw_r", first_position=False)
+    work = df.withColumn("_dw_s", temporal_seconds(date_col, hour_col)).withColumn("_dw_null", F.col("_dw_s").isNull())
+    ranked = with_dense_id(work, ["_dw_null", *gk, "_dw_s", *tie], "_dw_r", first_position=False)
     ranked = ranked.withColumn("_dw_seg", F.floor((F.col("_dw_r") - 1) / segment_rows).cast("long"))
-    sizes = ranked.groupBy(*gk).agg(F.count(F.lit(1)).alias("_dw_nt"),
-                                    *[F.count(F.col(c)).alias(f"_dw_k{i}") for i, c in enumerate(cols)])
-    seg_part = Window.partitionBy("_dw_seg", *gk)
-    run_fwd = seg_part.orderBy("_dw_r").rowsBetween(Window.unboundedPreceding, 0)
-    run_bwd = seg_part.orderBy(F.col("_dw_r").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    frames, summ = {}, []
-    for i, c in enumerate(cols):
-        point = F.when(F.col(c).isNotNull(), F.struct(F.col("_dw_r").alias("r"), F.col("_dw_s").alias("s"),
-                                                      F.col(c).cast("double").alias("v")))
-        frames[f"_dw_lp{i}"] = F.last(point, ignorenulls=True).over(run_fwd)
-        frames[f"_dw_lx{i}"] = F.last(point, ignorenulls=True).over(run_bwd)
-        summ += [F.max(point).alias(f"_dw_sl{i}"), F.min(point).alias(f"_dw_sf{i}")]  # structs order by rank first
-    local = ranked.withColumns(frames)
-    per_seg = ranked.groupBy("_dw_seg", *gk).agg(*summ)
+    points = [F.when(F.col(c).isNotNull() & ~F.col("_dw_null"), F.struct(F.col("_dw_r").alias("r"), F.col("_dw_s").alias("s"), F.col(c).cast("double").alias("v")))
+              for c in cols]
+    order = Window.partitionBy("_dw_seg", *gk).orderBy("_dw_r")
+    until_here = order.rowsBetween(Window.unboundedPreceding, 0)
+    local = ranked.withColumns({f"_dw_pt{i}": p for i, p in enumerate(points)})
+    local = local.withColumns({x: y for i in range(len(cols)) for x, y in (
+        (f"_dw_lp{i}", F.last(f"_dw_pt{i}", ignorenulls=True).over(until_here)),
+        (f"_dw_lx{i}", _next_known(f"_dw_pt{i}", ["_dw_seg", *gk], "_dw_r")))})
+    per_seg = ranked.groupBy("_dw_seg", *gk).agg(
+        F.count("_dw_s").alias("_dw_nt"),
+        *[x for i, p in enumerate(points) for x in (F.max(p).alias(f"_dw_sl{i}"), F.min(p).alias(f"_dw_sf{i}"),  # structs order by rank first
+                                                    F.count(p).alias(f"_dw_k{i}"))])
     g_part = Window.partitionBy(*gk)
     before = g_part.orderBy("_dw_seg").rowsBetween(Window.unboundedPreceding, -1)
-    after = g_part.orderBy(F.col("_dw_seg").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    carries = per_seg.select("_dw_seg", *gk, *[
-        x for i in range(len(cols)) for x in (F.last(f"_dw_sl{i}", ignorenulls=True).over(before).alias(f"_dw_cp{i}"),
-                                              F.last(f"_dw_sf{i}", ignorenulls=True).over(after).alias(f"_dw_cx{i}"))])
-    # null groups are groups: null-safe joins; without group columns the sizes are one row
-    carries = carries.withColumnsRenamed({"_dw_seg": "_dw_cseg"} | {k: f"_dw_cg{i}" for i, k in enumerate(gk)})
-    sizes = sizes.withColumnsRenamed({k: f"_dw_ng{i}" for i, k in enumerate(gk)})
+    carries = per_seg.select(
+        F.col("_dw_seg").alias("_dw_cseg"), *[F.col(k).alias(f"_dw_cg{i}") for i, k in enumerate(gk)], F.sum("_dw_nt").over(g_part).alias("_dw_nt"),
+        *[x for i in range(len(cols)) for x in (
+            F.last(f"_dw_sl{i}", ignorenulls=True).over(before).alias(f"_dw_cp{i}"),
+            _next_known(f"_dw_sf{i}", gk, "_dw_seg").alias(f"_dw_cx{i}"), F.sum(f"_dw_k{i}").over(g_part).alias(f"_dw_k{i}"))])
+    # null groups are groups: a null-safe join
     j = local.join(carries, (F.col("_dw_seg") == F.col("_dw_cseg")) & _null_safe(gk, "_dw_cg"), "left")
-    j = j.join(sizes, _null_safe(gk, "_dw_ng"), "left") if gk else j.crossJoin(F.broadcast(sizes))
     outs = {}
     for i, c in enumerate(cols):
         prev = F.coalesce(F.col(f"_dw_lp{i}"), F.col(f"_dw_cp{i}"))
         nxt = F.coalesce(F.col(f"_dw_lx{i}"), F.col(f"_dw_cx{i}"))
         outs[c] = _fill_value(c, prev, nxt, F.col("_dw_r") - prev["r"], nxt["r"] - F.col("_dw_r"), F.col("_dw_s"),
-                              F.col(f"_dw_k{i}"), F.col("_dw_nt"), F.lit(True), limit, max_gap_hours)
-    filled = j.withColumns(outs).select(*df.columns)
-    passthrough = invalid.withColumns({c: F.col(c).cast("double") for c in cols}).select(*df.columns)
-    return filled.unionByName(passthrough)
+                              F.col(f"_dw_k{i}"), F.col("_dw_nt"), ~F.col("_dw_null"), limit, max_gap_hours)
+    return j.withColumns(outs).select(*df.columns)
 
 
 # ------------------------------------------------------------------ E5

@@ -1047,3 +1047,132 @@ def rule_registry(spark, d):
         part = dqa.rule_report(tables[name], name, rules, tables)
         out = part if out is None else out.unionByName(part)
     return out
+
+
+# ------------------------------------------------------------------ declared layers, dictionary, stored contracts, load gate
+
+from ..sources import layers as LAY  # noqa: E402
+
+
+def _written(spark, name: str, tables: dict[str, DataFrame]) -> dict[str, LAY.Loaded]:
+    """The layer's tables written as CSV under the shared folder and read against their declared schemas."""
+    folder = _sink_dir(spark, f"layer-{name}")
+    for t, schema in LAY.LAYERS[name].items():
+        LAY.write_typed(tables[t], f"{folder}/{t}.csv", schema)
+    return LAY.load_layer(spark, name, folder)
+
+
+def _original(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The wide source table and its look-ups, put together from the reconciled tables."""
+    weather = tables["Weather_Observations"].select(F.col("obs_id").alias("_obs"), *[
+        F.col(c).alias("active_weather") if c == "active_weather_status" else F.col(c) for c in REC.WEATHER_COLUMNS[4:]])
+    planes = tables["Aircrafts"].withColumnRenamed("tail_num", "_tail")
+    places = tables["Stations"].select(F.col("airport").alias("_airport"), "latitude", "longitude", "elevation", "mesonet_station")
+    wide = (tables["Flights"].join(planes, F.col("tail_num") == F.col("_tail"), "left")
+            .join(weather, F.col("weather_observation_id") == F.col("_obs"), "left").join(places, F.col("origin") == F.col("_airport"), "left"))
+    return {"CompleteData": wide, "ActiveWeather": tables["Active_Weather"], **{t: tables[t] for t in ("Cancellation", "Carriers", "Stations")}}
+
+
+@query("A1_typed_layers")
+def a1_layers(spark, d):
+    """Rows and rejected rows of every table of the original, reconciled and warehouse layers."""
+    tables, w = REC.tables(spark, d), _environment(spark, d, fact_ids=True)
+    dw = {"DIM_FL_DATES": w["fl_dates"], "DIM_DEP_HOURS": w["dep_hours"], "DIM_STATIONS": w["stations"], "DIM_CARRIERS": w["carriers"],
+          "DIM_AIRCRAFTS": w["aircraft"], "DIM_JUNK": w["junk"], "FLIGHTS": w["fact"]}
+    out = None
+    for layer, given in (("original", _original(tables)), ("reconciled", tables), ("dw", dw)):
+        for name, loaded in _written(spark, layer, given).items():
+            part = loaded.rows.agg(F.count(F.lit(1)).alias("n_rows")).crossJoin(loaded.rejected.agg(F.count(F.lit(1)).alias("n_rejected")))
+            part = part.select(F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "n_rows", "n_rejected")
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _reconciled_layer(spark, d) -> dict[str, LAY.Loaded]:
+    """The reconciled tables through CSV, with two further faults: overlong aircraft types and text in a number."""
+    tables = REC.tables(spark, d)
+    tables["Aircrafts"] = tables["Aircrafts"].withColumn("icao_type", F.when(F.col("icao_type") == "too long", F.lit("x" * 21)).otherwise(F.col("icao_type")))
+    tables["Weather_Observations"] = tables["Weather_Observations"].withColumn("visibility", F.when(F.col("visibility") == 25, F.lit("high")).otherwise(F.col("visibility").cast("string")))
+    return _written(spark, "reconciled", tables)
+
+
+@query("A1_typed_rejects")
+def a1_rejects(spark, d):
+    loaded, out = _reconciled_layer(spark, d), None
+    for t in loaded.values():
+        out = t.rejected if out is None else out.unionByName(t.rejected)
+    return out.select("table_name", F.explode("reasons").alias("reason")).groupBy("table_name", "reason").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("A1_typed_aircrafts")
+def a1_aircrafts(spark, d):
+    return _reconciled_layer(spark, d)["Aircrafts"].rows
+
+
+@query("A1_typed_flights")
+def a1_flights(spark, d):
+    return _reconciled_layer(spark, d)["Flights"].rows
+
+
+@query("D13_data_dictionary")
+def d13_dictionary(spark, d):
+    return P.data_dictionary({t: LAY.described(df) for t, df in REC.tables(spark, d).items()})
+
+
+@query("B2_parse_date_forms")
+def b2_forms(spark, d):
+    """The event date written in many forms reads as the same date in all of them."""
+    day, forms = F.col("ts").cast("date"), ["yyyy-MM-dd", "yyyyMMdd", "yyyy-M-d", "d MMM yyyy", "MM/dd/yyyy", "MMM d, yyyy", "yyyy/M/d", "d MMMM yyyy"]
+    text = F.element_at(F.array(*[F.date_format(day, f) for f in forms]), (F.col("event_id") % len(forms) + 1).cast("int"))
+    return B.table(spark, d, "events").select("event_id", X.parse_date(text).alias("event_date"))
+
+
+@query("H1_contract_columns")
+def h1_columns(spark, d):
+    return H.contract_columns(_driver_tables(spark, d))
+
+
+@query("H1_contract_drift")
+def h1_drift(spark, d):
+    """A contract stored from half of the orders and a narrower customer table, compared with the tables as they are."""
+    store = H.ContractStore(spark, _sink_dir(spark, "contracts"))
+    orders, customer, nation = (B.table(spark, d, t) for t in ("orders", "customer", "nation"))
+    store.save({"orders": orders, "customer": customer})
+    store.save({"orders": orders.where("o_orderkey % 2 = 0"), "customer": customer.drop("c_name").withColumn("c_custkey", F.col("c_custkey").cast("int"))})
+    return store.drift({"orders": orders.withColumn("o_custkey", F.when(F.col("o_custkey") % 7 != 0, F.col("o_custkey"))), "customer": customer, "nation": nation})
+
+
+def _gated(spark, d):
+    """The fact with two kinds of broken keys, through the load gate."""
+    from ..session import materialize
+
+    fact = materialize(_star(spark, d)["fact"], "gate-input")
+    broken = fact.withColumns({"ORIGIN_STATION_ID": F.when(F.col("FLIGHT_ID") % 17 != 0, F.col("ORIGIN_STATION_ID")),
+                               "AIRCRAFT_ID": F.when(F.col("FLIGHT_ID") % 19 != 0, F.col("AIRCRAFT_ID"))})
+    return broken, star.load_gate(broken, _sink_dir(spark, "gate"))
+
+
+@query("D33_gate_loaded")
+def d33_loaded(spark, d):
+    return _gated(spark, d)[1].loaded.select("FLIGHT_ID", *star.FK_COLS, "DEP_DELAY")
+
+
+@query("D33_gate_quarantined")
+def d33_quarantined(spark, d):
+    return _gated(spark, d)[1].quarantined.select("FLIGHT_ID", F.array_join("FAILING_KEYS", ",").alias("FAILING_KEYS"))
+
+
+@query("D33_gate_counters")
+def d33_counters(spark, d):
+    counters = _gated(spark, d)[1].counters
+    return spark.createDataFrame(sorted(counters.items()), "counter string, n long")
+
+
+@query("D33_unknown_member")
+def d33_unknown(spark, d):
+    """Flights by origin state when broken origins point at the unknown member."""
+    w = _star(spark, d, fact_ids=True, fks=["ORIGIN_STATION_ID"])
+    fact = w["fact"].withColumn("ORIGIN_STATION_ID", F.when(F.col("FLIGHT_ID") % 17 != 0, F.col("ORIGIN_STATION_ID")))
+    fact = star.with_unknown_member(fact, ["ORIGIN_STATION_ID"])
+    dim = star.with_unknown_row(w["stations"], "STATION_ID").select(F.col("STATION_ID").alias("ORIGIN_STATION_ID"), "STATE")
+    return fact.join(dim, "ORIGIN_STATION_ID").groupBy("STATE").agg(F.count(F.lit(1)).alias("n_flights"))

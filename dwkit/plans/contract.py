@@ -123,6 +123,81 @@ class SchemaContract:
             raise AssertionError(f"{table} breaks its contract: {broken}")
 
 
+# ------------------------------------------------------------------ stored contracts
+
+STORED_SCHEMA = ("table_name string, version int, position int, column_name string, data_type string, has_nulls boolean, is_key boolean, "
+                 "n_rows long, n_keys long")
+
+
+def contract_columns(tables: Mapping[str, DataFrame], keys: Mapping[str, str] | None = None) -> DataFrame:
+    """H1 as a table: a row per column with its type, whether it holds nulls, and the table's rows and distinct
+    keys (the first column unless ``keys`` names another); one aggregate and one key count a table, all lazy."""
+    out = None
+    for name, df in tables.items():
+        key = (keys or {}).get(name, df.columns[0])
+        seen = df.agg(F.count(F.lit(1)).alias("_n"), *[F.coalesce(F.bool_or(F.col(f"`{c}`").isNull()), F.lit(False)).alias(f"_z{i}") for i, c in enumerate(df.columns)])
+        n_keys = df.where(F.col(f"`{key}`").isNotNull()).groupBy(F.col(f"`{key}`").alias("k")).agg(F.lit(1).alias("one")).agg(F.count("one").alias("_k"))
+        items = [F.struct(F.lit(i + 1).alias("position"), F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
+                          F.col(f"_z{i}").alias("has_nulls"), F.lit(f.name == key).alias("is_key")) for i, f in enumerate(df.schema.fields)]
+        part = seen.crossJoin(n_keys).select(F.lit(name).alias("table_name"), F.explode(F.array(*items)).alias("c"), "_n", "_k").select(
+            "table_name", "c.*", F.col("_n").alias("n_rows"), F.col("_k").alias("n_keys"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+class ContractStore:
+    """Versions of a layer's contract as JSON files in a shared folder, one folder a version; versions are never rewritten."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def versions(self) -> list[int]:
+        jvm = self.spark.sparkContext._jvm
+        where = jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in fs.listStatus(where)] if fs.exists(where) else []
+        return sorted(int(n[8:]) for n in names if n.startswith("version=") and n[8:].isdigit())
+
+    def save(self, tables: Mapping[str, DataFrame], keys: Mapping[str, str] | None = None) -> int:
+        """Capture the tables as the next version."""
+        version = max(self.versions(), default=0) + 1
+        contract_columns(tables, keys).write.mode("error").json(f"{self.path}/version={version}")
+        return version
+
+    def load(self, version: int | None = None) -> DataFrame:
+        """A stored version, the latest by default; without one a ValueError."""
+        known = self.versions()
+        if not known or (version is not None and version not in known):
+            raise ValueError(f"no contract version {version or ''} in {self.path}")
+        version = version or known[-1]
+        columns = ", ".join(c for c in STORED_SCHEMA.split(", ") if not c.startswith("version"))
+        return self.spark.read.schema(columns).json(f"{self.path}/version={version}").withColumn("version", F.lit(version))
+
+    def drift(self, tables: Mapping[str, DataFrame], version: int | None = None, keys: Mapping[str, str] | None = None) -> DataFrame:
+        """(table_name, column_name, change, stored, found) between a stored version and the tables as they are now:
+        tables and columns that are gone or new, types, positions, nulls where none were, and row and key counts."""
+        old, new = self.load(version).drop("version"), contract_columns(tables, keys)
+        j = old.select(F.struct(*old.columns).alias("o"), "table_name", "column_name").join(
+            new.select(F.struct(*new.columns).alias("n"), "table_name", "column_name"), ["table_name", "column_name"], "full")
+
+        def change(name, when, a, b):
+            return F.when(when, F.struct(F.lit(name).alias("change"), a.cast("string").alias("stored"), b.cast("string").alias("found")))
+
+        both = F.col("o").isNotNull() & F.col("n").isNotNull()
+        once = both & F.col("o.is_key")  # a table's counts are told at its key
+
+        def differs(c):
+            return ~F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}"))
+
+        found = F.array_compact(F.array(
+            change("column gone", F.col("n").isNull(), F.col("o.data_type"), F.lit(None)), change("column new", F.col("o").isNull(), F.lit(None), F.col("n.data_type")),
+            change("type", both & differs("data_type"), F.col("o.data_type"), F.col("n.data_type")),
+            change("position", both & differs("position"), F.col("o.position"), F.col("n.position")),
+            change("nulls", both & ~F.col("o.has_nulls") & F.col("n.has_nulls"), F.col("o.has_nulls"), F.col("n.has_nulls")),
+            change("rows", once & differs("n_rows"), F.col("o.n_rows"), F.col("n.n_rows")), change("keys", once & differs("n_keys"), F.col("o.n_keys"), F.col("n.n_keys"))))
+        return j.select("table_name", "column_name", F.explode(found).alias("x")).select("table_name", "column_name", "x.*")
+
+
 def declared_constraints(table: DataFrame, pk: str, not_null: Sequence[str] = (),
                          fks: Mapping[str, tuple[DataFrame, str]] | None = None) -> DataFrame:
     """H4: PRIMARY KEY, NOT NULL and REFERENCES checks as violation counts.

@@ -146,7 +146,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=Non
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        w.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)  # text as it is
     else:
         w.format(fmt).save(path)
 

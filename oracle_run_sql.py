@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dwkit.sources.reconciled import WEATHER_COLUMNS, view_sql
-from oracle_sql import interp_sql, strip, title
+from oracle_sql import ENV_DIMS, interp_sql, star_fact, strip, title
 
 COLUMNS = {
     "Active_Weather": ["status", "weather_description"], "Cancellation": ["status", "cancellation_reason"], "Carriers": ["code", "description"],
@@ -324,8 +324,102 @@ def validation_sql(one_to_one: bool = True) -> str:
     return run_ctes(one_to_one) + " " + " UNION ALL ".join(parts)
 
 
+# ------------------------------------------------------------------ declared layers, dictionary, stored contracts, load gate
+
+def layers_sql() -> str:
+    """Only a date that can't be read makes a row of these tables unfit."""
+    unfit = {"Flights": f"fl_date IS NOT NULL AND {DATE.format('fl_date')} IS NULL"}
+    parts = []
+    for layer, names in (("original", {"CompleteData": "Flights", "ActiveWeather": "Active_Weather", "Cancellation": "Cancellation", "Carriers": "Carriers", "Stations": "Stations"}),
+                         ("reconciled", {t: t for t in COLUMNS})):
+        for name, t in names.items():
+            bad = unfit.get(t, "FALSE")
+            parts.append(f"SELECT '{layer}' AS layer, '{name}' AS table_name, count(*) FILTER (WHERE NOT ({bad})) AS n_rows, count(*) FILTER (WHERE {bad}) AS n_rejected FROM rec_{t.lower()}")
+    dims = {"DIM_FL_DATES": "dim_fl_dates", "DIM_DEP_HOURS": "dim_dep_hours", "DIM_STATIONS": "dim_stations", "DIM_CARRIERS": "dim_carriers",
+            "DIM_AIRCRAFTS": "dim_aircraft", "DIM_JUNK": "dim_junk", "FLIGHTS": "star_flights"}
+    parts += [f"SELECT 'dw' AS layer, '{n}' AS table_name, (SELECT count(*) FROM {t}) AS n_rows, CAST(0 AS BIGINT) AS n_rejected" for n, t in dims.items()]
+    return f"WITH {view_sql()}, {ENV_DIMS} " + " UNION ALL ".join(parts)
+
+
+def rejects_sql() -> str:
+    return f"""WITH {view_sql()}
+SELECT * FROM (SELECT 'Flights' AS table_name, 'fl_date: not date' AS reason, count(*) AS n_rows FROM rec_flights WHERE fl_date IS NOT NULL AND {DATE.format('fl_date')} IS NULL
+UNION ALL SELECT 'Aircrafts', 'icao_type: longer than 20', count(*) FROM rec_aircrafts WHERE icao_type = 'too long'
+UNION ALL SELECT 'Weather_Observations', 'visibility: not double', count(*) FROM rec_weather_observations WHERE visibility = 25) q WHERE n_rows > 0"""
+
+
+def typed_flights_sql() -> str:
+    cols = [{"fl_date": f"strftime({DATE.format('fl_date')}, '%Y-%m-%d') AS fl_date", "dep_time": "CAST(dep_time AS VARCHAR) AS dep_time",
+             "crs_dep_time": "CAST(crs_dep_time AS VARCHAR) AS crs_dep_time", "taxi_out": "round(taxi_out, 4) AS taxi_out", "air_time": "round(air_time, 4) AS air_time",
+             "distance": "round(distance, 4) AS distance", "dep_hour": "CAST(dep_hour AS SMALLINT) AS dep_hour"}.get(c, c) for c in COLUMNS["Flights"]]
+    return f"WITH {view_sql()} SELECT {', '.join(cols)} FROM rec_flights WHERE fl_date IS NULL OR {DATE.format('fl_date')} IS NOT NULL"
+
+
+def dictionary_sql() -> str:
+    from dwkit.sources.layers import GLOSSARY
+
+    kinds = {**{c: "int" for c in ["airport_id", "elevation", "year_of_manufacture", "status", "obs_hour", "dep_hour", "mkt_carrier_fl_num", "op_carrier_fl_num", "dep_delay", "cancelled"]},
+             **{c: "bigint" for c in ["obs_id", "flight_id", "weather_observation_id"]}, **{c: "timestamp" for c in ["dep_time", "crs_dep_time"]},
+             **{c: "double" for c in MEASURES + ["active_weather_status", "latitude", "longitude", "taxi_out", "air_time", "distance"]}}
+    parts = []
+    for t, cols in COLUMNS.items():
+        for c in cols:
+            name = c.strip('"')
+            text = f"CAST({c} AS VARCHAR)"
+            note = GLOSSARY.get(name.upper(), "N/A").replace("'", "''")
+            parts.append(f"SELECT '{t}' AS table_name, '{name}' AS column_name, '{kinds.get(name, 'string')}' AS dtype, count(DISTINCT {c}) AS n_unique, "
+                         f"count(*) FILTER (WHERE {c} IS NULL) AS n_null, substr(min({text}), 1, 30) AS sample, '{note}' AS description FROM rec_{t.lower()}")
+    return f"WITH {view_sql()} " + " UNION ALL ".join(parts)
+
+
+TYPE_NAMES = "CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' WHEN 'FLOAT[]' THEN 'array<float>' WHEN 'DOUBLE[]' THEN 'array<double>' WHEN 'DATE' THEN 'date' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE data_type END"
+#: First column of each driver table.
+FIRST = {"region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey", "orders": "o_orderkey",
+         "lineitem": "l_orderkey", "events": "event_id", "documents": "doc_id", "embeddings": "vec_id", "pages": "page_id", "benchmark": "item_id",
+         "labels": "doc_id", "conversations": "conv_id"}
+
+
+def contract_sql() -> str:
+    """The driver tables have no nulls; names, types and positions come from the catalogue."""
+    counts = " UNION ALL ".join(f"SELECT '{t}' AS t, (SELECT count(*) FROM {t}) AS n_rows, (SELECT count(DISTINCT {k}) FROM {t}) AS n_keys, '{k}' AS k" for t, k in FIRST.items())
+    return f"""WITH counts AS ({counts})
+SELECT table_name, CAST(ordinal_position AS INTEGER) AS position, column_name, {TYPE_NAMES} AS data_type, FALSE AS has_nulls, column_name = k AS is_key, n_rows, n_keys
+FROM information_schema.columns JOIN counts ON table_name = t"""
+
+
+DRIFT = """SELECT 'orders' AS table_name, 'o_orderkey' AS column_name, 'rows' AS change, CAST((SELECT count(*) FROM orders WHERE o_orderkey % 2 = 0) AS VARCHAR) AS stored,
+       CAST((SELECT count(*) FROM orders) AS VARCHAR) AS found
+UNION ALL SELECT 'orders', 'o_orderkey', 'keys', CAST((SELECT count(DISTINCT o_orderkey) FROM orders WHERE o_orderkey % 2 = 0) AS VARCHAR), CAST((SELECT count(DISTINCT o_orderkey) FROM orders) AS VARCHAR)
+UNION ALL SELECT 'orders', 'o_custkey', 'nulls', 'false', 'true' WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey % 7 = 0)
+UNION ALL SELECT 'customer', 'c_custkey', 'type', 'int', 'bigint'
+UNION ALL SELECT 'customer', 'c_name', 'column new', NULL, 'string'
+UNION ALL SELECT 'customer', column_name, 'position', CAST(ordinal_position - 1 AS VARCHAR), CAST(ordinal_position AS VARCHAR)
+  FROM information_schema.columns c WHERE table_name = 'customer' AND ordinal_position > (SELECT ordinal_position FROM information_schema.columns WHERE table_name = 'customer' AND column_name = 'c_name')
+UNION ALL SELECT 'nation', column_name, 'column new', NULL, """ + TYPE_NAMES + """ FROM information_schema.columns WHERE table_name = 'nation'"""
+
+_GATED = """gated AS (SELECT * REPLACE (CASE WHEN FLIGHT_ID % 17 <> 0 THEN ORIGIN_STATION_ID END AS ORIGIN_STATION_ID,
+  CASE WHEN FLIGHT_ID % 19 <> 0 THEN AIRCRAFT_ID END AS AIRCRAFT_ID) FROM fact)"""
+_KEYS = ["FL_DATE_ID", "DEP_HOUR_ID", "ORIGIN_STATION_ID", "DEST_STATION_ID", "MKT_CARRIER_ID", "OP_CARRIER_ID", "AIRCRAFT_ID", "JUNK_ID"]
+_WHOLE = " AND ".join(f"{k} IS NOT NULL" for k in _KEYS)
+_FAILING = "concat_ws(',', " + ", ".join(f"CASE WHEN {k} IS NULL THEN '{k}' END" for k in _KEYS) + ")"
+
+
+def gate_sql(select: str) -> str:
+    return f"WITH {star_fact()}, {_GATED} {select}"
+
+
 SQL = {f"RUN_clean_{t.lower()}": clean_table_sql(t) for t in COLUMNS if t not in ("Active_Weather", "Cancellation")}
 SQL |= {f"RUN_clean_{t.lower()}_interpolated": clean_table_sql(t, False) for t in ("Weather_Observations", "Flights")}
 SQL |= {"RUN_counts": counts_sql(), "RUN_audit": audit_sql(), "RUN_audit_interpolated": audit_sql(False), "RUN_dropped_rows": dropped_sql(),
         "RUN_comparison": comparison_sql(),
-        "RUN_validation": validation_sql(), "D10_D11_rule_registry": registry_sql()}
+        "RUN_validation": validation_sql(), "D10_D11_rule_registry": registry_sql(),
+        "A1_typed_layers": layers_sql(), "A1_typed_rejects": rejects_sql(), "A1_typed_flights": typed_flights_sql(),
+        "A1_typed_aircrafts": f"WITH {view_sql()} SELECT {', '.join(COLUMNS['Aircrafts'])} FROM rec_aircrafts WHERE icao_type <> 'too long'",
+        "D13_data_dictionary": dictionary_sql(), "B2_parse_date_forms": "SELECT event_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS event_date FROM events",
+        "H1_contract_columns": contract_sql(), "H1_contract_drift": DRIFT,
+        "D33_gate_loaded": gate_sql(f"SELECT FLIGHT_ID, {', '.join(_KEYS)}, round(DEP_DELAY, 4) AS DEP_DELAY FROM gated WHERE {_WHOLE}"),
+        "D33_gate_quarantined": gate_sql(f"SELECT FLIGHT_ID, {_FAILING} AS FAILING_KEYS FROM gated WHERE NOT ({_WHOLE})"),
+        "D33_gate_counters": gate_sql("SELECT 'rows' AS counter, count(*) AS n FROM gated UNION ALL SELECT 'loaded', count(*) FROM gated WHERE " + _WHOLE
+                                      + "".join(f" UNION ALL SELECT '{k}', count(*) FILTER (WHERE {k} IS NULL) FROM gated" for k in _KEYS)),
+        "D33_unknown_member": gate_sql("""SELECT STATE, count(*) AS n_flights FROM fact LEFT JOIN dim_stations
+            ON CASE WHEN FLIGHT_ID % 17 <> 0 THEN ORIGIN_STATION_ID END = STATION_ID GROUP BY STATE""")}

@@ -774,11 +774,11 @@ _ENV_FLIGHTS = STAR_FLIGHTS.replace("star_flights AS (", "plain_flights AS (", 1
 star_flights AS (SELECT f.* REPLACE (r.r_name AS weather_description), o.spd AS wind_spd, o.gust AS wind_gust, o.low / 10 AS visibility,
     o.spd - 20 AS temperature, CAST(o.n % 5 AS DOUBLE) AS cloud_cover
   FROM plain_flights f LEFT JOIN obs o ON (f.l_orderkey * 7 + f.l_linenumber) % 5000 + 1 = o.obs_id LEFT JOIN region r ON o.n % 4 = r.r_regionkey)"""
-_ENV_DIMS = star_dims().replace(STAR_FLIGHTS, _ENV_FLIGHTS, 1)
+ENV_DIMS = star_dims().replace(STAR_FLIGHTS, _ENV_FLIGHTS, 1)
 _ENV_FACT = star_fact().replace(STAR_FLIGHTS, _ENV_FLIGHTS, 1).replace("f.dep_delay AS DEP_DELAY", """f.weather_description AS WEATHER_DESCRIPTION,
          f.wind_spd AS WIND_SPD, f.wind_gust AS WIND_GUST, f.visibility AS VISIBILITY, f.temperature AS TEMPERATURE, f.cloud_cover AS CLOUD_COVER,
          f.dep_delay AS DEP_DELAY""", 1)
-_q("K6_build_junk_environment", f"WITH {_ENV_DIMS} SELECT * FROM dim_junk")
+_q("K6_build_junk_environment", f"WITH {ENV_DIMS} SELECT * FROM dim_junk")
 _q("K7_build_fact_environment", f"WITH {_ENV_FACT} SELECT FLIGHT_ID, " + ", ".join(k for k, _, _ in _KEYS) + ", " + ", ".join(
     f"{r4(m)} AS {m}" for m in ("WIND_SPD", "WIND_GUST", "VISIBILITY", "TEMPERATURE", "CLOUD_COVER", "DEP_DELAY", "TAXI_OUT", "AIR_TIME", "DISTANCE")) +
    ", LOAD_TIMESTAMP FROM fact")
