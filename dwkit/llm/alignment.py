@@ -3,9 +3,9 @@
 1. Documents are shuffled by their full text; each distinct text goes on once, with its multiplicity.
 2. A task cuts a text at spaces that follow another character.  No pre-token of the byte-level
    vocabulary and no piece of the sentence-piece vocabulary crosses such a place, so both
-   tokenizers encode the parts alone and a bounded memo of aligned parts saves repeated work.
-   Two pointers walk both token lists; every step is one link, and a step that ends both tokens ends
-   a group.  A text's measures, its distinct linked id pairs and how often each occurs are written once to the shared folder.
+   tokenizers encode the parts alone, those unknown to a bounded memo in batches.  Between two
+   neighbouring ends of tokens of either kind lies one link; an end of both kinds ends a group.
+   A text's measures, its distinct linked id pairs and how often each occurs are written once to the shared folder.
 3. A pair's count is the summed multiplicity of the texts that hold it: tasks add up their
    texts, Spark adds the tasks.  The largest count of each A id is an array bounded by the vocabulary.
 4. The most frequent pairs, ``HOT_PAIRS`` at most, are broadcast as two arrays and looked up next to the
@@ -17,21 +17,27 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import zlib
+from array import array
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .byte_bpe import Memo, byte_alphabet
+from .byte_bpe import byte_alphabet
 
 HOT_PAIRS = 1 << 21
 HOT_TEXTS = 1024
-FLUSH = 1 << 21  # linked pairs that a task holds before it adds them up
+FLUSH = 1 << 19  # linked pairs that a task holds before it adds them up
+BLOCK_TEXTS = 64
+MEMO_PARTS, LONG_PART = 300_000, 64
 CUT = re.compile(r"(?<=\S)(?= )")
 _BYTE = re.compile("<0x([0-9A-F]{2})>")
 MARK = "▁"  # fixed value of the format: stands for a space
@@ -44,9 +50,10 @@ def vocabulary_paths() -> tuple[str, str]:
 
 
 class Aligner:
-    """Both tokenizers and the aligned parts seen so far."""
+    """Both tokenizers and the ids of the parts seen so far."""
 
     def __init__(self, path_a: str, path_b: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallelism
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -56,58 +63,97 @@ class Aligner:
         self.a.no_padding()
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         alphabet, vocab = byte_alphabet(), self.a.get_vocab(with_added_tokens=True)
-        self.bytes_a = {i: bytes(alphabet[c] for c in s) if all(c in alphabet for c in s) else s.encode() for s, i in vocab.items()}
+        bytes_a = {i: bytes(alphabet[c] for c in s) if all(c in alphabet for c in s) else s.encode() for s, i in vocab.items()}
+        self.bytes_a = [bytes_a.get(i, b"") for i in range(max(bytes_a) + 1)]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        if max(self.bytes_a) > 0xFFFF or len(pieces) > 0x10000:
+        if max(len(self.bytes_a), len(pieces)) > 0x10000:
             raise ValueError("a pair of ids must fit into 32 bits")
         if any(MARK in s.lstrip(MARK) for s in pieces):
             raise ValueError("this vocabulary has pieces across spaces")
         self.bytes_b = [bytes([int(m[1], 16)]) if (m := _BYTE.fullmatch(s)) else s.replace(MARK, " ").encode() for s in pieces]
+        self.sizes_a, self.sizes_b = (np.array(list(map(len, x)), dtype=np.int64) for x in (self.bytes_a, self.bytes_b))
+        # an id and the mark after it: within a group, between its halves, between groups
+        self.marked = [f"{i}{c}".encode() for i in range(max(len(self.bytes_a), len(pieces))) for c in ",|;"]
         self.space = self.b.piece_to_id(MARK)
-        self.parts = Memo(self.align_part, 250_000)
-
-    def encode(self, part: str) -> tuple[list[int], list[int]]:
-        """Ids of a part that starts with a space (which the second tokenizer puts there by itself)."""
-        b = self.b.encode(part[1:]) if len(part) > 1 else [self.space]
-        return self.a.encode(part, add_special_tokens=False).ids, b
-
-    def align_part(self, part: str) -> tuple[bytes, bytes, int, int, int] | None:
-        """(pairs as 32-bit numbers, groups as text, tokens of A, of B, groups); None if a tokenizer loses bytes."""
-        a, b = self.encode(part)
-        data, text_a, text_b = part.encode(), self.bytes_a, self.bytes_b
-        if b"".join(map(text_a.__getitem__, a)) != data or b"".join(map(text_b.__getitem__, b)) != data:
-            return None
-        pairs, groups, i, j, from_i, from_j = [], [], 0, 0, 0, 0
-        end_a, end_b = len(text_a[a[0]]), len(text_b[b[0]])
-        while True:
-            pairs.append(a[i] << 16 | b[j])
-            if end_a == end_b:
-                groups.append(",".join(map(str, a[from_i:i + 1])) + "|" + ",".join(map(str, b[from_j:j + 1])))
-                i, j = i + 1, j + 1
-                if i == len(a):
+        self.known: dict[str, tuple[bytes, bytes] | None] = {}
+
+    def encode_parts(self, parts: list[str]) -> list[tuple[bytes, bytes] | None]:
+        """16-bit ids of parts that start with a space (which the second tokenizer puts there by itself);
+        None where a tokenizer loses bytes.
+
+        Parts that end in no white space can follow each other as they do in texts, so they are encoded as one text
+        and its ids are dealt out by their bytes; if that text's bytes are lost, and for other parts, each is encoded alone.
+        """
+        data = [p.encode() for p in parts]
+        ends = np.cumsum(np.fromiter(map(len, data), dtype=np.int64, count=len(data)))
+        if len(parts) > 1:
+            text = "".join(parts)
+            ids_a, ids_b = self.a.encode(text, add_special_tokens=False).ids, self.b.encode(text[1:])
+            sides = []
+            for ids, of in ((ids_a, self.bytes_a), (ids_b, self.bytes_b)):
+                token = list(map(of.__getitem__, ids))
+                if b"".join(token) != b"".join(data):
                     break
-                from_i, from_j = i, j
-                end_a, end_b = end_a + len(text_a[a[i]]), end_b + len(text_b[b[j]])
-            elif end_a < end_b:
-                i += 1
-                end_a += len(text_a[a[i]])
+                until = np.searchsorted(np.cumsum(np.fromiter(map(len, token), dtype=np.int64, count=len(token))), ends) + 1
+                flat, at = array("H", ids).tobytes(), [0, *(2 * until).tolist()]
+                sides.append([flat[i:j] for i, j in zip(at, at[1:])])
             else:
-                j += 1
-                end_b += len(text_b[b[j]])
-        return np.array(pairs, dtype="<u4").tobytes(), ";".join(groups).encode(), len(a), len(b), len(groups)
+                return list(zip(*sides))
+        out = []
+        for part, whole in zip(parts, data):
+            a = self.a.encode(part, add_special_tokens=False).ids
+            b = self.b.encode(part[1:]) if len(part) > 1 else [self.space]
+            same = b"".join(map(self.bytes_a.__getitem__, a)) == whole == b"".join(map(self.bytes_b.__getitem__, b))
+            out.append((array("H", a).tobytes(), array("H", b).tobytes()) if same else None)
+        return out
+
+    def encode_texts(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """Ids of both tokenizers for whole texts (None: no tokens)."""
+        cut = [CUT.split(" " + t) if t else [] for t in texts]
+        known, new = self.known, set(chain.from_iterable(cut)).difference(self.known)
+        alone = [p for p in new if p[-1].isspace()]  # such a part ends its text
+        known.update(zip(alone, chain.from_iterable(self.encode_parts([p]) for p in alone)))
+        rest = list(new.difference(alone))
+        known.update(zip(rest, self.encode_parts(rest)))
+        out = []
+        for parts in cut:
+            found = list(map(known.__getitem__, parts))
+            if not found or None in found:
+                out.append(None)
+                continue
+            a, b = zip(*found)
+            out.append((np.frombuffer(b"".join(a), dtype=np.uint16).astype(np.int64), np.frombuffer(b"".join(b), dtype=np.uint16).astype(np.int64)))
+        if len(known) > MEMO_PARTS:
+            known.clear()
+        else:
+            for p in new:
+                if len(p) > LONG_PART:
+                    del known[p]
+        return out
+
+    def align(self, a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int, str, np.ndarray, np.ndarray]:
+        """(n_a, n_b, n_groups, n_links, groups_sha256, distinct pairs, their occurrences) of a text's ids."""
+        end_a, end_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])
+        last_a, last_b = np.isin(end_a, end_b, assume_unique=True), np.isin(end_b, end_a, assume_unique=True)
+        ends = np.sort(np.concatenate([end_a, end_b[~last_b]]))  # every end once: each closes a link
+        pairs = a[np.searchsorted(end_a, ends)] << 16 | b[np.searchsorted(end_b, ends)]
+        # a token's place in the text of the groups: its own kind before it, and the other kind of earlier groups
+        # (for tokens of b also of its own group)
+        until_a, until_b = np.flatnonzero(last_a) + 1, np.flatnonzero(last_b) + 1
+        group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        marked = np.empty(len(a) + len(b), dtype=np.int64)
+        marked[np.arange(len(a)) + np.concatenate([[0], until_b])[group_a]] = a * 3 + last_a
+        marked[np.arange(len(b)) + until_a[group_b]] = b * 3 + 2 * last_b
+        text = b"".join(map(self.marked.__getitem__, marked.tolist()))
+        distinct, often = np.unique(pairs, return_counts=True)
+        return len(a), len(b), len(until_a), len(ends), hashlib.sha256(text[:-1]).hexdigest(), distinct.astype(np.uint32), often.astype(np.uint32)
 
-    def align(self, text: str | None) -> tuple[int, int, int, int, str, np.ndarray, np.ndarray]:
-        """(n_a, n_b, n_groups, n_links, groups_sha256, distinct pairs, their occurrences) of a whole text."""
+    def align_texts(self, texts: list[str | None]):
+        """``align`` of every text, block by block; zeros for texts without tokens."""
         none = np.empty(0, dtype=np.uint32)
-        if not text:
-            return 0, 0, 0, 0, "", none, none
-        parts = list(map(self.parts.__getitem__, CUT.split(" " + text)))
-        if None in parts:
-            return 0, 0, 0, 0, "", none, none
-        pairs, groups, a, b, n = zip(*parts)
-        pairs = np.frombuffer(b"".join(pairs), dtype="<u4")
-        distinct, often = np.unique(pairs, return_counts=True)
-        return sum(a), sum(b), sum(n), len(pairs), hashlib.sha256(b";".join(groups)).hexdigest(), distinct, often.astype(np.uint32)
+        for i in range(0, len(texts), BLOCK_TEXTS):
+            for ids in self.encode_texts([t or "" for t in texts[i:i + BLOCK_TEXTS]]):
+                yield (0, 0, 0, 0, "", none, none) if ids is None else self.align(*ids)
 
 
 @lru_cache(maxsize=2)
@@ -134,20 +180,26 @@ def unpack_links(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 def align_texts(texts: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """Measures and packed links of each row of ``texts`` (key, text, n), written once."""
+    kinds = pa.schema([("key", pa.binary()), ("n", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()),
+                       ("n_links", pa.int64()), ("groups_sha256", pa.string()), ("links", pa.binary())])
+
     def run(batches):
         aligner = load(path_a, path_b)
-        for pdf in batches:
-            rows = [(*(got := aligner.align(t))[:5], pack_links(*got[5:])) for t in pdf["text"]]
-            out = pd.DataFrame(rows, columns=["n_a", "n_b", "n_groups", "n_links", "groups_sha256", "links"], index=pdf.index)
-            yield pd.concat([pdf[["key", "n"]], out], axis=1)
+        for batch in batches:
+            for i in range(0, batch.num_rows, 4 * BLOCK_TEXTS):  # few texts at a time are Python strings
+                part = batch.slice(i, 4 * BLOCK_TEXTS)
+                rows = [(*got[:5], pack_links(*got[5:])) for got in aligner.align_texts(part.column("text").to_pylist())]
+                yield pa.RecordBatch.from_arrays([part.column("key").cast(pa.binary()), part.column("n"),
+                                                  *[pa.array(x, kinds.field(k + 2).type) for k, x in enumerate(zip(*rows))]], schema=kinds)
 
-    return materialize(texts.mapInPandas(run, "key binary, n bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, "
-                                              "groups_sha256 string, links binary"), "alignment-links")
+    return materialize(texts.mapInArrow(run, "key binary, n bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, "
+                                             "groups_sha256 string, links binary"), "alignment-links")
 
 
 def pair_counts(links: DataFrame) -> DataFrame:
     """(pair, n): how many documents hold an id pair linked; a text counts as often as it occurs."""
     def run(batches):
+        load.cache_clear()  # a reused worker needs no tokenizers here
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
 
@@ -197,6 +249,7 @@ def corpus_measures(links: DataFrame, hot_pairs: int = HOT_PAIRS) -> DataFrame:
     shared = spark.sparkContext.broadcast((hot["pair"].to_numpy(dtype=np.int64), hot["n"].to_numpy(dtype=np.int64), most))
 
     def run(batches):
+        load.cache_clear()  # a reused worker needs no tokenizers here
         known, n_of, top = shared.value
         for pdf in batches:
             rows = []
