@@ -1,40 +1,42 @@
 """Isolation-forest outlier flags.
 
-MLlib has no isolation forest.  Trees are small by construction (each is
-grown on ``max_samples`` rows, depth <= ceil(log2(max_samples))), so:
-
-* a hash-seeded sample of about ``4 * n_trees * max_samples`` rows is drawn
-  (its size is bounded by the parameters, not by the table);
-* trees are grown in ``groupBy(tree).applyInPandas`` (one task per tree);
-* the nodes (at most ``n_trees * (2 * max_samples - 1)`` rows) are collected,
-  a parameter-bounded model, and shipped to ``mapInPandas`` scorers that
-  walk all trees with numpy over Arrow batches;
-* the flag cut is the exact ``percentile`` of the scores at 1 - contamination.
-
-Standardising is skipped: axis-aligned random splits between a node's min
-and max are invariant to per-column affine scaling.  Results follow the same
-algorithm as the common library implementation but not its random stream.
+MLlib has no isolation forest.  Every choice follows from hashes, so the same forest grows on any
+cluster, and in any SQL engine with MD5:
+
+* rows ordered by MD5(key|seed) are a fixed permutation; the first ``n_trees * max_samples`` of them (a bound
+  that does not depend on the table) are dealt to the trees in windows of ``max_samples``,
+  which start over when the rows run out;
+* a node's split feature (among those that vary in it) and split point follow from
+  MD5(seed|tree|node|...); nodes are numbered 1, 2 n, 2 n + 1, and a tree's rows grow in one task;
+* the node table (at most ``n_trees * (2 * max_samples - 1)`` rows) holds for a leaf its path length with the
+  correction for its rows; it is collected into arrays indexed by (tree, node), and scorers
+  walk all trees at once, level by level, on Arrow batches of the key and the values only;
+* the flag cut is the exact quantile of the scores (to 9 places) at 1 - contamination.
+
+Standardising is skipped: splits between a node's least and largest value don't depend on a
+column's scale.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import materialize
 from .quantiles import quantile_row
 
 EULER = 0.5772156649015329
+NODES = "tree int, node int, feature int, split double, path double"
 
 
 def c_factor(n: float) -> float:
+    """Mean path length of an unsuccessful search among n rows."""
     if n <= 1:
         return 0.0
     if n == 2:
@@ -42,101 +44,83 @@ def c_factor(n: float) -> float:
     return 2.0 * (math.log(n - 1) + EULER) - 2.0 * (n - 1) / n
 
 
+def hash_share(text: str) -> float:
+    """(0, 1) from the first 32 bits of the text's MD5."""
+    return (int(hashlib.md5(text.encode()).hexdigest()[:8], 16) + 0.5) / 4294967296.0
+
+
 def _grow(pdf: pd.DataFrame, cols: Sequence[str], max_depth: int, seed: int) -> pd.DataFrame:
-    tree = int(pdf["_tree"].iloc[0])
-    rng = np.random.default_rng(seed + tree)
-    x = pdf[list(cols)].to_numpy(dtype=float)
-    nodes = []  # tree, node, feature, split, left, right, size
-
-    def build(idx, depth):
-        nid = len(nodes)
-        nodes.append(None)
-        sub = x[idx]
-        if depth >= max_depth or len(idx) <= 1:
-            nodes[nid] = (tree, nid, -1, 0.0, -1, -1, len(idx))
-            return nid
-        lo, hi = sub.min(axis=0), sub.max(axis=0)
-        usable = np.where(hi > lo)[0]
-        if len(usable) == 0:
-            nodes[nid] = (tree, nid, -1, 0.0, -1, -1, len(idx))
-            return nid
-        f = int(rng.choice(usable))
-        s = float(rng.uniform(lo[f], hi[f]))
-        left = idx[sub[:, f] < s]
-        right = idx[sub[:, f] >= s]
-        li = build(left, depth + 1)
-        ri = build(right, depth + 1)
-        nodes[nid] = (tree, nid, f, s, li, ri, len(idx))
-        return nid
-
-    build(np.arange(len(x)), 0)
-    return pd.DataFrame(nodes, columns=["tree", "node", "feature", "split", "left", "right", "size"])
-
-
-def _scorer(model: dict, cols: Sequence[str], psi: int, n_trees: int):
-    cn = c_factor(psi)
+    tree, x, nodes = int(pdf["_tree"].iloc[0]), pdf[list(cols)].to_numpy(dtype=float), []
+    todo = [(1, 0, x)]
+    while todo:
+        node, depth, rows = todo.pop()
+        low, high = rows.min(axis=0), rows.max(axis=0)
+        varies = np.flatnonzero(high > low)
+        if depth >= max_depth or len(rows) <= 1 or not len(varies):
+            nodes.append((tree, node, -1, 0.0, depth + c_factor(len(rows))))
+            continue
+        f = int(varies[int(hash_share(f"{seed}|{tree}|{node}|feature") * len(varies))])
+        split = low[f] + hash_share(f"{seed}|{tree}|{node}|split") * (high[f] - low[f])
+        nodes.append((tree, node, f, split, 0.0))
+        right = rows[:, f] >= split
+        todo += [(2 * node, depth + 1, rows[~right]), (2 * node + 1, depth + 1, rows[right])]
+    return pd.DataFrame(nodes, columns=["tree", "node", "feature", "split", "path"])
+
+
+def grow_forest(filled: DataFrame, key: str, xcols: Sequence[str], n: int, n_trees: int, psi: int, seed: int) -> DataFrame:
+    """The node table of the forest: (tree, node, feature or -1, split, path length of a leaf)."""
+    m = max(1, min(n, n_trees * psi))
+    order = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}")))
+    first = filled.select(order.alias("_h"), F.col(key).cast("string").alias("_k"), *xcols).orderBy("_h", "_k").limit(m)
+    ranked = first.withColumn("_r", F.row_number().over(Window.orderBy("_h", "_k")) - 1)  # m rows, bounded by the parameters
+    mine = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: F.pmod(F.col("_r") - t * psi, F.lit(m)) < psi)
+    depth = int(math.ceil(math.log2(max(psi, 2))))
+    dealt = ranked.withColumn("_tree", F.explode(mine)).select("_tree", *xcols)
+    return dealt.groupBy("_tree").applyInPandas(lambda p: _grow(p, xcols, depth, seed), NODES)
+
+
+def _scorer(nodes: pd.DataFrame, n_trees: int, depth: int, psi: int):
+    feature = np.full((n_trees, 2 ** (depth + 1)), -1, dtype=np.int32)
+    split, path = np.zeros(feature.shape), np.zeros(feature.shape)
+    at = (nodes["tree"].to_numpy(), nodes["node"].to_numpy())
+    feature[at], split[at], path[at] = nodes["feature"], nodes["split"], nodes["path"]
+    trees, cn = np.arange(n_trees)[None, :], c_factor(psi)
 
     def run(batches):
         for pdf in batches:
-            x = pdf[list(cols)].to_numpy(dtype=float)
-            total = np.zeros(len(x))
-            for t in range(n_trees):
-                if t not in model:
-                    continue
-                feat, split, left, right, size = model[t]
-                node = np.zeros(len(x), dtype=np.int64)
-                depth = np.zeros(len(x))
-                active = feat[node] >= 0
-                while active.any():
-                    f = feat[node[active]]
-                    go_left = x[active, f] < split[node[active]]
-                    node[active] = np.where(go_left, left[node[active]], right[node[active]])
-                    depth[active] += 1
-                    active = feat[node] >= 0
-                leaf_size = size[node]
-                total += depth + np.array([c_factor(s) for s in leaf_size])
-            avg = total / max(1, len(model))
-            pdf = pdf.assign(anomaly_score=np.power(2.0, -avg / cn) if cn > 0 else 0.5)
-            yield pdf
+            scores = []
+            x = pdf.drop(columns="_key").to_numpy(dtype=float)
+            for i in range(0, len(x), 2048):
+                part = x[i:i + 2048]
+                node, row = np.ones((len(part), n_trees), dtype=np.int64), np.arange(len(part))[:, None]
+                for _ in range(depth):
+                    f = feature[trees, node]
+                    node = np.where(f < 0, node, 2 * node + (part[row, np.maximum(f, 0)] >= split[trees, node]))
+                scores.append(np.round(np.power(2.0, -path[trees, node].mean(axis=1) / cn), 9) if cn > 0 else np.full(len(part), 0.5))
+            yield pd.DataFrame({"_key": pdf["_key"], "anomaly_score": np.concatenate(scores) if scores else np.empty(0)})
     return run
 
 
 def isolation_forest(df: DataFrame, key: str, cols: Sequence[str], contamination: float = 0.02,
                      n_trees: int = 100, max_samples: int = 256, seed: int = 42) -> DataFrame:
-    """Add ``anomaly_score`` and ``IsoForest_Outlier``; needs at least two columns."""
+    """Add ``anomaly_score`` and ``IsoForest_Outlier``; needs at least two columns.
+
+    ``key`` names the rows (unique); nulls count as the column's median; without rows there are no scores.
+    """
     cols = [c for c in cols if c in df.columns]
     if len(cols) < 2:
         return df.withColumn("IsoForest_Outlier", F.lit(False))
-    meds = quantile_row(df, {f"_m_{c}": (c, 0.5) for c in cols})
-    filled = df.crossJoin(F.broadcast(meds)).withColumns(
-        {f"_x_{c}": F.coalesce(F.col(c).cast("double"), F.col(f"_m_{c}")) for c in cols}).drop(*[f"_m_{c}" for c in cols])
-    filled = materialize(filled, "forest-input")  # read for the count, the sample and the scores
-    xcols = [f"_x_{c}" for c in cols]
+    meds = quantile_row(df, {f"_m{i}": (c, 0.5) for i, c in enumerate(cols)})
+    xcols = [f"_x{i}" for i in range(len(cols))]
+    filled = df.crossJoin(F.broadcast(meds)).select(F.col(key).alias("_key"), *[
+        F.coalesce(F.col(c).cast("double"), F.col(f"_m{i}")).alias(x) for i, (c, x) in enumerate(zip(cols, xcols))])
+    filled = materialize(filled, "forest-input")  # key and values only: read for the count, the sample and the scores
     n = filled.count()
     psi = min(max_samples, n)
-    frac = min(1.0, 4.0 * n_trees * psi / max(n, 1))
-    u = (F.abs(F.xxhash64(F.col(key), F.lit(seed))) % 1_000_000) / 1_000_000.0
-    sample = filled.where(u < frac).select(key, *xcols)
-    # Each sampled row joins a tree with probability ~1.5 psi / sample size (hash-decided, so
-    # reproducible); ranking by the same hash then keeps exactly psi rows per tree.
-    p_tree = min(1.0, 1.5 * psi / max(frac * n, 1.0))
-    sel = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)),
-                   lambda t: (F.abs(F.xxhash64(F.col(key), t, F.lit(seed))) % 1_000_000) / 1_000_000.0 < p_tree)
-    trees = sample.withColumn("_tree", F.explode(sel))
-    h = F.xxhash64(F.col(key), F.col("_tree"), F.lit(seed))
-    ranked = trees.withColumn("_r", F.row_number().over(Window.partitionBy("_tree").orderBy(h, F.col(key))))
-    chosen = ranked.where(F.col("_r") <= psi).drop("_r")
+    nodes = grow_forest(filled, "_key", xcols, n, n_trees, psi, seed).toPandas()
     depth = int(math.ceil(math.log2(max(psi, 2))))
-    schema = "tree int, node int, feature int, split double, left int, right int, size int"
-    nodes = chosen.groupBy("_tree").applyInPandas(lambda p: _grow(p, xcols, depth, seed), schema).toPandas()
-    model = {}
-    for t, g in nodes.groupby("tree"):
-        g = g.sort_values("node")
-        model[int(t)] = (g["feature"].to_numpy(), g["split"].to_numpy(), g["left"].to_numpy(),
-                         g["right"].to_numpy(), g["size"].to_numpy())
-    out_schema = T.StructType(list(filled.schema.fields) + [T.StructField("anomaly_score", T.DoubleType())])
-    scored = materialize(filled.mapInPandas(_scorer(model, xcols, psi, n_trees), out_schema), "forest-scores")
+    kind = filled.schema["_key"].dataType.simpleString()
+    scored = materialize(filled.mapInPandas(_scorer(nodes, n_trees, depth, psi), f"_key {kind}, anomaly_score double"), "forest-scores")
     cut = quantile_row(scored, {"_cut": ("anomaly_score", 1.0 - contamination)})
-    return (scored.crossJoin(F.broadcast(cut))
-                  .withColumn("IsoForest_Outlier", F.col("anomaly_score") > F.col("_cut"))
-                  .drop("_cut", *xcols))
+    flagged = scored.crossJoin(F.broadcast(cut)).select("_key", "anomaly_score", (F.col("anomaly_score") > F.col("_cut")).alias("IsoForest_Outlier"))
+    return df.join(flagged, F.col(key) == F.col("_key"), "left").drop("_key")

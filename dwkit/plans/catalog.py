@@ -539,12 +539,17 @@ def d23(spark, d):
 
 @query("D24_classify_all")
 def d24(spark, d):
-    ev = B.events_dirty(spark, d)
-    rows = []
-    for c in M.columns_with_missing(ev):
-        r = M.classify_mechanism(ev, c, ["event_type"], ["event_hour", "user_id"])
-        rows.append((c, r["mechanism"], float(r["confidence"]), float(r["missing_pct"])))
-    return spark.createDataFrame(rows, "column_name string, mechanism string, confidence double, missing_pct double")
+    return M.classify_all(B.events_dirty(spark, d), ["event_type"], ["event_hour", "user_id"])
+
+
+@query("D24_classify_weather")
+def d24_weather(spark, d):
+    """The mechanism of five measures of the reconciled weather table, with rules of their own for one, all in the same rounds."""
+    from ..sources import reconciled
+
+    w = reconciled.tables(spark, d)["Weather_Observations"].select(
+        "obs_id", "origin_airport", "obs_hour", "visibility", "wind_gust", "dew_point", "lowest_cloud_layer", "altimeter")
+    return M.classify_all(w, ["origin_airport"], ["obs_hour", "obs_id"], {"visibility": {"group_cols": ["obs_hour"], "predictors": ["altimeter"]}})
 
 
 @query("D25_category_variants")
@@ -924,6 +929,11 @@ def c11(spark, d):
     return near_duplicates(fuzzy_parts(spark, d), "p_partkey", "p_brand", ["p_name", "p_type"])
 
 
+@query("D30_forest_scores")
+def d30_scores(spark, d):
+    return isolation_forest(B.obs_dirty(spark, d), "obs_id", ["spd", "gust", "low"], contamination=0.02).select("obs_id", "anomaly_score", "IsoForest_Outlier")
+
+
 @query("D30_isolation_forest")
 def d30(spark, d):
     o = B.obs_dirty(spark, d)
