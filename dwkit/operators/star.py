@@ -10,6 +10,7 @@ to AQE (which still converts it at run time when the real size is small).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -248,16 +249,22 @@ def build_warehouse(flights: DataFrame, stations: DataFrame, carriers: DataFrame
     """
     wanted = {DIM_OF_KEY[k] for k in fks} | set(also)
     columns = sorted({c for d in wanted for c in FLIGHT_COLUMNS.get(d, [])})
-    keys = flight_key_summary(key_source if key_source is not None else flights, columns) if columns else None
-    makers = {
-        "fl_dates": lambda: build_fl_dates(keys, load_ts=load_ts),
-        "dep_hours": lambda: build_dep_hours(keys, load_ts=load_ts),
+    alone = {  # the other dimensions read the summary of the flights' keys
         "stations": lambda: build_stations(stations, load_ts=load_ts),
         "carriers": lambda: build_carriers(carriers, load_ts=load_ts),
-        "aircraft": lambda: build_aircraft(aircraft, keys, load_ts=load_ts),
-        "junk": lambda: build_junk(keys, load_ts=load_ts),
     }
-    dims = {name: make() for name, make in makers.items() if name in wanted}
+    after = {
+        "fl_dates": lambda keys: build_fl_dates(keys, load_ts=load_ts),
+        "dep_hours": lambda keys: build_dep_hours(keys, load_ts=load_ts),
+        "aircraft": lambda keys: build_aircraft(aircraft, keys, load_ts=load_ts),
+        "junk": lambda keys: build_junk(keys, load_ts=load_ts),
+    }
+    # dimensions are written while they get their ids: independent ones side by side
+    with ThreadPoolExecutor(max_workers=len(alone) + 1) as pool:
+        summary = pool.submit(flight_key_summary, key_source if key_source is not None else flights, columns) if columns else None
+        made = {name: pool.submit(make) for name, make in alone.items() if name in wanted}
+        keys = summary.result() if summary else None
+        dims = {name: make(keys) for name, make in after.items() if name in wanted} | {name: f.result() for name, f in made.items()}
     fact = build_fact(flights, dims, order_cols, load_ts=load_ts, with_ids=fact_ids, seq_col=seq_col, fks=fks)
     return {**dims, "fact": fact}
 

@@ -75,7 +75,7 @@ def materialize(df, tag: str = "table"):
 
     This cuts the lineage (a lost executor never recomputes the input plan)
     and, unlike an RDD checkpoint, stays columnar so later passes read only
-    the columns they use.
+    the columns they use.  The schema is known, so reading back starts no job.
     """
     import uuid
 
@@ -83,7 +83,7 @@ def materialize(df, tag: str = "table"):
     path = os.path.join(ensure_checkpoint_dir(spark), tag, uuid.uuid4().hex)
     df.write.mode("overwrite").parquet(path)
     _WRITTEN.append(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 _WRITTEN: list[str] = []
