@@ -133,6 +133,22 @@ def high_volume_groups(df: DataFrame, group_cols: Sequence[str], min_flights: in
               .where(F.col("n_flights") >= min_flights))
 
 
+#: Groupings of the dashboards on when and where, and on why.
+DASHBOARD_GROUPINGS = ["MONTH", "DAY_OF_WEEK", "DEP_HOUR", "TIME_BAND", "AIRPORT_CODE", "STATE", "AIRLINE", "CANCELLATION_REASON", "WEATHER_DESCRIPTION",
+                       "VISIBILITY_BUCKET", "GUST_BUCKET", "TEMPERATURE_BUCKET", "MANUFACTURER", "AGE_BUCKET"]
+
+
+def dashboard_groupings(df: DataFrame, dims: Sequence[str], min_flights: int = 1) -> DataFrame:
+    """The rates of D36 by every one of ``dims``, (grouping, value, rates...), keeping values with enough flights.
+
+    All groupings share one pass: a flight becomes one (grouping, value) row for each, and tasks send one row a value.
+    """
+    narrow = ["DEP_DELAY", "TAXI_OUT", "AIR_TIME", "CANCELLATION_REASON"] + (["VISIBILITY"] if "VISIBILITY" in df.columns else [])
+    each = F.array(*[F.struct(F.lit(d).alias("grouping"), F.col(d).cast("string").alias("value")) for d in dims if d in df.columns])
+    long = df.select(*narrow, F.explode(each).alias("_g")).select(*narrow, "_g.grouping", "_g.value")
+    return dashboard_rates(long, ["grouping", "value"]).where(F.col("n_flights") >= min_flights)
+
+
 def rollup(df: DataFrame, levels: Sequence[str], measures: dict[str, tuple[str, str]],
            catalogue: dict[str, str] | None = None) -> DataFrame:
     """Aggregate along a hierarchy (``ROLLUP``) with the grouping level.

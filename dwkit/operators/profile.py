@@ -163,3 +163,13 @@ def category_variants(df: DataFrame, col: str, mapping: DataFrame | None = None)
         return v.withColumn("canonical", F.lower(F.trim(F.col("variant"))))
     m = mapping.select(F.col("variant").alias("_v"), F.col("canonical"))
     return v.join(small_side(m), F.col("variant") == F.col("_v"), "left").drop("_v")
+
+
+def apply_mapping(df: DataFrame, col: str, mapping: DataFrame) -> DataFrame:
+    """``col`` in its canonical form, by a join with (variant, canonical); values without a mapping stay as they are.
+
+    The mapping is reduced to one canonical form a variant (the smallest), so no row is multiplied.
+    """
+    m = mapping.where(F.col("variant").isNotNull()).groupBy(F.col("variant").alias("_v")).agg(F.min("canonical").alias("_c"))
+    out = df.join(small_side(m), F.col(f"`{col}`") == F.col("_v"), "left")
+    return out.withColumn(col, F.coalesce("_c", F.col(f"`{col}`"))).select(*[F.col(f"`{c}`") for c in df.columns])

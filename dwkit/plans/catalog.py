@@ -929,6 +929,22 @@ def c11(spark, d):
     return near_duplicates(fuzzy_parts(spark, d), "p_partkey", "p_brand", ["p_name", "p_type"])
 
 
+def _short_pairs(spark, d):
+    from ..operators.fuzzy import near_duplicate_profiles
+
+    return near_duplicate_profiles(fuzzy_parts(spark, d), "p_partkey", "p_brand", ["p_name", "p_type"])
+
+
+@query("C11_profile_pairs")
+def c11_profiles(spark, d):
+    return _short_pairs(spark, d)[0]
+
+
+@query("C11_membership")
+def c11_members(spark, d):
+    return _short_pairs(spark, d)[1]
+
+
 @query("D30_forest_scores")
 def d30_scores(spark, d):
     return isolation_forest(B.obs_dirty(spark, d), "obs_id", ["spd", "gust", "low"], contamination=0.02).select("obs_id", "anomaly_score", "IsoForest_Outlier")
@@ -1186,3 +1202,40 @@ def d33_unknown(spark, d):
     fact = star.with_unknown_member(fact, ["ORIGIN_STATION_ID"])
     dim = star.with_unknown_row(w["stations"], "STATION_ID").select(F.col("STATION_ID").alias("ORIGIN_STATION_ID"), "STATE")
     return fact.join(dim, "ORIGIN_STATION_ID").groupBy("STATE").agg(F.count(F.lit(1)).alias("n_flights"))
+
+
+# ------------------------------------------------------------------ mapped categories, dashboards, constraints of the dimensions
+
+@query("D25_apply_mapping")
+def d25_mapping(spark, d):
+    """The spellings of the event type joined to their canonical form, and what is left unmapped."""
+    ev = B.events_dirty(spark, d)
+    mapping = P.category_variants(ev, "event_type").where(F.col("canonical") != "error").select("variant", "canonical")
+    return P.apply_mapping(ev, "event_type", mapping).groupBy("event_type").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("D37_dashboard_groupings")
+def d37_groupings(spark, d):
+    """Every grouping of the two dashboards in one pass: when and where, and why."""
+    w = _environment(spark, d, fks=star.FK_COLS)
+    f = w["fact"].join(F.broadcast(w["fl_dates"].select("FL_DATE_ID", "MONTH", "DAY_OF_WEEK")), "FL_DATE_ID", "left")
+    f = f.join(F.broadcast(w["dep_hours"].select("DEP_HOUR_ID", "DEP_HOUR", "TIME_BAND")), "DEP_HOUR_ID", "left")
+    f = f.join(w["stations"].select(F.col("STATION_ID").alias("ORIGIN_STATION_ID"), "AIRPORT_CODE", "STATE"), "ORIGIN_STATION_ID", "left")
+    f = f.join(w["carriers"].select(F.col("CARRIER_ID").alias("MKT_CARRIER_ID"), F.col("DESCRIPTION").alias("AIRLINE")), "MKT_CARRIER_ID", "left")
+    f = f.join(w["aircraft"].select("AIRCRAFT_ID", "MANUFACTURER", "AIRCRAFT_AGE"), "AIRCRAFT_ID", "left")
+    f = f.join(w["junk"].select("JUNK_ID", "CANCELLATION_REASON", "WEATHER_DESCRIPTION"), "JUNK_ID", "left")
+    f = f.withColumns({"VISIBILITY_BUCKET": X.visibility_bucket("VISIBILITY"), "GUST_BUCKET": X.gust_bucket("WIND_GUST"),
+                       "TEMPERATURE_BUCKET": X.temperature_bucket("TEMPERATURE"), "AGE_BUCKET": X.age_bucket("AIRCRAFT_AGE")})
+    return kpi.dashboard_groupings(f, kpi.DASHBOARD_GROUPINGS, min_flights=5)
+
+
+@query("H4_dimension_constraints")
+def h4_dimensions(spark, d):
+    """PRIMARY KEY and NOT NULL of the six dimensions, as their schemas declare them."""
+    w, out = _star(spark, d), None
+    names = {"DIM_FL_DATES": "fl_dates", "DIM_DEP_HOURS": "dep_hours", "DIM_STATIONS": "stations", "DIM_CARRIERS": "carriers", "DIM_JUNK": "junk", "DIM_AIRCRAFTS": "aircraft"}
+    for table, name in names.items():
+        required = [f.name.upper() for f in LAY.LAYERS["dw"][table].fields if not f.nullable]
+        part = H.declared_constraints(w[name], required[0], required).select(F.lit(table).alias("table_name"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out

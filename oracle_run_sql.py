@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dwkit.sources.reconciled import WEATHER_COLUMNS, view_sql
-from oracle_sql import ENV_DIMS, interp_sql, star_fact, strip, title
+from oracle_sql import AGE, ENV_DIMS, ENV_FACT, EVENTS_DIRTY, GUST, TEMP, VIS, bucket_sql, interp_sql, star_dims, star_fact, strip, title
 
 COLUMNS = {
     "Active_Weather": ["status", "weather_description"], "Cancellation": ["status", "cancellation_reason"], "Carriers": ["code", "description"],
@@ -408,6 +408,41 @@ def gate_sql(select: str) -> str:
     return f"WITH {star_fact()}, {_GATED} {select}"
 
 
+_PARTS = """fp AS (SELECT p_partkey, p_brand, CASE WHEN p_partkey % 9 = 0 THEN substr(p_name, 1, 1) || substr(p_name, 3) ELSE p_name END AS p_name, p_type FROM part),
+prof AS (SELECT p_brand, p_name, p_type, min(p_partkey) AS k, count(*) AS n FROM fp GROUP BY 1, 2, 3),
+jw AS (SELECT a.k AS a, b.k AS b, a.n AS n_a, b.n AS n_b, jaro_winkler_similarity(a.p_name, b.p_name) + jaro_winkler_similarity(a.p_type, b.p_type) AS score
+  FROM prof a JOIN prof b ON a.p_brand = b.p_brand AND (a.k < b.k OR (a.k = b.k AND a.n > 1))),
+pairs AS (SELECT * FROM jw WHERE score > 1.75)"""
+
+
+def groupings_sql() -> str:
+    cols = {"MONTH": "d.MONTH", "DAY_OF_WEEK": "d.DAY_OF_WEEK", "DEP_HOUR": "h.DEP_HOUR", "TIME_BAND": "h.TIME_BAND", "AIRPORT_CODE": "s.AIRPORT_CODE", "STATE": "s.STATE",
+            "AIRLINE": "c.DESCRIPTION", "CANCELLATION_REASON": "f.CANCELLATION_REASON", "WEATHER_DESCRIPTION": "f.WEATHER_DESCRIPTION",
+            "VISIBILITY_BUCKET": bucket_sql("f.VISIBILITY", *VIS, zero="0 mi"), "GUST_BUCKET": bucket_sql("f.WIND_GUST", *GUST), "TEMPERATURE_BUCKET": bucket_sql("f.TEMPERATURE", *TEMP),
+            "MANUFACTURER": "a.MANUFACTURER", "AGE_BUCKET": bucket_sql("a.AIRCRAFT_AGE", *AGE, closed="<")}
+    dep = "coalesce(reason = 'Not Cancelled', FALSE)"
+    each = ", ".join(f"struct_pack(g := '{k}', v := CAST({v} AS VARCHAR))" for k, v in cols.items())
+    return f"""WITH {ENV_FACT}, long AS (SELECT DEP_DELAY, TAXI_OUT, AIR_TIME, VISIBILITY, reason, x.g, x.v FROM (
+  SELECT f.DEP_DELAY, f.TAXI_OUT, f.AIR_TIME, f.VISIBILITY, f.CANCELLATION_REASON AS reason, unnest([{each}]) AS x FROM fact f
+  LEFT JOIN dim_fl_dates d ON f.FL_DATE_ID = d.FL_DATE_ID LEFT JOIN dim_dep_hours h ON f.DEP_HOUR_ID = h.DEP_HOUR_ID LEFT JOIN dim_stations s ON f.ORIGIN_STATION_ID = s.STATION_ID
+  LEFT JOIN dim_carriers c ON f.MKT_CARRIER_ID = c.CARRIER_ID LEFT JOIN dim_aircraft a ON f.AIRCRAFT_ID = a.AIRCRAFT_ID) t)
+SELECT g AS grouping, v AS value, count(*) AS n_flights, round(count(*) FILTER (WHERE DEP_DELAY >= 15) / count(*), 4) AS dep_delay_rate,
+  round(count(*) FILTER (WHERE NOT {dep}) / count(*), 4) AS cancellation_rate, round(avg(CASE WHEN {dep} THEN DEP_DELAY END), 4) AS avg_dep_delay_departed,
+  round(avg(CASE WHEN {dep} THEN TAXI_OUT END), 4) AS avg_taxi_out_departed, round(avg(CASE WHEN {dep} THEN AIR_TIME END), 4) AS avg_air_time_departed,
+  round(count(*) FILTER (WHERE VISIBILITY > 0 AND VISIBILITY <= 3) / count(*), 4) AS low_visibility_rate FROM long GROUP BY 1, 2 HAVING count(*) >= 5"""
+
+
+def dimension_constraints_sql() -> str:
+    required = {"DIM_FL_DATES": ("dim_fl_dates", ["FL_DATE_ID", "FL_DATE"]), "DIM_DEP_HOURS": ("dim_dep_hours", ["DEP_HOUR_ID"]),
+                "DIM_STATIONS": ("dim_stations", ["STATION_ID", "AIRPORT_CODE"]), "DIM_CARRIERS": ("dim_carriers", ["CARRIER_ID", "DESCRIPTION"]),
+                "DIM_JUNK": ("dim_junk", ["JUNK_ID"]), "DIM_AIRCRAFTS": ("dim_aircraft", ["AIRCRAFT_ID", "TAIL_NUM"])}
+    parts = []
+    for t, (src, cols) in required.items():
+        parts.append(f"SELECT '{t}' AS table_name, 'PRIMARY KEY' AS constraint_type, '{cols[0]}' AS column_name, coalesce((SELECT sum(n) FROM (SELECT count(*) AS n FROM {src} GROUP BY {cols[0]}) g WHERE n > 1), 0) AS violations")
+        parts += [f"SELECT '{t}', 'NOT NULL', '{c}', (SELECT count(*) FROM {src} WHERE {c} IS NULL)" for c in cols]
+    return f"WITH {star_dims()} SELECT table_name, constraint_type, column_name, CAST(violations AS BIGINT) AS violations FROM (" + " UNION ALL ".join(parts) + ") q"
+
+
 SQL = {f"RUN_clean_{t.lower()}": clean_table_sql(t) for t in COLUMNS if t not in ("Active_Weather", "Cancellation")}
 SQL |= {f"RUN_clean_{t.lower()}_interpolated": clean_table_sql(t, False) for t in ("Weather_Observations", "Flights")}
 SQL |= {"RUN_counts": counts_sql(), "RUN_audit": audit_sql(), "RUN_audit_interpolated": audit_sql(False), "RUN_dropped_rows": dropped_sql(),
@@ -422,4 +457,10 @@ SQL |= {"RUN_counts": counts_sql(), "RUN_audit": audit_sql(), "RUN_audit_interpo
         "D33_gate_counters": gate_sql("SELECT 'rows' AS counter, count(*) AS n FROM gated UNION ALL SELECT 'loaded', count(*) FROM gated WHERE " + _WHOLE
                                       + "".join(f" UNION ALL SELECT '{k}', count(*) FILTER (WHERE {k} IS NULL) FROM gated" for k in _KEYS)),
         "D33_unknown_member": gate_sql("""SELECT STATE, count(*) AS n_flights FROM fact LEFT JOIN dim_stations
-            ON CASE WHEN FLIGHT_ID % 17 <> 0 THEN ORIGIN_STATION_ID END = STATION_ID GROUP BY STATE""")}
+            ON CASE WHEN FLIGHT_ID % 17 <> 0 THEN ORIGIN_STATION_ID END = STATION_ID GROUP BY STATE"""),
+        "C11_profile_pairs": f"WITH {_PARTS} SELECT least(a, b) AS p_partkey_1, greatest(a, b) AS p_partkey_2, n_a AS n_1, n_b AS n_2, round(score, 4) AS \"Score\" FROM pairs",
+        "C11_membership": f"""WITH {_PARTS} SELECT fp.p_partkey, prof.k AS profile FROM fp JOIN prof USING (p_brand, p_name, p_type)
+            WHERE prof.k IN (SELECT a FROM pairs UNION SELECT b FROM pairs)""",
+        "D25_apply_mapping": f"""WITH {EVENTS_DIRTY} SELECT CASE WHEN lower(trim(event_type)) <> 'error' THEN lower(trim(event_type)) ELSE event_type END AS event_type, count(*) AS n_rows
+            FROM events_dirty GROUP BY 1""",
+        "D37_dashboard_groupings": groupings_sql(), "H4_dimension_constraints": dimension_constraints_sql()}

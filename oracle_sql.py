@@ -680,23 +680,23 @@ _q("B15_time_band", """SELECT hour, n_rows, CASE WHEN hour >= 0 AND hour < 4 THE
   ELSE 'Late Evening' END AS time_band FROM (SELECT CAST(EXTRACT(HOUR FROM ts) AS INTEGER) AS hour, count(*) AS n_rows FROM events GROUP BY 1) h""")
 
 
-def _bk(x, edges, labels, zero=None, strict=False, closed="<="):
+def bucket_sql(x, edges, labels, zero=None, strict=False, closed="<="):
     parts = ([f"WHEN {x} = 0 THEN '{zero}'"] if zero else []) + [f"WHEN {x} {closed} {e} THEN '{l}'" for e, l in zip(edges, labels)]
     expr = f"CASE {' '.join(parts)} ELSE '{labels[-1]}' END"
     return f"CASE WHEN {x} IS NOT NULL THEN {expr} END" if strict else expr
 
 
-_VIS = ([2, 4, 6, 8, 10], ["0-2 mi", "2-4 mi", "4-6 mi", "6-8 mi", "8-10 mi", ">10 mi"])
-_GUST = ([10, 20, 30], ["≤10 kt", "10-20 kt", "20-30 kt", ">30 kt"])
-_TEMP = ([-10, 0, 10, 20, 30], ["≤ -10 °C", "-10 to 0 °C", "0 to 10 °C", "10 to 20 °C", "20 to 30 °C", "> 30 °C"])
-_AGE = ([6, 16, 31], ["0-5 yr", "6-15 yr", "16-30 yr", "31+ yr"])
+VIS = ([2, 4, 6, 8, 10], ["0-2 mi", "2-4 mi", "4-6 mi", "6-8 mi", "8-10 mi", ">10 mi"])
+GUST = ([10, 20, 30], ["≤10 kt", "10-20 kt", "20-30 kt", ">30 kt"])
+TEMP = ([-10, 0, 10, 20, 30], ["≤ -10 °C", "-10 to 0 °C", "0 to 10 °C", "10 to 20 °C", "20 to 30 °C", "> 30 °C"])
+AGE = ([6, 16, 31], ["0-5 yr", "6-15 yr", "16-30 yr", "31+ yr"])
 _q("B16_buckets", f"""WITH {OBS_DIRTY}
-SELECT obs_id, {_bk('(spd / 5)', *_VIS, zero='0 mi')} AS visibility_bucket, {_bk('gust', *_GUST)} AS gust_bucket,
-       {_bk('(low - 20)', *_TEMP)} AS temperature_bucket, {_bk('n', *_AGE, closed='<')} AS age_bucket,
-       {_bk('gust', *_GUST, strict=True)} AS gust_bucket_strict FROM obs_dirty""")
+SELECT obs_id, {bucket_sql('(spd / 5)', *VIS, zero='0 mi')} AS visibility_bucket, {bucket_sql('gust', *GUST)} AS gust_bucket,
+       {bucket_sql('(low - 20)', *TEMP)} AS temperature_bucket, {bucket_sql('n', *AGE, closed='<')} AS age_bucket,
+       {bucket_sql('gust', *GUST, strict=True)} AS gust_bucket_strict FROM obs_dirty""")
 _q("B17_is_departed", f"""WITH {STAR_FLIGHTS}
 SELECT coalesce(cancellation_reason = 'Not Cancelled', FALSE) AS is_departed, count(*) AS n_flights FROM star_flights GROUP BY 1""")
-_q("B18_aircraft_age", f"WITH {star_dims()} SELECT TAIL_NUM, AIRCRAFT_AGE, {_bk('AIRCRAFT_AGE', *_AGE, closed='<')} AS AGE_BUCKET FROM dim_aircraft")
+_q("B18_aircraft_age", f"WITH {star_dims()} SELECT TAIL_NUM, AIRCRAFT_AGE, {bucket_sql('AIRCRAFT_AGE', *AGE, closed='<')} AS AGE_BUCKET FROM dim_aircraft")
 _q("B20_sample_fixed_n", "SELECT event_id, event_type, round(value, 4) AS value FROM events ORDER BY md5(CAST(event_id AS VARCHAR) || '42'), event_id LIMIT 500")
 _q("B21_projection", "SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS VARCHAR) AS l_shipdate FROM lineitem")
 _FKS = ["FL_DATE_ID", "DEP_HOUR_ID", "ORIGIN_STATION_ID", "DEST_STATION_ID", "MKT_CARRIER_ID", "OP_CARRIER_ID", "AIRCRAFT_ID", "JUNK_ID"]
@@ -775,14 +775,14 @@ star_flights AS (SELECT f.* REPLACE (r.r_name AS weather_description), o.spd AS
     o.spd - 20 AS temperature, CAST(o.n % 5 AS DOUBLE) AS cloud_cover
   FROM plain_flights f LEFT JOIN obs o ON (f.l_orderkey * 7 + f.l_linenumber) % 5000 + 1 = o.obs_id LEFT JOIN region r ON o.n % 4 = r.r_regionkey)"""
 ENV_DIMS = star_dims().replace(STAR_FLIGHTS, _ENV_FLIGHTS, 1)
-_ENV_FACT = star_fact().replace(STAR_FLIGHTS, _ENV_FLIGHTS, 1).replace("f.dep_delay AS DEP_DELAY", """f.weather_description AS WEATHER_DESCRIPTION,
+ENV_FACT = star_fact().replace(STAR_FLIGHTS, _ENV_FLIGHTS, 1).replace("f.dep_delay AS DEP_DELAY", """f.weather_description AS WEATHER_DESCRIPTION,
          f.wind_spd AS WIND_SPD, f.wind_gust AS WIND_GUST, f.visibility AS VISIBILITY, f.temperature AS TEMPERATURE, f.cloud_cover AS CLOUD_COVER,
          f.dep_delay AS DEP_DELAY""", 1)
 _q("K6_build_junk_environment", f"WITH {ENV_DIMS} SELECT * FROM dim_junk")
-_q("K7_build_fact_environment", f"WITH {_ENV_FACT} SELECT FLIGHT_ID, " + ", ".join(k for k, _, _ in _KEYS) + ", " + ", ".join(
+_q("K7_build_fact_environment", f"WITH {ENV_FACT} SELECT FLIGHT_ID, " + ", ".join(k for k, _, _ in _KEYS) + ", " + ", ".join(
     f"{r4(m)} AS {m}" for m in ("WIND_SPD", "WIND_GUST", "VISIBILITY", "TEMPERATURE", "CLOUD_COVER", "DEP_DELAY", "TAXI_OUT", "AIR_TIME", "DISTANCE")) +
    ", LOAD_TIMESTAMP FROM fact")
-_q("D35_kpi_glossary_environment", f"""WITH {_ENV_FACT}
+_q("D35_kpi_glossary_environment", f"""WITH {ENV_FACT}
 SELECT WEATHER_DESCRIPTION, count(*) AS number_of_flights, round(avg(DEP_DELAY), 4) AS avg_delay,
        round(avg(CASE WHEN DEP_DELAY IS NOT NULL THEN CAST(DEP_DELAY > 15 AS DOUBLE) END), 4) AS delay_rate_gt15,
        round(avg(CASE WHEN DEP_DELAY IS NOT NULL THEN CAST(DEP_DELAY >= 15 AS DOUBLE) END), 4) AS delay_rate_ge15,
@@ -790,7 +790,7 @@ SELECT WEATHER_DESCRIPTION, count(*) AS number_of_flights, round(avg(DEP_DELAY),
        round(avg(AIR_TIME), 4) AS avg_air_time, round(avg(DISTANCE), 4) AS avg_distance, round(avg(WIND_SPD), 4) AS avg_wind_spd,
        round(avg(VISIBILITY), 4) AS avg_visibility, round(avg(CASE WHEN VISIBILITY IS NOT NULL THEN CAST(VISIBILITY > 0 AND VISIBILITY <= 3 AS DOUBLE) END), 4) AS low_visibility_rate,
        round(min(TEMPERATURE), 4) AS min_temperature, round(avg(CLOUD_COVER), 4) AS avg_cloud_cover FROM fact GROUP BY 1""")
-_q("D36_dashboard_rates_environment", f"""WITH {_ENV_FACT}, fr AS (SELECT f.*, d.YEAR FROM fact f LEFT JOIN dim_fl_dates d ON f.FL_DATE_ID = d.FL_DATE_ID)
+_q("D36_dashboard_rates_environment", f"""WITH {ENV_FACT}, fr AS (SELECT f.*, d.YEAR FROM fact f LEFT JOIN dim_fl_dates d ON f.FL_DATE_ID = d.FL_DATE_ID)
 SELECT YEAR, count(FLIGHT_ID) AS n_flights, round(count(*) FILTER (WHERE DEP_DELAY >= 15) / count(FLIGHT_ID), 4) AS dep_delay_rate,
        round(count(*) FILTER (WHERE NOT {_DEP}) / count(FLIGHT_ID), 4) AS cancellation_rate,
        round(avg(CASE WHEN {_DEP} THEN DEP_DELAY END), 4) AS avg_dep_delay_departed,

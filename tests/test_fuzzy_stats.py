@@ -227,3 +227,35 @@ def test_shared_folder_is_required_on_a_cluster():
     context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077", getConf=lambda: SimpleNamespace(get=lambda k: None))
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda k, d: d)))
+
+
+def test_near_duplicates_in_short_form(spark):
+    df, rows = fixture(spark)
+    rows = rows + [(1000 + i, "B0", WORDS[0], TYPES[0]) for i in range(300)] + [(2000, None, WORDS[0], TYPES[0]), (2001, "B0", None, TYPES[0])]
+    df = spark.createDataFrame(rows, "k long, blk string, name string, typ string")
+    short, members = fuzzy.near_duplicate_profiles(df, "k", "blk", ["name", "typ"], tile_size=2)
+    pairs, of = short.collect(), {r.k: r.profile for r in members.collect()}
+    assert short.count() < 200 and 2000 not in of  # 300 equal records are one profile; no block, no pair
+    exp = brute([r for r in rows if r[1]])
+    mates = {}
+    for k, p in of.items():
+        mates.setdefault(p, []).append(k)
+    got = set()
+    for r in pairs:
+        assert r.n_1 == len(mates[r.k_1]) and r.n_2 == len(mates[r.k_2])
+        pick = itertools.combinations(mates[r.k_1], 2) if r.k_1 == r.k_2 else itertools.product(mates[r.k_1], mates[r.k_2])
+        got |= {(min(a, b), max(a, b), round(r.Score, 9)) for a, b in pick}
+    assert got == exp
+
+
+def test_value_index_costs_values_not_profiles(spark):
+    # 40 names x 40 kinds in one block: 1,600 profiles, 40 values a feature
+    df = spark.range(1600).select("id", F.lit("hot").alias("blk"), F.concat(F.lit("name "), F.chr(F.col("id") % 40 + 65), F.chr(F.col("id") % 40 * 7 % 26 + 97)).alias("name"),
+                                  F.concat(F.chr(F.floor(F.col("id") / 40) % 26 + 97), F.lit(" kind "), F.floor(F.col("id") / 40)).alias("typ"))
+    recs = fuzzy._records(df, "id", "blk", ["name", "typ"])
+    prof = recs.groupBy("_pid", "_blk", "name", "typ").agg(F.count(F.lit(1)).alias("_n"))
+    similar = fuzzy.similar_values(prof, ["name", "typ"], 0.75)
+    assert prof.count() == 1600 and similar.count() <= 2 * 40 * 40
+    one = fuzzy.near_duplicates(df, "id", None, ["name"], threshold=0.85)
+    exp = sum(fuzzy.jaro_winkler(a, b) > 0.85 for a, b in itertools.combinations([r.name for r in df.collect()], 2))
+    assert one.count() == exp
