@@ -109,7 +109,25 @@ def op8(spark, d):
     return remove_repeats(documents(spark, d))
 
 
-@query("op11_importance_resampling")
+# CRC-32 as a fold over bytes: a number is folded in, -1 shifts by one bit (fixed value: the reversed polynomial).
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_FEATURES = """SELECT {key}, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM (SELECT {key}, {words} AS w FROM {table}) q"""
+
+
+@query("op11_importance_resampling", f"""
+WITH df AS ({_FEATURES.format(key='doc_id', words=_WORDS, table='documents')}), tf AS ({_FEATURES.format(key='item_id', words=_WORDS, table='benchmark')}),
+names AS (SELECT f, hex(encode(f)) AS x FROM (SELECT f FROM df UNION SELECT f FROM tf) u),
+steps AS (SELECT f, flatten(list_transform(range(0, CAST(len(x) / 2 AS BIGINT)), lambda i: [CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])) AS l FROM names),
+buckets AS (SELECT f, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), l),
+  lambda c, v: CASE WHEN v >= 0 THEN xor(c, v) ELSE xor(c >> 1, CASE WHEN c % 2 = 1 THEN 3988292384 ELSE 0 END) END), 4294967295) % 10000 AS bucket FROM steps),
+s AS (SELECT bucket, count(*) AS n FROM df JOIN buckets USING (f) GROUP BY 1), t AS (SELECT bucket, count(*) AS n FROM tf JOIN buckets USING (f) GROUP BY 1),
+gains AS (SELECT s.bucket, CAST(floor(1000 * ln(CAST(coalesce(t.n, 0) + 1 AS DOUBLE) * CAST((SELECT coalesce(sum(n), 0) FROM s) + 10000 AS DOUBLE)
+  / (CAST(s.n + 1 AS DOUBLE) * CAST((SELECT coalesce(sum(n), 0) FROM t) + 10000 AS DOUBLE)))) AS BIGINT) AS gain FROM s LEFT JOIN t USING (bucket)),
+w AS (SELECT doc_id, count(*) AS n, CAST(floor(CAST(sum(gain) AS DOUBLE) / count(*)) AS BIGINT) AS weight FROM df JOIN buckets USING (f) JOIN gains USING (bucket) GROUP BY 1),
+sc AS (SELECT d.doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+  (CAST('0x' || substr(sha256('7:' || d.doc_id), 1, 8) AS BIGINT) + CAST(0.5 AS DOUBLE)) / CAST(4294967296 AS DOUBLE)))) AS BIGINT) AS score FROM documents d LEFT JOIN w USING (doc_id)),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS k, count(*) OVER () AS n FROM sc WHERE n_features >= 39)
+SELECT sc.*, CASE WHEN k <= 25 * n // 100 THEN k END AS rank FROM sc LEFT JOIN r USING (doc_id)""")
 def op11(spark, d):
     from .importance import resample
 
