@@ -3,15 +3,19 @@
 The text is normalised (runs of ASCII white space become one space) and hashed to 64
 bits.  An index over the *distinct* keys is built as follows.
 
+* Rows are reduced to one chain element per (hash, digest): smallest id and number of rows.
 * ``grow_directory`` doubles a directory of hash prefixes until no bucket holds more keys
-  than its capacity; only overfull buckets are split, so buckets have different depths.
-* The chain of every key (one element per digest: smallest id, number of rows) goes to the
-  task that owns the key's bucket range and is written, sorted, to the shared folder.
+  than its capacity; only overfull buckets are split, so buckets have different depths.  A bucket
+  that is still overfull at the greatest depth stays one longer bucket.
+* The elements go to the task that owns their bucket's range of keys.  It chains elements of one
+  hash (the element's place in the chain is part of its key) and writes them, sorted, to the shared folder.
 * Elements with several rows are confirmed on their bytes.  Texts that differ although
   hash and digest agree become further chain elements, each with its own group.
+* Every row looks its group up in the index: the directory gives the bucket of its hash, the bucket
+  its element.
 
-Everything is DataFrame expressions.  A group of copies is reduced before it is shuffled
-(count, smallest id, smallest and largest text), so a hot group costs one row per task.
+Everything is DataFrame expressions.  Elements with at least one row in ``HOT_ELEMENTS`` are that many at
+most; they are broadcast where rows meet the index, so that no task gets the rows of a hot group.
 """
 
 from __future__ import annotations
@@ -27,6 +31,7 @@ from ..session import materialize
 WHITE = "[\\x20\\x09-\\x0D]+"
 BUCKET_CAPACITY = 4096
 MAX_DEPTH = 40
+HOT_ELEMENTS = 1024
 
 
 def normalised(text) -> F.Column:
@@ -48,8 +53,7 @@ def grow_directory(keys: DataFrame, n_keys: int, hash_bits: int = 64, capacity:
     that is the smallest depth at which the prefix's load is within ``capacity``.
     """
     width = min(hash_bits, MAX_DEPTH, max(1, math.ceil(math.log2(max(1, n_keys) / capacity)) + 3)) if n_keys > capacity else 0
-    leaf = F.shiftrightunsigned("h", hash_bits - width) if width else F.lit(0).cast("long")
-    leaves = keys.groupBy(leaf.alias("leaf")).agg(F.count("*").alias("n"))
+    leaves = keys.groupBy(_leaf(hash_bits, width).alias("leaf")).agg(F.count("*").alias("n"))
     levels = leaves.select("leaf", "n", F.explode(F.sequence(F.lit(0), F.lit(width))).alias("depth"))
     levels = levels.withColumn("prefix", F.expr(f"shiftright(leaf, {width} - depth)"))
     load = levels.groupBy("depth", "prefix").agg(F.sum("n").alias("load"))
@@ -59,12 +63,20 @@ def grow_directory(keys: DataFrame, n_keys: int, hash_bits: int = 64, capacity:
     return directory.select("leaf", "depth", first.alias("bucket")), width
 
 
+def _matching(rows: DataFrame, elements: DataFrame, total: int, keys: list[str]) -> DataFrame:
+    """Inner join of ``rows`` with ``elements`` (keys, group_size, ...), hot elements by broadcast, the others by shuffle."""
+    hot = elements.where(F.col("group_size") * HOT_ELEMENTS >= total)  # at most HOT_ELEMENTS rows
+    cold = elements.where(F.col("group_size") * HOT_ELEMENTS < total)
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    return rows.join(F.broadcast(hot), keys).unionByName(rest.join(cold.hint("merge"), keys))
+
+
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = BUCKET_CAPACITY,
-                hash_bits: int = 64, digest_chars: int = 64) -> tuple[DataFrame, DataFrame]:
-    """(entries, index), both written to the shared folder.
+                hash_bits: int = 64, digest_chars: int = 64) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """(entries, index, directory, width), the first two written to the shared folder.
 
     entries: one row per input row (id, h, digest, chain, sha).  index: one row per group of
-    equal texts (bucket, depth, h, digest, chain, keep_id, group_size), dealt to owner tasks by
+    equal texts (bucket, depth, h, digest, chain, place, keep_id, group_size), dealt to owner tasks by
     bucket range.  ``hash_bits`` and ``digest_chars`` shorten the keys; tests use that to force
     collisions.
     """
@@ -72,10 +84,10 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     entries = materialize(keyed.select("id", "h", "digest", "sha"), "dedup-entries")
     groups = materialize(entries.groupBy("h", "digest").agg(F.min("id").alias("keep_id"), F.count("*").alias("group_size")),
                          "dedup-groups")
-    # the same plan at every size: a merge join (Spark may still put a runtime filter before it)
-    several = groups.where("group_size > 1").select("h", "digest").hint("merge")
-    members = keyed.join(several, ["h", "digest"], "left_semi")
-    # equal bytes within a chain element <=> its smallest text is its largest
+    total = entries.count()
+    # equal bytes within a chain element <=> its smallest text is its largest (a task sends two texts an element)
+    several = groups.where("group_size > 1").select("h", "digest", "group_size")
+    members = _matching(keyed.select("id", "norm", "h", "digest"), several, total, ["h", "digest"])
     differing = materialize(members.groupBy("h", "digest").agg(F.min("norm").alias("lo"), F.max("norm").alias("hi"))
                             .where("lo != hi").select("h", "digest"), "dedup-collisions")
     groups = groups.withColumn("chain", F.lit("").cast("string"))
@@ -88,15 +100,19 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             apart.groupBy("h", "digest", "chain").agg(F.min("id").alias("keep_id"), F.count("*").alias("group_size")))
         entries = entries.join(differing, ["h", "digest"], "left_anti").unionByName(
             apart.select("id", "h", "digest", "sha", "chain"))
-    keys = groups.select("h").distinct()
-    directory, width = grow_directory(keys, groups.count(), hash_bits, capacity)
-    leaf = F.shiftrightunsigned("h", hash_bits - width) if width else F.lit(0).cast("long")
-    index = groups.withColumn("leaf", leaf).join(directory, "leaf").drop("leaf")
-    index = index.repartitionByRange(F.col("bucket"), F.col("h")).sortWithinPartitions("bucket", "h", "digest", "chain")
-    return entries, materialize(index, "dedup-index")
+    directory, width = grow_directory(groups.select("h").distinct(), groups.count(), hash_bits, capacity)
+    directory = materialize(directory, "dedup-directory")
+    owned = groups.withColumn("leaf", _leaf(hash_bits, width)).join(directory, "leaf").drop("leaf")
+    owned = owned.repartitionByRange(F.col("bucket"), F.col("h")).sortWithinPartitions("bucket", "h", "digest", "chain")
+    in_chain = Window.partitionBy("bucket", "h").orderBy("digest", "chain")  # within its owner task
+    return entries, materialize(owned.withColumn("place", F.row_number().over(in_chain)), "dedup-index"), directory, width
+
+
+def _leaf(hash_bits: int, width: int):
+    return F.shiftrightunsigned("h", hash_bits - width) if width else F.lit(0).cast("long")
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash_bits: int = 64, **options) -> DataFrame:
     """One row per input row: id, keep_id, group_size, kept, text_sha256 (of the normalised text).
 
     Of equal texts the row with the smallest id stays.  Null text counts as empty; null ids
@@ -104,11 +120,17 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     id and text are all marked alike and counted each.  Other columns of ``docs`` are not
     read, an empty table gives an empty result.
     """
-    entries, index = build_index(docs, id_col, text_col, **options)
-    groups = index.select("h", "digest", "chain", "keep_id", "group_size")
-    return entries.join(groups, ["h", "digest", "chain"]).select(
-        F.col("id").alias(id_col), "keep_id", "group_size",
-        F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256"))
+    entries, index, directory, width = build_index(docs, id_col, text_col, hash_bits=hash_bits, **options)
+    total = index.agg(F.coalesce(F.sum("group_size"), F.lit(0))).first()[0]
+    hot = index.where(F.col("group_size") * HOT_ELEMENTS >= total).select("h", "digest", "chain", "keep_id", "group_size")  # at most HOT_ELEMENTS rows
+    cold = index.where(F.col("group_size") * HOT_ELEMENTS < total).select("bucket", "h", "digest", "chain", "keep_id", "group_size")
+    element = ["h", "digest", "chain"]
+    rest = entries.join(F.broadcast(hot.select(*element)), element, "left_anti").withColumn("leaf", _leaf(hash_bits, width))
+    rest = rest.join(directory.select("leaf", "bucket").hint("merge"), "leaf").join(cold.hint("merge"), ["bucket", *element])
+    names = ["id", "sha", "keep_id", "group_size"]
+    found = entries.join(F.broadcast(hot), element).select(*names).unionByName(rest.select(*names))
+    return found.select(F.col("id").alias(id_col), "keep_id", "group_size",
+                        F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256"))
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
