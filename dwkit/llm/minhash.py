@@ -15,7 +15,8 @@ A pair that the join finds is confirmed on the full sets, and components follow
    copies with as many comparisons as members.
 3. *Rest.*  Buckets that still hold several components are compared across components, in tiles of
    bounded size; members within the distance fall into clusters, and in each cluster, again in
-   tiles, the full sets of different components are compared.  No bucket is cut, and no pairs
+   tiles, the full sets of different components are compared.  A bucket's or cluster's largest component
+   passes the tiles of the other members once.  No bucket is cut, and no pairs
    are written: a task passes on a spanning part of what it finds.
 
 Components come from contraction with pointer jumping, written between the rounds.
@@ -40,6 +41,7 @@ TEXT_TILE = 256       # texts of a cluster that are compared with each other in
 GROUP = 512           # texts that are compared with one copy of a pivot's text
 HELD_EDGES = 200_000  # edges that a task holds before it reduces them
 FILTER_BITS = 1 << 24  # bits of the id filter (2 MB), whatever the number of ids
+SALTS = 16            # keys under which the rows of a group meet its sizes
 SLOTS = S.SYMBOLS     # keys of a signature: one for each symbol that is left out
 
 
@@ -238,22 +240,29 @@ def _by_group(keys: list[str], fn):
     return run
 
 
-def _tiled(rows: DataFrame, key: str, sizes: DataFrame, size: int) -> DataFrame:
-    """Rows of a group dealt to pairs (t1, t2) of tiles of about ``size`` rows; ``sizes`` has (key, n).
+def _tiled(rows: DataFrame, key: str, size: int) -> DataFrame:
+    """Rows (key, rep, c) of groups with several components, dealt to pairs (t1, t2) of tiles of about ``size`` rows.
 
-    Any two rows of a group meet in one pair of tiles; a group of n rows gives n * ceil(n / size) rows.
+    Any two rows of a group that are in different components meet in one pair of tiles.  The largest component of a group
+    has tiles of its own, which meet only the tiles of the other members: a group of n rows, m of them
+    outside its largest component, gives n * ceil(m / size) + m * ceil((n - m) / size) rows at most.
+    Rows meet their group's sizes under SALTS keys, so a hot group spreads before it is dealt.
     """
-    tiles = sizes.select(key, F.ceil(F.col("n") / size).cast("int").alias("tiles"))
-    dealt = rows.join(tiles.hint("merge"), key).withColumn("t", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int"))
-    dealt = dealt.withColumn("u", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    return dealt.withColumns({"t1": F.least("t", "u"), "t2": F.greatest("t", "u")}).drop("u", "tiles")
+    by_part = rows.groupBy(key, "c").agg(F.count("*").alias("n"))
+    sizes = by_part.groupBy(key).agg(F.count("*").alias("parts"), F.sum("n").alias("n"), F.max(F.struct("n", "c")).alias("top")).where("parts > 1")
+    sizes = sizes.select(key, F.col("top.c").alias("top"), F.ceil((F.col("n") - F.col("top.n")) / size).cast("int").alias("others"),
+                         F.ceil(F.col("top.n") / size).cast("int").alias("own"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    dealt = rows.withColumn("salt", F.pmod(F.xxhash64("rep", F.lit("salt")), F.lit(SALTS)).cast("int")).join(sizes.hint("merge"), [key, "salt"])
+    inside = F.col("c") == F.col("top")
+    dealt = dealt.withColumn("t", F.when(inside, F.col("others") + F.pmod(F.xxhash64("rep"), F.col("own"))).otherwise(F.pmod(F.xxhash64("rep"), F.col("others"))).cast("int"))
+    dealt = dealt.withColumn("u", F.explode(F.sequence(F.lit(0), F.when(inside, F.col("others")).otherwise(F.col("others") + F.col("own")) - 1)))
+    return dealt.withColumns({"t1": F.least("t", "u"), "t2": F.greatest("t", "u")}).drop("u", "salt", "top", "others", "own")
 
 
 def _clusters(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b): edges whose components contain every two representatives of different components that
     share a key and are within DISTANCE.  At most one edge per member and key leaves a task."""
-    mixed = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n")).where("lo != hi")
-    dealt = _tiled(rows, "key", mixed.select("key", "n"), TILE).join(sets.select("rep", "sig").hint("merge"), "rep")
+    dealt = _tiled(rows, "key", TILE).join(sets.select("rep", "sig").hint("merge"), "rep")
     dealt = dealt.select("key", "t1", "t2", "t", "rep", "c", "sig").repartition("key", "t1", "t2").sortWithinPartitions("key", "t1", "t2", "rep")
     kind = sets.schema["rep"].dataType.simpleString()
 
@@ -289,8 +298,7 @@ def _confirm_clusters(clusters: DataFrame, comp: DataFrame, docs: DataFrame, id_
     """
     rows = clusters.withColumnRenamed("c", "cluster").join(comp, "rep", "left").select("cluster", "rep", F.coalesce("c", "rep").alias("c"))
     rows = materialize(rows, "near-clusters")
-    sizes = rows.groupBy("cluster").agg(F.count("*").alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi")
-    dealt = _tiled(rows, "cluster", sizes.select("cluster", "n"), TEXT_TILE)
+    dealt = _tiled(rows, "cluster", TEXT_TILE)
     texts = docs.select(F.col(f"`{id_col}`").alias("rep"), F.col(f"`{text_col}`").alias("text"))
     texts = texts.where(_id_filter(rows.select("rep"), "rep")(F.col("rep")))
     dealt = dealt.join(texts.hint("merge"), "rep").select("cluster", "t1", "t2", "t", "rep", "c", "text")
