@@ -267,28 +267,31 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
     """``docs`` with every span replaced by its kind in brackets; same columns and rows.
 
     Overlapping spans are replaced together, under the first one's kind.  Texts without spans,
-    null texts included, stay as they are.  ``length_col``, if present, follows the text.
+    null texts included, stay as they are.  ``length_col``, if present, follows the text.  Other columns pass
+    through whatever their names (rows travel under numbered names); repeated rows stay; no rows give no rows.
     """
-    narrow = docs.select(F.col(f"`{text_col}`").alias("text"))
-    model = fit(materialize(with_candidates(narrow).select("_candidates"), "pii-candidates"))
-    names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    text = F.col(f"`{text_col}`")
+    names, given = docs.columns, docs.schema
+    rows = docs.toDF(*[f"_r{i}" for i in range(len(names))])
+    text = F.col(f"_r{names.index(text_col)}")
+    model = fit(materialize(with_candidates(rows.select(text.alias("text"))).select("_candidates"), "pii-candidates"))
+    kinds = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
 
     def step(acc, s):
         fresh = s["start"] >= acc["at"]
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(fresh, F.concat(
-            acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.get(names, s["kind"]))).otherwise(acc["out"]).alias("out"))
+            acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.get(kinds, s["kind"]))).otherwise(acc["out"]).alias("out"))
 
     done = F.aggregate("_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
                        lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
-    marked = with_candidates(docs, text_col).withColumn("_spans", chosen(F.col("_candidates"), model))
-    out = marked.withColumn("_text", F.when(F.size("_spans") > 0, done).otherwise(text))
+    marked = with_candidates(rows, f"_r{names.index(text_col)}").withColumn("_spans", chosen(F.col("_candidates"), model))
+    some = F.size("_spans") > 0
+    out = marked.withColumn("_redacted", F.when(some, done).otherwise(text))
     cols = []
-    for c in docs.columns:
-        if c == text_col:
-            cols.append(F.col("_text").alias(c))
+    for i, c in enumerate(names):
+        if i == names.index(text_col):
+            cols.append(F.col("_redacted").alias(c))
         elif c == length_col:
-            cols.append(F.when(F.size("_spans") > 0, F.length("_text")).otherwise(F.col(f"`{c}`")).cast(docs.schema[c].dataType).alias(c))
+            cols.append(F.when(some, F.length("_redacted")).otherwise(F.col(f"_r{i}")).cast(given[i].dataType).alias(c))
         else:
-            cols.append(F.col(f"`{c}`"))
+            cols.append(F.col(f"_r{i}").alias(c))
     return out.select(*cols)

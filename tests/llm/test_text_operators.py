@@ -250,3 +250,14 @@ def test_chat_round_trip(spark):
 def test_escape_is_reversible(spark, text):
     row = spark.range(1).select(chat.escape(F.lit(text)).alias("e"), chat.unescape(chat.escape(F.lit(text))).alias("u")).first()
     assert "<|" not in row.e and row.u == text
+
+
+def test_redact_keeps_columns_of_any_name(spark, nothing):
+    rows = [(1, "write to bob@example.com now", 28, "t1", ["s1"], "c1", "r1"), (2, None, None, "t2", None, "c2", "r2"), (2, None, None, "t2", None, "c2", "r2"),
+            (3, "", 0, "t3", ["s3"], None, "r3"), (None, "plain words", 11, "t4", ["s4"], "c4", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, _text string, _spans array<string>, _candidates string, _r0 string")
+    got = pii.redact(df)
+    assert got.schema.names == df.schema.names and [f.dataType for f in got.schema] == [f.dataType for f in df.schema]
+    want = [(1, "write to [EMAIL] now", 20, "t1", ["s1"], "c1", "r1"), *rows[1:]]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    assert pii.redact(nothing).collect() == []
