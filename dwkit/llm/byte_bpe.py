@@ -25,7 +25,8 @@ import regex
 # Fixed values of the vocabulary's format: the pre-token pattern and the byte alphabet.
 PRE_TOKEN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 PIECE = re.compile(r"\s*\S+|\s+")
-PIECE_END = re.compile(r"(?<=\S)(?=\s)")
+#: No pre-token crosses these places, whatever a character table takes for white space beyond the plain kinds.
+PIECE_END = re.compile(r"(?<=\S)(?=[ \t\n\r])")
 #: Characters that the library's character tables may class differently: such texts take its own splitter.
 UNSURE = re.compile("[^\\x00-\\x1b\\x20-\\x84\\x86-\\x9f\\xa1-ɏ‐-‧€Α-Ωα-ωА-я]")
 BLOCK_CHARS = 1 << 16
@@ -191,24 +192,39 @@ class ByteBPE:
         self._library = None
 
     def _pre_token(self, s: str) -> tuple:
-        data = s.encode()
-        if len(data) <= WINDOW_BYTES:
-            return tuple(self.table.merge(data))
-        stream = StreamEncoder(self.table)
-        parts = [stream.feed(data[i:i + WINDOW_BYTES]) for i in range(0, len(data), WINDOW_BYTES)]
-        return tuple(chain(*parts, stream.finish()))
+        return tuple(self.table.merge(s.encode()))
 
     def _piece(self, s: str) -> tuple:
         found = PRE_TOKEN.findall(s)
         return self.pre_tokens[s] if len(found) == 1 else tuple(chain.from_iterable(map(self.pre_tokens.__getitem__, found)))
 
-    def _by_library(self, text: str) -> tuple:
-        """Pre-tokens cut by the library's own splitter, for characters of uncertain class."""
+    def _spans(self, text: str, unsure: bool):
+        """Places of the pre-tokens; for characters of uncertain class the library's own splitter cuts."""
+        if not unsure:
+            return (m.span() for m in PRE_TOKEN.finditer(text))
         if self._library is None:
             from tokenizers import Tokenizer
 
             self._library = Tokenizer.from_file(self.path).pre_tokenizer
-        return tuple(chain.from_iterable(self.pre_tokens[text[a:b]] for _, (a, b) in self._library.pre_tokenize_str(text)))
+        return (span for _, span in self._library.pre_tokenize_str(text))
+
+    def _streamed(self, text: str, unsure: bool):
+        """Yield lists of token tuples; a long pre-token's tokens leave as soon as they are stable."""
+        out = []
+        for a, b in self._spans(text, unsure):
+            if b - a <= WINDOW_BYTES // 4:
+                out.append(self.pre_tokens[text[a:b]])
+                if len(out) < BLOCK_CHARS // 4:
+                    continue
+            yield out
+            out = []
+            if b - a > WINDOW_BYTES // 4:
+                stream = StreamEncoder(self.table)
+                for i in range(a, b, WINDOW_BYTES // 4):
+                    if stable := stream.feed(text[i:min(b, i + WINDOW_BYTES // 4)].encode()):
+                        yield [tuple(stable)]
+                yield [tuple(stream.finish())]
+        yield out
 
     def blocks(self, text: str):
         """Yield lists of token tuples, block by block; joined they are the tokens of ``text``."""
@@ -222,15 +238,15 @@ class ByteBPE:
     def _plain(self, text: str):
         if not text:
             return
-        if UNSURE.search(text):
-            yield [self._by_library(text)]
-            return
-        at, n = 0, len(text)
+        unsure, at, n = bool(UNSURE.search(text)), 0, len(text)
         while at < n:
             end = n
             if n - at > BLOCK_CHARS and (m := PIECE_END.search(text, at + BLOCK_CHARS)):
                 end = m.start()
-            yield list(map(self.pieces.__getitem__, PIECE.findall(text, at, end)))
+            if unsure or end - at > 2 * BLOCK_CHARS:  # the latter: hardly any white space
+                yield from self._streamed(text[at:end], unsure)
+            else:
+                yield list(map(self.pieces.__getitem__, PIECE.findall(text, at, end)))
             at = end
 
     def encode(self, text: str) -> list[int]:

@@ -139,3 +139,14 @@ def test_pack(spark, awkward, nothing, library):
     assert packing.pack(nothing).count() == 0
     with pytest.raises(ValueError):
         packing.pack(docs, tiers=(1000, 500))
+
+
+def test_long_texts_of_any_kind_leave_in_small_blocks(library):
+    codec = byte_bpe.load(bpe_stream.vocabulary_path())
+    rnd = random.Random(9)
+    odd = "".join(rnd.choice("🙂中é!\x1c ab\n") for _ in range(200_000))
+    texts = [odd, "🙂" * 60_000, "中文" * 100_000, "abc" * 150_000, "=" * 400_000, " " * 300_000 + "🙂", "word " * 60_000 + "🙂", "!\x1c" * 90_000, "x" * 70_000 + " " + "y" * 200_000]
+    for text in texts:
+        blocks = list(codec.blocks(text))
+        assert [t for block in blocks for ids in block for t in ids] == library.encode(text, add_special_tokens=False).ids, text[:20]
+        assert max(sum(map(len, block)) for block in blocks) <= 2 * byte_bpe.BLOCK_CHARS + 2
