@@ -1,25 +1,29 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-Confirmed toxic texts (P) and texts without a label (U, a mixture with a known share ``prior`` of
-toxic ones) train a linear classifier in numpy:
-
-* Features are hashed words and word beginnings, present or absent in a text.
-* The share of negatives that have a feature follows from U's and P's: n = (u - prior p) /
-  (1 - prior).  Features whose shares in P and in the negatives differ significantly are kept.
-* Weights minimise the non-negative risk  prior R+(P) + max(0, R-(U) - prior R-(P))  with the
-  logistic loss; when the corrected negative part falls below zero the step goes against
-  it, which keeps a flexible model from fitting the unlabelled texts away.
-* The bias is set last, so that the mean score of U is the prior.
-
-The sample that the driver fits is bounded by ``max_positive`` and ``max_unlabelled`` documents (of
-each only which of at most ``MAX_FEATURES`` features it has); the prior comes from counts over all labels.  Scoring covers every whole
-text in one pass without a shuffle.
+Confirmed toxic texts (P) and texts taken without a label (U: all that aren't held out, a mixture with a
+known share ``prior`` of toxic ones) train a linear classifier.  Everything is counted over all rows of P and U; the
+driver sees sums whose size the parameters bound.
+
+* Features are hashed words and word beginnings, present or absent in a text.  The ``CANDIDATES`` most
+  frequent of P are counted in U too; those that P holds more often than U's share explains (likelihood ratio
+  beyond what chance gives the best of all candidates), the ``MAX_FEATURES`` surest of them, are kept.
+* A text becomes the vector of its kept features; equal vectors are counted once, and what follows reads their table.
+* First and second moments of these features in P and U determine the non-negative risk
+  prior R+(P) + max(0, R-(U) - prior R-(P))  with the squared loss; weights minimise it.  When the
+  corrected negative part falls below zero the step goes against it, which keeps a flexible model from
+  fitting the unlabelled texts away.
+* Margins of P and U as histograms then give slope and bias of a logistic score, under the same risk
+  with the logistic loss.
+
+Only confirmed texts are joined with labels.  Scoring covers every whole text in one pass without a shuffle.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from array import array
+from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
 
@@ -29,11 +33,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .bitmaps import Bitmap
 from .byte_bpe import Memo
+from .shingles import shingle_set
 
-MAX_POSITIVE = 3000
-MAX_UNLABELLED = 9000
-MAX_FEATURES = 4096
+CANDIDATES = 1 << 15
+MAX_FEATURES = 256
+FLUSH = 1 << 20   # features that a task holds before it adds them up
+MARGIN_BINS = 1 << 15
+FILTER_BITS = 1 << 24  # bits of the id filter (2 MB), whatever the number of labels
 BEGINNINGS = (4, 5, 6)
 THRESHOLD = 0.3
 WORD = re.compile(r"[^\W\d_]+")
@@ -50,99 +58,219 @@ def is_held_out(id_col):
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def sample_features(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(key, positive, features) of the sampled documents, one row per distinct text (confirmed if any
-    of its copies is), written once."""
+def _text_features(memo: Memo, text: str | None) -> np.ndarray:
+    """Sorted distinct features of a text."""
+    found = set(WORD.findall((text or "").lower()))
+    return np.unique(np.fromiter(chain.from_iterable(map(memo.__getitem__, found)), dtype=np.int64))
+
+
+def count_features(texts: DataFrame, wanted=None) -> DataFrame:
+    """(f, n): texts that hold each feature, of the broadcast array ``wanted`` only if given."""
+    def run(batches):
+        some = None if wanted is None else frozenset(wanted.value.tolist())
+        memo, held, size = Memo(word_features if some is None else lambda w: tuple(f for f in word_features(w) if f in some), 200_000), [], 0
+        for pdf in batches:
+            for t in pdf["text"]:
+                found = _text_features(memo, t)
+                held.append(found)
+                size += len(found)
+                if size >= FLUSH:
+                    f, n = np.unique(np.concatenate(held), return_counts=True)
+                    yield pd.DataFrame({"f": f, "n": n})
+                    held, size = [], 0
+        if size:
+            f, n = np.unique(np.concatenate(held), return_counts=True)
+            yield pd.DataFrame({"f": f, "n": n})
+
+    return texts.select("text").mapInPandas(run, "f bigint, n bigint").groupBy("f").agg(F.sum("n").alias("n"))
+
+
+def surest_features(k_p: np.ndarray, n_p: int, k_u: np.ndarray, n_u: int) -> np.ndarray:
+    """Indices of at most MAX_FEATURES features that P holds more often than U's share explains, by their likelihood
+    ratio, which must exceed what the best of so many chance features reaches."""
+    u = (k_u + 0.5) / (n_u + 1.0)
+    p = np.clip(k_p / n_p, 1e-12, 1 - 1e-12)
+    ratio = 2 * (k_p * np.log(p / u) + (n_p - k_p) * np.log((1 - p) / np.maximum(1 - u, 1e-12)))
+    ratio = np.where(p > u, ratio, 0.0)
+    best = np.argsort(-ratio, kind="stable")[:MAX_FEATURES]
+    return np.sort(best[ratio[best] > max(8.0, 2 * np.log(max(len(k_p), 1)))])
+
+
+def vectors(texts: DataFrame, kept: np.ndarray) -> DataFrame:
+    """(v, n): every distinct vector of kept features (their rising 16-bit places) and the texts that have it, written once."""
+    place = {f: i for i, f in enumerate(kept.tolist())}
+
+    def run(batches):
+        memo, held = Memo(lambda w: tuple(place[f] for f in word_features(w) if f in place), 200_000), Counter()
+        for pdf in batches:
+            for t in pdf["text"]:
+                found = set(chain.from_iterable(map(memo.__getitem__, set(WORD.findall((t or "").lower())))))
+                held[array("H", sorted(found)).tobytes()] += 1
+            if len(held) > FLUSH // 16:
+                yield pd.DataFrame({"v": list(held), "n": list(held.values())})
+                held.clear()
+        if held:
+            yield pd.DataFrame({"v": list(held), "n": list(held.values())})
+
+    return materialize(texts.select("text").mapInPandas(run, "v binary, n bigint").groupBy("v").agg(F.sum("n").alias("n")), "toxicity-vectors")
+
+
+def _matrix(pdf: pd.DataFrame, size: int) -> np.ndarray:
+    """Rows of 0/1 features and a last column of ones."""
+    x = np.zeros((len(pdf), size))
+    x[:, -1] = 1
+    at = [np.frombuffer(v, dtype=np.uint16) for v in pdf["v"]]
+    x[np.repeat(np.arange(len(at)), list(map(len, at))), np.concatenate(at or [np.empty(0, dtype=np.uint16)]).astype(np.int64)] = 1
+    return x
+
+
+def moments(table: DataFrame, size: int) -> np.ndarray:
+    """Sums of products of any two features (the last is constant) over all texts of a vector table."""
+    def run(batches):
+        total = np.zeros((size, size))
+        for pdf in batches:
+            for i in range(0, len(pdf), 4096):
+                part = pdf.iloc[i:i + 4096]
+                x = _matrix(part, size)
+                total += (x * part["n"].to_numpy(dtype=float)[:, None]).T @ x
+        yield pd.DataFrame({"i": np.arange(size), "row": [r.tobytes() for r in total]})
+
+    def add(pdf):
+        row = np.sum([np.frombuffer(r) for r in pdf["row"]], axis=0)
+        return pd.DataFrame({"i": [int(pdf["i"].iloc[0])], "row": [row.tobytes()]})
+
+    out = np.zeros((size, size))
+    for r in table.mapInPandas(run, "i int, row binary").groupBy("i").applyInPandas(add, "i int, row binary").collect():  # MAX_FEATURES + 1 rows
+        out[r["i"]] = np.frombuffer(bytes(r["row"]))
+    return out
+
+
+def fit_moments(m_p: np.ndarray, m_u: np.ndarray, prior: float, rounds: int = 800, rate: float = 0.02, ridge: float = 0.01) -> np.ndarray:
+    """Weights (the last is the bias) that minimise the non-negative risk with the squared loss, from mean products of P and U."""
+    one_p, one_u, shrink = m_p[:, -1], m_u[:, -1], np.full(len(m_p), ridge)
+    shrink[-1] = 1e-6
+    w = np.zeros(len(m_p))
+    m, v = np.zeros(len(m_p)), np.zeros(len(m_p))
+    for t in range(1, rounds + 1):
+        corrected = (1 + 2 * one_u @ w + w @ m_u @ w) - prior * (1 + 2 * one_p @ w + w @ m_p @ w)
+        as_positive = 2 * prior * (m_p @ w - one_p)
+        as_negative = 2 * (one_u + m_u @ w) - 2 * prior * (one_p + m_p @ w)
+        grad = (as_positive + as_negative if corrected >= 0 else -as_negative) + 2 * shrink * w
+        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
+        w = w - rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
+    return w
+
+
+def margins(table: DataFrame, w: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Histogram of the margins of all texts of a vector table between ``edges``."""
     def run(batches):
-        memo = Memo(word_features, 200_000)
+        total = np.zeros(len(edges) - 1)
         for pdf in batches:
-            got = [np.unique(np.fromiter(chain.from_iterable(map(memo.__getitem__, set(WORD.findall((t or "").lower())))), dtype=np.int64))
-                   for t in pdf["text"]]
-            yield pd.DataFrame({"key": pdf["key"], "positive": pdf["positive"], "features": pd.Series(got, index=pdf.index, dtype=object)})
+            for i in range(0, len(pdf), 4096):
+                part = pdf.iloc[i:i + 4096]
+                f = np.clip(_matrix(part, len(w)) @ w, edges[0], edges[-1])
+                total += np.histogram(f, edges, weights=part["n"].to_numpy(dtype=float))[0]
+        some = np.flatnonzero(total)
+        yield pd.DataFrame({"bin": some, "n": total[some].astype(np.int64)})
 
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).join(F.broadcast(ids), "id")
-    rows = rows.select(F.xxhash64("text").alias("key"), "text", "positive")
-    rows = rows.mapInPandas(run, "key bigint, positive boolean, features array<bigint>")
-    return materialize(rows.groupBy("key").agg(F.bool_or("positive").alias("positive"), F.first("features").alias("features")), "toxicity-sample")
+    out = np.zeros(len(edges) - 1)
+    for r in table.mapInPandas(run, "bin int, n bigint").groupBy("bin").agg(F.sum("n").alias("n")).collect():  # MARGIN_BINS rows at most
+        out[r["bin"]] = r["n"]
+    return out
 
 
-def select_features(sample: DataFrame, n_p: int, n_u: int, prior: float, least_z: float = 4.0) -> list[int]:
-    """The at most MAX_FEATURES features whose shares in P and in the negatives differ most surely."""
-    counts = sample.select("positive", F.explode("features").alias("f")).groupBy("f").agg(
-        F.count_if("positive").alias("k_p"), F.count_if(~F.col("positive")).alias("k_u"))
-    p, u = F.col("k_p") / n_p, F.col("k_u") / n_u
-    n = F.least(F.greatest((u - prior * p) / (1 - prior), F.lit(0.0)), F.lit(1.0))
-    noise = F.sqrt((p * (1 - p) + 1 / n_p) / n_p + (u * (1 - u) + 1 / n_u) / n_u / (1 - prior) ** 2)
-    ranked = counts.select("f", (F.abs(p - n) / noise).alias("z")).where(F.col("z") >= least_z)
-    return sorted(r["f"] for r in ranked.orderBy(F.col("z").desc(), "f").limit(MAX_FEATURES).collect())
+def fit_margins(h_p: np.ndarray, h_u: np.ndarray, centers: np.ndarray, prior: float) -> tuple[float, float]:
+    """Slope and bias of the logistic score of a margin."""
+    n = len(centers)
+    w, b = fit_nnpu(np.arange(2 * n), np.zeros(2 * n, dtype=np.int64), np.arange(2 * n) < n, 1, prior, rounds=4000, rate=0.05,
+                    values=np.concatenate([centers, centers]), shares=np.concatenate([h_p / max(h_p.sum(), 1), h_u / max(h_u.sum(), 1)]), match_prior=False)
+    return float(w[0]), b
 
 
 def fit_nnpu(rows: np.ndarray, columns: np.ndarray, is_p: np.ndarray, n_features: int, prior: float, rounds: int = 600,
-             rate: float = 0.1, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Weights and bias for a sparse 0/1 matrix (``rows``, ``columns`` of its ones); ``is_p`` marks P."""
-    n, n_p, n_u = len(is_p), int(is_p.sum()), int((~is_p).sum())
+             rate: float = 0.1, ridge: float = 1e-4, values: np.ndarray | None = None, shares: np.ndarray | None = None,
+             match_prior: bool = True) -> tuple[np.ndarray, float]:
+    """Weights and bias under the non-negative risk with the logistic loss, for a sparse matrix (``rows``, ``columns`` of its
+    entries, ones unless ``values`` are given); ``is_p`` marks rows of P.  ``shares`` are the rows' shares of P and of U
+    (equal ones by default).  With ``match_prior`` the bias is set last, so that the mean score of U is the prior."""
+    n = len(is_p)
+    values = np.ones(len(rows)) if values is None else values
+    shares = np.where(is_p, 1 / max(is_p.sum(), 1), 1 / max((~is_p).sum(), 1)) if shares is None else shares
     w, b = np.zeros(n_features), float(np.log(prior / (1 - prior)))
     m, v = np.zeros(n_features + 1), np.zeros(n_features + 1)
     for t in range(1, rounds + 1):
-        x = np.bincount(rows, weights=w[columns], minlength=n) + b
+        x = np.bincount(rows, weights=w[columns] * values, minlength=n) + b
         prob = 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-        minus = np.logaddexp(0, x)                    # loss of calling it negative
-        corrected = minus[~is_p].mean() - prior * minus[is_p].mean()
-        as_positive = np.where(is_p, prior * (prob - 1) / n_p, 0)
-        as_negative = np.where(is_p, -prior * prob / n_p, prob / n_u)
+        minus = np.logaddexp(0, x) * shares           # loss of calling it negative
+        corrected = minus[~is_p].sum() - prior * minus[is_p].sum()
+        as_positive = np.where(is_p, prior * (prob - 1), 0) * shares
+        as_negative = np.where(is_p, -prior * prob, prob) * shares
         g = as_positive + as_negative if corrected >= 0 else -as_negative
-        grad = np.append(np.bincount(columns, weights=g[rows], minlength=n_features) + ridge * w, g.sum())
+        grad = np.append(np.bincount(columns, weights=g[rows] * values, minlength=n_features) + ridge * w, g.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
         step = rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
         w, b = w - step[:-1], b - step[-1]
-    # the bias at which the unlabelled texts hold the share of toxic ones that they are known to hold
-    x, low, high = np.bincount(rows, weights=w[columns], minlength=n)[~is_p], -30.0, 30.0
-    for _ in range(60):
-        b = (low + high) / 2
-        low, high = (b, high) if (1 / (1 + np.exp(-np.clip(x + b, -30, 30)))).mean() < prior else (low, b)
+    if match_prior:
+        x, low, high = np.bincount(rows, weights=w[columns] * values, minlength=n)[~is_p], -30.0, 30.0
+        for _ in range(60):
+            b = (low + high) / 2
+            low, high = (b, high) if (shares[~is_p] / (1 + np.exp(-np.clip(x + b, -30, 30)))).sum() < prior else (low, b)
     return w, float(b)
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", toxic_col: str = "toxic",
-          max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED, **options) -> tuple[dict[int, float], float]:
-    """Fit on rows that aren't held out.  A document is confirmed toxic if any of its labels is 1;
-    null labels are no labels.  Without a confirmed text the model scores 0, without an unlabelled
-    one the texts labelled 0 stand in."""
+def distinct_texts(texts: DataFrame, words: int = 5) -> DataFrame:
+    """One of equal texts, and mostly one of near copies: texts whose smallest shingle agrees under either of two hash
+    functions count as one, as the same words in many copies would say nothing about toxicity."""
+    def run(batches):
+        for pdf in batches:
+            sets = [shingle_set(t, words) for t in pdf["text"]]
+            both = [[(s * np.uint64(m)).min() if len(s) else hash_of(t) for s, t in zip(sets, pdf["text"])] for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
+            yield pd.DataFrame({"text": pdf["text"], **{k: pd.Series(np.array(x, dtype=np.uint64).view(np.int64), index=pdf.index) for k, x in zip(("a", "b"), both)}})
+
+    def hash_of(t):
+        return np.uint64(zlib.crc32((t or "").encode("utf-8", "surrogatepass")))
+
+    rows = texts.mapInPandas(run, "text string, a bigint, b bigint")
+    rows = rows.groupBy("a").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "b", "text")).alias("x")).select("x.b", "x.text")
+    return rows.groupBy("b").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("x")).select("x.text")
+
+
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", toxic_col: str = "toxic") -> tuple[dict[int, float], float]:
+    """Weights by feature and bias, from rows that aren't held out.  A document is confirmed toxic if any of its labels is 1;
+    null labels are no labels.  Of confirmed texts that are copies one counts.  Without a confirmed text the model scores 0."""
+    spark = docs.sparkSession
     given = labels.where(F.col(toxic_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg((F.max(toxic_col) == 1).alias("toxic"))
-    given = given.where(F.col("id").isNotNull() & ~is_held_out(F.col("id")))
+    given = materialize(given.where(F.col("id").isNotNull() & ~is_held_out(F.col("id"))), "toxicity-labels")
     counts = given.agg(F.count("*").alias("n"), F.count_if("toxic").alias("k")).first()
     if not counts["k"]:
         return {}, float("-inf")
-    prior = (counts["k"] + 1) / (counts["n"] + 2)
-    ids = docs.select(F.col(f"`{id_col}`").alias("id")).where(F.col("id").isNotNull() & ~is_held_out(F.col("id")))
-    status = ids.join(given, "id", "left").select("id", F.when(F.col("toxic"), 2).when(F.col("toxic").isNull(), 1).otherwise(0).alias("kind"))
-
-    def some(kind: int, most: int) -> DataFrame:
-        return status.where(F.col("kind") == kind).distinct().orderBy(F.xxhash64("id"), "id").limit(most).select("id", F.lit(kind == 2).alias("positive"))
-
-    sample = sample_features(docs, some(2, max_positive).unionByName(some(1, max_unlabelled)), id_col, text_col)
-    sizes = {r["positive"]: r["n"] for r in sample.groupBy("positive").agg(F.count("*").alias("n")).collect()}
-    if False not in sizes:
-        others = sample_features(docs, some(0, max_unlabelled), id_col, text_col)
-        sample = sample.unionByName(others.join(sample.select("key"), "key", "left_anti"))
-        sizes = {r["positive"]: r["n"] for r in sample.groupBy("positive").agg(F.count("*").alias("n")).collect()}
-    if not sizes.get(True) or not sizes.get(False):
+    prior = min((counts["k"] + 1) / (counts["n"] + 2), 0.9)
+    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).where(F.col("id").isNotNull() & ~is_held_out(F.col("id")))
+    toxic = given.where("toxic").select("id")
+    bitmap = Bitmap(toxic.select(F.xxhash64("id").alias("h")), "h", FILTER_BITS)
+
+    @F.pandas_udf("boolean")
+    def may_be_toxic(hashes: pd.Series) -> pd.Series:
+        return pd.Series(bitmap.may_contain(hashes.to_numpy(dtype=np.int64)))
+
+    confirmed = texts.where(may_be_toxic(F.xxhash64("id"))).join(toxic.hint("merge"), "id").select("text")
+    confirmed = materialize(distinct_texts(confirmed), "toxicity-confirmed")
+    n_p, n_u = confirmed.count(), texts.count()
+    if not n_p:
         return {}, float("-inf")
-    prior = min(prior, 0.9)
-    kept = select_features(sample, sizes[True], sizes[False], prior)
-
-    def narrow(batches):
-        wanted = np.array(kept, dtype=np.int64)
-        for pdf in batches:
-            at = [np.flatnonzero(np.isin(wanted, x)).astype(np.int64) for x in pdf["features"]]
-            yield pd.DataFrame({"key": pdf["key"], "positive": pdf["positive"], "at": pd.Series(at, index=pdf.index, dtype=object)})
-
-    got = sample.mapInPandas(narrow, "key bigint, positive boolean, at array<bigint>").toPandas().sort_values("key")
-    ones = [np.asarray(x, dtype=np.int64) for x in got["at"]]
-    rows = np.repeat(np.arange(len(got)), [len(x) for x in ones])
-    columns = np.concatenate(ones) if ones else np.empty(0, dtype=np.int64)
-    w, b = fit_nnpu(rows, columns, got["positive"].to_numpy(dtype=bool), len(kept), prior, **options)
-    return dict(zip(kept, w.tolist())), b
+    some = count_features(confirmed).orderBy(F.col("n").desc(), "f").limit(CANDIDATES).toPandas().sort_values("f")
+    candidates, k_p = some["f"].to_numpy(dtype=np.int64), some["n"].to_numpy(dtype=np.float64)
+    found = count_features(texts, spark.sparkContext.broadcast(candidates)).toPandas()  # at most CANDIDATES numbers
+    k_u = np.zeros(len(candidates))
+    k_u[np.searchsorted(candidates, found["f"].to_numpy(dtype=np.int64))] = found["n"]
+    kept = candidates[surest_features(k_p, n_p, k_u, n_u)]
+    p, u, size = vectors(confirmed, kept), vectors(texts, kept), len(kept) + 1
+    w = fit_moments(moments(p, size) / n_p, moments(u, size) / n_u, prior)
+    edges = np.linspace(w[-1] + np.minimum(w[:-1], 0).sum() - 1e-6, w[-1] + np.maximum(w[:-1], 0).sum() + 1e-6, MARGIN_BINS + 1)
+    h_p, h_u = margins(p, w, edges), margins(u, w, edges)
+    some = np.flatnonzero(h_p + h_u)
+    a, b = fit_margins(h_p[some], h_u[some], ((edges[1:] + edges[:-1]) / 2)[some], prior)
+    return dict(zip(kept.tolist(), (a * w[:-1]).tolist())), a * float(w[-1]) + b
 
 
 def scores(docs: DataFrame, model: tuple[dict[int, float], float], text_col: str = "text"):
@@ -176,6 +304,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without the texts predicted toxic; same columns."""
+    """``docs`` without the texts predicted toxic; same columns, whatever their names.
+
+    Null and empty texts, which hold no features, and null ids stay or go by the score alone; repeated rows go or stay
+    together; no rows give no rows.
+    """
     model = train(docs, labels, id_col, text_col, **options)
     return docs.where(scores(docs, model, text_col) < THRESHOLD)
