@@ -1,20 +1,19 @@
 """Hierarchical packing of token streams into windows of several lengths.
 
-Each task reads its documents once, tokenises them and packs them, without a shuffle:
+Each task reads its documents once, tokenises them and packs them, without a shuffle of texts or ids:
 
 1. *Route.*  A document gives full windows of the longest tier as often as it can.  The rest
-   goes to the smallest tier that holds it (tiers 1024, 512, 256 by default).
-2. *Pack each tier.*  A rest that fills its tier's window is a window.  In the longest tier
-   every other rest opens a window of its own; the shorter tiers queue theirs.
-3. *Fill gaps.*  A gap in an open long window is filled from the shorter tiers, best fit
-   first: the largest queued piece that fits whole, again and again; the last
-   piece is cut to the gap's exact size and its remainder queued in its own tier.
-4. *Leftovers.*  When a task ends, what is still queued (less than the queue bound) is laid
+   goes to the queue of the smallest tier that holds it (tiers 1024, 512, 256 by default).
+2. *Pack each tier.*  A tier whose queue exceeds ``reserve`` tokens packs windows of its own length, the shortest
+   tier first: the longest queued piece opens a window.
+3. *Fill gaps.*  The gap of a window is filled from shorter tiers, then from its own, best fit first: the
+   largest queued piece that fits whole, again and again; the last piece is cut to the gap's
+   exact size and its remainder queued in the tier that holds it.
+4. *Leftovers.*  When a task ends, what is still queued (at most the reserve of each tier) is laid
    end to end and cut into full windows, then into ever shorter powers of two, so that
    no window needs padding.
-
-``step_group`` deals windows into groups of (nearly) equal token counts: each window goes,
-in order, to the task's current group until it holds ``step_tokens``.
+5. *Step groups.*  Tasks know where a window starts in their own tokens; with the tasks' totals, summed in order,
+   that is its place in the run, and every ``step_tokens`` tokens make a group.
 """
 
 from __future__ import annotations
@@ -22,19 +21,21 @@ from __future__ import annotations
 import re
 import struct
 import zlib
-from collections import deque
+from bisect import bisect_left
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from . import byte_bpe
 
 TIERS = (1024, 512, 256)
 QUEUE_TOKENS = 1 << 20
 MEMO_SIZE = 250_000  # pieces; a miss costs little here, and workers keep the memo
 STEP_TOKENS = 1 << 16
+TASK_BITS = 36  # of a sequence id, below its task's number
 PIECE_COLUMNS = ("start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
                  "`offset` bigint, tier int, step_group bigint")
 
@@ -80,24 +81,25 @@ def codec(path: str, end_id: int) -> Codec:
 
 
 class Packer:
-    """Packing state of one task: queued rests by tier and length, windows made so far."""
+    """Packing state of one task: queued pieces by length, tokens queued in each tier, windows made so far."""
 
     def __init__(self, first_id: int, tiers=TIERS, queue_tokens: int = QUEUE_TOKENS, step_tokens: int = STEP_TOKENS):
-        self.tiers = sorted(tiers, reverse=True)
+        self.tiers = sorted(tiers)
         self.first_id, self.step_tokens = first_id, step_tokens
-        self.queue_tokens = max(queue_tokens, 2 * self.tiers[0])  # what a flush leaves over must fit
-        self.made = 0          # windows so far
-        self.tokens = 0        # tokens in windows so far
-        self.long: deque = deque()                                  # rests that open a long window
-        self.queue: list[list] = [[] for _ in range(self.tiers[0])]  # shorter rests by length
-        self.lengths = 0       # bit mask of the lengths that are queued
-        self.queued = 0
+        self.reserve = max(queue_tokens // len(self.tiers), 2 * self.tiers[-1])
+        self.made = self.tokens = 0                                   # windows, and tokens in windows, so far
+        self.queue: list[list] = [[] for _ in range(self.tiers[-1])]  # pieces by length
+        self.lengths = 0                                              # bit mask of the lengths that are queued
+        self.queued = [0] * len(self.tiers)                           # tokens by tier
         self.out: list[tuple] = []
 
-    def window(self, pieces: list, tier: int) -> None:
-        sid, group, at = self.first_id + self.made, self.first_id + self.tokens // self.step_tokens, 0
-        for doc, start, length, n, ids in pieces:
-            self.out.append((doc, start, length, zlib.crc32(ids), n, sid, at, tier, group))
+    def tier_of(self, length: int) -> int:
+        return bisect_left(self.tiers, length)
+
+    def window(self, pieces: list, size: int) -> None:
+        sid, start, at = self.first_id + self.made, self.tokens, 0
+        for doc, first, length, n, ids in pieces:
+            self.out.append((doc, first, length, zlib.crc32(ids), n, sid, at, size, start // self.step_tokens, start))
             at += length
         self.made += 1
         self.tokens += at
@@ -106,119 +108,60 @@ class Packer:
         length = piece[2]
         if length in self.tiers:
             self.window([piece], length)
-        elif length > self.tiers[1]:
-            self.long.append(piece)
-        else:
-            self.queue[length].append(piece)
-            self.lengths |= 1 << length
-        if length not in self.tiers:
-            self.queued += length
-
-    def take(self, most: int) -> tuple | None:
-        """The longest queued short rest of at most ``most`` tokens."""
-        fit = self.lengths & ((2 << most) - 1)
-        if not fit:
-            return None
-        return self.pop(fit.bit_length() - 1)
+            return
+        self.queue[length].append(piece)
+        self.lengths |= 1 << length
+        self.queued[self.tier_of(length)] += length
 
     def pop(self, length: int) -> tuple:
         piece = self.queue[length].pop()
         if not self.queue[length]:
             self.lengths &= ~(1 << length)
-        self.queued -= length
+        self.queued[self.tier_of(length)] -= length
         return piece
 
+    def take(self, room: int) -> tuple:
+        """The longest queued piece of at most ``room`` tokens; else the shortest longer one, cut to ``room``."""
+        fit = self.lengths & ((2 << room) - 1)
+        if fit:
+            return self.pop(fit.bit_length() - 1)
+        part, rest = self.cut(self.pop((self.lengths & -self.lengths).bit_length() - 1), room)
+        self.put(rest)
+        return part
+
     @staticmethod
     def cut(piece: tuple, at: int) -> tuple[tuple, tuple]:
         doc, start, length, n, ids = piece
         return (doc, start, at, n, ids[:4 * at]), (doc, start + at, length - at, n, ids[4 * at:])
 
+    def fill(self, size: int) -> None:
+        """A window of ``size`` tokens from the queues, which hold as many."""
+        pieces, room = [], size
+        while room:
+            pieces.append(self.take(room))
+            room -= pieces[-1][2]
+        self.window(pieces, size)
+
     def add(self, doc, ids: bytes) -> None:
         """One document: its full windows leave at once, its rest is routed."""
-        n, top = len(ids) // 4, self.tiers[0]
+        n, top = len(ids) // 4, self.tiers[-1]
         view = memoryview(ids)
         for at in range(0, n - top + 1, top):
             self.window([(doc, at, top, n, view[4 * at:4 * (at + top)])], top)
         rest = n % top
         if rest:
             self.put((doc, n - rest, rest, n, ids[4 * (n - rest):]))
-        while self.queued > self.queue_tokens:
-            if self.long and self.lengths:
-                self.fill(self.long.popleft())
-            else:
-                self.flush(self.queue_tokens // 2)
-
-    def fill(self, piece: tuple) -> None:
-        """Complete an open long window from the shorter tiers."""
-        top, pieces, room = self.tiers[0], [piece], self.tiers[0] - piece[2]
-        self.queued -= piece[2]
-        while room:
-            short = self.take(room)
-            if short is None:
-                if not self.lengths:
-                    break
-                # nothing fits whole: cut the shortest longer one to the gap
-                short, rest = self.cut(self.pop((self.lengths & -self.lengths).bit_length() - 1), room)
-                self.put(rest)
-            pieces.append(short)
-            room -= short[2]
-        if room:
-            self.queued += piece[2]
-            self.long.appendleft(piece)
-            for p in pieces[1:]:
-                self.put(p)
-            self.flush(0)
-        else:
-            self.window(pieces, top)
-
-    def flush(self, down_to: int, last: bool = False) -> None:
-        """Lay queued rests end to end, longest first, and cut them into full windows; at the
-        end of the task what remains becomes windows of decreasing powers of two."""
-        top, pieces, room = self.tiers[0], [], self.tiers[0]
-        while self.queued > down_to or pieces:
-            if self.long:
-                piece = self.long.popleft()
-                self.queued -= piece[2]
-            else:
-                piece = self.take(top)
-            if piece is None:
-                break
-            while piece is not None:
-                if piece[2] <= room:
-                    part, piece = piece, None
-                else:
-                    part, piece = self.cut(piece, room)
-                pieces.append(part)
-                room -= part[2]
-                if not room:
-                    self.window(pieces, top)
-                    pieces, room = [], top
-        if not last:
-            for p in pieces:
-                self.put(p)
-            return
-        size = top
-        while pieces:
-            left = sum(p[2] for p in pieces)
-            while size > left:
-                size //= 2
-            chosen, room = [], size
-            while room:
-                part = pieces.pop(0)
-                if part[2] > room:
-                    part, rest = self.cut(part, room)
-                    pieces.insert(0, rest)
-                chosen.append(part)
-                room -= part[2]
-            self.window(chosen, size)
+        for k, size in enumerate(self.tiers):
+            while self.queued[k] > self.reserve:
+                self.fill(size)
 
     def finish(self) -> None:
-        while self.long and self.lengths:
-            before = self.made
-            self.fill(self.long.popleft())
-            if self.made == before:
-                break
-        self.flush(0, last=True)
+        """Full windows of every tier as long as its pieces last, then decreasing powers of two."""
+        for k, size in reversed(list(enumerate(self.tiers))):
+            while sum(self.queued) >= size and (self.queued[k] or k == 0):
+                self.fill(size)
+        while left := sum(self.queued):
+            self.fill(1 << (left.bit_length() - 1))
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, end_id: int = 0,
@@ -229,7 +172,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
     least one piece.  Rows are packed as they come: repeated rows are packed each, null
     ids stay null, other columns are not read, no rows give no pieces.  Tiers are powers of two.
     Sequence ids are unique (task number in the high bits); a task's memory is bounded by
-    ``queue_tokens``, one batch of rows and the memo.
+    ``queue_tokens``, one batch of rows and the memo.  Pieces are written once, as step groups need the tasks' totals.
     """
     if path is None:
         import public_tokenizers
@@ -239,13 +182,13 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
         raise ValueError("tiers must be two powers of two at least")
     narrow = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     kind = narrow.schema["id"].dataType.simpleString()
-    names = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "step_group"]
+    names = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "step_group", "at"]
 
     def run(batches):
         from pyspark import TaskContext
 
         tokens = codec(path, end_id)
-        state = Packer(TaskContext.get().partitionId() << 36, tiers, queue_tokens, step_tokens)
+        state = Packer(TaskContext.get().partitionId() << TASK_BITS, tiers, queue_tokens, step_tokens)
 
         def frame():
             out = pd.DataFrame(state.out, columns=names)
@@ -261,4 +204,10 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
         if state.out:
             yield frame()
 
-    return narrow.mapInPandas(run, f"id {kind}, {PIECE_COLUMNS}").withColumnRenamed("id", id_col)
+    pieces = materialize(narrow.mapInPandas(run, f"id {kind}, {PIECE_COLUMNS}, at bigint"), "packing-pieces")
+    task = F.shiftright("sequence_id", TASK_BITS)
+    totals = pieces.groupBy(task.alias("_task")).agg(F.sum("length").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    totals = F.broadcast(totals.select("_task", before.alias("_before")))  # a row a task
+    placed = pieces.join(totals, task == F.col("_task")).withColumn("step_group", F.floor((F.col("_before") + F.col("at")) / step_tokens).cast("long"))
+    return placed.select(F.col("id").alias(id_col), *[f"`{c}`" for c in names[1:-1]])
