@@ -64,3 +64,19 @@ def test_pipeline(spark):
     pieces = corpus_pipeline.STAGES[-1][1](spark, left, SF_SMALL).toPandas()
     assert set(pieces.doc_id) == set(kept["personal_data"]) and (pieces.groupby("doc_id").length.sum() == pieces.groupby("doc_id").doc_tokens.first()).all()
     assert corpus_pipeline.run(spark, SF_SMALL).agg({"length": "sum"}).first()[0] == pieces.length.sum()
+
+
+def test_pipeline_stages_on_awkward_and_empty_tables(spark, awkward, nothing, tmp_path):
+    """Nulls, empty and long texts, repeats, clashing column names, and no rows at all, through every stage."""
+    spark.createDataFrame([(i, int(i == 9)) for i in range(1, 13)], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    wide = awkward.withColumnRenamed("n", "n_chars").withColumns({"_text": awkward["t"], "_spans": awkward["c"], "_sha": awkward["g"], "_copy": awkward["a"]})
+    for docs in (wide, nothing):
+        left = docs
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            got = stage(spark, left, str(tmp_path))
+            assert got.columns == docs.columns, name
+            left = spark.createDataFrame(got.collect(), docs.schema)
+        pieces = corpus_pipeline.STAGES[-1][1](spark, left, str(tmp_path))
+        assert pieces.select("doc_id").distinct().count() == left.select("doc_id").distinct().count()
+    kept = {r.doc_id for r in left.collect()}
+    assert kept == set()  # the empty table comes last

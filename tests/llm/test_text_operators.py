@@ -261,3 +261,14 @@ def test_redact_keeps_columns_of_any_name(spark, nothing):
     want = [(1, "write to [EMAIL] now", 20, "t1", ["s1"], "c1", "r1"), *rows[1:]]
     assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
     assert pii.redact(nothing).collect() == []
+
+
+def test_lexicon_does_not_depend_on_the_bitmap_of_repeats(spark, monkeypatch):
+    rnd = random.Random(12)
+    words = ["".join(rnd.choice("abcdefgh") for _ in range(5)) for _ in range(400)]
+    texts = [" ".join(rnd.sample(words, 30)) for _ in range(300)]
+    df = spark.createDataFrame([(i, texts[i % 220]) for i in range(500)], "doc_id long, text string")
+    band = (0.5, 6.0)
+    want = sorted(r.term for r in imatch.lexicon(df, idf_band=band).collect())
+    monkeypatch.setattr(imatch, "REPEATED_BITS", 64)  # nearly every text passes
+    assert want and sorted(r.term for r in imatch.lexicon(df, idf_band=band).collect()) == want
