@@ -1,7 +1,8 @@
 """A corpus pipeline over ``documents``: toxicity, exact copies, near copies, personal data, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept; every stage but
-the last returns the columns of ``documents``.
+the last returns the columns of ``documents``, further columns included, whatever their names.  A null text counts
+as an empty one; rows with a null id stay unless they are copies; a table without rows gives no rows at any stage.
 """
 
 from __future__ import annotations
@@ -20,27 +21,28 @@ ORACLE_SQL = None
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier predicts toxic go."""
+    """Documents that the classifier predicts toxic go; empty texts have no toxic words, repeated rows share their fate."""
     return drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the one with the smallest id stays."""
+    """Of equal texts, empty ones too, the one with the smallest id stays; of rows that repeat id and text one stays."""
     return drop_exact_copies(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of texts that share 0.8 of their five-word shingles one stays."""
+    """Of each component of texts that share 0.8 of their five-word shingles the smallest id stays; texts without words are
+    no copies of each other."""
     return drop_near_copies(docs, words=5, percent=80)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Spans of personal data give way to their kind in brackets."""
+    """Spans of personal data give way to their kind in brackets; texts without any, null ones too, stay as they are."""
     return redact(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token windows: one row per piece of a document."""
+    """Token windows: one row per piece of a document; an empty text is its closing token."""
     return pack(docs)
 
 
