@@ -37,7 +37,7 @@ HOT_PAIRS = 1 << 21
 HOT_TEXTS = 1024
 FLUSH = 1 << 19  # linked pairs that a task holds before it adds them up
 BLOCK_TEXTS = 64
-MEMO_PARTS, LONG_PART = 300_000, 64
+MEMO_PARTS, LONG_PART = 450_000, 64
 CUT = re.compile(r"(?<=\S)(?= )")
 _BYTE = re.compile("<0x([0-9A-F]{2})>")
 MARK = "▁"  # fixed value of the format: stands for a space
@@ -134,8 +134,8 @@ class Aligner:
     def align(self, a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int, str, np.ndarray, np.ndarray]:
         """(n_a, n_b, n_groups, n_links, groups_sha256, distinct pairs, their occurrences) of a text's ids."""
         end_a, end_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])
-        last_a, last_b = np.isin(end_a, end_b, assume_unique=True), np.isin(end_b, end_a, assume_unique=True)
-        ends = np.sort(np.concatenate([end_a, end_b[~last_b]]))  # every end once: each closes a link
+        last_a, last_b = end_b[np.searchsorted(end_b, end_a)] == end_a, end_a[np.searchsorted(end_a, end_b)] == end_b  # both end at the text's end
+        ends = np.sort(np.concatenate([end_a, end_b[~last_b]]), kind="stable")  # every end once: each closes a link
         pairs = a[np.searchsorted(end_a, ends)] << 16 | b[np.searchsorted(end_b, ends)]
         # a token's place in the text of the groups: its own kind before it, and the other kind of earlier groups
         # (for tokens of b also of its own group)
