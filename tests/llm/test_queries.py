@@ -35,7 +35,7 @@ def test_one_query_per_operator_with_its_columns(spark):
 
 def test_queries_equal_sql(spark):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     for key, sql in SQL.items():
         a, b = QUERIES[key](spark, SF_SMALL).toPandas(), con.execute(sql).df()
