@@ -1,6 +1,6 @@
 """Token counts of a sentence-piece BPE vocabulary with a whole-token shortcut.
 
-Offline, once per vocabulary (on the driver, size bounded by the vocabulary):
+Offline, once per vocabulary and Python worker (size bounded by the vocabulary):
 
 * ``cuts``: the characters at which a text can be cut for certain.  No piece holds a space
   mark after another character, so no merge crosses the start of a run of spaces.
