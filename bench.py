@@ -35,7 +35,7 @@ def main() -> None:
     from dwkit.plans.catalog import QUERIES
     from dwkit.session import drop_materialized, get_spark
 
-    scratch = tempfile.mkdtemp(prefix="dwkit-bench-")
+    scratch = os.environ.get("BENCH_SCRATCH") or tempfile.mkdtemp(prefix="dwkit-bench-")  # a shared folder on a cluster
     spark = get_spark(f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", 2 * cpus)),
                       extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
                              "spark.checkpoint.dir": os.path.join(scratch, "ckpt"),

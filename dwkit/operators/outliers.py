@@ -1,7 +1,6 @@
 """Outlier detection.
 
-Fences and medians are exact quantiles (``quantiles.quantile_row``: one
-aggregate for small inputs, a ranked pass for large ones); the modified
+Fences and medians are exact quantiles (``quantiles.quantile_row``); the modified
 z-score needs two passes (median, then median absolute deviation).  Each
 method adds a boolean flag column; the summary is a one-row aggregate of the
 flags unpivoted per (method, column).

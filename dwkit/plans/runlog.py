@@ -44,7 +44,7 @@ class RunLog:
             self.entries.append((step, description, "success", input_rows, out_rows, stamp, time.time() - start, None))
             return df
         except Exception as e:  # noqa: BLE001 - logged, then re-raised
-            self.entries.append((step, description, "error", input_rows, None, stamp, time.time() - start, str(e)[:500]))
+            self.entries.append((step, description, "error", input_rows, None, stamp, time.time() - start, str(e)))
             raise
 
     def summary(self, spark: SparkSession) -> DataFrame:
