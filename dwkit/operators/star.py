@@ -168,7 +168,9 @@ def fact_fk_lookups(flights: DataFrame, dims: dict[str, DataFrame], fks: Sequenc
 
     A left join cannot be dropped by the optimizer even when its column is
     unused (it does not know the dimension key is unique), so callers that
-    read only some keys pass ``fks``.
+    read only some keys pass ``fks``.  The aircraft, whose number grows with the fleet,
+    come last, when a row has ids in place of texts: if they are not broadcast, that is
+    what the join shuffles.
     """
     lookups = {
         "FL_DATE_ID": lambda f: lookup_key(f, dims["fl_dates"], F.col("fl_date").cast("date"), "FL_DATE",
@@ -187,7 +189,7 @@ def fact_fk_lookups(flights: DataFrame, dims: dict[str, DataFrame], fks: Sequenc
         "JUNK_ID": lambda f: lookup_junk(f, dims["junk"]),
     }
     f = flights
-    for k in FK_COLS:
+    for k in sorted(FK_COLS, key=lambda k: k == "AIRCRAFT_ID"):
         if k in fks:
             f = lookups[k](f)
     return f

@@ -68,6 +68,28 @@ def with_dense_id(df: DataFrame, order_cols: Sequence, id_col: str = "id", bound
     return out
 
 
+def with_dense_id_by_key(df: DataFrame, keys: DataFrame, order_cols: Sequence[str], id_col: str = "id") -> DataFrame:
+    """E6 for rows in many small groups: the rows whose first order column occurs in ``keys`` (one column; null keys go),
+    with the ids 1..n that ``with_dense_id`` gives them.
+
+    Only one pair (key, rows) per key is sorted globally and written, with the number of rows before it.  The rows meet their
+    key's number and are counted on inside their key, in the one shuffle by key that a later join on the
+    key needs too; they are neither range partitioned nor written.
+    """
+    key, rest = order_cols[0], list(order_cols[1:])
+    known = keys.select(F.col(keys.columns[0]).alias("_dw_key"))
+    sizes = df.groupBy(F.col(key).alias("_dw_key")).agg(F.count(F.lit(1)).alias("_dw_n")).join(known, "_dw_key", "left_semi")
+    ranged = materialize(sizes.repartitionByRange("_dw_key").withColumn("_dw_pid", F.spark_partition_id()), "dense-ids-keys")
+    totals = ranged.groupBy("_dw_pid").agg(F.sum("_dw_n").alias("_dw_t"))  # one row per partition
+    offsets = totals.select("_dw_pid", F.coalesce(F.sum("_dw_t").over(Window.orderBy("_dw_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_dw_off"))
+    before = F.sum("_dw_n").over(Window.partitionBy("_dw_pid").orderBy("_dw_key").rowsBetween(Window.unboundedPreceding, -1))
+    starts = ranged.withColumn("_dw_before", F.coalesce(before, F.lit(0))).join(F.broadcast(offsets), "_dw_pid").select(
+        "_dw_key", (F.col("_dw_off") + F.col("_dw_before")).alias("_dw_start"))
+    inside = F.row_number().over(Window.partitionBy(key).orderBy(*_order_cols(rest)))
+    out = df.join(starts, F.col(key) == F.col("_dw_key")).withColumn(id_col, (F.col("_dw_start") + inside).cast("long"))
+    return out.select(id_col, *[c for c in df.columns if c != id_col])
+
+
 # ------------------------------------------------------------------ E1 / E2
 
 def deduplicate(df: DataFrame, keys: Sequence[str], order_cols: Sequence | None = None) -> DataFrame:

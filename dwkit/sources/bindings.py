@@ -22,7 +22,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.windows import with_dense_id
+from ..operators.windows import with_dense_id, with_dense_id_by_key
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -141,9 +141,10 @@ def star_flights(spark: SparkSession, sf_dir: str, with_seq: bool = False) -> Da
     """Flights at star grain: one line item = one flight.
 
     ``with_seq=True`` adds ``flight_seq``: dense 1..n over the flights in
-    ``LINEITEM_ORDER``, assigned on the narrow line items that have an order
-    (the flights' row set) before the widening joins, so the sort never
-    re-runs those joins.
+    ``LINEITEM_ORDER``, assigned on the line items that have an order (the flights' row
+    set) in the shuffle by order key that their join with the orders needs anyway.
+    Orders find their customer's nation before the line items do, so line items are
+    shuffled once.
 
     origin = customer nation, dest = supplier nation, carrier = supplier,
     aircraft = part, date = ship date, hour from the order key, cancellation
@@ -153,12 +154,11 @@ def star_flights(spark: SparkSession, sf_dir: str, with_seq: bool = False) -> Da
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     if with_seq:
-        rows = li.join(o.select("o_orderkey"), li.l_orderkey == o.o_orderkey, "left_semi")
-        li = with_dense_id(rows, LINEITEM_ORDER, "flight_seq")
+        li = with_dense_id_by_key(li, o.select("o_orderkey"), LINEITEM_ORDER, "flight_seq")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    j = (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
-           .join(c, F.col("o_custkey") == c.c_custkey, "left")
+    placed = o.join(c, F.col("o_custkey") == c.c_custkey, "left").select("o_orderkey", "c_nationkey")
+    j = (li.join(placed, li.l_orderkey == placed.o_orderkey, "inner")
            .join(s, li.l_suppkey == s.s_suppkey, "left"))
     return j.select(
         *(["flight_seq"] if with_seq else []),

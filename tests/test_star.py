@@ -71,3 +71,50 @@ def test_top_states_mean_of_monthly_means(spark):
                               "ORIGIN_STATE string, MONTH int, avg_dep_delay double, n_flights long")
     rows = kpi.top_states(m, 10).collect()
     assert [(r.ORIGIN_STATE, r.avg_dep_delay, r.n_flights) for r in rows] == [("A", 15.0, 100), ("B", 14.0, 5)]
+
+
+def _written(monkeypatch, module):
+    """(tag, columns) of every table that ``module`` writes from now on."""
+    from dwkit import session
+
+    seen, write = [], session.materialize
+
+    def record(df, tag="table"):
+        seen.append((tag, df.columns))
+        return write(df, tag)
+
+    monkeypatch.setattr(module, "materialize", record)
+    return seen
+
+
+def test_ids_by_key_equal_sorted_ids(spark):
+    from dwkit.operators.windows import with_dense_id, with_dense_id_by_key
+
+    rows = [(5, "b", 1.0), (5, "a", None), (1, None, 2.0), (9, "x", 3.0), (None, "n", 4.0), (1, "c", 2.0), (5, "a", None), (-3, "z", 0.5)]
+    df = spark.createDataFrame(rows, "k long, t string, v double").repartition(3)
+    keys = spark.createDataFrame([(5,), (1,), (5,), (-3,), (None,), (77,)], "known long")
+    want = with_dense_id(df.where("k IN (5, 1, -3)"), ["k", "t", "v"], "i")
+    got = with_dense_id_by_key(df, keys, ["k", "t", "v"], "i")
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert with_dense_id_by_key(df, keys.where("known = 77"), ["k", "t", "v"], "i").count() == 0
+
+
+def test_flight_numbers_write_keys_only(spark, monkeypatch):
+    from dwkit.operators import windows
+
+    seen = _written(monkeypatch, windows)
+    flights = B.star_flights(spark, SF_SMALL, with_seq=True)
+    assert seen and all(len(columns) <= 3 for _, columns in seen)
+    ids = flights.agg(F.count("*"), F.min("flight_seq"), F.max("flight_seq"), F.countDistinct("flight_seq")).first()
+    assert ids[1] == 1 and ids[0] == ids[2] == ids[3]
+
+
+def test_orders_and_customers_that_repeat_repeat_their_flights(spark, tmp_path):
+    for t in ("lineitem", "orders", "customer", "supplier"):
+        df = spark.read.parquet(f"{SF_SMALL}/{t}.parquet")
+        (df.unionByName(df) if t in ("orders", "customer") else df).write.parquet(f"{tmp_path}/{t}.parquet")
+    once, both = B.star_flights(spark, SF_SMALL, with_seq=True), B.star_flights(spark, str(tmp_path), with_seq=True)
+    n = once.count()
+    assert both.count() == 4 * n
+    assert both.agg(F.max("flight_seq"), F.countDistinct("flight_seq")).first() == (n, n)
