@@ -808,8 +808,11 @@ def h3(spark, d):
 
 @query("H4_declared_constraints")
 def h4(spark, d):
+    """The keys of the fact are written once; every check reads its column of them."""
+    from ..session import materialize
+
     w = _star(spark, d)
-    f = w["fact"]
+    f = materialize(w["fact"].select("FLIGHT_ID", *star.FK_COLS), "constraint-keys")
     ids = {"fl_dates": "FL_DATE_ID", "dep_hours": "DEP_HOUR_ID", "stations": "STATION_ID", "carriers": "CARRIER_ID",
            "aircraft": "AIRCRAFT_ID", "junk": "JUNK_ID"}
     parents = {k: (w[star.DIM_OF_KEY[k]], ids[star.DIM_OF_KEY[k]]) for k in star.FK_COLS}

@@ -203,8 +203,8 @@ def declared_constraints(table: DataFrame, pk: str, not_null: Sequence[str] = ()
     """H4: PRIMARY KEY, NOT NULL and REFERENCES checks as violation counts.
 
     PK: rows in duplicated key groups (partial aggregation); NOT NULL: one
-    aggregate; REFERENCES: one ``left_anti`` join per foreign key against the
-    parent's distinct keys.
+    aggregate; REFERENCES: one ``left_anti`` join per foreign key of its counted values
+    against the parent's keys.  Each check plans ``table`` anew: hand in a written one if it is costly.
     """
     spark_parts = []
     dup = (table.groupBy(pk).agg(F.count(F.lit(1)).alias("_k"))
@@ -217,10 +217,11 @@ def declared_constraints(table: DataFrame, pk: str, not_null: Sequence[str] = ()
             F.struct(F.lit("NOT NULL").alias("constraint_type"), F.lit(c).alias("column_name"),
                      F.col(c).cast("long").alias("violations")) for c in not_null])).alias("s")).select("s.*"))
     for col, (parent, key) in (fks or {}).items():
-        keys = parent.select(F.col(key).alias("_pk")).where(F.col("_pk").isNotNull()).distinct()
-        orphans = table.where(F.col(col).isNotNull()).join(keys, F.col(col) == F.col("_pk"), "left_anti")
+        keys = parent.select(F.col(key).alias("_pk")).where(F.col("_pk").isNotNull())
+        values = table.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("_fk")).agg(F.count(F.lit(1)).alias("_k"))
+        orphans = values.join(keys, F.col("_fk") == F.col("_pk"), "left_anti")
         spark_parts.append(orphans.agg(F.lit("REFERENCES").alias("constraint_type"), F.lit(col).alias("column_name"),
-                                       F.count(F.lit(1)).alias("violations")))
+                                       F.coalesce(F.sum("_k"), F.lit(0)).alias("violations")))
     out = spark_parts[0]
     for p in spark_parts[1:]:
         out = out.unionByName(p)
