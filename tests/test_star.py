@@ -118,3 +118,26 @@ def test_orders_and_customers_that_repeat_repeat_their_flights(spark, tmp_path):
     n = once.count()
     assert both.count() == 4 * n
     assert both.agg(F.max("flight_seq"), F.countDistinct("flight_seq")).first() == (n, n)
+
+
+def test_gate_and_constraints_plan_the_fact_once(spark, monkeypatch):
+    from dwkit import session
+    from dwkit.plans import catalog
+
+    seen = _written(monkeypatch, session)
+    broken, gate = catalog._gated(spark, SF_SMALL)
+    assert not [tag for tag, _ in seen if tag == "gate-input"]
+    assert gate.counters["rows"] == broken.count() == gate.loaded.count() + gate.quarantined.count()
+    found = catalog.QUERIES["H4_declared_constraints"](spark, SF_SMALL)
+    assert [columns for tag, columns in seen if tag == "constraint-keys"] == [["FLIGHT_ID", *star.FK_COLS]]
+    assert found.count() == 17 and found.agg(F.sum("violations")).first()[0] == 0
+
+
+def test_orphans_are_counted_by_row(spark):
+    from dwkit.plans.contract import declared_constraints
+
+    table = spark.createDataFrame([(1, 7), (2, 7), (3, 8), (4, None), (4, 9)], "i long, k long")
+    parent = spark.createDataFrame([(8,), (8,), (None,)], "p long")
+    got = {r.constraint_type: r.violations for r in declared_constraints(table, "i", [], {"k": (parent, "p")}).collect()}
+    assert got == {"PRIMARY KEY": 2, "REFERENCES": 3}
+    assert declared_constraints(table.where("k = 8"), "i", [], {"k": (parent, "p")}).where("violations > 0").isEmpty()
