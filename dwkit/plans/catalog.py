@@ -641,13 +641,15 @@ def a8_all(spark, d):
     """The wide source split into its seven tables: (table, natural key, dense id) of every row."""
     from ..sources.reconcile import reconcile
 
+    li, p, s, n = (B.table(spark, d, t) for t in ("lineitem", "part", "supplier", "nation"))
     o = B.table(spark, d, "orders").select("o_orderkey", "o_custkey")
     c = B.table(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("origin"))
-    wide = (B.table(spark, d, "lineitem").join(B.table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
-            .join(B.table(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-            .join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(c, F.col("o_custkey") == F.col("c_custkey"))
-            .join(B.table(spark, d, "nation"), F.col("origin") == F.col("n_nationkey"))
-            .withColumn("obs_date", F.col("l_shipdate").cast("date")).withColumn("obs_hour", (F.col("l_orderkey") % 24).cast("int")))
+    # orders meet their customers first, and the texts come last: line items are shuffled with few columns
+    wide = (li.join(o.join(c, F.col("o_custkey") == F.col("c_custkey")), F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(p, F.col("l_partkey") == F.col("p_partkey")).join(s, F.col("l_suppkey") == F.col("s_suppkey"))
+            .join(n, F.col("origin") == F.col("n_nationkey")))
+    wide = wide.select(*li.columns, *p.columns, *s.columns, *o.columns, *c.columns, *n.columns,
+                       F.col("l_shipdate").cast("date").alias("obs_date"), (F.col("l_orderkey") % 24).cast("int").alias("obs_hour"))
     entities = {"aircraft": (["p_partkey"], ["p_name", "p_brand", "p_type", "p_size", "p_retailprice"]), "carriers": (["s_suppkey"], ["s_name"]),
                 "stations": (["n_nationkey"], ["n_name"]), "cancellation": (["l_returnflag"], []), "active_weather": (["l_linestatus"], []),
                 "weather": (["n_nationkey", "obs_date", "obs_hour"], [])}

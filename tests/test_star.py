@@ -141,3 +141,15 @@ def test_orphans_are_counted_by_row(spark):
     got = {r.constraint_type: r.violations for r in declared_constraints(table, "i", [], {"k": (parent, "p")}).collect()}
     assert got == {"PRIMARY KEY": 2, "REFERENCES": 3}
     assert declared_constraints(table.where("k = 8"), "i", [], {"k": (parent, "p")}).where("violations > 0").isEmpty()
+
+
+def test_reconcile_writes_its_source_once(spark, monkeypatch):
+    from dwkit.sources import reconcile as module
+
+    seen = _written(monkeypatch, module)
+    wide = spark.createDataFrame([(1, 20, "b", "x"), (2, 10, "a", "x"), (3, 20, "b", "y"), (3, 20, "b", "y"), (4, None, "c", None)], "r long, k long, a string, s string")
+    out = module.reconcile(wide, {"part": (["k"], ["a"]), "flag": (["s"], [])}, "rows")
+    assert [tag for tag, _ in seen] == ["reconcile-wide"]
+    assert sorted(map(tuple, out["part"].select("part_id", "k", "a").collect())) == [(1, 10, "a"), (2, 20, "b"), (3, None, "c")]
+    assert sorted(map(tuple, out["flag"].select("flag_id", "s").collect())) == [(1, "x"), (2, "y"), (3, None)]
+    assert [r.r for r in out["rows"].orderBy("rows_id").collect()] == [1, 2, 3, 3, 4]
