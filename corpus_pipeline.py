@@ -1,6 +1,6 @@
 """A corpus pipeline over ``documents``: toxicity, exact copies, near copies, personal data, packing.
 
-Each stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept; every stage but
+Each stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept, in Python in small batches; every stage but
 the last returns the columns of ``documents``, further columns included, whatever their names.  A null text counts
 as an empty one; rows with a null id stay unless they are copies; a table without rows gives no rows at any stage.
 """
@@ -14,7 +14,7 @@ from dwkit.llm.minhash import drop_near_copies
 from dwkit.llm.packing import pack
 from dwkit.llm.pii import redact
 from dwkit.llm.toxicity import drop_toxic
-from dwkit.session import materialize
+from dwkit.session import bound_batches, materialize
 
 #: The stages need Spark jobs between them (model fits, component rounds): no single statement.
 ORACLE_SQL = None
@@ -22,6 +22,7 @@ ORACLE_SQL = None
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier predicts toxic go; empty texts have no toxic words, repeated rows share their fate."""
+    bound_batches(spark)
     return drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -33,6 +34,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of texts that share 0.8 of their five-word shingles the smallest id stays; texts without words are
     no copies of each other."""
+    bound_batches(spark)
     return drop_near_copies(docs, words=5, percent=80)
 
 
@@ -43,6 +45,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token windows: one row per piece of a document; an empty text is its closing token."""
+    bound_batches(spark)
     return pack(docs)
 
 

@@ -80,3 +80,23 @@ def test_pipeline_stages_on_awkward_and_empty_tables(spark, awkward, nothing, tm
         assert pieces.select("doc_id").distinct().count() == left.select("doc_id").distinct().count()
     kept = {r.doc_id for r in left.collect()}
     assert kept == set()  # the empty table comes last
+
+
+def test_stages_bound_the_rows_of_a_batch(spark):
+    from dwkit.session import BATCH_ROWS, bound_batches
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        docs, seen = spark.read.parquet(f"{SF_SMALL}/documents.parquet"), {}
+        for stage, fn in corpus_pipeline.STAGES:
+            if stage in ("toxicity", "near_copies", "packing"):
+                spark.conf.set(name, "10000")
+                fn(spark, docs.limit(20), SF_SMALL)
+                seen[stage] = int(spark.conf.get(name))
+        assert set(seen.values()) == {BATCH_ROWS}
+        spark.conf.set(name, "7")
+        bound_batches(spark)
+        assert spark.conf.get(name) == "7"
+    finally:
+        spark.conf.set(name, before)
