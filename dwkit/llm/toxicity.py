@@ -22,10 +22,9 @@ from __future__ import annotations
 
 import re
 import zlib
-from array import array
 from collections import Counter
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -34,7 +33,6 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .bitmaps import Bitmap
-from .byte_bpe import Memo
 from .shingles import shingle_set
 
 CANDIDATES = 1 << 15
@@ -45,6 +43,10 @@ FILTER_BITS = 1 << 24  # bits of the id filter (2 MB), whatever the number of la
 BEGINNINGS = (4, 5, 6)
 THRESHOLD = 0.3
 WORD = re.compile(r"[^\W\d_]+")
+GAP = re.compile(r"[\W\d_]")
+BLOCK_ROWS = 256        # texts whose features a task marks at once
+BLOCK_CHARS = 1 << 19   # characters whose words a task holds at once, but for one long word
+LONG_WORD = 64          # bytes; the rest of a longer word is hashed by itself
 
 
 def word_features(word: str) -> tuple:
@@ -58,20 +60,116 @@ def is_held_out(id_col):
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def _text_features(memo: Memo, text: str | None) -> np.ndarray:
-    """Sorted distinct features of a text."""
-    found = set(WORD.findall((text or "").lower()))
-    return np.unique(np.fromiter(chain.from_iterable(map(memo.__getitem__, found)), dtype=np.int64))
+@lru_cache(1)
+def _letters() -> np.ndarray:
+    """By code point, whether a word may hold it."""
+    out = np.zeros(0x110000, dtype=bool)
+    for m in WORD.finditer("".join(map(chr, range(len(out))))):
+        out[m.start():m.end()] = True
+    return out
+
+
+@lru_cache(1)
+def _crc_table() -> np.ndarray:
+    """State of a crc32 after one byte."""
+    out = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        out = np.where(out & 1, (out >> 1) ^ np.uint32(0xEDB88320), out >> 1)
+    return out
+
+
+def _pieces(texts: Sequence) -> Iterator[tuple[int, str]]:
+    """(row, lower-case text) in pieces of about BLOCK_CHARS characters at most, cut between words."""
+    for row, t in enumerate(texts):
+        t, at = (t or "").lower(), 0
+        while len(t) - at > BLOCK_CHARS:
+            gap = GAP.search(t, at + BLOCK_CHARS)
+            end = gap.start() if gap else len(t)
+            yield row, t[at:end]
+            at = end
+        yield row, t[at:]
+
+
+def _hash_words(rows: list, parts: list) -> tuple[np.ndarray, np.ndarray]:
+    """(row, feature) of all words of some pieces, as ``word_features`` gives them: a crc32 moves on by one byte of every word at once."""
+    joined = "\n".join(parts)
+    raw = joined.encode("utf-8", "surrogatepass")
+    data, table = np.frombuffer(raw, dtype=np.uint8), _crc_table()
+    code = data if len(raw) == len(joined) else np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    at = np.zeros(len(code) + 1, dtype=np.int64)  # first byte of every character
+    np.cumsum(1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000), out=at[1:])
+    letter = np.concatenate([[False], _letters()[code], [False]])
+    edges = np.flatnonzero(letter[1:] != letter[:-1])
+    start, end = edges[::2], edges[1::2]
+    size = at[end] - at[start]
+    order = np.argsort(np.minimum(size, LONG_WORD + 1).astype(np.uint8), kind="stable")[::-1]  # longest first: words that go on come before those that ended
+    start, end, size = start[order], end[order], size[order]
+    first, chars, rising = at[start], end - start, np.minimum(size[::-1], LONG_WORD)
+    row = np.asarray(rows, dtype=np.int64)[np.searchsorted(np.cumsum([0] + [len(p) + 1 for p in parts[:-1]]), start, "right") - 1]
+    state = np.full(len(start), zlib.crc32(b"^") ^ 0xFFFFFFFF, dtype=np.uint32)
+    ends = [np.where(chars >= n, at[np.minimum(start + n, end)] - first, 0) for n in BEGINNINGS]
+    heads = [np.zeros(len(start), dtype=np.uint32) for _ in BEGINNINGS]
+    for k in range(int(rising[-1]) if len(rising) else 0):
+        m = len(rising) - int(np.searchsorted(rising, k, "right"))  # words of more than k bytes
+        state[:m] = table[(state[:m] ^ data[first[:m] + k]) & 0xFF] ^ (state[:m] >> 8)
+        if k < 4 * max(BEGINNINGS):
+            for e, h in zip(ends, heads):
+                done = np.flatnonzero(e[:m] == k + 1)
+                h[done] = state[done]
+    full = table[(state ^ ord("$")) & 0xFF] ^ (state >> 8)
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        full[i] = zlib.crc32(raw[first[i]:first[i] + size[i]] + b"$", zlib.crc32(b"^")) ^ 0xFFFFFFFF
+    has = [np.flatnonzero(chars >= n) for n in BEGINNINGS]
+    return np.concatenate([row, *(row[x] for x in has)]), np.concatenate([full, *(h[x] for h, x in zip(heads, has))]) ^ np.uint32(0xFFFFFFFF)
+
+
+def _features(texts: Sequence) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(row, feature) of all words of some texts, repeats included, in blocks."""
+    rows, parts, size = [], [], 0
+    for row, part in _pieces(texts):
+        rows.append(row)
+        parts.append(part)
+        size += len(part)
+        if size >= BLOCK_CHARS:
+            yield _hash_words(rows, parts)
+            rows, parts, size = [], [], 0
+    if size:
+        yield _hash_words(rows, parts)
+
+
+def _places(texts: Sequence, wanted: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(row, place in the rising array ``wanted``) of every distinct wanted feature of a text, by row and place, in blocks."""
+    wanted = wanted.astype(np.uint32)
+    low = np.uint32((1 << 22) - 1)
+    may = np.zeros(1 << 22, dtype=bool)  # by lowest bits; the rest is searched
+    may[wanted & low] = True
+    for begin in range(0, len(texts), BLOCK_ROWS):
+        some = texts[begin:begin + BLOCK_ROWS]
+        held = np.zeros(len(some) * len(wanted), dtype=bool)
+        for row, f in _features(some):
+            at = np.flatnonzero(may[f & low])
+            row, f = row[at], f[at]
+            place = np.minimum(np.searchsorted(wanted, f), len(wanted) - 1)
+            ok = wanted[place] == f
+            held[row[ok] * len(wanted) + place[ok]] = True
+        row, place = np.divmod(np.flatnonzero(held), max(len(wanted), 1))
+        yield row + begin, place
+
+
+def _rows_of(texts: Sequence, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the wanted features of all texts, and where every text's places begin (and the last ones end)."""
+    blocks = [*_places(texts, wanted)] or [(np.empty(0, dtype=np.int64),) * 2]
+    return np.concatenate([p for _, p in blocks]), np.searchsorted(np.concatenate([r for r, _ in blocks]), np.arange(len(texts) + 1))
 
 
 def count_features(texts: DataFrame, wanted=None) -> DataFrame:
-    """(f, n): texts that hold each feature, of the broadcast array ``wanted`` only if given."""
-    def run(batches):
-        some = None if wanted is None else frozenset(wanted.value.tolist())
-        memo, held, size = Memo(word_features if some is None else lambda w: tuple(f for f in word_features(w) if f in some), 200_000), [], 0
+    """(f, n): texts that hold each feature, of the rising broadcast array ``wanted`` only if given."""
+    def run_all(batches):
+        held, size = [], 0
         for pdf in batches:
-            for t in pdf["text"]:
-                found = _text_features(memo, t)
+            for begin in range(0, len(pdf), BLOCK_ROWS):
+                found = [np.unique(row << 32 | f) for row, f in _features(pdf["text"].tolist()[begin:begin + BLOCK_ROWS])]
+                found = np.unique(np.concatenate(found or [np.empty(0, dtype=np.int64)])) & 0xFFFFFFFF
                 held.append(found)
                 size += len(found)
                 if size >= FLUSH:
@@ -82,7 +180,15 @@ def count_features(texts: DataFrame, wanted=None) -> DataFrame:
             f, n = np.unique(np.concatenate(held), return_counts=True)
             yield pd.DataFrame({"f": f, "n": n})
 
-    return texts.select("text").mapInPandas(run, "f bigint, n bigint").groupBy("f").agg(F.sum("n").alias("n"))
+    def run_wanted(batches):
+        total = np.zeros(len(wanted.value), dtype=np.int64)
+        for pdf in batches:
+            for _, place in _places(pdf["text"].tolist(), wanted.value):
+                total += np.bincount(place, minlength=len(total))
+        some = np.flatnonzero(total)
+        yield pd.DataFrame({"f": wanted.value[some], "n": total[some]})
+
+    return texts.select("text").mapInPandas(run_all if wanted is None else run_wanted, "f bigint, n bigint").groupBy("f").agg(F.sum("n").alias("n"))
 
 
 def surest_features(k_p: np.ndarray, n_p: int, k_u: np.ndarray, n_u: int) -> np.ndarray:
@@ -98,14 +204,12 @@ def surest_features(k_p: np.ndarray, n_p: int, k_u: np.ndarray, n_u: int) -> np.
 
 def vectors(texts: DataFrame, kept: np.ndarray) -> DataFrame:
     """(v, n): every distinct vector of kept features (their rising 16-bit places) and the texts that have it, written once."""
-    place = {f: i for i, f in enumerate(kept.tolist())}
-
     def run(batches):
-        memo, held = Memo(lambda w: tuple(place[f] for f in word_features(w) if f in place), 200_000), Counter()
+        held = Counter()
         for pdf in batches:
-            for t in pdf["text"]:
-                found = set(chain.from_iterable(map(memo.__getitem__, set(WORD.findall((t or "").lower())))))
-                held[array("H", sorted(found)).tobytes()] += 1
+            place, at = _rows_of(pdf["text"].tolist(), kept)
+            raw, at = place.astype(np.uint16).tobytes(), (2 * at).tolist()
+            held.update(raw[i:j] for i, j in zip(at, at[1:]))
             if len(held) > FLUSH // 16:
                 yield pd.DataFrame({"v": list(held), "n": list(held.values())})
                 held.clear()
@@ -279,12 +383,12 @@ def scores(docs: DataFrame, model: tuple[dict[int, float], float], text_col: str
 
     @F.pandas_udf("double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        memo = Memo(lambda w: tuple(f for f in word_features(w) if f in weights), 200_000)
+        kept = np.array(sorted(weights), dtype=np.int64)
+        by_place = np.array([weights[f] for f in kept.tolist()])
         for s in batches:
-            out = []
-            for t in s:
-                found = set(chain.from_iterable(map(memo.__getitem__, set(WORD.findall((t or "").lower())))))
-                out.append(bias + sum(sorted(map(weights.__getitem__, found))))
+            place, at = _rows_of(s.tolist(), kept)
+            found, at = by_place[place].tolist() if len(kept) else [], at.tolist()
+            out = [bias + sum(sorted(found[i:j])) for i, j in zip(at, at[1:])]
             yield pd.Series(np.exp(-np.logaddexp(0.0, -np.array(out, dtype=float))))
 
     return run(F.col(f"`{text_col}`"))

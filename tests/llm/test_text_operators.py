@@ -49,6 +49,34 @@ def test_toxicity_held_out_accuracy(spark):
     assert left.columns == docs.columns and left.count() == sum(not r.predicted for r in got)
 
 
+def test_toxicity_features_of_blocks_are_those_of_words(monkeypatch):
+    texts = [None, "", "x", "ab ab_abc1abcd-abcde", "ΑΣ ΣΑΣΣΑΣ İstanbul \u212aelvin", "a" * 70 + " " + "é" * 33 + "x", "\U0001d518\U0001d52b\U0001d526code \ud800abcd",
+             "дом домами 中文字符中文 한국어 ١٢٣abc", " ".join(f"word{c}{d}s" for c in "abcdefgh" for d in "ijklmnop")] * 40
+    exp = [{f for w in toxicity.WORD.findall((t or "").lower()) for f in toxicity.word_features(w)} for t in texts]
+    wanted = np.array(sorted(set().union(*exp))[::3] + [2 ** 32 - 1], dtype=np.int64)
+    for chars, rows in ((1 << 19, 256), (9, 7), (1, 1)):  # texts cut into pieces, and many texts in one
+        monkeypatch.setattr(toxicity, "BLOCK_CHARS", chars)
+        monkeypatch.setattr(toxicity, "BLOCK_ROWS", rows)
+        got = [set() for _ in texts]
+        for row, f in toxicity._features(texts):
+            for i, x in zip(row.tolist(), f.tolist()):
+                got[i].add(x)
+        assert got == exp
+        place, at = toxicity._rows_of(texts, wanted)
+        assert [wanted[place[i:j]].tolist() for i, j in zip(at, at[1:])] == [sorted(e & set(wanted.tolist())) for e in exp]
+
+
+def test_toxicity_counts_and_vectors(spark):
+    docs = spark.createDataFrame([(1, "Der Hund und die Katze"), (2, "hund, Hunde; hund"), (3, None), (4, ""), (5, "hund, Hunde; hund")], "doc_id long, text string")
+    texts = [r.text for r in docs.collect()]
+    exp = collections.Counter(f for t in texts for f in {f for w in toxicity.WORD.findall((t or "").lower()) for f in toxicity.word_features(w)})
+    assert {r.f: r.n for r in toxicity.count_features(docs).collect()} == exp
+    some = np.array(sorted(exp)[::2], dtype=np.int64)
+    assert {r.f: r.n for r in toxicity.count_features(docs, spark.sparkContext.broadcast(some)).collect()} == {f: exp[f] for f in some.tolist()}
+    found = {tuple(np.frombuffer(bytes(r.v), dtype=np.uint16).tolist()): r.n for r in toxicity.vectors(docs, some).collect()}
+    assert found == collections.Counter(tuple(i for i, f in enumerate(some.tolist()) if f in {f for w in toxicity.WORD.findall((t or "").lower()) for f in toxicity.word_features(w)}) for t in texts)
+
+
 def test_toxicity_cases(spark, awkward, nothing):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     got = toxicity.score_toxicity(awkward, none).collect()
