@@ -248,6 +248,31 @@ def test_near_duplicates_in_short_form(spark):
     assert got == exp
 
 
+def test_record_pairs_are_dealt_evenly(spark):
+    # one pair of profiles, 90,000 record pairs across and 89,700 within: no task may write most of them
+    rows = [(i, "B0", WORDS[i % 2], TYPES[0]) for i in range(600)]
+    df = spark.createDataFrame(rows, "k long, blk string, name string, typ string")
+    out = fuzzy.near_duplicates(df, "k", "blk", ["name", "typ"], chunk=30, task_pairs=20_000)
+    got = out.groupBy(F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("n")).collect()
+    assert sum(r.n for r in got) == 600 * 599 // 2 and max(r.n for r in got) < 60_000
+    assert out.select("k_1", "k_2").distinct().count() == 600 * 599 // 2 and out.where("k_1 >= k_2").count() == 0
+
+
+def test_record_pairs_of_repeated_and_null_keys(spark):
+    # equal keys and null keys pair across profiles, never within one
+    rows = [(k, "B0", w, TYPES[0]) for k in (1, 2, 2, 3, 4, 5, None, None) for w in WORDS[:2]]
+    df = spark.createDataFrame(rows, "k long, blk string, name string, typ string")
+    s = fuzzy.jaro_winkler(WORDS[0], WORDS[1]) + 1
+    assert s > 1.75
+    for chunk in (512, 2):
+        got = fuzzy.near_duplicates(df, "k", "blk", ["name", "typ"], chunk=chunk).collect()
+        within, across = [r for r in got if r.name_1 == r.name_2], [r for r in got if r.name_1 != r.name_2]
+        keys = [1, 2, 2, 3, 4, 5]
+        assert sorted((r.k_1, r.k_2) for r in within) == sorted(2 * [(a, b) for a, b in itertools.product(keys, keys) if a < b])
+        assert len(across) == 64 and sum(r.k_1 is None or r.k_2 is None for r in across) == 64 - 36
+        assert sorted((r.k_1, r.k_2) for r in across if None not in (r.k_1, r.k_2)) == sorted((min(p), max(p)) for p in itertools.product(keys, keys))
+
+
 def test_value_index_costs_values_not_profiles(spark):
     # 40 names x 40 kinds in one block: 1,600 profiles, 40 values a feature
     df = spark.range(1600).select("id", F.lit("hot").alias("blk"), F.concat(F.lit("name "), F.chr(F.col("id") % 40 + 65), F.chr(F.col("id") % 40 * 7 % 26 + 97)).alias("name"),
