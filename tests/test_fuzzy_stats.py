@@ -273,6 +273,25 @@ def test_record_pairs_of_repeated_and_null_keys(spark):
         assert sorted((r.k_1, r.k_2) for r in across if None not in (r.k_1, r.k_2)) == sorted((min(p), max(p)) for p in itertools.product(keys, keys))
 
 
+def test_scores_are_rounded_for_pairs_of_profiles(spark, tmp_path):
+    # the result's places are a matter of the few pairs of profiles, not of every pair of records
+    import re
+
+    from dwkit.plans import catalog
+
+    part = spark.range(60).select(F.col("id").alias("p_partkey"), F.lit("B0").alias("p_brand"), F.lit("red plate").alias("p_name"), F.lit("SMALL").alias("p_type"))
+    part.write.parquet(str(tmp_path / "part.parquet"))
+    out = catalog.QUERIES["C11_fuzzy_duplicates"](spark, str(tmp_path))
+    assert not re.search(r"\bround\(", out._jdf.queryExecution().optimizedPlan().toString())
+    typos = [i % 9 == 0 for i in range(60)]
+    names = ["rd plate" if t else "red plate" for t in typos]
+    got = {(r.p_partkey_1, r.p_partkey_2): r.Score for r in out.collect()}
+    assert got == {(a, b): round(fuzzy.jaro_winkler(names[a], names[b]) + 1, 4) for a, b in itertools.combinations(range(60), 2)}
+    df, rows = fixture(spark)
+    exact = {(r.k_1, r.k_2): r.Score for r in fuzzy.near_duplicates(df, "k", "blk", ["name", "typ"]).collect()}
+    assert any(s != round(s, 4) for s in exact.values())  # without digits the scores stay as they are
+
+
 def test_value_index_costs_values_not_profiles(spark):
     # 40 names x 40 kinds in one block: 1,600 profiles, 40 values a feature
     df = spark.range(1600).select("id", F.lit("hot").alias("blk"), F.concat(F.lit("name "), F.chr(F.col("id") % 40 + 65), F.chr(F.col("id") % 40 * 7 % 26 + 97)).alias("name"),
