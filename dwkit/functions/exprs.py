@@ -7,7 +7,10 @@ unless the step says otherwise.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -73,17 +76,26 @@ DATE_SHAPES = ((r"^\d{8}$", "yyyyMMdd"), (r"^\d{14}$", "yyyyMMddHHmmss"), (r"^\d
                (r"^\p{L}{4,} \d{1,2}, \d{4}$", "MMMM d, yyyy"))
 
 
+def _may_read(text: Column, form: str) -> Column:
+    """False only for texts that ``form`` can't read: one of its separators is missing, or it knows no time of day and the text has one."""
+    marks = sorted(set(re.sub(r"[A-Za-z]", "", form)) - {"'"} | set("".join(re.findall(r"'([^']*)'", form))))
+    has = [F.contains(text, F.lit(m)) for m in marks] + ([] if ":" in marks else [~F.contains(text, F.lit(":"))])
+    return reduce(and_, has)
+
+
 def parse_timestamp(col, formats: Sequence[str] = DATE_FORMATS, shapes: Sequence[tuple[str, str]] = DATE_SHAPES) -> Column:
     """Lenient parse of text, a date or a timestamp (whose text form has its fraction) to a timestamp.
 
-    The first of ``formats`` that reads the value wins; otherwise the value's shape names the format.
+    The first of ``formats`` that reads the value wins; otherwise the value's shape names the format.  A format isn't tried
+    on text without its separators, as every failed trial costs an exception.
     """
     c = F.trim(_c(col).cast("string"))
     by_shape = None
     for pattern, form in shapes:
         hit, value = c.rlike(pattern), F.try_to_timestamp(F.initcap(c) if "MMM" in form else c, F.lit(form))
         by_shape = F.when(hit, value) if by_shape is None else by_shape.when(hit, value)
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats], *([by_shape] if by_shape is not None else []))
+    tried = [F.when(_may_read(c, f), F.try_to_timestamp(c, F.lit(f))) for f in formats]
+    return F.coalesce(*tried, *([by_shape] if by_shape is not None else []))
 
 
 def parse_date(col, formats: Sequence[str] = DATE_FORMATS) -> Column:

@@ -1107,6 +1107,15 @@ def _original(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {"CompleteData": wide, "ActiveWeather": tables["Active_Weather"], **{t: tables[t] for t in ("Cancellation", "Carriers", "Stations")}}
 
 
+def layer_counts(layer: str, loaded: dict[str, LAY.Loaded]) -> DataFrame:
+    """Rows and rejected rows of every table of a layer; each file is read once."""
+    out = None
+    for name, t in loaded.items():
+        part = t.counts.select(F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "n_rows", "n_rejected")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("A1_typed_layers")
 def a1_layers(spark, d):
     """Rows and rejected rows of every table of the original, reconciled and warehouse layers."""
@@ -1115,10 +1124,8 @@ def a1_layers(spark, d):
           "DIM_AIRCRAFTS": w["aircraft"], "DIM_JUNK": w["junk"], "FLIGHTS": w["fact"]}
     out = None
     for layer, given in (("original", _original(tables)), ("reconciled", tables), ("dw", dw)):
-        for name, loaded in _written(spark, layer, given).items():
-            part = loaded.rows.agg(F.count(F.lit(1)).alias("n_rows")).crossJoin(loaded.rejected.agg(F.count(F.lit(1)).alias("n_rejected")))
-            part = part.select(F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "n_rows", "n_rejected")
-            out = part if out is None else out.unionByName(part)
+        part = layer_counts(layer, _written(spark, layer, given))
+        out = part if out is None else out.unionByName(part)
     return out
 
 

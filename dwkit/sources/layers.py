@@ -10,6 +10,8 @@ to the table's rejected rows, with the reasons and its text; text codes keep the
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -146,9 +148,11 @@ LAYERS: dict[str, dict[str, T.StructType]] = {
 
 @dataclass(frozen=True)
 class Loaded:
-    """A table's rows in its declared types, and the rows that don't fit: (table_name, reasons, record)."""
+    """A table's rows in its declared types, the rows that don't fit: (table_name, reasons, record), and the numbers of both
+    from one pass: (n_rows, n_rejected)."""
     rows: DataFrame
     rejected: DataFrame
+    counts: DataFrame
 
 
 def _value(text: Column, kind: T.DataType) -> Column:
@@ -159,8 +163,8 @@ def _value(text: Column, kind: T.DataType) -> Column:
         return parse_timestamp(text).cast("timestamp_ntz")
     if isinstance(kind, T.StringType):
         return text
-    if isinstance(kind, T.IntegralType):
-        return F.regexp_replace(F.trim(text), r"\.0*$", "").try_cast(kind)
+    if isinstance(kind, T.IntegralType):  # no pattern is sought in a text without a point
+        return F.when(F.contains(text, F.lit(".")), F.regexp_replace(F.trim(text), r"\.0*$", "")).otherwise(F.trim(text)).try_cast(kind)
     if isinstance(kind, T.DecimalType):  # rounded to the declared scale, not refused for more digits
         return F.round(text.try_cast("decimal(38,12)"), kind.scale).try_cast(kind)
     return text.try_cast(kind)
@@ -169,23 +173,27 @@ def _value(text: Column, kind: T.DataType) -> Column:
 def typed(raw: DataFrame, table: str, schema: T.StructType, na_values=NA_TOKENS, corrupt: str | None = None) -> Loaded:
     """Rows of text columns against a declared schema, in one projection."""
     text = {f.name: F.when(~F.trim(F.col(f"`{f.name}`")).isin(list(na_values)), F.col(f"`{f.name}`")) for f in schema.fields}
-    reasons, values = [], []
+    faults, values = [], []
     for f in schema.fields:
         t, v = text[f.name], _value(text[f.name], f.dataType)
         values.append(v.alias(f.name, metadata=f.metadata))
         if not isinstance(f.dataType, T.StringType):
-            reasons.append(F.when(t.isNotNull() & v.isNull(), F.lit(f"{f.name}: not {f.dataType.simpleString()}")))
+            faults.append((t.isNotNull() & v.isNull(), f"{f.name}: not {f.dataType.simpleString()}"))
         elif "length" in f.metadata:
-            reasons.append(F.when(F.length(t) > f.metadata["length"], F.lit(f"{f.name}: longer than {f.metadata['length']}")))
+            faults.append((t.isNotNull() & (F.length(t) > f.metadata["length"]), f"{f.name}: longer than {f.metadata['length']}"))
         if not f.nullable:
-            reasons.append(F.when(t.isNull(), F.lit(f"{f.name}: missing")))
+            faults.append((t.isNull(), f"{f.name}: missing"))
     if corrupt:
-        reasons = [F.when(F.col(corrupt).isNotNull(), F.lit("record: wrong number of columns")), *reasons]
+        # A higher-order function keeps its projection out of whole-stage code, where all columns are one method: with ten columns
+        # or more that is too long for the JIT (8,000 bytes).  Outside, every column has its own method.
+        faults = [(F.exists(F.array(F.col(corrupt).isNotNull()), lambda x: x), "record: wrong number of columns"), *faults]
+    unfit = reduce(or_, [fault for fault, _ in faults], F.lit(False))  # never null: a missing text is neither misread nor too long
+    judged = raw.select("*", unfit.alias("_unfit"))
+    reasons = F.array_compact(F.array(*[F.when(fault, F.lit(reason)) for fault, reason in faults]).cast("array<string>"))
     record = F.to_json(F.struct(*[F.col(f"`{f.name}`") for f in schema.fields]))
-    judged = raw.select(*values, F.array_compact(F.array(*reasons)).alias("_reasons"), record.alias("_record"))
-    rows = judged.where(F.size("_reasons") == 0).drop("_reasons", "_record")
-    rejected = judged.where(F.size("_reasons") > 0).select(F.lit(table).alias("table_name"), F.col("_reasons").alias("reasons"), F.col("_record").alias("record"))
-    return Loaded(rows, rejected)
+    rejected = judged.where("_unfit").select(F.lit(table).alias("table_name"), reasons.alias("reasons"), record.alias("record"))
+    counts = judged.agg(F.count_if(~F.col("_unfit")).alias("n_rows"), F.count_if("_unfit").alias("n_rejected"))
+    return Loaded(judged.where("NOT _unfit").select(*values), rejected, counts)
 
 
 def read_typed(spark: SparkSession, path: str, table: str, schema: T.StructType, na_values=NA_TOKENS) -> Loaded:

@@ -40,6 +40,38 @@ def test_typed_csv_keeps_codes_and_routes_unfit_rows(spark, tmp_path):
     assert all(r.table_name == "T" and r.record.startswith("{") for r in loaded.rejected.collect())
 
 
+def test_rows_and_rejects_are_counted_in_one_short_pass(spark, tmp_path):
+    # 40 columns of all kinds: one scan, and no method too long for the JIT
+    schema = layers.declared(", ".join(f"a{i} int, b{i} varchar(3), c{i} decimal(5,1), d{i} date, e{i} timestamp" for i in range(8)))
+    good = ["7", "abc", "1.25", "2022/1/5", "2022-01-05 07:08:09"] * 8
+    rows = [good, ["NA"] * 40, ["7.0", *good[1:]], ["7.5", *good[1:]], [*good[:39], "2022-01-05 25:00:00"], good[:39], [good[0], "abcd", *good[2:]]]
+    (tmp_path / "T.csv").write_text("\n".join([",".join(f.name for f in schema.fields), *[",".join(r) for r in rows]]) + "\n")
+    loaded = layers.read_typed(spark, str(tmp_path / "T.csv"), "T", schema)
+    assert tuple(loaded.counts.first()) == (3, 4) == (loaded.rows.count(), loaded.rejected.count())
+    assert sorted(r.reasons for r in loaded.rejected.collect()) == [["a0: not int"], ["b0: longer than 3"], ["e7: not timestamp_ntz"], ["record: wrong number of columns"]]
+    plan = loaded.counts._jdf.queryExecution().executedPlan()
+    assert plan.toString().count("Scan csv") == 1
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        stages = layers.read_typed(spark, str(tmp_path / "T.csv"), "T", schema).counts._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    judged = [line for line in stages.splitlines() if "AS _unfit" in line]
+    assert judged and not any("*(" in line for line in judged)  # outside whole-stage code
+
+
+def test_layer_query_reads_every_file_once(spark, tmp_path):
+    from dwkit.plans import catalog
+
+    tables = {"Carriers": spark.createDataFrame([("AA", "x"), (None, "y")], "code string, description string")}
+    for t, schema in layers.LAYERS["reconciled"].items():
+        layers.write_typed(tables.get(t, spark.createDataFrame([], schema)), str(tmp_path / f"{t}.csv"), schema)
+    got = catalog.layer_counts("reconciled", layers.load_layer(spark, "reconciled", str(tmp_path)))
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 7
+    rows = {r.table_name: (r.layer, r.n_rows, r.n_rejected) for r in got.collect()}
+    assert rows.pop("Carriers") == ("reconciled", 1, 1) and set(rows.values()) == {("reconciled", 0, 0)} and len(rows) == 6
+
+
 def test_round_trip_and_missing_files(spark, tmp_path):
     schema = layers.LAYERS["reconciled"]["Carriers"]
     df = spark.createDataFrame([("007", " padded "), ("AA", None), ("B,", 'quo"te'), ("C", "")], "code string, description string")
@@ -82,6 +114,25 @@ def test_dates_read_in_every_form(spark, text):
     assert spark.createDataFrame([(text,)], "t string").select(parse_date("t")).first()[0] == dt.date(2022, 1, 5)
 
 
+def test_formats_left_out_by_their_separators_read_nothing(spark):
+    # every format against texts with and without its separators: the same value as trying all formats
+    from dwkit.functions.exprs import DATE_FORMATS, DATE_SHAPES, parse_timestamp
+
+    days = ["2022-01-05", "2022/01/05", "01/05/2022", "2022-1-5", "20220105", "5 Jan 2022", "+12022-01-05", "2022-02-30", "not-a-date", "1/5/2022", "-", "", "12345"]
+    times = ["", " ", "07:08", " 07:08", " 07:08:09", " 07:08:09.5", " 07:08:09.123456789", "T07:08", "T07:08:09", "T07:08:09.25", "T07:08:09Z", "T07:08:09+02:00", " 25:00", "T", ":", " 7:08:09", ".5"]
+    df = spark.createDataFrame([(f"{pad}{d}{t}",) for d in days for t in times for pad in ("", " ")] + [(None,)], "t string")
+    trimmed, by_shape = F.trim("t"), None
+    for pattern, form in DATE_SHAPES:
+        value = F.try_to_timestamp(F.initcap(trimmed) if "MMM" in form else trimmed, F.lit(form))
+        by_shape = F.when(trimmed.rlike(pattern), value) if by_shape is None else by_shape.when(trimmed.rlike(pattern), value)
+    every = F.coalesce(*[F.try_to_timestamp(trimmed, F.lit(f)) for f in DATE_FORMATS], by_shape)
+    got = df.select("t", parse_timestamp("t").alias("a"), every.alias("b"))
+    assert got.where("NOT a <=> b").collect() == [] and got.where("a IS NOT NULL").count() > 60
+    alone = df.select("t", *[parse_timestamp("t", [f], []).alias(f"a{i}") for i, f in enumerate(DATE_FORMATS)],
+                      *[F.try_to_timestamp(trimmed, F.lit(f)).alias(f"b{i}") for i, f in enumerate(DATE_FORMATS)])
+    assert alone.where(" OR ".join(f"NOT a{i} <=> b{i}" for i in range(len(DATE_FORMATS)))).collect() == []
+
+
 def test_unreadable_dates_are_null(spark):
     bad = ["2022-02-30", "20221305", "5 Foo 2022", "2022-13-1", "today", "", "12345678901"]
     assert spark.createDataFrame([(t,) for t in bad], "t string").where(parse_date("t").isNotNull()).count() == 0
