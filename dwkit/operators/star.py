@@ -221,14 +221,20 @@ def build_fact(flights: DataFrame, dims: dict[str, DataFrame], order_cols: Seque
     return f.select("FLIGHT_ID", *keys, *[m.upper() for m in ms], _ts(load_ts).alias("LOAD_TIMESTAMP"))
 
 
-def flight_key_summary(flights: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One pass over the flights for every small dimension: the distinct combinations of the
-    given columns.  Its size is bounded by the calendar and the flag domains, not by the
-    number of flights, and it is written so that the dimensions built from it do not
-    re-read the flights."""
+def flight_key_summary(flights: DataFrame, groups: Sequence[Sequence[str]]) -> dict[tuple[str, ...], DataFrame]:
+    """One pass over the flights for every small dimension: the distinct values of each group of columns, by its columns.
+
+    A group's size is bounded by the calendar or the flag domains, not by the number of flights; that of their combinations
+    is not in practice (a flight in two has one of its own), so the groups are counted side by side.  They are written so that
+    the dimensions built from them do not re-read the flights."""
     kinds = {"fl_date": "date", "dep_hour": "int"}
-    keys = flights.groupBy(*[F.col(c).cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in columns]).count()
-    return materialize(keys, "flight-keys")
+    groups = list(dict.fromkeys(map(tuple, groups)))
+    columns = sorted({c for g in groups for c in g})
+    narrow = flights.select(*[F.col(c).cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in columns])
+    found = narrow.groupingSets([[F.col(c) for c in g] for g in groups], *columns).agg(F.grouping_id().alias("_dw_group"), F.count(F.lit(1)).alias("count"))
+    keys = materialize(found, "flight-keys")
+    absent = {g: sum(1 << i for i, c in enumerate(reversed(columns)) if c not in g) for g in groups}  # grouping_id: a bit per column left out
+    return {g: keys.where(F.col("_dw_group") == absent[g]).select(*g, "count") for g in groups}
 
 
 # The dimension of each foreign key, and the flight columns that a dimension is read from.
@@ -250,7 +256,7 @@ def build_warehouse(flights: DataFrame, stations: DataFrame, carriers: DataFrame
     summary pass skips the joins that only the fact needs.
     """
     wanted = {DIM_OF_KEY[k] for k in fks} | set(also)
-    columns = sorted({c for d in wanted for c in FLIGHT_COLUMNS.get(d, [])})
+    columns = {d: tuple(FLIGHT_COLUMNS[d]) for d in sorted(wanted & set(FLIGHT_COLUMNS))}
     alone = {  # the other dimensions read the summary of the flights' keys
         "stations": lambda: build_stations(stations, load_ts=load_ts),
         "carriers": lambda: build_carriers(carriers, load_ts=load_ts),
@@ -263,10 +269,10 @@ def build_warehouse(flights: DataFrame, stations: DataFrame, carriers: DataFrame
     }
     # dimensions are written while they get their ids: independent ones side by side
     with ThreadPoolExecutor(max_workers=len(alone) + 1) as pool:
-        summary = pool.submit(flight_key_summary, key_source if key_source is not None else flights, columns) if columns else None
+        summary = pool.submit(flight_key_summary, key_source if key_source is not None else flights, list(columns.values())) if columns else None
         made = {name: pool.submit(make) for name, make in alone.items() if name in wanted}
         keys = summary.result() if summary else None
-        dims = {name: make(keys) for name, make in after.items() if name in wanted} | {name: f.result() for name, f in made.items()}
+        dims = {name: make(keys[columns[name]]) for name, make in after.items() if name in wanted} | {name: f.result() for name, f in made.items()}
     fact = build_fact(flights, dims, order_cols, load_ts=load_ts, with_ids=fact_ids, seq_col=seq_col, fks=fks)
     return {**dims, "fact": fact}
 

@@ -856,7 +856,8 @@ def k10(spark, d):
 def _environment(spark, d, fact_ids: bool = False, fks=star.FK_COLS) -> dict[str, DataFrame]:
     flights = B.environment_flights(spark, d, with_seq=fact_ids)
     return star.build_warehouse(flights, B.stations(spark, d), B.carriers(spark, d), B.aircraft(spark, d), B.LINEITEM_ORDER,
-                                load_ts=LOAD_TS, fact_ids=fact_ids, seq_col="flight_seq" if fact_ids else None, fks=fks)
+                                load_ts=LOAD_TS, fact_ids=fact_ids, seq_col="flight_seq" if fact_ids else None,
+                                key_source=B.environment_flight_keys(spark, d), fks=fks)
 
 
 @query("K6_build_junk_environment")

@@ -180,17 +180,30 @@ def star_flights(spark: SparkSession, sf_dir: str, with_seq: bool = False) -> Da
 OBSERVATION_SPAN = 5000
 
 
-def environment_flights(spark: SparkSession, sf_dir: str, with_seq: bool = False) -> DataFrame:
-    """``star_flights`` linked to an observation by key arithmetic; the five environment measures
-    and the weather text come through the chain flight -> observation -> status (C7)."""
+def _environment_measures(spark: SparkSession, sf_dir: str, flights: DataFrame, measures: list[str]) -> DataFrame:
+    """Flights (with ``l_orderkey`` and ``l_linenumber``) with the measures and the weather text of their observation."""
     from ..operators.star import chained_measures
 
     o = obs(spark, sf_dir).select(
         "obs_id", F.col("spd").alias("wind_spd"), F.col("gust").alias("wind_gust"), (F.col("low") / 10).alias("visibility"),
         (F.col("spd") - 20).alias("temperature"), (F.col("n") % 5).cast("double").alias("cloud_cover"), (F.col("n") % 4).alias("status"))
     status = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("status"), F.col("r_name").alias("weather_description"))
-    flights = star_flights(spark, sf_dir, with_seq).drop("weather_description")
+    flights = flights.drop("weather_description")
     flights = flights.withColumn("weather_observation_id", (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % OBSERVATION_SPAN + 1)
-    linked = chained_measures(flights, o, "weather_observation_id", "obs_id",
-                              ["wind_spd", "wind_gust", "visibility", "temperature", "cloud_cover"], "status", status)
+    linked = chained_measures(flights, o, "weather_observation_id", "obs_id", measures, "status", status)
     return linked.withColumnRenamed("_weather_desc", "weather_description")
+
+
+def environment_flights(spark: SparkSession, sf_dir: str, with_seq: bool = False) -> DataFrame:
+    """``star_flights`` linked to an observation by key arithmetic; the five environment measures
+    and the weather text come through the chain flight -> observation -> status (C7)."""
+    return _environment_measures(spark, sf_dir, star_flights(spark, sf_dir, with_seq),
+                                 ["wind_spd", "wind_gust", "visibility", "temperature", "cloud_cover"])
+
+
+def environment_flight_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The date, hour and junk pair of ``environment_flights``: as ``star_flight_keys``, with the weather text of the observation."""
+    li = table(spark, sf_dir, "lineitem")
+    o = table(spark, sf_dir, "orders").select("o_orderkey")
+    keys = li.join(o, li.l_orderkey == o.o_orderkey, "left_semi").select("l_orderkey", "l_linenumber", *_line_item_keys())
+    return _environment_measures(spark, sf_dir, keys, [])

@@ -27,6 +27,43 @@ def test_junk_lookup_null_safe(spark):
     assert [r.JUNK_ID for r in star.lookup_junk(fact, junk).collect()] == [1, 3, 3]
 
 
+def test_key_summary_counts_groups_not_their_combinations(spark):
+    rows = [(f"2024-01-{d + 1:02d}", h, r, w) for d in range(20) for h in (0, 7, None) for r in ("a", None) for w in ("x", None)] + [(None, 7, "a", "y")]
+    df = spark.createDataFrame(rows, "fl_date string, dep_hour int, cancellation_reason string, weather_description string")
+    groups = [["fl_date"], ["dep_hour"], ["fl_date"], ["cancellation_reason", "weather_description"]]
+    got = star.flight_key_summary(df, groups)
+    dates, hours, junk = (got[tuple(g)].collect() for g in (groups[0], groups[1], groups[3]))
+    assert len(dates) == 21 and {(r.fl_date, r["count"]) for r in dates} == {(dt.date(2024, 1, d + 1), 12) for d in range(20)} | {(None, 1)}
+    assert sorted(map(tuple, hours), key=str) == sorted([(0, 80), (7, 81), (None, 80)], key=str)
+    assert sorted(map(tuple, junk), key=str) == sorted([("a", "x", 60), ("a", None, 60), (None, "x", 60), (None, None, 60), ("a", "y", 1)], key=str)
+    assert got[("dep_hour",)].inputFiles() and sum(r["count"] for r in dates) == len(rows)  # 29 rows written, not 241 combinations
+    only = star.flight_key_summary(df.limit(0), [["dep_hour"]])
+    assert list(only) == [("dep_hour",)] and only[("dep_hour",)].count() == 0
+
+
+def test_environment_keys_are_those_of_its_flights(spark, tmp_path):
+    n = spark.range
+    tables = {
+        "customer": n(20).select(F.col("id").alias("c_custkey"), (F.col("id") % 5).cast("int").alias("c_nationkey")),
+        "supplier": n(9).select(F.col("id").alias("s_suppkey"), (F.col("id") % 5).cast("int").alias("s_nationkey")),
+        "region": n(3).select(F.col("id").cast("int").alias("r_regionkey"), F.concat(F.lit("R"), F.col("id")).alias("r_name")),
+        "orders": n(80).select((F.col("id") % 60).alias("o_orderkey"), F.when(F.col("id") % 7 > 0, F.col("id") % 25).alias("o_custkey")),
+        "events": n(900).select(F.expr("timestamp_ntz '2024-01-01' + make_dt_interval(0, 0, CAST(id * id * 7 % 20000 AS INT), 0)").alias("ts"), F.concat(F.lit("t"), F.col("id") % 4).alias("event_type"),
+                                (F.col("id") / 3).alias("value")),
+        "lineitem": n(600).select(
+            F.when(F.col("id") % 50 > 0, F.col("id") % 90).alias("l_orderkey"), F.lit(1).cast("long").alias("l_partkey"), (F.col("id") % 11).alias("l_suppkey"), (F.col("id") % 5).cast("int").alias("l_linenumber"),
+            *[F.lit(1.5).alias(c) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")], F.when(F.col("id") % 3 > 0, F.lit("N")).otherwise(F.lit("A")).alias("l_returnflag"),
+            F.lit("O").alias("l_linestatus"), F.when(F.col("id") % 8 > 0, F.expr("timestamp_ntz '2024-03-01' + make_dt_interval(CAST(id % 17 AS INT))")).alias("l_shipdate"))}
+    for t, df in tables.items():
+        df.write.parquet(str(tmp_path / f"{t}.parquet"))
+    cols = ["fl_date", "dep_hour", "cancellation_reason", "weather_description"]
+    want = B.environment_flights(spark, str(tmp_path), with_seq=True).groupBy(*cols).count().collect()
+    keys = B.environment_flight_keys(spark, str(tmp_path))
+    got = {tuple(r)[:4] for r in keys.groupBy(*cols).count().collect()}
+    assert got == {tuple(r)[:4] for r in want} and len(want) > 100 and len({r.weather_description for r in want}) > 2
+    assert not any(f"/{t}.parquet" in f for f in keys.inputFiles() for t in ("customer", "supplier"))
+
+
 def test_fact_rows_fks_and_plan(spark):
     flights = B.star_flights(spark, SF_SMALL)
     w = star.build_warehouse(flights, B.stations(spark, SF_SMALL), B.carriers(spark, SF_SMALL),
